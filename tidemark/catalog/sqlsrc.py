@@ -99,3 +99,9 @@ def market_caps() -> str:
     return """
 SELECT c_name AS symbol, 1704067200000 + c_custkey AS ts, c_acctbal * 1000000.0::DOUBLE AS market_cap
 FROM customer WHERE c_acctbal > 0"""
+
+
+def rnd(x: str, n: int = 6) -> str:
+    """Round like Spark's ``round(double, n)``: HALF_UP on the shortest decimal
+    form of the double (DuckDB's own double rounding multiplies in binary)."""
+    return f"CAST(round(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 20)), {n}) AS DOUBLE)"

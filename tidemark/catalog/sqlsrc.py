@@ -19,11 +19,11 @@ def bars_events(every: str = "1h") -> str:
     ms = INTERVAL_MS[every]
     return f"""
 SELECT 'EVT' AS exchange, event_type AS symbol, '{every}' AS interval,
-       epoch_ms(ts) - (epoch_ms(ts) % {ms}) AS open_time,
-       epoch_ms(ts) - (epoch_ms(ts) % {ms}) + {ms - 1} AS close_time,
-       first(value ORDER BY epoch_ms(ts), event_id) AS open,
+       (epoch_us(ts) // 1000) - ((epoch_us(ts) // 1000) % {ms}) AS open_time,
+       (epoch_us(ts) // 1000) - ((epoch_us(ts) // 1000) % {ms}) + {ms - 1} AS close_time,
+       first(value ORDER BY (epoch_us(ts) // 1000), event_id) AS open,
        max(value) AS high, min(value) AS low,
-       last(value ORDER BY epoch_ms(ts), event_id) AS close,
+       last(value ORDER BY (epoch_us(ts) // 1000), event_id) AS close,
        CAST(count(*) AS DOUBLE) AS volume
 FROM events GROUP BY 1, 2, 3, 4, 5"""
 
@@ -32,7 +32,7 @@ def bars_lineitem() -> str:
     o = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
     return f"""
 SELECT 'TPCH' AS exchange, l_returnflag AS symbol, '1d' AS interval,
-       epoch_ms(l_shipdate) AS open_time, epoch_ms(l_shipdate) + {INTERVAL_MS['1d'] - 1} AS close_time,
+       (epoch_us(l_shipdate) // 1000) AS open_time, (epoch_us(l_shipdate) // 1000) + {INTERVAL_MS['1d'] - 1} AS close_time,
        first(l_extendedprice ORDER BY {o}) AS open, max(l_extendedprice) AS high,
        min(l_extendedprice) AS low, last(l_extendedprice ORDER BY {o}) AS close,
        sum(l_quantity) AS volume
@@ -45,7 +45,7 @@ def bars_all() -> str:
 
 def alerts() -> str:
     return """
-SELECT event_id AS id, epoch_ms(ts) AS ts, epoch_ms(ts) AS created_ts, 'EVT' AS exchange,
+SELECT event_id AS id, (epoch_us(ts) // 1000) AS ts, (epoch_us(ts) // 1000) AS created_ts, 'EVT' AS exchange,
        event_type AS symbol,
        CASE WHEN user_id % 2 = 0 THEN 'BUY' ELSE 'SELL' END AS signal,
        CASE WHEN user_id % 4 < 2 THEN '15m' ELSE '1h' END AS source_tf,

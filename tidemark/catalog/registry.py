@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_quality", "q_indicators", "q_outcomes"]
+MODULES = ["q_quality", "q_indicators", "q_outcomes", "q_ranges"]
 
 
 def load():

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from tidemark.operators import series
 from tidemark.operators import windows as W
 
-TR_EXPR = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("prev_close")),
-                     F.abs(F.col("low") - F.col("prev_close")))
+def tr_expr():
+    """True range; ``greatest`` skips NULLs, so the first bar is high - low."""
+    return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("prev_close")),
+                      F.abs(F.col("low") - F.col("prev_close")))
 
 
 def indexed(bars: DataFrame) -> DataFrame:
@@ -46,7 +48,7 @@ def ml_window_features(bars: DataFrame, atr_n: int = 14, fast: int = 20, slow: i
             "upper_wick": F.col("high") - F.greatest("open", "close"),
             "lower_wick": F.least("open", "close") - F.col("low"),
             "gap": F.col("open") - F.col("prev_close"),
-            "tr": TR_EXPR,
+            "tr": tr_expr(),
         }
         s3 = {
             "body_to_range": F.when(F.col("range") > 0, div(F.col("body"), F.col("range"))),
@@ -78,7 +80,7 @@ def atr_sma(bars: DataFrame, n: int = 14, full: bool = True, out: str = "atr_14"
     d = indexed(bars)
 
     def build(w):
-        return [{"prev_close": F.lag("close").over(w)}, {"tr": TR_EXPR},
+        return [{"prev_close": F.lag("close").over(w)}, {"tr": tr_expr()},
                 {out: W.sma("tr", w, n, full=full)}]
 
     return series.halo_windows(d, build, back=n)
@@ -107,7 +109,7 @@ def atr_wilder(bars: DataFrame, n: int = 14, out: str = "atr_wilder") -> DataFra
     d = indexed(bars)
 
     def build(w):
-        return [{"prev_close": F.lag("close").over(w)}, {"tr": TR_EXPR},
+        return [{"prev_close": F.lag("close").over(w)}, {"tr": tr_expr()},
                 {"_tr_seed": F.when(F.col("bar_idx") == n - 1, F.avg("tr").over(W.trailing(w, n)))
                  .when(F.col("bar_idx") >= n, F.col("tr"))}]
 
@@ -139,7 +141,7 @@ def tech_features(bars: DataFrame, adx_n: int = 14, rsi_n: int = 14) -> DataFram
         up_move = F.col("high") - F.col("prev_high")
         down_move = F.col("prev_low") - F.col("low")
         delta = F.col("close") - F.col("prev_close")
-        s2 = {"tr": TR_EXPR,
+        s2 = {"tr": tr_expr(),
               "_pdm": F.when((up_move > down_move) & (up_move > 0), up_move).otherwise(F.lit(0.0)),
               "_mdm": F.when((down_move > up_move) & (down_move > 0), down_move).otherwise(F.lit(0.0)),
               "_up": F.greatest(delta, F.lit(0.0)),

@@ -129,7 +129,7 @@ def range_starts(flags: DataFrame, max_bars: int = 50, key: Sequence[str] = KEY)
     def starts(pdf: pd.DataFrame) -> pd.DataFrame:
         blk, e = int(pdf["_blk"].iloc[0]), int(pdf["_entry"].iloc[0])
         st = _chain(np.sort(pdf["bar_idx"].to_numpy()), blk * b + e, gap)
-        return pd.DataFrame({**{k: [pdf[k].iloc[0]] * len(st) for k in key}, "start_idx": st})
+        return series.pandas_frame({**{k: [pdf[k].iloc[0]] * len(st) for k in key}, "start_idx": st}, start_schema)
 
     return nar.join(entry, [*key, "_blk"]).groupBy(*key, "_blk").applyInPandas(starts, start_schema)
 

@@ -240,3 +240,17 @@ def carry_last(df: DataFrame, cols: Sequence[str], key: Sequence[str], order: Se
     d = d.join(summ, [*key, "_blk"], "left")
     return d.withColumns({c + "_carried": F.coalesce(F.col(f"_in_{c}"), F.col(f"_o_{c}")) for c in cols}) \
             .drop("_blk", *[f"_in_{c}" for c in cols], *[f"_o_{c}" for c in cols])
+
+
+_PD_DTYPES = {T.LongType: "int64", T.IntegerType: "int32", T.DoubleType: "float64", T.BooleanType: "bool"}
+
+
+def pandas_frame(cols: dict, schema: T.StructType) -> pd.DataFrame:
+    """A pandas frame for a grouped-map result with dtypes taken from
+    ``schema`` (an empty result with untyped columns fails Arrow conversion)."""
+    out = {}
+    for f in schema.fields:
+        v = cols.get(f.name, [])
+        dt = _PD_DTYPES.get(type(f.dataType), object)
+        out[f.name] = pd.Series(v, dtype=dt) if len(v) == 0 or dt is object else pd.Series(v).astype(dt)
+    return pd.DataFrame(out)

@@ -30,16 +30,44 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def utc(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone: all time columns are UTC epoch-ms based."""
+    """Pin the session time zone (all time columns are UTC epoch-ms based) and
+    make the package importable in Python workers."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Add this package to the executors' Python path once per SparkContext
+    (grouped-map functions reference package code on the workers)."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="tidemark-pyfiles-")
+    zpath = os.path.join(out_dir, "tidemark.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
+
+
 def conf_int(spark: SparkSession, name: str, default: int) -> int:
     v = spark.conf.get(name, None)
     return int(v) if v else default

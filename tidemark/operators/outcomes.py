@@ -127,35 +127,42 @@ def plan_trades(plans: DataFrame, bars: DataFrame, cfg: PlanConfig = PlanConfig(
     MAE/MFE span the whole resolution window, in R.
     """
     wms = int(cfg.window_days) * DAY_MS
-    p = plans.withColumns({"_lo": F.col("plan_ts"), "_hi": F.col("plan_ts") + F.lit(2 * wms)})
-    b = bars.select("exchange", "symbol", F.col("interval").alias("tf"), "open_time", "high", "low")
-    c = J.within_time_window(p, b, ("exchange", "symbol", "tf"), "_lo", "_hi", "open_time", 2 * wms)
-    fills = (F.col("entry_price").isNotNull() & (F.col("low") <= F.col("entry_price"))
-             & (F.col("high") >= F.col("entry_price")) & (F.col("open_time") <= F.col("plan_ts") + wms))
-    wp = Window.partitionBy("plan_id")  # one plan's candidate bars: a bounded group
-    c = c.withColumn("entry_open_ms", F.min(F.when(fills, F.col("open_time"))).over(wp))
+    by = ("exchange", "symbol", "tf")
+    bi = series.index_series(bars.select("exchange", "symbol", "interval", "open_time", "high", "low")) \
+        .withColumnRenamed("interval", "tf")
+    # 1) fill: first bar in [plan_ts, plan_ts + window] with low <= entry <= high.
+    #    Pairs are produced by the bucketed join and reduced by a partial
+    #    aggregate in the same task; only one row per plan is shuffled.
+    p = plans.select("plan_id", *by, "plan_ts", "entry_price").withColumn("_hi", F.col("plan_ts") + F.lit(wms))
+    c = J.within_time_window(p, bi, by, "plan_ts", "_hi", "open_time", wms)
+    fills = c.where(F.col("entry_price").isNotNull() & (F.col("low") <= F.col("entry_price"))
+                    & (F.col("high") >= F.col("entry_price")))
+    fill = fills.groupBy("plan_id").agg(F.min("open_time").alias("entry_open_ms"),
+                                        F.min("bar_idx").alias("entry_idx"))
+    # 2) resolution over [fill (or next bar), fill + window]: first bar hitting
+    #    stop or TP1, MAE/MFE extremes and bar counts, again join + partial agg.
+    q = plans.select("plan_id", *by, "side", "stop_loss", "tp1").join(fill, "plan_id")
     start = F.col("entry_open_ms") if cfg.include_entry_candle else F.col("entry_open_ms") + F.lit(1)
-    fut = c.where(F.col("entry_open_ms").isNotNull() & (F.col("open_time") >= start)
-                  & (F.col("open_time") <= F.col("entry_open_ms") + wms))
+    q = q.withColumns({"_lo": start, "_hi": F.col("entry_open_ms") + F.lit(wms)})
+    r = J.within_time_window(q, bi, by, "_lo", "_hi", "open_time", wms)
     buy, sell = F.col("side") == "BUY", F.col("side") == "SELL"
     stop_hit = F.when(buy, F.col("low") <= F.col("stop_loss")).when(sell, F.col("high") >= F.col("stop_loss"))
     tp_hit = F.when(buy, F.col("high") >= F.col("tp1")).when(sell, F.col("low") <= F.col("tp1"))
     sh, th = F.coalesce(stop_hit, F.lit(False)), F.coalesce(tp_hit, F.lit(False))
-    # first event bar and which barriers it hit, packed in one long: t*4 + 2*stop + tp
-    code = F.when(sh | th, F.col("open_time") * 4 + sh.cast("long") * 2 + th.cast("long"))
-    fut = fut.withColumn("_ev", F.min(code).over(wp))
-    keep = [k for k in plans.columns if k != "plan_id"]
-    out = fut.groupBy("plan_id").agg(
-        F.first("_ev").alias("_ev"), F.first("entry_open_ms").alias("entry_open_ms"),
+    # first event bar and which barriers it hit, packed in one long: idx*4 + 2*stop + tp
+    code = F.when(sh | th, F.col("bar_idx") * 4 + sh.cast("long") * 2 + th.cast("long"))
+    agg = r.groupBy("plan_id").agg(
+        F.min(code).alias("_ev"), F.min(F.when(sh | th, F.col("open_time"))).alias("resolved_candle_open_ms"),
         F.min("low").alias("min_low"), F.max("high").alias("max_high"), F.count(F.lit(1)).alias("candles_observed"),
-        F.count_if(F.col("open_time") < F.floor(F.col("_ev") / 4)).alias("bars_to_resolve"),
-        *[F.first(k).alias(k) for k in keep])
-    out = out.where(F.col("_ev").isNotNull())
+        F.first("entry_idx").alias("_eidx"))
+    agg = agg.where(F.col("_ev").isNotNull())
+    first_idx = F.col("_eidx") + (0 if cfg.include_entry_candle else 1)
     ev_sh = F.pmod(F.col("_ev"), F.lit(4)) >= 2
     ev_th = F.pmod(F.col("_ev"), F.lit(2)) == 1
     both = "STOP" if cfg.intrabar_priority == "stop_first" else "TP1"
-    out = out.withColumns({"event": F.when(ev_sh & ev_th, F.lit(both)).when(ev_sh, "STOP").otherwise("TP1"),
-                           "resolved_candle_open_ms": F.floor(F.col("_ev") / 4).cast("long")})
+    agg = agg.withColumns({"event": F.when(ev_sh & ev_th, F.lit(both)).when(ev_sh, "STOP").otherwise("TP1"),
+                           "bars_to_resolve": F.floor(F.col("_ev") / 4) - first_idx})
+    out = plans.join(agg, "plan_id")
     risk = F.abs(F.col("entry_price") - F.col("stop_loss"))
     rp = F.when(F.col("event") == "STOP", F.col("stop_loss")).otherwise(F.col("tp1"))
     pnl = F.when(F.col("side") == "BUY", rp - F.col("entry_price")).when(F.col("side") == "SELL", F.col("entry_price") - rp)

@@ -387,3 +387,256 @@ def performance_summary(trades: DataFrame, by: Sequence[str], r_col: str = "r_mu
     g = g.withColumn("expectancy_r", F.col("win_rate") * F.coalesce("avg_win_r", F.lit(0.0))
                      + (1 - F.col("win_rate")) * F.coalesce("avg_loss_r", F.lit(0.0)))
     return g.join(streaks, by, "left")
+
+
+# ------------------------------------------- first barrier hit (no horizon cap)
+
+def first_barrier_hit(entries: DataFrame, bars: DataFrame, id_col: str = "trade_id", start_offset: int = 1,
+                      first_window: int = 64, stop_first: bool = True) -> DataFrame:
+    """For each entry (key, ``entry_idx``, ``side`` long/short, ``stop``, ``tp``):
+    the first bar from ``entry_idx + start_offset`` on whose range touches the
+    stop or the target.  Same bar: stop first (``stop_first``).  No horizon
+    cap: windows double each round (64, 128, 256, ... bars) and only entries
+    still open go on, so the work per entry is about twice its distance to the
+    exit.  Adds ``exit_idx``, ``exit_kind`` (stop / tp / NULL = still open)
+    and ``exit_price``.
+    """
+    from tidemark.session import cut_lineage
+    bi = I.indexed(bars).select(*KEY, F.col("bar_idx").alias("_bi"), F.col("high").alias("_h"),
+                                F.col("low").alias("_l"))
+    last = bi.groupBy(*KEY).agg(F.max("_bi").alias("_last"))
+    rem = entries.select(*KEY, id_col, "entry_idx", "side", "stop", "tp").join(last, list(KEY))
+    hits = None
+    lo, width = start_offset, first_window
+    while True:
+        hi = lo + width - 1
+        pairs = J.within_rows(rem, bi, KEY, "entry_idx", lo, hi, right_idx="_bi")
+        lng = F.col("side") == "long"
+        sh = F.coalesce(F.when(lng, F.col("_l") <= F.col("stop")).otherwise(F.col("_h") >= F.col("stop")), F.lit(False))
+        th = F.coalesce(F.when(lng, F.col("_h") >= F.col("tp")).otherwise(F.col("_l") <= F.col("tp")), F.lit(False))
+        code = F.when(sh | th, F.col("_bi") * 4 + sh.cast("long") * 2 + th.cast("long"))
+        h = pairs.groupBy(id_col).agg(F.min(code).alias("_ev")).where(F.col("_ev").isNotNull())
+        h = cut_lineage(h)
+        hits = h if hits is None else hits.unionByName(h)
+        rem = rem.join(h.select(id_col), id_col, "left_anti").where(F.col("entry_idx") + hi < F.col("_last"))
+        rem = cut_lineage(rem)
+        if rem.limit(1).count() == 0:
+            break
+        lo, width = hi + 1, width * 2
+    sh_ev = F.pmod(F.col("_ev"), F.lit(4)) >= 2
+    th_ev = F.pmod(F.col("_ev"), F.lit(2)) == 1
+    kind = (F.when(sh_ev & th_ev, F.lit("stop" if stop_first else "tp")).when(sh_ev, "stop").when(th_ev, "tp"))
+    out = entries.join(hits, id_col, "left")
+    out = out.withColumns({"exit_idx": F.floor(F.col("_ev") / 4).cast("long"), "exit_kind": kind})
+    return out.withColumn("exit_price", F.when(F.col("exit_kind") == "stop", F.col("stop"))
+                          .when(F.col("exit_kind") == "tp", F.col("tp"))).drop("_ev")
+
+
+def signed_r(entry, exit_, stop, side) -> Column:
+    risk = F.abs(entry - stop)
+    pnl = F.when(side == "long", exit_ - entry).otherwise(entry - exit_)
+    return F.try_divide(pnl, F.when(risk > 0, risk))
+
+
+def range_trades(events: DataFrame, bars: DataFrame, method: str = "Breakout", direction: str = "Both",
+                 use_tpsl2: bool = False, stop_beyond_pct: float = 50.0, min_toi: str = "Any",
+                 only_directional: bool = False, hours: tuple[int, int] | None = None,
+                 one_position: bool = True) -> DataFrame:
+    """Range-entry trades from live-range events.
+
+    Breakout: long on an up breakout, short on a down breakout, entry at the
+    breakout close; Immediate: on activation, long a Support range, short a
+    Resistance range.  Target TPSL1 (or TPSL2); stop beyond the far edge by
+    ``stop_beyond_pct`` % of the height.  Filters: minimum volume degree,
+    directional ranges only, direction, UTC hour window.  Exits by
+    ``first_barrier_hit`` from the next bar; with ``one_position`` a trade is
+    kept only if it starts after the previous kept one ended (B22)."""
+    e = events
+    if method == "Breakout":
+        e = e.where(F.col("event").startswith("breakout"))
+        side = F.when(F.col("event") == "breakout_up", "long").otherwise("short")
+    elif method == "Immediate":
+        e = e.where((F.col("event") == "activated") & F.col("range_type").isin("Support", "Resistance"))
+        side = F.when(F.col("range_type") == "Support", "long").otherwise("short")
+    else:
+        raise ValueError(method)
+    e = e.withColumn("side", side)
+    if direction == "Long Only":
+        e = e.where(F.col("side") == "long")
+    elif direction == "Short Only":
+        e = e.where(F.col("side") == "short")
+    if min_toi == "Medium":
+        e = e.where(F.col("vol_degree").isin("Medium", "High"))
+    elif min_toi == "High":
+        e = e.where(F.col("vol_degree") == "High")
+    if only_directional:
+        e = e.where(F.col("range_type") != "Gravitation")
+    if hours is not None:
+        hr = F.hour(F.timestamp_millis("open_time"))
+        e = e.where(hr.between(hours[0], hours[1]))
+    hgt = F.col("range_high") - F.col("range_low")
+    lng = F.col("side") == "long"
+    tp = F.when(lng, F.col("tpsl2_high" if use_tpsl2 else "tpsl1_high")).otherwise(
+        F.col("tpsl2_low" if use_tpsl2 else "tpsl1_low"))
+    stop = F.when(lng, F.col("range_low") - hgt * stop_beyond_pct / 100.0).otherwise(
+        F.col("range_high") + hgt * stop_beyond_pct / 100.0)
+    e = e.select(*KEY, F.col("bar_idx").alias("entry_idx"), "side", F.col("close").alias("entry"), stop.alias("stop"),
+                 tp.alias("tp"), "range_type", "vol_degree", "imbalance", "range_start_idx",
+                 F.sha2(F.concat_ws("::", *[F.col(k) for k in KEY], F.col("bar_idx").cast("string"),
+                                    F.col("event")), 256).alias("trade_id"))
+    t = first_barrier_hit(e, bars)
+    t = t.withColumn("r_multiple", signed_r(F.col("entry"), F.col("exit_price"), F.col("stop"), F.col("side")))
+    if one_position:
+        t = t.withColumn("_end", F.coalesce(F.col("exit_idx"), F.lit(1 << 62)))
+        t = non_overlapping(t, list(KEY), "entry_idx", "_end", ["entry_idx", "trade_id"]).drop("_end")
+    return t
+
+
+def scaled_exit_trades(trades_tp1: DataFrame, trades_tp2: DataFrame, w1: float = 0.5) -> DataFrame:
+    """A position split in two legs, one exiting at TPSL1 and one at
+    TPSL2 (each leg with the same stop); blended R = w1*R1 + (1-w1)*R2."""
+    a = trades_tp1.select("trade_id", *KEY, "entry_idx", "side", F.col("r_multiple").alias("r_leg1"))
+    b = trades_tp2.select("trade_id", F.col("r_multiple").alias("r_leg2"), F.col("exit_idx").alias("exit_idx_leg2"))
+    return a.join(b, "trade_id").withColumn("r_multiple", w1 * F.col("r_leg1") + (1 - w1) * F.col("r_leg2"))
+
+
+def retest_entries(events: DataFrame, bars: DataFrame, window: int = 20) -> DataFrame:
+    """After a breakout, the first bar within ``window`` bars that comes
+    back to the broken edge (low <= top after an up breakout, high >= bottom
+    after a down breakout); entry at the edge."""
+    br = events.where(F.col("event").startswith("breakout"))
+    b = I.indexed(bars).select(*KEY, F.col("bar_idx").alias("_bi"), F.col("high").alias("_h"), F.col("low").alias("_l"))
+    p = J.within_rows(br, b, KEY, "bar_idx", 1, window, right_idx="_bi")
+    up = F.col("event") == "breakout_up"
+    touch = F.when(up, F.col("_l") <= F.col("range_high")).otherwise(F.col("_h") >= F.col("range_low"))
+    first = p.where(touch).groupBy(*KEY, "bar_idx").agg(F.min("_bi").alias("retest_idx"))
+    return br.join(first, [*KEY, "bar_idx"]).withColumn(
+        "retest_price", F.when(up, F.col("range_high")).otherwise(F.col("range_low")))
+
+
+def gravitation_fade(events: DataFrame, bars: DataFrame, window: int = 50) -> DataFrame:
+    """For Gravitation ranges, fade a move of one height beyond an edge
+    (first close beyond within ``window`` bars after activation); target the
+    middle of the range."""
+    act = events.where((F.col("event") == "activated") & (F.col("range_type") == "Gravitation"))
+    b = I.indexed(bars).select(*KEY, F.col("bar_idx").alias("_bi"), F.col("close").alias("_c"))
+    p = J.within_rows(act, b, KEY, "bar_idx", 1, window, right_idx="_bi")
+    hgt = F.col("range_high") - F.col("range_low")
+    above, below = F.col("_c") > F.col("range_high") + hgt, F.col("_c") < F.col("range_low") - hgt
+    f = p.where(above | below).groupBy(*KEY, "bar_idx").agg(
+        F.min_by(F.struct("_bi", "_c", above.alias("up")), F.col("_bi")).alias("_f"))
+    return act.join(f, [*KEY, "bar_idx"]).select(
+        *KEY, "bar_idx", "range_high", "range_low", F.col("_f._bi").alias("entry_idx"),
+        F.col("_f._c").alias("entry"), F.when(F.col("_f.up"), "short").otherwise("long").alias("side"),
+        ((F.col("range_high") + F.col("range_low")) / 2).alias("tp"))
+
+
+def monte_carlo_drawdown(trades: DataFrame, by: Sequence[str], runs: int = 1000, seed: int = 7,
+                         r_col: str = "r_multiple", id_col: str = "trade_id") -> DataFrame:
+    """Max drawdown (in R) of ``runs`` reshuffles of each trade list;
+    order within a run by ``xxhash64(seed, run, id)``; distribution summary
+    (mean, p50, p95, worst)."""
+    by = list(by)
+    t = trades.select(*by, id_col, F.coalesce(F.col(r_col), F.lit(0.0)).alias("_r"))
+    t = t.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
+    w = Window.partitionBy(*by, "run").orderBy(F.xxhash64(F.lit(seed), F.col("run"), F.col(id_col)), id_col)
+    eq = F.sum("_r").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    t = t.withColumn("_eq", eq)
+    t = t.withColumn("_dd", F.col("_eq") - F.greatest(F.lit(0.0), F.max("_eq").over(
+        w.rowsBetween(Window.unboundedPreceding, 0))))
+    per_run = t.groupBy(*by, "run").agg(F.min("_dd").alias("max_dd"))
+    return per_run.groupBy(*by).agg(F.count(F.lit(1)).alias("runs"), F.avg("max_dd").alias("mean_max_dd"),
+                                    F.percentile("max_dd", 0.5).alias("p50_max_dd"),
+                                    F.percentile("max_dd", 0.05).alias("p95_max_dd"),
+                                    F.min("max_dd").alias("worst_max_dd"))
+
+
+def walk_forward(trades: DataFrame, by: Sequence[str], split_col: str = "split") -> DataFrame:
+    """Performance summary per split (in-sample vs out-of-sample)."""
+    return performance_summary(trades, [*by, split_col])
+
+
+# ------------------------------------------------------------ B20 swing trades
+
+from tidemark.operators.statemachine import Machine, block_scan  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+
+class SwingTradeMachine(Machine):
+    """13-day swing strategy, one position at a time.  Entry at the
+    setup bar's close, stop at the pullback extreme, target ``r_target`` R;
+    from the next bar: stop before target within a bar; after 1R the stop
+    trails ``trail_mult`` ATR behind the close; after ``exit_bars`` bars a
+    close below ``min_progress_r`` R exits; optional ``max_hold_bars``."""
+
+    event_fields = (("side", T.StringType()), ("entry_idx", T.LongType()), ("exit_idx", T.LongType()),
+                    ("entry", T.DoubleType()), ("initial_stop", T.DoubleType()), ("tp", T.DoubleType()),
+                    ("exit", T.DoubleType()), ("reason", T.StringType()), ("r_multiple", T.DoubleType()))
+
+    def __init__(self, r_target: float = 2.0, trail: bool = True, trail_mult: float = 2.0, exit_bars: int = 3,
+                 min_progress_r: float = 0.5, max_hold_bars: int | None = None):
+        self.p = dict(r_target=r_target, trail=trail, trail_mult=trail_mult, exit_bars=exit_bars,
+                      min_progress_r=min_progress_r, max_hold_bars=max_hold_bars)
+
+    def initial(self) -> dict:
+        return {"pos": 0, "entry": None, "stop": None, "stop0": None, "tp": None, "risk": None, "ebar": None}
+
+    def _close(self, s, i, px, why):
+        sgn = s["pos"]
+        r = (px - s["entry"]) * sgn / s["risk"] if s["risk"] else None
+        ev = {"side": "long" if sgn > 0 else "short", "entry_idx": s["ebar"], "exit_idx": i, "entry": s["entry"],
+              "initial_stop": s["stop0"], "tp": s["tp"], "exit": px, "reason": why, "r_multiple": r}
+        s.update(self.initial())
+        return ev
+
+    def step(self, s: dict, r: dict) -> list[dict]:
+        p, i = self.p, int(r["bar_idx"])
+        h, lo, c, atr = _fv(r["high"]), _fv(r["low"]), _fv(r["close"]), _fv(r["atr_value"])
+        evs = []
+        if s["pos"] != 0 and i > s["ebar"]:
+            if s["pos"] > 0 and lo <= s["stop"]:
+                evs.append(self._close(s, i, s["stop"], "stop"))
+            elif s["pos"] > 0 and h >= s["tp"]:
+                evs.append(self._close(s, i, s["tp"], "target"))
+            elif s["pos"] < 0 and h >= s["stop"]:
+                evs.append(self._close(s, i, s["stop"], "stop"))
+            elif s["pos"] < 0 and lo <= s["tp"]:
+                evs.append(self._close(s, i, s["tp"], "target"))
+        if s["pos"] != 0 and i > s["ebar"]:
+            prog = (c - s["entry"]) * s["pos"] / s["risk"]
+            if p["trail"] and prog >= 1.0 and atr == atr:
+                t = c - s["pos"] * atr * p["trail_mult"]
+                if (s["pos"] > 0 and t > s["stop"]) or (s["pos"] < 0 and t < s["stop"]):
+                    s["stop"] = t
+            held = i - s["ebar"]
+            if held >= p["exit_bars"] and prog < p["min_progress_r"]:
+                evs.append(self._close(s, i, c, "time"))
+            elif p["max_hold_bars"] is not None and held >= p["max_hold_bars"]:
+                evs.append(self._close(s, i, c, "max_hold"))
+        if s["pos"] == 0:
+            if bool(r["long_setup"]) and r["pullback_low"] == r["pullback_low"] and c - _fv(r["pullback_low"]) > 0:
+                risk = c - _fv(r["pullback_low"])
+                s.update(pos=1, entry=c, stop=_fv(r["pullback_low"]), stop0=_fv(r["pullback_low"]),
+                         tp=c + risk * p["r_target"], risk=risk, ebar=i)
+            elif bool(r["short_setup"]) and r["pullback_high"] == r["pullback_high"] and _fv(r["pullback_high"]) - c > 0:
+                risk = _fv(r["pullback_high"]) - c
+                s.update(pos=-1, entry=c, stop=_fv(r["pullback_high"]), stop0=_fv(r["pullback_high"]),
+                         tp=c - risk * p["r_target"], risk=risk, ebar=i)
+        return evs
+
+
+def _fv(x) -> float:
+    try:
+        return float(x)
+    except (TypeError, ValueError):
+        return float("nan")
+
+
+def swing_trades(setups: DataFrame, machine: SwingTradeMachine | None = None, halo: int = 2000) -> DataFrame:
+    """B20 over the output of ``signals.swing_setups`` (one row per closed trade)."""
+    machine = machine or SwingTradeMachine()
+    d = setups.withColumns({"pullback_low": F.coalesce(F.col("pullback_low"), F.lit(float("nan"))),
+                            "pullback_high": F.coalesce(F.col("pullback_high"), F.lit(float("nan"))),
+                            "atr_value": F.coalesce(F.col("atr_value"), F.lit(float("nan")))})
+    return block_scan(d, machine, ["high", "low", "close", "atr_value", "long_setup", "short_setup", "pullback_low",
+                                   "pullback_high"], halo=halo)

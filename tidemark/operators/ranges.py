@@ -259,3 +259,179 @@ def confluence(ranges: DataFrame) -> DataFrame:
     blk = F.floor(F.col("_ri") / F.lit(series.block_rows(r))).cast("long")
     r = J.scan_carry(r, ["_s"], K, ["_ri"], blk, forward=True)
     return r.withColumn("same_type_run", F.col("_ri") - F.col("_s_carried") + 1).drop("_s", "_s_carried", "_ri")
+
+
+# ------------------------------------------------------------ L5 live ranges
+
+import math  # noqa: E402
+
+from tidemark.operators.statemachine import Machine, block_scan  # noqa: E402
+
+
+def _f(x) -> float:
+    try:
+        v = float(x)
+    except (TypeError, ValueError):
+        return math.nan
+    return v
+
+
+class LiveRangeMachine(Machine):
+    """L5 + L6 (height-% touches) + L7 + L8 (inclusive %) + L10 + L14.
+
+    Per bar, detection runs before the breakout test, so the breakout bar
+    never starts a new range.  While no range is active: a narrow bar starts
+    or extends a candidate (touch = within ``touch_pct`` % of the candidate's
+    height of its running top/bottom; the first bar is never a touch); a
+    non-narrow bar drops it; a candidate older than ``max_bars`` is dropped.
+    A candidate with >= ``min_bars`` bars and a touch becomes the active range
+    (event ``activated``).  An active range breaks on the first close beyond
+    an edge by ``break_frac`` of its height (``breakout_up``/``_down``) and
+    detection restarts on the next bar.
+    """
+
+    event_fields = (("event", T.StringType()), ("range_start_idx", T.LongType()), ("range_high", T.DoubleType()),
+                    ("range_low", T.DoubleType()), ("range_type", T.StringType()), ("imbalance", T.DoubleType()),
+                    ("vol_degree", T.StringType()), ("range_bars", T.LongType()), ("touches_high", T.LongType()),
+                    ("touches_low", T.LongType()), ("close", T.DoubleType()), ("open_time", T.LongType()))
+
+    def __init__(self, min_bars: int = 8, max_bars: int = 100, narrow_mult: float = 0.8, touch_pct: float = 10.0,
+                 min_imb_pct: float = 15.0, break_frac: float = 0.005, require_htf: bool = False):
+        self.p = dict(min_bars=min_bars, max_bars=max_bars, narrow_mult=narrow_mult, touch_pct=touch_pct,
+                      min_imb_pct=min_imb_pct, break_frac=break_frac, require_htf=require_htf)
+
+    def initial(self) -> dict:
+        return {"active": False, "hi": None, "lo": None, "start": None, "typ": "Neutral", "imb": 0.0, "deg": "Low",
+                "bars": 0, "th": 0, "tl": 0, "ctop": None, "cbot": None, "cstart": None, "n": 0, "cth": 0, "ctl": 0,
+                "csh": 0.0, "csl": 0.0, "ctot": 0.0, "pu": False, "pd": False}
+
+    def step(self, s: dict, r: dict) -> list[dict]:
+        p = self.p
+        h, lo, c, v = _f(r["high"]), _f(r["low"]), _f(r["close"]), _f(r["volume"])
+        atr, avgv = _f(r["atr"]), _f(r["avg_volume"])
+        i = int(r["bar_idx"])
+        htf_ok = (not p["require_htf"]) or bool(r.get("htf_ok", True))
+        narrow = (not math.isnan(atr)) and (h - lo) < atr * p["narrow_mult"]
+        evs = []
+        if not s["active"]:
+            if narrow and htf_ok:
+                if s["ctop"] is None:
+                    s.update(ctop=h, cbot=lo, cstart=i, n=1, cth=0, ctl=0, csh=0.0, csl=0.0, ctot=v)
+                else:
+                    s["ctop"], s["cbot"] = max(s["ctop"], h), min(s["cbot"], lo)
+                    s["n"] += 1
+                    s["ctot"] += v
+                    thr = (s["ctop"] - s["cbot"]) * p["touch_pct"] / 100.0
+                    if h >= s["ctop"] - thr:
+                        s["cth"] += 1
+                        s["csh"] += v
+                    if lo <= s["cbot"] + thr:
+                        s["ctl"] += 1
+                        s["csl"] += v
+                if s["n"] >= p["min_bars"] and (s["cth"] > 0 or s["ctl"] > 0):
+                    avh = s["csh"] / s["cth"] if s["cth"] > 0 else 0.0
+                    avl = s["csl"] / s["ctl"] if s["ctl"] > 0 else 0.0
+                    mx = max(avh, avl)
+                    imb = (avh - avl) / mx if mx > 0 else 0.0
+                    ratio = s["ctot"] / (avgv * s["n"]) if avgv and not math.isnan(avgv) else math.nan
+                    deg = "High" if ratio > 1.5 else ("Medium" if ratio > 0.8 else "Low")
+                    typ = ("Resistance" if imb > 0 else "Support") if abs(imb) * 100 >= p["min_imb_pct"] \
+                        else "Gravitation"
+                    s.update(active=True, hi=s["ctop"], lo=s["cbot"], start=s["cstart"], typ=typ, imb=imb, deg=deg,
+                             bars=s["n"], th=s["cth"], tl=s["ctl"])
+                    evs.append(self._ev("activated", s, c, r))
+                    s.update(ctop=None, cbot=None, n=0, csh=0.0, csl=0.0, cth=0, ctl=0, ctot=0.0)
+            else:
+                s.update(ctop=None, cbot=None, n=0)
+            if s["cstart"] is not None and i - s["cstart"] > p["max_bars"]:
+                s.update(ctop=None, cbot=None, n=0)
+        up_c = dn_c = False
+        if s["active"]:
+            thr = (s["hi"] - s["lo"]) * p["break_frac"]
+            up_c, dn_c = c > s["hi"] + thr, c < s["lo"] - thr
+        bu, bd = up_c and not s["pu"], dn_c and not s["pd"]
+        s["pu"], s["pd"] = bool(up_c), bool(dn_c)
+        if bu or bd:
+            evs.append(self._ev("breakout_up" if bu else "breakout_down", s, c, r))
+            s.update(active=False, hi=None, lo=None, typ="Neutral")
+        return evs
+
+    @staticmethod
+    def _ev(name, s, c, r):
+        return {"event": name, "range_start_idx": s["start"], "range_high": s["hi"], "range_low": s["lo"],
+                "range_type": s["typ"], "imbalance": s["imb"], "vol_degree": s["deg"], "range_bars": s["bars"],
+                "touches_high": s["th"], "touches_low": s["tl"], "close": c, "open_time": int(r["open_time"])}
+
+
+def live_ranges(bars: DataFrame, machine: LiveRangeMachine | None = None, halo: int = 2000) -> DataFrame:
+    """Range events per key (activated / breakout_up / breakout_down) with
+    TPSL levels for activations (nearest swing before the start beyond the
+    range, else one height; TPSL2 = TPSL1 + half a height)."""
+    machine = machine or LiveRangeMachine()
+    d = I.atr_wilder(I.indexed(bars), 14, "atr")
+    d = series.halo_windows(d, lambda w: {"avg_volume": W.sma("volume", w, 20)}, back=20)
+    ev = block_scan(d, machine, ["open_time", "high", "low", "close", "volume", "atr", "avg_volume"], halo=halo)
+    sw = swing_points(d.select(*K, "bar_idx", "open_time", "high", "low", "close", "volume"), 5)
+    marks = sw.select(*K, "bar_idx", "swing_high", "swing_low", "high", "low")
+    ph = J.nth_previous(marks, "swing_high", ["high"], 1, K, prefix="sh")
+    pl = J.nth_previous(marks, "swing_low", ["low"], 1, K, prefix="sl")
+    ev = (ev.join(ph.select(*K, F.col("bar_idx").alias("range_start_idx"), F.col("sh1_high").alias("_psh")),
+                  [*K, "range_start_idx"], "left")
+          .join(pl.select(*K, F.col("bar_idx").alias("range_start_idx"), F.col("sl1_low").alias("_psl")),
+                [*K, "range_start_idx"], "left"))
+    hgt = F.col("range_high") - F.col("range_low")
+    t1h = F.when(F.col("_psh").isNotNull() & (F.col("_psh") > F.col("range_high")), F.col("_psh")) \
+        .otherwise(F.col("range_high") + hgt)
+    t1l = F.when(F.col("_psl").isNotNull() & (F.col("_psl") < F.col("range_low")), F.col("_psl")) \
+        .otherwise(F.col("range_low") - hgt)
+    return ev.withColumns({"tpsl1_high": t1h, "tpsl1_low": t1l, "tpsl2_high": t1h + 0.5 * hgt,
+                           "tpsl2_low": t1l - 0.5 * hgt}).drop("_psh", "_psl")
+
+
+def breakout_cancellation(events: DataFrame, bars: DataFrame, window: int = 20, directional_pct: float = 70.0,
+                          gravitation_pct: float = 50.0) -> DataFrame:
+    """After a breakout, the first bar within ``window`` bars whose close
+    returns into the range by more than the threshold (% of height):
+    Resistance/Support > 70 %, Gravitation > 50 % (measured from the broken
+    edge; for Gravitation as depth towards the middle)."""
+    b = I.indexed(bars).select(*K, "bar_idx", F.col("close").alias("_c"))
+    br = events.where(F.col("event").startswith("breakout"))
+    pairs = J.within_rows(br, b.withColumnRenamed("bar_idx", "_bi"), K, "bar_idx", 1, window, right_idx="_bi")
+    hgt = F.col("range_high") - F.col("range_low")
+    up = F.col("event") == "breakout_up"
+    inside = (F.col("_c") < F.col("range_high")) & (F.col("_c") > F.col("range_low"))
+    ret_dir = F.when(up, (F.col("range_high") - F.col("_c")) / hgt).otherwise((F.col("_c") - F.col("range_low")) / hgt)
+    mid = (F.col("range_high") + F.col("range_low")) / 2
+    ret_grav = 1.0 - F.abs(F.col("_c") - mid) / (hgt / 2)
+    pct = F.when(F.col("range_type") == "Gravitation", ret_grav).otherwise(ret_dir) * 100
+    lim = F.when(F.col("range_type") == "Gravitation", F.lit(gravitation_pct)).otherwise(F.lit(directional_pct))
+    hit = pairs.where(inside & (pct > lim)).groupBy(*K, "bar_idx").agg(F.min("_bi").alias("cancel_idx"))
+    return br.join(hit, [*K, "bar_idx"], "left").withColumn("cancelled", F.col("cancel_idx").isNotNull())
+
+
+def htf_consolidation(bars: DataFrame, htf: str = "4h", n: int = 20, mult: float = 1.2) -> DataFrame:
+    """Attach ``htf_ok`` = the latest *completed* higher-timeframe bar's
+    range < mult * SMA_n(HTF range) (T9 resample + J3 as-of on close time)."""
+    from tidemark.operators.bars import resample_bars
+    hb = I.indexed(resample_bars(bars, htf))
+    hb = series.halo_windows(hb, lambda w: {"_rs": W.sma(F.col("high") - F.col("low"), w, n)}, back=n)
+    right = hb.select("exchange", "symbol", (F.col("close_time") + 1).alias("open_time"),
+                      ((F.col("high") - F.col("low")) < mult * F.col("_rs")).alias("htf_ok"))
+    out = J.asof_backward(bars, right, on="open_time", by=["exchange", "symbol"], right_cols=["htf_ok"], prefix="h_")
+    return out.withColumn("htf_ok", F.coalesce(F.col("h_htf_ok"), F.lit(False))).drop("h_htf_ok", "h_open_time")
+
+
+def directional_accuracy(events: DataFrame) -> DataFrame:
+    """Breakouts by range type and direction; Resistance breaking down
+    and Support breaking up count as correct."""
+    br = events.where(F.col("event").startswith("breakout"))
+    correct = ((F.col("range_type") == "Resistance") & (F.col("event") == "breakout_down")) | \
+              ((F.col("range_type") == "Support") & (F.col("event") == "breakout_up"))
+    return br.groupBy("range_type", "event").agg(F.count(F.lit(1)).alias("n"),
+                                                 F.count_if(correct).alias("n_correct"))
+
+
+def imbalance_band(imb_pct: Column) -> Column:
+    """L21 bands of |imbalance| %: <10, 10-15, 15-20, >20."""
+    a = F.abs(imb_pct)
+    return F.when(a < 10, "<10").when(a < 15, "10-15").when(a <= 20, "15-20").otherwise(">20")

@@ -242,7 +242,7 @@ def carry_last(df: DataFrame, cols: Sequence[str], key: Sequence[str], order: Se
             .drop("_blk", *[f"_in_{c}" for c in cols], *[f"_o_{c}" for c in cols])
 
 
-_PD_DTYPES = {T.LongType: "int64", T.IntegerType: "int32", T.DoubleType: "float64", T.BooleanType: "bool"}
+_PD_DTYPES = {T.LongType: "Int64", T.IntegerType: "Int32", T.DoubleType: "float64", T.BooleanType: "boolean"}
 
 
 def pandas_frame(cols: dict, schema: T.StructType) -> pd.DataFrame:
@@ -252,5 +252,7 @@ def pandas_frame(cols: dict, schema: T.StructType) -> pd.DataFrame:
     for f in schema.fields:
         v = cols.get(f.name, [])
         dt = _PD_DTYPES.get(type(f.dataType), object)
-        out[f.name] = pd.Series(v, dtype=dt) if len(v) == 0 or dt is object else pd.Series(v).astype(dt)
+        out[f.name] = pd.Series(v, dtype=dt) if len(v) == 0 or dt is object else \
+            pd.Series([None if x is None or (isinstance(x, float) and x != x and dt != "float64") else x for x in v],
+                      dtype=object).astype(dt)
     return pd.DataFrame(out)

@@ -55,7 +55,11 @@ def bars_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One alert per event; side by user parity, timeframe by user_id mod 4."""
-    ev = table(spark, sf_dir, "events")
+    return alerts_from_events(table(spark, sf_dir, "events"))
+
+
+def alerts_from_events(ev: DataFrame) -> DataFrame:
+    """The alert projection of an events frame (batch or stream)."""
     u = F.col("user_id")
     return ev.select(
         F.col("event_id").alias("id"), ntz_to_ms("ts").alias("ts"), ntz_to_ms("ts").alias("created_ts"),

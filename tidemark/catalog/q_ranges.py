@@ -168,3 +168,13 @@ SELECT {KS}, start_idx, type, prev_type, stacking, ri - s + 1 AS same_type_run F
 for _n, _f in list(globals().items()):
     if callable(_f) and _n[:1] == "l" and _n[1:2].isdigit():
         QUERIES[_n] = _f
+
+
+def l9_simple_imbalance(spark, sf):
+    d = L.simple_imbalance(bars_all(spark, sf))
+    return rnd(d.where(F.col("simple_imbalance").isNotNull()).select(
+        *K, "open_time", "run_start", "cons_bars", "cons_high", "cons_low", "vol_at_high", "vol_at_low",
+        "simple_imbalance", "simple_type"), ["vol_at_high", "vol_at_low", "simple_imbalance"])
+
+
+QUERIES["l9_simple_imbalance"] = l9_simple_imbalance

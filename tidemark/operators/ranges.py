@@ -435,3 +435,41 @@ def imbalance_band(imb_pct: Column) -> Column:
     """L21 bands of |imbalance| %: <10, 10-15, 15-20, >20."""
     a = F.abs(imb_pct)
     return F.when(a < 10, "<10").when(a < 15, "10-15").when(a <= 20, "15-20").otherwise(">20")
+
+
+def simple_imbalance(bars: DataFrame, min_bars: int = 5, lookback: int = 21, min_imb_pct: float = 15.0) -> DataFrame:
+    """L9 (short strategy variant): consolidation = SMA20(|body|) < 0.5 ATR;
+    per consolidating bar with >= ``min_bars`` bars in the run, volume of the
+    last min(run, 21) bars with high >= 0.99 * run high and with
+    low <= 1.01 * run low; imbalance % = (hi - lo) / max(hi, lo) * 100, 0
+    unless both are > 0; Resistance / Support at >= ``min_imb_pct``."""
+    d = narrow_bars(bars, "body_sma")
+    d = series.halo_windows(d, lambda w: {"_st": F.col("is_narrow") & ~F.coalesce(
+        F.lag("is_narrow").over(w), F.lit(False))}, back=1)
+    d = d.withColumn("_s", F.when(F.col("_st"), F.col("bar_idx")))
+    blk = F.floor(F.col("bar_idx") / F.lit(series.block_rows(d))).cast("long")
+    d = J.scan_carry(d, ["_s"], K, ["bar_idx"], blk, forward=True)
+    d = d.withColumn("run_start", F.when(F.col("is_narrow"), F.col("_s_carried")))
+    d = d.withColumn("cons_bars", F.col("bar_idx") - F.col("run_start") + 1)
+    seg = d.where(F.col("run_start").isNotNull())
+    seg = series.segment_running(seg, "high", "run_start", "cons_high", "max")
+    seg = series.segment_running(seg, "low", "run_start", "cons_low", "min")
+    d = d.join(seg.select(*K, "bar_idx", "cons_high", "cons_low"), [*K, "bar_idx"], "left")
+
+    def build(w):
+        return {"_win": F.collect_list(F.struct(F.col("bar_idx").alias("i"), F.col("high").alias("h"),
+                                                F.col("low").alias("l"), F.col("volume").alias("v")))
+                .over(w.rowsBetween(-(lookback - 1), 0))}
+
+    d = series.halo_windows(d, build, back=lookback)
+    inrun = F.filter("_win", lambda x: x["i"] >= F.col("run_start"))
+    vh = F.aggregate(F.filter(inrun, lambda x: x["h"] >= 0.99 * F.col("cons_high")), F.lit(0.0),
+                     lambda acc, x: acc + x["v"])
+    vl = F.aggregate(F.filter(inrun, lambda x: x["l"] <= 1.01 * F.col("cons_low")), F.lit(0.0),
+                     lambda acc, x: acc + x["v"])
+    imb = F.when((vh > 0) & (vl > 0), (vh - vl) / F.greatest(vh, vl) * 100).otherwise(F.lit(0.0))
+    ok = F.col("is_narrow") & (F.col("cons_bars") >= min_bars)
+    d = d.withColumns({"vol_at_high": F.when(ok, vh), "vol_at_low": F.when(ok, vl), "simple_imbalance": F.when(ok, imb)})
+    d = d.withColumn("simple_type", F.when(F.abs("simple_imbalance") >= min_imb_pct,
+                                           F.when(F.col("simple_imbalance") > 0, "Resistance").otherwise("Support")))
+    return d.drop("_win", "_st", "_s", "_s_carried")

@@ -256,3 +256,23 @@ def pandas_frame(cols: dict, schema: T.StructType) -> pd.DataFrame:
             pd.Series([None if x is None or (isinstance(x, float) and x != x and dt != "float64") else x for x in v],
                       dtype=object).astype(dt)
     return pd.DataFrame(out)
+
+
+def segment_running(df: DataFrame, value: str, seg: str, out: str, fn: str = "max",
+                    key: Sequence[str] = KEY, idx: str = "bar_idx") -> DataFrame:
+    """W8 at any segment length: running max/min of ``value`` from the start
+    of segment ``seg`` (a segment id per key, e.g. its first ``bar_idx``).
+    Block-local running extreme + the extreme carried from earlier blocks of
+    the same segment (window over a one-row-per-(segment, block) summary)."""
+    key = list(key)
+    b = block_rows(df)
+    agg = F.max if fn == "max" else F.min
+    d = df.withColumn("_sb", F.floor(F.col(idx) / F.lit(b)).cast("long"))
+    w = Window.partitionBy(*key, seg, "_sb").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_loc", agg(value).over(w))
+    summ = d.groupBy(*key, seg, "_sb").agg(agg(value).alias("_bx"))
+    wo = Window.partitionBy(*key, seg).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.select(*key, seg, "_sb", agg("_bx").over(wo).alias("_carry"))
+    d = d.join(summ, [*key, seg, "_sb"], "left")
+    both = F.greatest("_loc", "_carry") if fn == "max" else F.least("_loc", "_carry")
+    return d.withColumn(out, both).drop("_sb", "_loc", "_carry")

@@ -95,13 +95,19 @@ def bulk_load_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str
 
 
 def append(df: DataFrame, table: str) -> None:
-    """Append rows to a table (created on first write)."""
-    df.write.mode("append").saveAsTable(table)
+    """Append rows to a table (created on first write); columns are
+    matched by name and the table's own layout (partitioning) is kept."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        df.select(*spark.table(table).columns).write.insertInto(table)
+    else:
+        df.write.saveAsTable(table)
 
 
 def truncate_load(df: DataFrame, table: str) -> None:
-    """Replace the rows, keep the table."""
-    df.write.mode("overwrite").insertInto(table, overwrite=True)
+    """Replace the rows, keep the table (and its partitioning)."""
+    cols = df.sparkSession.table(table).columns
+    df.select(*cols).write.insertInto(table, overwrite=True)
 
 
 def recreate_load(df: DataFrame, table: str) -> None:

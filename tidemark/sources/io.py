@@ -111,9 +111,15 @@ def truncate_load(df: DataFrame, table: str) -> None:
 
 
 def recreate_load(df: DataFrame, table: str) -> None:
-    """Incompatible schema -> drop and create with the new one."""
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {_q(table)}")
-    df.write.saveAsTable(table)
+    """Incompatible schema -> drop and create with the new one.  The new
+    rows are written to a staging table first (``df`` may read ``table``),
+    then swapped in."""
+    spark = df.sparkSession
+    staging = f"{table}__recreate"
+    spark.sql(f"DROP TABLE IF EXISTS {_q(staging)}")
+    df.write.saveAsTable(staging)
+    spark.sql(f"DROP TABLE IF EXISTS {_q(table)}")
+    spark.sql(f"ALTER TABLE {_q(staging)} RENAME TO {_q(table)}")
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

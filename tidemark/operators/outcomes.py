@@ -90,18 +90,20 @@ def alert_outcomes(alerts: DataFrame, bars: DataFrame, interval: str = "1h",
 def outcome_summary(out: DataFrame, h: int = 24, by: Sequence[str] = ("signal", "source_tf"),
                     min_n: int | None = None) -> DataFrame:
     """B14 (and A8, A9, A14): n, hit rate (NULL return counts as a miss), mean
-    and exact p10/p50/p90 of the h-bar return, mean MFE/MAE; optional
-    HAVING n >= min_n."""
+    and exact p10/p50/p90 of the h-bar return (distributed order statistics,
+    ``stats.exact_quantiles``), mean MFE/MAE; optional HAVING n >= min_n."""
+    from tidemark.operators.stats import exact_quantiles, join_null_safe
     r = F.col(f"ret_h{h}")
     g = out.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.count(r).alias("n_valid"),
         F.avg(F.when(r > 0, 1.0).otherwise(0.0)).alias("hit_rate_pos"),
         F.avg(r).alias("avg_ret"),
-        F.percentile(r, 0.5).alias("median_ret"), F.percentile(r, 0.1).alias("p10_ret"),
-        F.percentile(r, 0.9).alias("p90_ret"),
         F.avg("mfe").alias("avg_mfe"), F.avg("mae").alias("avg_mae"))
-    return g.where(F.col("n") >= min_n) if min_n else g
+    if min_n:
+        g = g.where(F.col("n") >= min_n)
+    q = exact_quantiles(out, list(by), f"ret_h{h}", [0.5, 0.1, 0.9], ["median_ret", "p10_ret", "p90_ret"])
+    return join_null_safe(g, q, list(by))
 
 
 # ------------------------------------------------------------ plan backtest
@@ -312,22 +314,28 @@ def signal_backtest(feat: DataFrame, signal_col: str, grid: Sequence[GridParams]
         div(F.col("exit") - F.col("entry"), F.col("entry") - F.col("stop")).alias("r_multiple"))
 
 
-def grid_results(trades: DataFrame) -> DataFrame:
-    """Results per run, key, signal, parameter set and ATR% bucket."""
-    return trades.groupBy("run_id", *KEY, "signal", "atr_mult_stop", "atr_mult_tp", "max_hold_bars",
-                          "atrp_bucket").agg(*trade_summary_aggs())
+GRID_KEYS = ("run_id", *KEY, "signal", "atr_mult_stop", "atr_mult_tp", "max_hold_bars", "atrp_bucket")
 
 
-def trade_summary_aggs() -> list[Column]:
-    r = F.col("r_multiple")
-    return [F.count(F.lit(1)).alias("n_trades"), F.avg(F.when(r > 0, 1.0).otherwise(0.0)).alias("win_rate"),
-            F.avg(r).alias("avg_r"), F.percentile(r, 0.5).alias("median_r"), F.percentile(r, 0.1).alias("p10_r"),
-            F.percentile(r, 0.9).alias("p90_r"), F.avg("bars_held").alias("avg_bars_held")]
+def grid_results(trades: DataFrame) -> DataFrame:
+    """Results per run, key, signal, parameter set and ATR% bucket."""
+    return trade_summary(trades, GRID_KEYS)
 
 
 def trade_summary(trades: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """N, win rate, mean/median/p10/p90 R, mean bars held."""
-    return trades.groupBy(*by).agg(*trade_summary_aggs())
+    """N, win rate, mean/median/p10/p90 R (exact, distributed), mean bars held."""
+    from tidemark.operators.stats import exact_quantiles, join_null_safe
+    r = F.col("r_multiple")
+    by = list(by)
+    g = trades.groupBy(*by).agg(F.count(F.lit(1)).alias("n_trades"),
+                                F.avg(F.when(r > 0, 1.0).otherwise(0.0)).alias("win_rate"),
+                                F.avg(r).alias("avg_r"), F.avg("bars_held").alias("avg_bars_held"))
+    if not by:
+        t = trades.withColumn("_all", F.lit(1))
+        q = exact_quantiles(t, ["_all"], "r_multiple", [0.5, 0.1, 0.9], ["median_r", "p10_r", "p90_r"]).drop("_all")
+        return g.crossJoin(F.broadcast(q)) if q.limit(1).count() else g
+    q = exact_quantiles(trades, by, "r_multiple", [0.5, 0.1, 0.9], ["median_r", "p10_r", "p90_r"])
+    return join_null_safe(g, q, by)
 
 
 # ----------------------------------------------------- sizing and selection
@@ -370,11 +378,16 @@ def performance_summary(trades: DataFrame, by: Sequence[str], r_col: str = "r_mu
     r = F.col(r_col)
     d = series.index_series(trades.withColumn("open_time", F.col(t_col)), key=by,
                             order=("open_time", r_col), idx="_k", span_ms=30 * DAY_MS)
-    w = Window.partitionBy(*by).orderBy("_k")
-    d = d.withColumn("_eq", F.sum(r).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("_peak", F.greatest(F.lit(0.0), F.max("_eq").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    # equity curve and its running peak as blocked prefix scans (no whole-key window)
+    d = series.running_sum(d.withColumn("_r0", F.coalesce(r, F.lit(0.0))), "_r0", "_eq", key=by, idx="_k")
+    d = series.segment_running(d.withColumn("_one", F.lit(1)), "_eq", "_one", "_pk", "max", key=by, idx="_k")
+    d = d.withColumn("_peak", F.greatest(F.lit(0.0), F.col("_pk")))
     d = d.withColumn("_win", r > 0)
-    d = d.withColumn("_run", W.run_id("_win", w))
+    d = series.halo_windows(d, lambda w: {"_chg": F.coalesce(F.col("_win") != F.lag("_win").over(w), F.lit(True))},
+                            back=1, key=by, idx="_k")
+    d = d.withColumn("_st", F.when(F.col("_chg"), F.col("_k")))
+    blk = F.floor(F.col("_k") / F.lit(series.block_rows(d))).cast("long")
+    d = J.scan_carry(d, ["_st"], by, ["_k"], blk, forward=True).withColumn("_run", F.col("_st_carried"))
     runs = d.groupBy(*by, "_run").agg(F.first("_win").alias("_w"), F.count(F.lit(1)).alias("_len"))
     streaks = runs.groupBy(*by).agg(F.max(F.when(F.col("_w"), F.col("_len"))).alias("max_win_streak"),
                                     F.max(F.when(~F.col("_w"), F.col("_len"))).alias("max_loss_streak"))
@@ -539,11 +552,13 @@ def monte_carlo_drawdown(trades: DataFrame, by: Sequence[str], runs: int = 1000,
     by = list(by)
     t = trades.select(*by, id_col, F.coalesce(F.col(r_col), F.lit(0.0)).alias("_r"))
     t = t.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
-    w = Window.partitionBy(*by, "run").orderBy(F.xxhash64(F.lit(seed), F.col("run"), F.col(id_col)), id_col)
-    eq = F.sum("_r").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    t = t.withColumn("_eq", eq)
-    t = t.withColumn("_dd", F.col("_eq") - F.greatest(F.lit(0.0), F.max("_eq").over(
-        w.rowsBetween(Window.unboundedPreceding, 0))))
+    t = t.withColumn("_h", F.xxhash64(F.lit(seed), F.col("run"), F.col(id_col)))
+    kr = [*by, "run"]
+    # position in the reshuffled list, equity and running peak as blocked scans
+    t = series.index_series(t, key=kr, order=("_h", id_col), idx="_k", span_ms=1 << 56)
+    t = series.running_sum(t, "_r", "_eq", key=kr, idx="_k")
+    t = series.segment_running(t.withColumn("_one", F.lit(1)), "_eq", "_one", "_pk", "max", key=kr, idx="_k")
+    t = t.withColumn("_dd", F.col("_eq") - F.greatest(F.lit(0.0), F.col("_pk")))
     per_run = t.groupBy(*by, "run").agg(F.min("_dd").alias("max_dd"))
     return per_run.groupBy(*by).agg(F.count(F.lit(1)).alias("runs"), F.avg("max_dd").alias("mean_max_dd"),
                                     F.percentile("max_dd", 0.5).alias("p50_max_dd"),

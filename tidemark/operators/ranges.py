@@ -371,14 +371,15 @@ def live_ranges(bars: DataFrame, machine: LiveRangeMachine | None = None, halo:
     d = I.atr_wilder(I.indexed(bars), 14, "atr")
     d = series.halo_windows(d, lambda w: {"avg_volume": W.sma("volume", w, 20)}, back=20)
     ev = block_scan(d, machine, ["open_time", "high", "low", "close", "volume", "atr", "avg_volume"], halo=halo)
+    # nearest pivot strictly before each range start: as-of join of the (few)
+    # events against the (few) pivots, ordered by bar index
     sw = swing_points(d.select(*K, "bar_idx", "open_time", "high", "low", "close", "volume"), 5)
-    marks = sw.select(*K, "bar_idx", "swing_high", "swing_low", "high", "low")
-    ph = J.nth_previous(marks, "swing_high", ["high"], 1, K, prefix="sh")
-    pl = J.nth_previous(marks, "swing_low", ["low"], 1, K, prefix="sl")
-    ev = (ev.join(ph.select(*K, F.col("bar_idx").alias("range_start_idx"), F.col("sh1_high").alias("_psh")),
-                  [*K, "range_start_idx"], "left")
-          .join(pl.select(*K, F.col("bar_idx").alias("range_start_idx"), F.col("sl1_low").alias("_psl")),
-                [*K, "range_start_idx"], "left"))
+    ev = ev.withColumn("_t", F.col("range_start_idx") - 1)
+    for flag, col, alias in (("swing_high", "high", "_psh"), ("swing_low", "low", "_psl")):
+        piv = sw.where(F.col(flag)).select(*K, F.col("bar_idx").alias("_t"), F.col(col).alias(alias))
+        ev = J.asof_backward(ev, piv, on="_t", by=K, right_cols=[alias], block_ms=1 << 20, prefix="p")
+        ev = ev.withColumnRenamed(f"p{alias}", alias).drop("p_t")
+    ev = ev.drop("_t")
     hgt = F.col("range_high") - F.col("range_low")
     t1h = F.when(F.col("_psh").isNotNull() & (F.col("_psh") > F.col("range_high")), F.col("_psh")) \
         .otherwise(F.col("range_high") + hgt)

@@ -276,3 +276,18 @@ def segment_running(df: DataFrame, value: str, seg: str, out: str, fn: str = "ma
     d = d.join(summ, [*key, seg, "_sb"], "left")
     both = F.greatest("_loc", "_carry") if fn == "max" else F.least("_loc", "_carry")
     return d.withColumn(out, both).drop("_sb", "_loc", "_carry")
+
+
+def running_sum(df: DataFrame, value: str, out: str, key: Sequence[str] = KEY, idx: str = "bar_idx") -> DataFrame:
+    """Prefix sum of ``value`` per key in ``idx`` order: block-local running
+    sum plus the total of earlier blocks (one-row-per-block summary)."""
+    key = list(key)
+    b = block_rows(df)
+    d = df.withColumn("_rb", F.floor(F.col(idx) / F.lit(b)).cast("long"))
+    w = Window.partitionBy(*key, "_rb").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_loc", F.sum(value).over(w))
+    summ = d.groupBy(*key, "_rb").agg(F.sum(value).alias("_bs"))
+    wo = Window.partitionBy(*key).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.select(*key, "_rb", F.coalesce(F.sum("_bs").over(wo), F.lit(0.0)).alias("_carry"))
+    d = d.join(summ, [*key, "_rb"], "left")
+    return d.withColumn(out, F.col("_loc") + F.col("_carry")).drop("_rb", "_loc", "_carry")

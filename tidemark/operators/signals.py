@@ -53,10 +53,13 @@ def swing_setups(bars: DataFrame, use_vol_filter: bool = True, direction: str =
     d = d.withColumns({"_run_l": F.when(F.col("_start_l"), F.col("bar_idx")),
                        "_run_s": F.when(F.col("_start_s"), F.col("bar_idx"))})
     d = series.carry_last(d, ["_run_l", "_run_s"], key=("exchange", "symbol", "interval"), order=("bar_idx",))
-    d = W.running_extreme_since(d.withColumn("_seg_l", F.when(F.col("in_zone_long"), F.col("_run_l_carried"))),
-                                "low", "_seg_l", "_pb_low", F.min)
-    d = W.running_extreme_since(d.withColumn("_seg_s", F.when(F.col("in_zone_short"), F.col("_run_s_carried"))),
-                                "high", "_seg_s", "_pb_high", F.max)
+    d = d.withColumns({"_seg_l": F.when(F.col("in_zone_long"), F.col("_run_l_carried")),
+                       "_seg_s": F.when(F.col("in_zone_short"), F.col("_run_s_carried"))})
+    # running extreme since the run start, only over in-zone rows (segmented scan, any run length)
+    zl = series.segment_running(d.where(F.col("_seg_l").isNotNull()), "low", "_seg_l", "_pb_low", "min")
+    zs = series.segment_running(d.where(F.col("_seg_s").isNotNull()), "high", "_seg_s", "_pb_high", "max")
+    keys = ["exchange", "symbol", "interval", "bar_idx"]
+    d = d.join(zl.select(*keys, "_pb_low"), keys, "left").join(zs.select(*keys, "_pb_high"), keys, "left")
     vol_ok = F.lit(True) if not use_vol_filter else ~F.coalesce(F.col("low_volatility"), F.lit(False))
     long_ok = direction in ("Long Only", "Both")
     short_ok = direction in ("Short Only", "Both")

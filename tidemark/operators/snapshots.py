@@ -71,11 +71,12 @@ def snapshot_rows(snaps: DataFrame, json_col: str = "snapshot_json", schema=SNAP
 
 
 def latest_snapshot(snaps: DataFrame, per_exchange: bool = True, latest: bool = True) -> DataFrame:
-    """The newest (or oldest) snapshot, optionally per exchange."""
+    """The newest (or oldest) snapshot, optionally per exchange (a hash
+    aggregate over (ts, id); the JSON payload is carried by a key join)."""
     keys = ["exchange"] if per_exchange else []
-    order = [F.col("ts").desc(), F.col("id").desc()] if latest else [F.col("ts").asc(), F.col("id").asc()]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return snaps.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    pick = F.max_by if latest else F.min_by
+    best = snaps.groupBy(*keys).agg(pick(F.col("id"), F.struct("ts", "id")).alias("id"))
+    return snaps.join(best, [*keys, "id"], "left_semi")
 
 
 def top_per_snapshot(rows: DataFrame, col: str, n: int = 10, desc: bool = True, where: Column | None = None,

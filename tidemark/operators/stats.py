@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,16 +63,20 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 def describe(df: DataFrame, cols: Sequence[str] | None = None,
              pcts: Sequence[float] = (0.01, 0.05, 0.5, 0.95, 0.99)) -> DataFrame:
     """Count, mean, std and exact percentiles (linear interpolation,
-    as pandas) per numeric column."""
+    as pandas) per numeric column; percentiles are distributed order
+    statistics over the unpivoted values (``exact_quantiles``)."""
     cols = list(cols or numeric_columns(df))
-    names = ["count", "mean", "std"] + [f"p{round(p * 100)}" for p in pcts]
+    pn = [f"p{round(p * 100)}" for p in pcts]
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).cast("double").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std")]
-        aggs += [F.percentile(x, p).alias(f"{c}__p{round(p * 100)}") for p in pcts]
-    return _unpivot(df.agg(*aggs), cols, names)
+    moments = _unpivot(df.agg(*aggs), cols, ["count", "mean", "std"])
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = df.selectExpr(f"stack({len(cols)}, {stack}) AS (column, value)")
+    q = exact_quantiles(long, ["column"], "value", list(pcts), pn)
+    return moments.join(q, "column", "left")
 
 
 def null_fraction(df: DataFrame) -> DataFrame:
@@ -111,3 +115,51 @@ def json_keys_seen(df: DataFrame, json_col: str) -> DataFrame:
     """Distinct top-level keys seen in a JSON text column, with counts."""
     k = df.select(F.explode(F.json_object_keys(json_col)).alias("key"))
     return k.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
+                    names: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (``percentile`` / pandas /
+    ``quantile_cont``) per group, without holding a group in one task.
+
+    The values are range-partitioned by (group, value) — the partitioner
+    samples, so a hot group is spread over many partitions — and sorted; a
+    row's rank in its group is its position in the partition plus the counts
+    of the same group in earlier partitions (a small per-partition table).
+    Only the rows at ranks floor(h) and ceil(h), h = (n - 1) p, survive to
+    the final per-group aggregate.  The ranked frame is checkpointed so
+    partition ids are stable.
+    """
+    from tidemark.session import cut_lineage
+    by = list(by)
+    names = list(names or [f"q{round(p * 100)}" for p in probs])
+    spark = df.sparkSession
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v = df.select(*by, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    s = v.repartitionByRange(p, *by, "_v").sortWithinPartitions(*by, "_v")
+    s = s.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    s = cut_lineage(s)
+    s = s.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    part = s.groupBy(*by, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
+    w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    part = part.select(*by, "_pid", "_p0", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"),
+                       F.sum("_c").over(Window.partitionBy(*by)).alias("_n"))
+    r = s.join(part, [*by, "_pid"]).withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_p0"))
+    hs = [((F.col("_n") - 1) * float(q)) for q in probs]
+    wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(h), F.ceil(h)) for h in hs])))
+    r = r.where(F.array_contains(wanted.cast("array<long>"), F.col("_rank")))
+    g = r.groupBy(*by).agg(F.first("_n").alias("_n"), F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"))
+    outs = []
+    for q, nm in zip(probs, names):
+        h = (F.col("_n") - 1) * float(q)
+        lo, hi = F.floor(h), F.ceil(h)
+        vlo, vhi = F.element_at("_m", lo), F.element_at("_m", hi)
+        outs.append((vlo + (h - lo) * (vhi - vlo)).alias(nm))
+    return g.select(*by, *outs)
+
+
+def join_null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on ``keys`` treating NULL = NULL (group keys may be NULL)."""
+    bb = b.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+    cond = [a[k].eqNullSafe(bb[f"__k_{k}"]) for k in keys]
+    return a.join(bb, cond, how).drop(*[f"__k_{k}" for k in keys])

@@ -105,9 +105,13 @@ def running_extreme_since(df: DataFrame, x: str, seg: str, out: str, fn=F.max, k
 
 
 def qcut_edges(df: DataFrame, x: str, q: int = 5, by=("exchange", "symbol", "interval")) -> DataFrame:
-    """W10 edges: exact quantile edges of ``x`` per key (one small row per key)."""
+    """W10 edges: exact quantile edges of ``x`` per key (one small row per
+    key), computed as distributed order statistics."""
+    from tidemark.operators.stats import exact_quantiles
     probs = [i / q for i in range(q + 1)]
-    return df.groupBy(*by).agg(F.percentile(c(x), probs).alias("_edges"))
+    names = [f"_e{i}" for i in range(q + 1)]
+    e = exact_quantiles(df, list(by), x, probs, names)
+    return e.select(*by, F.array(*names).alias("_edges"))
 
 
 def qcut_bucket(x, edges: Column, q: int = 5) -> Column:

@@ -320,7 +320,9 @@ FROM q"""
 # ----------------------------------------------- R-checked (recursive chains)
 
 def i6_atr_wilder(spark, sf):
-    return sel(I.atr_wilder(bars_all(spark, sf), 14, "atr_wilder"), ["atr_wilder"])
+    # 4 decimals: the SQL closed form carries ~1e-16 relative error on 1e5-sized prices
+    return rnd(I.atr_wilder(bars_all(spark, sf), 14, "atr_wilder").select(*K, "open_time", "atr_wilder"),
+               ["atr_wilder"], 4)
 
 
 def i11_adx(spark, sf):
@@ -358,3 +360,10 @@ def g5_regime_alerts(spark, sf):
 for _n, _f in list(globals().items()):
     if callable(_f) and _n[:1] in "wig" and _n[1:2].isdigit() or _n == "i_ml_features":
         QUERIES[_n] = _f
+
+
+SQL["i6_atr_wilder"] = IDX_CTE + f""", t AS (SELECT *, CASE WHEN lag(close) OVER w IS NULL THEN high - low ELSE
+  greatest(high - low, abs(high - lag(close) OVER w), abs(low - lag(close) OVER w)) END AS tr FROM b {WIN}),
+s AS (SELECT *, avg(tr) OVER {rows(14)} AS sma14 FROM t {WIN}),
+x AS (SELECT *, {_seed_col("sma14", 13, "x13")} FROM s)
+SELECT {KS}, open_time, {sqlsrc.rnd(ewm_expr("tr", 1 / 14, 13, "x13"), 4)} AS atr_wilder FROM x"""

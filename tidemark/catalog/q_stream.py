@@ -64,3 +64,17 @@ SQL["st5_ingest_files"] = "SELECT o_orderstatus, count(*) AS n FROM orders GROUP
 for _n, _f in list(globals().items()):
     if callable(_f) and _n.startswith("st") and _n[2:3].isdigit():
         QUERIES[_n] = _f
+
+
+# Emitted bars: windows whose end is at or before the final watermark
+# (max event time - 10 minutes); ticks ordered by (ts, event_id).
+SQL["st1_stream_bars"] = """
+WITH wm AS (SELECT epoch_us(max(ts)) - 600000000 AS w FROM events)
+SELECT 'EVT' AS exchange, event_type AS symbol, '1h' AS interval,
+       (epoch_us(ts) // 3600000000) * 3600000 AS open_time,
+       (epoch_us(ts) // 3600000000) * 3600000 + 3599999 AS close_time,
+       first(value ORDER BY ts, event_id) AS open, max(value) AS high, min(value) AS low,
+       last(value ORDER BY ts, event_id) AS close, CAST(count(*) AS DOUBLE) AS volume
+FROM events, wm
+GROUP BY 1, 2, 3, 4, 5, wm.w
+HAVING ((epoch_us(any_value(ts)) // 3600000000) + 1) * 3600000000 <= wm.w"""

@@ -367,3 +367,21 @@ SQL["i6_atr_wilder"] = IDX_CTE + f""", t AS (SELECT *, CASE WHEN lag(close) OVER
 s AS (SELECT *, avg(tr) OVER {rows(14)} AS sma14 FROM t {WIN}),
 x AS (SELECT *, {_seed_col("sma14", 13, "x13")} FROM s)
 SELECT {KS}, open_time, {sqlsrc.rnd(ewm_expr("tr", 1 / 14, 13, "x13"), 4)} AS atr_wilder FROM x"""
+
+
+SQL["g1_g3_momentum_signals"] = IDX_CTE + f""", t AS (SELECT *, CASE WHEN lag(close) OVER w IS NULL THEN high - low ELSE
+  greatest(high - low, abs(high - lag(close) OVER w), abs(low - lag(close) OVER w)) END AS tr FROM b {WIN}),
+a AS (SELECT *, {strict_sql("avg", "tr", 14)} AS atr_14, {strict_sql("max", "high", 20)} AS hh_20 FROM t {WIN}),
+s AS (SELECT *, {_seed_col("close", 0, "x0")}, atr_14 / close AS atrp_14 FROM a),
+e AS (SELECT *, {ewm_expr("close", 2 / 21, 0, "x0")} AS ema_20, {ewm_expr("close", 2 / 51, 0, "x0")} AS ema_50 FROM s),
+q AS (SELECT *, list(atrp_14) OVER {rows(50)} AS vals FROM e {WIN}),
+k AS (SELECT *, CASE WHEN atrp_14 IS NOT NULL AND len(list_filter(vals, lambda v: v IS NOT NULL)) >= 50 THEN
+    (len(list_filter(vals, lambda v: v < atrp_14)) + (len(list_filter(vals, lambda v: v = atrp_14)) + 1) / 2.0)
+    / len(list_filter(vals, lambda v: v IS NOT NULL)) END AS rk FROM q),
+f AS (SELECT *, ema_20 > ema_50 AS trend_up, close > lag(hh_20) OVER w AS brk,
+        abs(close - ema_20) <= 0.5 * atr_14 AS near,
+        close > ema_20 AND lag(close) OVER w <= lag(ema_20) OVER w AS reclaim,
+        lag(rk) OVER w < 0.25 AND rk > 0.60 AS squeeze FROM k {WIN})
+SELECT {KS}, open_time, coalesce(trend_up AND brk, FALSE) AS sig_breakout_long,
+  coalesce(trend_up AND near AND reclaim, FALSE) AS sig_pullback_long,
+  coalesce(squeeze AND brk, FALSE) AS sig_vol_squeeze_breakout FROM f"""

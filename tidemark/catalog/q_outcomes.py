@@ -344,12 +344,15 @@ def b7_b10_signal_backtest(spark, sf):
     return rnd(_grid(spark, sf), ["entry", "stop", "tp", "exit", "r_multiple", "atrp_entry"])
 
 
+SUMMARY_COLS = ["win_rate", "avg_r", "avg_bars_held", "median_r", "p10_r", "p90_r"]
+
+
 def b15_grid_results(spark, sf):
-    return B.grid_results(_grid(spark, sf))
+    return rnd(B.grid_results(_grid(spark, sf)), SUMMARY_COLS)
 
 
 def b16_trade_summary(spark, sf):
-    return B.trade_summary(_grid(spark, sf), ["signal", "max_hold_bars"])
+    return rnd(B.trade_summary(_grid(spark, sf), ["signal", "max_hold_bars"]), SUMMARY_COLS)
 
 
 def b21_risk_sizing(spark, sf):
@@ -378,3 +381,67 @@ def b23_performance(spark, sf):
 for _n, _f in list(globals().items()):
     if callable(_f) and (_n[:1] in ("j", "b") and _n[1:2].isdigit() or _n.startswith("e1_")):
         QUERIES[_n] = _f
+
+
+def _b7_sql():
+    from tidemark.catalog.q_indicators import SQL as ISQL
+    sig = ISQL["g1_g3_momentum_signals"]
+    # reuse the signal statement's CTEs: replace its final SELECT with the backtest
+    head = sig[:sig.rindex("SELECT")].rstrip() + ","
+    ms = "exchange, symbol, interval"
+    return head + f"""
+g AS (SELECT * FROM (VALUES (1.5, 2.5, 48), (2.0, 3.0, 48), (2.5, 3.5, 72)) v(atr_mult_stop, atr_mult_tp, max_hold_bars)),
+nb AS (SELECT {ms}, max(bar_idx) AS last_idx FROM f GROUP BY ALL),
+sg AS (SELECT f.{ms.replace(', ', ', f.')}, f.bar_idx, lead(open) OVER w AS e_open, lead(atr_14) OVER w AS e_atr,
+         lead(atrp_14) OVER w AS e_atrp, lead(open_time) OVER w AS e_t, lead(open_time, 2) OVER w AS t2,
+         coalesce(trend_up AND brk, FALSE) AS sig FROM f WINDOW w AS (PARTITION BY {ms} ORDER BY bar_idx)),
+en AS (SELECT sg.*, g.*, nb.last_idx, e_open - atr_mult_stop * e_atr AS stop, e_open + atr_mult_tp * e_atr AS tp,
+         least(nb.last_idx, bar_idx + 1 + max_hold_bars) AS lst
+       FROM sg JOIN nb USING ({ms}) CROSS JOIN g
+       WHERE sig AND t2 IS NOT NULL AND e_open IS NOT NULL AND e_atr IS NOT NULL AND e_atr > 0),
+hit AS (SELECT en.{ms.replace(', ', ', en.')}, en.bar_idx, en.atr_mult_stop, en.max_hold_bars,
+          min(CASE WHEN f.low <= en.stop OR f.high >= en.tp THEN f.bar_idx END) AS hit_idx
+        FROM en JOIN f ON f.exchange = en.exchange AND f.symbol = en.symbol AND f.interval = en.interval
+          AND f.bar_idx BETWEEN en.bar_idx + 1 AND en.lst
+        GROUP BY ALL),
+x AS (SELECT en.*, hit.hit_idx, coalesce(hit.hit_idx, en.lst) AS exit_idx FROM en JOIN hit USING ({ms}, bar_idx, atr_mult_stop, max_hold_bars)),
+y AS (SELECT x.*, fb.low AS xl, fb.close AS xc, fb.open_time AS xt,
+        CASE WHEN x.hit_idx IS NULL THEN 'time' WHEN fb.low <= x.stop THEN 'stop' ELSE 'tp' END AS outcome
+      FROM x JOIN f fb ON fb.exchange = x.exchange AND fb.symbol = x.symbol AND fb.interval = x.interval AND fb.bar_idx = x.exit_idx),
+ed AS (SELECT {ms}, quantile_cont(atrp_14, [0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS e FROM f GROUP BY ALL),
+z AS (SELECT y.*, CASE WHEN outcome = 'stop' THEN stop WHEN outcome = 'tp' THEN tp ELSE xc END AS exit_px,
+        CASE WHEN len(list_distinct(ed.e)) = len(ed.e) THEN
+          CASE WHEN e_atrp >= ed.e[1] AND e_atrp <= ed.e[2] THEN 'Q1_low' WHEN e_atrp > ed.e[2] AND e_atrp <= ed.e[3] THEN 'Q2'
+               WHEN e_atrp > ed.e[3] AND e_atrp <= ed.e[4] THEN 'Q3' WHEN e_atrp > ed.e[4] AND e_atrp <= ed.e[5] THEN 'Q4'
+               WHEN e_atrp > ed.e[5] AND e_atrp <= ed.e[6] THEN 'Q5_high' END END AS atrp_bucket
+      FROM y LEFT JOIN ed USING ({ms}))
+SELECT 'r1' AS run_id, {ms}, 'sig_breakout_long' AS signal, atr_mult_stop, atr_mult_tp, CAST(max_hold_bars AS INTEGER) AS max_hold_bars,
+  {rs('e_atrp')} AS atrp_entry, atrp_bucket, make_timestamp(e_t * 1000) AS entry_time_utc,
+  timezone('Australia/Sydney', make_timestamp(e_t * 1000) AT TIME ZONE 'UTC') AS entry_time_syd,
+  make_timestamp(xt * 1000) AS exit_time_utc, {rs('e_open')} AS entry, {rs('stop')} AS stop, {rs('tp')} AS tp,
+  {rs('exit_px')} AS exit, CAST(exit_idx - bar_idx - 1 AS INTEGER) AS bars_held, outcome,
+  {rs('CASE WHEN e_open - stop <> 0 THEN (exit_px - e_open) / (e_open - stop) END')} AS r_multiple
+FROM z"""
+
+
+SQL["b7_b10_signal_backtest"] = _b7_sql()
+
+
+def _summary_over_trades(by):
+    r = "r_multiple"
+    return (f"SELECT {by}, count(*) AS n_trades, {rs(f'avg(CASE WHEN {r} > 0 THEN 1.0 ELSE 0.0 END)')} AS win_rate, "
+            f"{rs(f'avg({r})')} AS avg_r, {rs('avg(bars_held)')} AS avg_bars_held, "
+            f"{rs(f'quantile_cont({r}, 0.5)')} AS median_r, {rs(f'quantile_cont({r}, 0.1)')} AS p10_r, "
+            f"{rs(f'quantile_cont({r}, 0.9)')} AS p90_r FROM ({_b7_raw_sql()}) GROUP BY {by}")
+
+
+def _b7_raw_sql():
+    # the backtest statement with unrounded R for the summaries
+    return SQL["b7_b10_signal_backtest"].replace(
+        rs('CASE WHEN e_open - stop <> 0 THEN (exit_px - e_open) / (e_open - stop) END') + " AS r_multiple",
+        "CASE WHEN e_open - stop <> 0 THEN (exit_px - e_open) / (e_open - stop) END AS r_multiple")
+
+
+SQL["b15_grid_results"] = _summary_over_trades(
+    "run_id, exchange, symbol, interval, signal, atr_mult_stop, atr_mult_tp, max_hold_bars, atrp_bucket")
+SQL["b16_trade_summary"] = _summary_over_trades("signal, max_hold_bars")

@@ -337,8 +337,8 @@ def i17_daily_context(spark, sf):
 
 def i18_i19_swing_context(spark, sf):
     d = I.swing_context(bars_all(spark, sf))
-    return sel(d, ["ema_fast", "ema_slow", "ema_slow_slope", "atr_value", "atr_sma"],
-               extra=["atr_decreasing", "low_volatility", "regime"])
+    cols = ["ema_fast", "ema_slow", "ema_slow_slope", "atr_value", "atr_sma"]
+    return rnd(d.select(*K, "open_time", "atr_decreasing", "low_volatility", "regime", *cols), cols, 4)
 
 
 def g1_g3_momentum_signals(spark, sf):
@@ -385,3 +385,22 @@ f AS (SELECT *, ema_20 > ema_50 AS trend_up, close > lag(hh_20) OVER w AS brk,
 SELECT {KS}, open_time, coalesce(trend_up AND brk, FALSE) AS sig_breakout_long,
   coalesce(trend_up AND near AND reclaim, FALSE) AS sig_pullback_long,
   coalesce(squeeze AND brk, FALSE) AS sig_vol_squeeze_breakout FROM f"""
+
+
+SQL["i18_i19_swing_context"] = IDX_CTE + f""", t AS (SELECT *, CASE WHEN lag(close) OVER w IS NULL THEN high - low ELSE
+  greatest(high - low, abs(high - lag(close) OVER w), abs(low - lag(close) OVER w)) END AS tr FROM b {WIN}),
+s AS (SELECT *, avg(tr) OVER {rows(14)} AS sma_tr, avg(close) OVER {rows(20)} AS sma_c20,
+        avg(close) OVER {rows(50)} AS sma_c50 FROM t {WIN}),
+x AS (SELECT *, {_seed_col("sma_tr", 13, "x13")}, {_seed_col("sma_c20", 19, "x19")}, {_seed_col("sma_c50", 49, "x49")} FROM s),
+e AS (SELECT *, {ewm_expr("close", 2 / 21, 19, "x19")} AS ema_fast, {ewm_expr("close", 2 / 51, 49, "x49")} AS ema_slow,
+        {ewm_expr("tr", 1 / 14, 13, "x13")} AS atr_value FROM x),
+f AS (SELECT *, ema_slow - lag(ema_slow, 5) OVER w AS ema_slow_slope,
+        atr_value < lag(atr_value, 1) OVER w AND lag(atr_value, 1) OVER w < lag(atr_value, 2) OVER w AS atr_decreasing,
+        {strict_sql("avg", "atr_value", 20)} AS atr_sma FROM e {WIN}),
+g AS (SELECT *, coalesce(ema_fast > ema_slow AND ema_slow_slope > 0, FALSE) AS up,
+        coalesce(ema_fast < ema_slow AND ema_slow_slope < 0, FALSE) AS down FROM f)
+SELECT {KS}, open_time, atr_decreasing, atr_value < atr_sma AS low_volatility,
+  CASE WHEN up THEN 'up' WHEN down THEN 'down' ELSE 'ranging' END AS regime,
+  {sqlsrc.rnd("ema_fast", 4)} AS ema_fast, {sqlsrc.rnd("ema_slow", 4)} AS ema_slow,
+  {sqlsrc.rnd("ema_slow_slope", 4)} AS ema_slow_slope, {sqlsrc.rnd("atr_value", 4)} AS atr_value,
+  {sqlsrc.rnd("atr_sma", 4)} AS atr_sma FROM g"""

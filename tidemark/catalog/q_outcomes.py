@@ -445,3 +445,18 @@ def _b7_raw_sql():
 SQL["b15_grid_results"] = _summary_over_trades(
     "run_id, exchange, symbol, interval, signal, atr_mult_stop, atr_mult_tp, max_hold_bars, atrp_bucket")
 SQL["b16_trade_summary"] = _summary_over_trades("signal, max_hold_bars")
+
+
+SQL["b22_non_overlapping"] = f"""WITH RECURSIVE t AS (
+  SELECT exchange, symbol, interval, atr_mult_stop, atr_mult_tp, max_hold_bars,
+         epoch_ms(entry_time_utc) AS entry_ms, epoch_ms(exit_time_utc) AS exit_ms FROM ({_b7_raw_sql()})),
+c(exchange, symbol, interval, atr_mult_stop, atr_mult_tp, max_hold_bars, entry_ms, exit_ms) AS (
+  SELECT exchange, symbol, interval, atr_mult_stop, atr_mult_tp, max_hold_bars, entry_ms, exit_ms FROM (
+    SELECT *, row_number() OVER (PARTITION BY exchange, symbol, interval, atr_mult_stop, atr_mult_tp, max_hold_bars
+                                 ORDER BY entry_ms, exit_ms) AS rn FROM t) WHERE rn = 1
+  UNION ALL
+  SELECT c.exchange, c.symbol, c.interval, c.atr_mult_stop, c.atr_mult_tp, c.max_hold_bars, n.entry_ms, n.exit_ms
+  FROM c, LATERAL (SELECT x.entry_ms, x.exit_ms FROM t x WHERE x.exchange = c.exchange AND x.symbol = c.symbol
+      AND x.interval = c.interval AND x.atr_mult_stop = c.atr_mult_stop AND x.atr_mult_tp = c.atr_mult_tp
+      AND x.max_hold_bars = c.max_hold_bars AND x.entry_ms > c.exit_ms ORDER BY x.entry_ms, x.exit_ms LIMIT 1) n)
+SELECT exchange, symbol, interval, atr_mult_stop, max_hold_bars, entry_ms, exit_ms FROM c"""

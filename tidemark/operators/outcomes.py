@@ -409,10 +409,11 @@ def first_barrier_hit(entries: DataFrame, bars: DataFrame, id_col: str = "trade_
     """For each entry (key, ``entry_idx``, ``side`` long/short, ``stop``, ``tp``):
     the first bar from ``entry_idx + start_offset`` on whose range touches the
     stop or the target.  Same bar: stop first (``stop_first``).  No horizon
-    cap: windows double each round (64, 128, 256, ... bars) and only entries
+    cap: windows grow each round (64, 256, 1024, ... bars) and only entries
     still open go on, so the work per entry is about twice its distance to the
     exit.  Adds ``exit_idx``, ``exit_kind`` (stop / tp / NULL = still open)
-    and ``exit_price``.
+    and ``exit_price``.  (Windows grow 4x per round: few rounds, at most
+    about 4x the bars an entry really needs.)
     """
     from tidemark.session import cut_lineage
     bi = I.indexed(bars).select(*KEY, F.col("bar_idx").alias("_bi"), F.col("high").alias("_h"),
@@ -435,7 +436,7 @@ def first_barrier_hit(entries: DataFrame, bars: DataFrame, id_col: str = "trade_
         rem = cut_lineage(rem)
         if rem.limit(1).count() == 0:
             break
-        lo, width = hi + 1, width * 2
+        lo, width = hi + 1, width * 4
     sh_ev = F.pmod(F.col("_ev"), F.lit(4)) >= 2
     th_ev = F.pmod(F.col("_ev"), F.lit(2)) == 1
     kind = (F.when(sh_ev & th_ev, F.lit("stop" if stop_first else "tp")).when(sh_ev, "stop").when(th_ev, "tp"))

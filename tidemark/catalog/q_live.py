@@ -10,6 +10,7 @@ from tidemark.catalog.common import bars_all, prep
 from tidemark.operators import outcomes as B
 from tidemark.operators import ranges as L
 from tidemark.operators import signals as G
+from tidemark.catalog.q_outcomes import PERF_COLS, perf_sql, rnd
 from tidemark.sources import adapters as A
 
 QUERIES, SQL = {}, {}
@@ -104,7 +105,13 @@ def b25_walk_forward(spark, sf):
     from tidemark.functions import timeutil as TU
     t = _grid(spark, sf).withColumn("exit_ms", F.unix_millis("exit_time_utc"))
     t = t.withColumn("split", TU.time_split(F.unix_millis("entry_time_utc"), 978_307_200_000, 1_705_536_000_000))
-    return B.walk_forward(t, ["exchange", "symbol", "atr_mult_stop"])
+    return rnd(B.walk_forward(t, ["exchange", "symbol", "atr_mult_stop"]), PERF_COLS)
+
+
+SQL["b25_walk_forward"] = perf_sql(
+    "exchange, symbol, atr_mult_stop, split",
+    ", CASE WHEN epoch_ms(entry_time_utc) < 978307200000 THEN 'train' "
+    "WHEN epoch_ms(entry_time_utc) < 1705536000000 THEN 'valid' ELSE 'test' END AS split")
 
 
 for _n, _f in list(globals().items()):

@@ -373,9 +373,14 @@ def b22_non_overlapping(spark, sf):
     return k.select("exchange", "symbol", "interval", "atr_mult_stop", "max_hold_bars", "entry_ms", "exit_ms")
 
 
+PERF_COLS = ["net_r", "win_rate", "profit_factor", "avg_r", "avg_win_r", "avg_loss_r", "max_drawdown_r",
+             "expectancy_r"]
+
+
 def b23_performance(spark, sf):
     t = _grid(spark, sf).withColumn("exit_ms", F.unix_millis("exit_time_utc"))
-    return B.performance_summary(t, ["exchange", "symbol", "interval", "max_hold_bars", "atr_mult_stop"])
+    return rnd(B.performance_summary(t, ["exchange", "symbol", "interval", "max_hold_bars", "atr_mult_stop"]),
+               PERF_COLS)
 
 
 for _n, _f in list(globals().items()):
@@ -460,3 +465,29 @@ c(exchange, symbol, interval, atr_mult_stop, atr_mult_tp, max_hold_bars, entry_m
       AND x.interval = c.interval AND x.atr_mult_stop = c.atr_mult_stop AND x.atr_mult_tp = c.atr_mult_tp
       AND x.max_hold_bars = c.max_hold_bars AND x.entry_ms > c.exit_ms ORDER BY x.entry_ms, x.exit_ms LIMIT 1) n)
 SELECT exchange, symbol, interval, atr_mult_stop, max_hold_bars, entry_ms, exit_ms FROM c"""
+
+
+def perf_sql(by: str, extra: str = "") -> str:
+    """SQL performance summary over the grid trades."""
+    pb = f"PARTITION BY {by}"
+    r = "r_multiple"
+    return f"""WITH t AS (SELECT *, epoch_ms(exit_time_utc) AS exit_ms{extra} FROM ({_b7_raw_sql()})),
+o AS (SELECT *, row_number() OVER ({pb} ORDER BY exit_ms, {r}) AS k FROM t),
+e AS (SELECT *, sum(coalesce({r}, 0)) OVER ({pb} ORDER BY k ROWS UNBOUNDED PRECEDING) AS eq FROM o),
+p AS (SELECT *, greatest(0, max(eq) OVER ({pb} ORDER BY k ROWS UNBOUNDED PRECEDING)) AS peak, {r} > 0 AS win FROM e),
+c AS (SELECT *, coalesce(win <> lag(win) OVER ({pb} ORDER BY k), TRUE) AS chg FROM p),
+rn AS (SELECT *, sum(CAST(chg AS INTEGER)) OVER ({pb} ORDER BY k ROWS UNBOUNDED PRECEDING) AS run FROM c),
+runs AS (SELECT {by}, run, any_value(win) AS w, count(*) AS len FROM rn GROUP BY ALL),
+st AS (SELECT {by}, max(len) FILTER (WHERE w) AS max_win_streak, max(len) FILTER (WHERE NOT w) AS max_loss_streak
+       FROM runs GROUP BY ALL),
+g AS (SELECT {by}, count(*) AS n_trades, sum({r}) AS net_r, avg(CASE WHEN {r} > 0 THEN 1.0 ELSE 0.0 END) AS win_rate,
+        CASE WHEN -sum({r}) FILTER (WHERE {r} < 0) <> 0
+             THEN sum({r}) FILTER (WHERE {r} > 0) / -sum({r}) FILTER (WHERE {r} < 0) END AS profit_factor,
+        avg({r}) AS avg_r, avg({r}) FILTER (WHERE {r} > 0) AS avg_win_r, avg({r}) FILTER (WHERE {r} <= 0) AS avg_loss_r,
+        min(eq - peak) AS max_drawdown_r FROM rn GROUP BY ALL),
+h AS (SELECT g.*, win_rate * coalesce(avg_win_r, 0) + (1 - win_rate) * coalesce(avg_loss_r, 0) AS expectancy_r,
+        st.max_win_streak, st.max_loss_streak FROM g LEFT JOIN st USING ({by}))
+SELECT {by}, n_trades, max_win_streak, max_loss_streak, {', '.join(f"{rs(c)} AS {c}" for c in PERF_COLS)} FROM h"""
+
+
+SQL["b23_performance"] = perf_sql("exchange, symbol, interval, max_hold_bars, atr_mult_stop")

@@ -117,3 +117,19 @@ SQL["b25_walk_forward"] = perf_sql(
 for _n, _f in list(globals().items()):
     if callable(_f) and _n[:1] in ("l", "b") and _n[1:2].isdigit():
         QUERIES[_n] = _f
+
+
+def _l16_sql():
+    from tidemark.catalog import sqlsrc
+    from tidemark.catalog.q_misc import _resample_sql
+    return f"""WITH h AS ({_resample_sql('4h')}),
+hi AS (SELECT *, row_number() OVER (PARTITION BY exchange, symbol ORDER BY open_time) - 1 AS bar_idx FROM h),
+hs AS (SELECT exchange, symbol, close_time + 1 AS t,
+         (high - low) < 1.2 * CASE WHEN count(high) OVER w >= 20 THEN avg(high - low) OVER w END AS ok
+       FROM hi WINDOW w AS (PARTITION BY exchange, symbol ORDER BY bar_idx ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)),
+b AS ({sqlsrc.bars_events('1h')})
+SELECT b.exchange, b.symbol, b.interval, b.open_time, coalesce(hs.ok, FALSE) AS htf_ok
+FROM b ASOF LEFT JOIN hs ON b.exchange = hs.exchange AND b.symbol = hs.symbol AND b.open_time >= hs.t"""
+
+
+SQL["l16_htf_gate"] = _l16_sql()

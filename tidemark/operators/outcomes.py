@@ -348,26 +348,42 @@ def risk_size(equity, risk_pct, entry, stop) -> Column:
     return F.when(dist > 0, F.lit(equity) * F.lit(risk_pct) / 100.0 / dist).otherwise(F.lit(0.0))
 
 
-def non_overlapping(trades: DataFrame, key: Sequence[str], start: str, end: str, order: Sequence[str]) -> DataFrame:
+class _KeepNonOverlapping:
+    """State: end of the last kept trade; keep a trade that starts after it."""
+
+    event_fields = ()
+
+    def initial(self) -> dict:
+        return {"end": None}
+
+    def step(self, s: dict, r: dict) -> list[dict]:
+        st, en = int(r["_s"]), int(r["_e"])
+        if s["end"] is None or st > s["end"]:
+            s["end"] = en
+            return [{}]
+        return []
+
+
+def non_overlapping(trades: DataFrame, key: Sequence[str], start: str, end: str, order: Sequence[str],
+                    span: int = 30 * DAY_MS) -> DataFrame:
     """Keep a trade only if it starts after the last kept one ends.
 
-    Per key, (start, end) pairs are folded in start order with ``aggregate``
-    over an array of the *candidate* trades only (one small struct each);
-    the kept ids are exploded back.  The fold is inherently sequential; its
-    input is the per-key trade list, not the bars.
-    """
+    The greedy pass is a tiny state machine (last kept end) run by
+    ``statemachine.block_scan`` over the trades in (start, ``order``) order:
+    blocks of trades run in parallel and are verified against their
+    predecessor, so a key's trade list is never gathered in one place.
+    ``span`` is the chunk width in ``start`` units used to number the trades."""
+    from tidemark.operators.statemachine import Machine, block_scan
+
+    class M(_KeepNonOverlapping, Machine):
+        pass
+
     key = list(key)
-    t = trades.withColumn("_tid", F.struct(*[F.col(o) for o in order]))
-    lst = t.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col(start).alias("s"), F.col(end).alias("e"),
-                                                                   F.col("_tid").alias("id")))).alias("_l"))
-    init = F.struct(F.lit(None).cast("long").alias("last_end"),
-                    F.array().cast(f"array<{t.schema['_tid'].dataType.simpleString()}>").alias("kept"))
-    fold = F.aggregate("_l", init, lambda acc, x: F.when(
-        acc["last_end"].isNull() | (x["s"] > acc["last_end"]),
-        F.struct(x["e"].cast("long").alias("last_end"), F.concat(acc["kept"], F.array(x["id"])).alias("kept"))
-    ).otherwise(acc))
-    kept = lst.select(*key, F.explode(fold["kept"]).alias("_tid"))
-    return t.join(kept, [*key, "_tid"], "left_semi").drop("_tid")
+    t = trades.withColumns({"_s": F.col(start).cast("long"), "_e": F.col(end).cast("long")})
+    t = series.index_series(t, key=key, order=("_s", *[o for o in order if o != start]), idx="bar_idx",
+                            span_ms=span)
+    kept = block_scan(t, M(), ["_s", "_e"], halo=256, key=key)
+    return t.join(kept.select(*key, "bar_idx"), [*key, "bar_idx"], "left_semi").drop("_s", "_e", "bar_idx")
 
 
 def performance_summary(trades: DataFrame, by: Sequence[str], r_col: str = "r_multiple",
@@ -502,7 +518,7 @@ def range_trades(events: DataFrame, bars: DataFrame, method: str = "Breakout", d
     t = t.withColumn("r_multiple", signed_r(F.col("entry"), F.col("exit_price"), F.col("stop"), F.col("side")))
     if one_position:
         t = t.withColumn("_end", F.coalesce(F.col("exit_idx"), F.lit(1 << 62)))
-        t = non_overlapping(t, list(KEY), "entry_idx", "_end", ["entry_idx", "trade_id"]).drop("_end")
+        t = non_overlapping(t, list(KEY), "entry_idx", "_end", ["entry_idx", "trade_id"], span=1 << 16).drop("_end")
     return t
 
 

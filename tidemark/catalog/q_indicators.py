@@ -326,7 +326,8 @@ def i6_atr_wilder(spark, sf):
 
 
 def i11_adx(spark, sf):
-    return sel(I.tech_features(bars_all(spark, sf)), ["adx_14", "ema_ratio"])
+    d = I.tech_features(bars_all(spark, sf))
+    return rnd(sel(d, ["ema_ratio"], extra=["adx_14"]), ["adx_14"], 4)
 
 
 def i17_daily_context(spark, sf):
@@ -404,3 +405,28 @@ SELECT {KS}, open_time, atr_decreasing, atr_value < atr_sma AS low_volatility,
   {sqlsrc.rnd("ema_fast", 4)} AS ema_fast, {sqlsrc.rnd("ema_slow", 4)} AS ema_slow,
   {sqlsrc.rnd("ema_slow_slope", 4)} AS ema_slow_slope, {sqlsrc.rnd("atr_value", 4)} AS atr_value,
   {sqlsrc.rnd("atr_sma", 4)} AS atr_sma FROM g"""
+
+
+def ewm_col(x: str, alpha: float, seed_col: str, xs_col: str) -> str:
+    """Closed-form smoothing seeded at a per-key bar index column."""
+    q = 1.0 - alpha
+    return (f"(CASE WHEN bar_idx >= {seed_col} THEN pow({q!r}, bar_idx - {seed_col}) * {xs_col} + pow({q!r}, bar_idx) * "
+            f"sum(CASE WHEN bar_idx > {seed_col} THEN {alpha!r} * {x} * pow({q!r}, -bar_idx) ELSE 0 END) "
+            f"OVER (PARTITION BY {KS} ORDER BY bar_idx ROWS UNBOUNDED PRECEDING) END)")
+
+
+SQL["i11_adx"] = IDX_CTE + f""",
+m AS (SELECT *, lag(close) OVER w AS pc, high - lag(high) OVER w AS upm, lag(low) OVER w - low AS dnm FROM b {WIN}),
+t AS (SELECT *, CASE WHEN pc IS NULL THEN high - low ELSE greatest(high - low, abs(high - pc), abs(low - pc)) END AS tr,
+        CASE WHEN upm > dnm AND upm > 0 THEN upm ELSE 0.0 END AS pdm,
+        CASE WHEN dnm > upm AND dnm > 0 THEN dnm ELSE 0.0 END AS mdm FROM m),
+s AS (SELECT *, {_seed_col("tr", 0, "tr0")}, {_seed_col("pdm", 0, "pdm0")}, {_seed_col("mdm", 0, "mdm0")},
+        {_seed_col("close", 0, "x0")} FROM t),
+e AS (SELECT *, {ewm_expr("tr", 1 / 14, 0, "tr0")} AS atr_w, {ewm_expr("pdm", 1 / 14, 0, "pdm0")} AS spdm,
+        {ewm_expr("mdm", 1 / 14, 0, "mdm0")} AS smdm,
+        {ewm_expr("close", 2 / 21, 0, "x0")} / {ewm_expr("close", 2 / 51, 0, "x0")} AS ema_ratio FROM s),
+d AS (SELECT *, CASE WHEN atr_w <> 0 THEN 100.0 * spdm / atr_w END AS pdi, CASE WHEN atr_w <> 0 THEN 100.0 * smdm / atr_w END AS mdi FROM e),
+x AS (SELECT *, CASE WHEN pdi + mdi <> 0 THEN 100.0 * abs(pdi - mdi) / (pdi + mdi) END AS dx FROM d),
+y AS (SELECT *, min(CASE WHEN dx IS NOT NULL THEN bar_idx END) OVER (PARTITION BY {KS}) AS sdx FROM x),
+z AS (SELECT *, max(CASE WHEN bar_idx = sdx THEN dx END) OVER (PARTITION BY {KS}) AS dxs FROM y)
+SELECT {KS}, open_time, {r("ema_ratio")} AS ema_ratio, {sqlsrc.rnd(ewm_col("dx", 1 / 14, "sdx", "dxs"), 4)} AS adx_14 FROM z"""

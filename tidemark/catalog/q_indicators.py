@@ -332,8 +332,8 @@ def i11_adx(spark, sf):
 
 def i17_daily_context(spark, sf):
     d = I.daily_context(bars_all(spark, sf).where(F.col("interval") == "1d"))
-    return sel(d, ["sma_20d", "sma_50d", "ret_vol_20d", "rsi_14_1d", "macd_hist_1d", "adx_14_1d"],
-               extra=["trend_up_1d"])
+    d = sel(d, ["sma_20d", "sma_50d", "ret_vol_20d", "rsi_14_1d"], extra=["trend_up_1d", "macd_hist_1d", "adx_14_1d"])
+    return rnd(d, ["macd_hist_1d", "adx_14_1d"], 4)
 
 
 def i18_i19_swing_context(spark, sf):
@@ -430,3 +430,33 @@ x AS (SELECT *, CASE WHEN pdi + mdi <> 0 THEN 100.0 * abs(pdi - mdi) / (pdi + md
 y AS (SELECT *, min(CASE WHEN dx IS NOT NULL THEN bar_idx END) OVER (PARTITION BY {KS}) AS sdx FROM x),
 z AS (SELECT *, max(CASE WHEN bar_idx = sdx THEN dx END) OVER (PARTITION BY {KS}) AS dxs FROM y)
 SELECT {KS}, open_time, {r("ema_ratio")} AS ema_ratio, {sqlsrc.rnd(ewm_col("dx", 1 / 14, "sdx", "dxs"), 4)} AS adx_14 FROM z"""
+
+
+SQL["i17_daily_context"] = (f"WITH bars AS (SELECT * FROM ({sqlsrc.bars_all()}) WHERE interval = '1d'), "
+                            f"b AS (SELECT *, row_number() OVER (PARTITION BY {KS} ORDER BY open_time) - 1 AS bar_idx FROM bars)"
+                            + f""",
+m AS (SELECT *, lag(close) OVER w AS pc, high - lag(high) OVER w AS upm, lag(low) OVER w - low AS dnm FROM b {WIN}),
+t AS (SELECT *, CASE WHEN pc IS NULL THEN high - low ELSE greatest(high - low, abs(high - pc), abs(low - pc)) END AS tr,
+        CASE WHEN upm > dnm AND upm > 0 THEN upm ELSE 0.0 END AS pdm,
+        CASE WHEN dnm > upm AND dnm > 0 THEN dnm ELSE 0.0 END AS mdm,
+        CASE WHEN pc IS NOT NULL THEN greatest(close - pc, 0) END AS up, CASE WHEN pc IS NOT NULL THEN greatest(pc - close, 0) END AS dn,
+        CASE WHEN pc <> 0 THEN ln(close / pc) END AS ret FROM m),
+s AS (SELECT *, {_seed_col("tr", 0, "tr0")}, {_seed_col("pdm", 0, "pdm0")}, {_seed_col("mdm", 0, "mdm0")},
+        {_seed_col("close", 0, "x0")} FROM t),
+e AS (SELECT *, {ewm_expr("tr", 1 / 14, 0, "tr0")} AS atr_w, {ewm_expr("pdm", 1 / 14, 0, "pdm0")} AS spdm,
+        {ewm_expr("mdm", 1 / 14, 0, "mdm0")} AS smdm,
+        {ewm_expr("close", 2 / 13, 0, "x0")} - {ewm_expr("close", 2 / 27, 0, "x0")} AS macd_line,
+        {strict_sql("avg", "close", 20)} AS sma_20d, {strict_sql("avg", "close", 50)} AS sma_50d,
+        {strict_sql("stddev_samp", "ret", 20)} AS ret_vol_20d,
+        {strict_sql("avg", "up", 14)} AS ru, {strict_sql("avg", "dn", 14)} AS rd FROM s {WIN}),
+d AS (SELECT *, CASE WHEN atr_w <> 0 THEN 100.0 * spdm / atr_w END AS pdi, CASE WHEN atr_w <> 0 THEN 100.0 * smdm / atr_w END AS mdi,
+        {_seed_col("macd_line", 0, "m0")} FROM e),
+x AS (SELECT *, CASE WHEN pdi + mdi <> 0 THEN 100.0 * abs(pdi - mdi) / (pdi + mdi) END AS dx,
+        {ewm_expr("macd_line", 2 / 10, 0, "m0")} AS macd_signal FROM d),
+y AS (SELECT *, min(CASE WHEN dx IS NOT NULL THEN bar_idx END) OVER (PARTITION BY {KS}) AS sdx FROM x),
+z AS (SELECT *, max(CASE WHEN bar_idx = sdx THEN dx END) OVER (PARTITION BY {KS}) AS dxs FROM y)
+SELECT {KS}, open_time, coalesce(CAST(sma_20d > sma_50d AS INTEGER), 0) AS trend_up_1d,
+  {r("sma_20d")} AS sma_20d, {r("sma_50d")} AS sma_50d, {r("ret_vol_20d")} AS ret_vol_20d,
+  {r("CASE WHEN ru IS NULL OR rd IS NULL THEN NULL WHEN rd = 0 AND ru = 0 THEN NULL WHEN rd = 0 THEN 100.0 ELSE 100.0 - 100.0 / (1.0 + ru / rd) END")} AS rsi_14_1d,
+  {sqlsrc.rnd("macd_line - macd_signal", 4)} AS macd_hist_1d, {sqlsrc.rnd(ewm_col("dx", 1 / 14, "sdx", "dxs"), 4)} AS adx_14_1d
+FROM z""")

@@ -460,3 +460,35 @@ SELECT {KS}, open_time, coalesce(CAST(sma_20d > sma_50d AS INTEGER), 0) AS trend
   {r("CASE WHEN ru IS NULL OR rd IS NULL THEN NULL WHEN rd = 0 AND ru = 0 THEN NULL WHEN rd = 0 THEN 100.0 ELSE 100.0 - 100.0 / (1.0 + ru / rd) END")} AS rsi_14_1d,
   {sqlsrc.rnd("macd_line - macd_signal", 4)} AS macd_hist_1d, {sqlsrc.rnd(ewm_col("dx", 1 / 14, "sdx", "dxs"), 4)} AS adx_14_1d
 FROM z""")
+
+
+def _g4_sql_body():
+    ctx = SQL["i18_i19_swing_context"]
+    head = ctx[:ctx.rindex("SELECT")].rstrip() + ","
+    return head + f"""
+zn AS (SELECT *, coalesce(close > ema_slow AND close < ema_fast AND up, FALSE) AS in_zone_long,
+         coalesce(close < ema_slow AND close > ema_fast AND down, FALSE) AS in_zone_short,
+         lag(high) OVER w AS prev_high, lag(low) OVER w AS prev_low, atr_value < atr_sma AS low_volatility FROM g {WIN}),
+st AS (SELECT *, in_zone_long AND NOT coalesce(lag(in_zone_long) OVER w, FALSE) AS sl,
+         in_zone_short AND NOT coalesce(lag(in_zone_short) OVER w, FALSE) AS ss FROM zn {WIN}),
+rs AS (SELECT *, max(CASE WHEN sl THEN bar_idx END) OVER (w ROWS UNBOUNDED PRECEDING) AS run_l,
+         max(CASE WHEN ss THEN bar_idx END) OVER (w ROWS UNBOUNDED PRECEDING) AS run_s FROM st {WIN}),
+pb AS (SELECT *, CASE WHEN in_zone_long THEN min(low) OVER (PARTITION BY {KS}, in_zone_long, run_l ORDER BY bar_idx
+                    ROWS UNBOUNDED PRECEDING) END AS pullback_low,
+         CASE WHEN in_zone_short THEN max(high) OVER (PARTITION BY {KS}, in_zone_short, run_s ORDER BY bar_idx
+                    ROWS UNBOUNDED PRECEDING) END AS pullback_high FROM rs),
+fs AS (SELECT *, coalesce(up AND pullback_low IS NOT NULL AND atr_decreasing AND close > prev_high AND close > open
+                   AND NOT coalesce(low_volatility, FALSE), FALSE) AS long_setup,
+         coalesce(down AND pullback_high IS NOT NULL AND atr_decreasing AND close < prev_low AND close < open
+                   AND NOT coalesce(low_volatility, FALSE), FALSE) AS short_setup FROM pb)"""
+
+
+SQL["g4_swing_setups"] = _g4_sql_body() + f"""
+SELECT {KS}, open_time, in_zone_long, in_zone_short, long_setup, short_setup,
+  {r("pullback_low")} AS pullback_low, {r("pullback_high")} AS pullback_high FROM fs"""
+
+SQL["g5_regime_alerts"] = _g4_sql_body() + f""",
+al AS (SELECT *, coalesce(up AND up <> lag(up) OVER w, FALSE) AS au, coalesce(down AND down <> lag(down) OVER w, FALSE) AS ad
+       FROM fs {WIN})
+SELECT {KS}, open_time, CASE WHEN au THEN 'trending_up' WHEN ad THEN 'trending_down' WHEN long_setup THEN 'long_entry'
+  WHEN short_setup THEN 'short_entry' END AS alert FROM al WHERE au OR ad OR long_setup OR short_setup"""

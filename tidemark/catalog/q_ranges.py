@@ -178,3 +178,35 @@ def l9_simple_imbalance(spark, sf):
 
 
 QUERIES["l9_simple_imbalance"] = l9_simple_imbalance
+
+
+def _l9_sql():
+    from tidemark.catalog.q_indicators import IDX_CTE, WIN, _seed_col, ewm_expr, rows, strict_sql
+    return IDX_CTE + f""", t AS (SELECT *, CASE WHEN lag(close) OVER w IS NULL THEN high - low ELSE
+  greatest(high - low, abs(high - lag(close) OVER w), abs(low - lag(close) OVER w)) END AS tr,
+  abs(close - open) AS body FROM b {WIN}),
+s AS (SELECT *, avg(tr) OVER {rows(14)} AS sma_tr, {strict_sql("avg", "body", 20)} AS bs FROM t {WIN}),
+x AS (SELECT *, {_seed_col("sma_tr", 13, "x13")} FROM s),
+a AS (SELECT *, {ewm_expr("tr", 1 / 14, 13, "x13")} AS atr FROM x),
+n AS (SELECT *, coalesce(bs < 0.5 * atr, FALSE) AS is_narrow FROM a),
+st AS (SELECT *, is_narrow AND NOT coalesce(lag(is_narrow) OVER w, FALSE) AS stt FROM n {WIN}),
+rs AS (SELECT *, CASE WHEN is_narrow THEN max(CASE WHEN stt THEN bar_idx END) OVER (w ROWS UNBOUNDED PRECEDING) END AS run_start
+       FROM st {WIN}),
+ch AS (SELECT *, bar_idx - run_start + 1 AS cons_bars,
+         CASE WHEN run_start IS NOT NULL THEN max(high) OVER (PARTITION BY {KS}, run_start ORDER BY bar_idx ROWS UNBOUNDED PRECEDING) END AS cons_high,
+         CASE WHEN run_start IS NOT NULL THEN min(low) OVER (PARTITION BY {KS}, run_start ORDER BY bar_idx ROWS UNBOUNDED PRECEDING) END AS cons_low
+       FROM rs),
+lw AS (SELECT *, list({{'i': bar_idx, 'h': high, 'l': low, 'v': volume}}) OVER (w ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS win
+       FROM ch {WIN}),
+vv AS (SELECT *,
+    coalesce(list_sum(list_transform(list_filter(win, lambda x: x.i >= run_start AND x.h >= 0.99 * cons_high), lambda x: x.v)), 0.0) AS vh,
+    coalesce(list_sum(list_transform(list_filter(win, lambda x: x.i >= run_start AND x.l <= 1.01 * cons_low), lambda x: x.v)), 0.0) AS vl
+  FROM lw WHERE is_narrow AND cons_bars >= 5),
+im AS (SELECT *, CASE WHEN vh > 0 AND vl > 0 THEN (vh - vl) / greatest(vh, vl) * 100 ELSE 0.0 END AS simple_imbalance FROM vv)
+SELECT {KS}, open_time, run_start, cons_bars, cons_high, cons_low, {rs('vh')} AS vol_at_high, {rs('vl')} AS vol_at_low,
+  {rs('simple_imbalance')} AS simple_imbalance,
+  CASE WHEN abs(simple_imbalance) >= 15.0 THEN CASE WHEN simple_imbalance > 0 THEN 'Resistance' ELSE 'Support' END END AS simple_type
+FROM im"""
+
+
+SQL["l9_simple_imbalance"] = _l9_sql()

@@ -30,3 +30,18 @@ def bars_1d(spark: SparkSession, sf: str) -> DataFrame:
 
 
 R6 = 6  # decimals for doubles compared against the SQL oracle
+
+
+_SHARED: dict[str, object] = {}
+
+
+def shared(spark: SparkSession, sf: str, name: str, build):
+    """A per-application cache of intermediate results several registered
+    queries start from (e.g. live-range events, grid trades).  The result is
+    cut from its lineage with a reliable checkpoint, so later queries reuse
+    it instead of recomputing, and executor loss only re-reads the files."""
+    from tidemark.session import cut_lineage
+    key = f"{spark.sparkContext.applicationId}:{sf}:{name}"
+    if key not in _SHARED:
+        _SHARED[key] = cut_lineage(build())
+    return _SHARED[key]

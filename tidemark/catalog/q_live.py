@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog.common import bars_all, prep
+from tidemark.catalog.common import bars_all, prep, shared
+from tidemark.catalog.q_outcomes import _grid as _grid_trades
 from tidemark.operators import outcomes as B
 from tidemark.operators import ranges as L
 from tidemark.operators import signals as G
@@ -18,7 +19,7 @@ K = ["exchange", "symbol", "interval"]
 
 
 def _events(spark, sf):
-    return L.live_ranges(bars_all(spark, sf))
+    return shared(spark, sf, "live_ranges", lambda: L.live_ranges(bars_all(spark, sf)))
 
 
 def l5_l14_live_ranges(spark, sf):
@@ -91,7 +92,7 @@ def b20_swing_trades(spark, sf):
 
 
 def _grid(spark, sf):
-    t = B.signal_backtest(G.momentum_signals(bars_all(spark, sf)), "sig_breakout_long", run_id="r1")
+    t = _grid_trades(spark, sf)
     return t.withColumn("trade_id", F.sha2(F.concat_ws("::", *[F.col(k) for k in K], F.col("entry_time_utc").cast("string"),
                                                        F.col("max_hold_bars").cast("string"),
                                                        F.col("atr_mult_stop").cast("string")), 256))

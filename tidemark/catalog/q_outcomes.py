@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog import sqlsrc
-from tidemark.catalog.common import bars_all, prep
+from tidemark.catalog.common import bars_all, prep, shared
 from tidemark.functions import clean as C
 from tidemark.operators import indicators as I
 from tidemark.operators import joins as J
@@ -337,7 +337,8 @@ FROM m"""
 # ------------------------------------------------------ grid backtest (R)
 
 def _grid(spark, sf):
-    return B.signal_backtest(G.momentum_signals(bars_all(spark, sf)), "sig_breakout_long", run_id="r1")
+    return shared(spark, sf, "grid_trades", lambda: B.signal_backtest(
+        G.momentum_signals(bars_all(spark, sf)), "sig_breakout_long", run_id="r1"))
 
 
 def b7_b10_signal_backtest(spark, sf):

@@ -347,14 +347,19 @@ def g1_g3_momentum_signals(spark, sf):
     return d.select(*K, "open_time", "sig_breakout_long", "sig_pullback_long", "sig_vol_squeeze_breakout")
 
 
+def swing_setups_shared(spark, sf):
+    from tidemark.catalog.common import shared
+    return shared(spark, sf, "swing_setups", lambda: G.swing_setups(bars_all(spark, sf)))
+
+
 def g4_swing_setups(spark, sf):
-    d = G.swing_setups(bars_all(spark, sf))
+    d = swing_setups_shared(spark, sf)
     return sel(d, ["pullback_low", "pullback_high"], extra=["in_zone_long", "in_zone_short", "long_setup",
                                                             "short_setup"])
 
 
 def g5_regime_alerts(spark, sf):
-    d = G.regime_alerts(G.swing_setups(bars_all(spark, sf)))
+    d = G.regime_alerts(swing_setups_shared(spark, sf))
     return d.where(F.col("alert").isNotNull()).select(*K, "open_time", "alert")
 
 

@@ -88,7 +88,8 @@ def b19_scaled_exits(spark, sf):
 
 
 def b20_swing_trades(spark, sf):
-    return B.swing_trades(G.swing_setups(bars_all(spark, sf)))
+    from tidemark.catalog.q_indicators import swing_setups_shared
+    return B.swing_trades(swing_setups_shared(spark, sf))
 
 
 def _grid(spark, sf):

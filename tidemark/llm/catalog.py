@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["op8_mixing"]
+MODULES = ["op6_chat", "op8_mixing"]
 
 
 def load() -> tuple[dict, dict]:

@@ -19,8 +19,9 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables, read in full."""
+    """One of the given tables, read in full.  Arrow batches are kept short, as a row may be a very long text."""
     utc(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

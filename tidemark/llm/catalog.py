@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["op2_simhash", "op6_chat", "op7_decontaminate", "op8_mixing", "op9_warc"]
+MODULES = ["op2_simhash", "op3_lines", "op6_chat", "op7_decontaminate", "op8_mixing", "op9_warc"]
 
 
 def load() -> tuple[dict, dict]:

@@ -80,23 +80,37 @@ def bucket_blocks(rows: DataFrame, key: str, member: str, order: str, block: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_k, held_m = np.empty(0, np.int64), np.empty(0, np.int64)
+        first = open_key = None  # the partition's first key; the key of which a block has gone out already
 
         def emit(k: np.ndarray, m: np.ndarray, last: bool):
-            """Blocks of the complete buckets; the unfinished tail is carried on."""
+            """The complete blocks and what is carried on.  A bucket of one member goes out only at
+            the partition's borders, where its neighbour may hold more of it."""
+            nonlocal open_key
             if not len(k):
                 return None, k, m
             start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-            run = np.arange(len(k)) - np.repeat(start, np.diff(np.r_[start, len(k)]))
-            cuts = np.flatnonzero(run % block == 0)
+            size = np.diff(np.r_[start, len(k)])
+            place = np.arange(len(k)) - np.repeat(start, size)
+            cuts = np.flatnonzero(place % block == 0)
             keep = len(k) if last else cuts[-1]
             cuts = cuts[cuts < keep]
             if not len(cuts):
                 return None, k, m
-            offsets = np.r_[cuts, keep].astype(np.int32)
-            arr = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(m[:keep], pa.int64()))
+            ends = np.r_[cuts[1:], keep]
+            alone = np.repeat(size, size)[cuts] == 1
+            alone &= (k[cuts] != first) & (k[cuts] != open_key)
+            if last:
+                alone &= k[cuts] != k[-1]
+            open_key = k[cuts[-1]]
+            cuts, ends = cuts[~alone], ends[~alone]
+            take = np.repeat(cuts - np.r_[0, np.cumsum(ends - cuts)[:-1]], ends - cuts) + np.arange((ends - cuts).sum())
+            offsets = np.r_[0, np.cumsum(ends - cuts)].astype(np.int32)
+            arr = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(m[take], pa.int64()))
             return pa.RecordBatch.from_arrays([pa.array(k[cuts], pa.int64()), arr], ["k", "members"]), k[keep:], m[keep:]
 
         for b in batches:
+            if first is None and b.num_rows:
+                first = b.column(0)[0].as_py()
             held_k = np.r_[held_k, b.column(0).to_numpy()]
             held_m = np.r_[held_m, b.column(2).to_numpy()]
             out, held_k, held_m = emit(held_k, held_m, False)

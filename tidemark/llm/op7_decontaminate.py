@@ -47,22 +47,17 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-class WordHash:
+class WordHash(dict):
     """XXH64 of words, remembered for up to a million of them."""
 
-    def __init__(self):
-        self.known: dict[str, int] = {}
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
 
     def __call__(self, ws: list[str]) -> np.ndarray:
-        known = self.known
-        try:
-            return np.array([known[w] for w in ws], np.uint64)
-        except KeyError:
-            if len(known) > 1_000_000:
-                known.clear()
-            for w in set(ws) - known.keys():
-                known[w] = xxhash.xxh64_intdigest(w)
-            return np.array([known[w] for w in ws], np.uint64)
+        return np.fromiter(map(self.__getitem__, ws), np.uint64, len(ws))
 
 
 def shingle_hashes(h: np.ndarray, k: int = SHINGLE) -> np.ndarray:
@@ -169,7 +164,7 @@ def containment_pairs(docs: DataFrame, items: DataFrame, containment: float = CO
                 if not t:
                     continue
                 s = shingle_hashes(hashed(words(t)))
-                if len(s) and known[s >> np.uint64(64 - TABLE_BITS)].any():
+                if len(s) and _marked(known, s):
                     hit.append(n)
                     found.append(window_keys(s, classes).view(np.int64))
             if hit:
@@ -210,13 +205,25 @@ def containment_pairs(docs: DataFrame, items: DataFrame, containment: float = CO
     return texts.join(listed, "row_key").mapInArrow(verify, pair_schema)
 
 
+def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two slots of the bit table per shingle hash."""
+    return h >> np.uint64(64 - TABLE_BITS), (h >> np.uint64(64 - 2 * TABLE_BITS)) & np.uint64((1 << TABLE_BITS) - 1)
+
+
+def _marked(known: np.ndarray, h: np.ndarray) -> bool:
+    first, second = _places(h)
+    hit = known[first]
+    return bool(hit.any() and known[second[hit]].any())
+
+
 def _slots(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(bits, bool)
         back = np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
         for b in batches:
             h = b.column(1).to_numpy().view(np.uint64) * back ^ b.column(0).to_numpy().astype(np.uint64)
-            slots[h >> np.uint64(64 - TABLE_BITS)] = True
+            for place in _places(h):
+                slots[place] = True
         if slots.any():
             yield pa.RecordBatch.from_arrays([pa.array([np.packbits(slots).tobytes()], pa.binary())], ["slots"])
     return run

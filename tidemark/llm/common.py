@@ -54,6 +54,11 @@ def drop_table(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def packed(docs: DataFrame, **named) -> DataFrame:
+    """``row`` (a struct of all columns of ``docs``) and the ``named`` expressions over them; ``row.*`` unpacks."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in named.items()])
+
+
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session, for explicit range partitioning."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -66,28 +71,46 @@ def salted(n_salts: int, *cols: str):
 
 # ---------------------------------------------------------------- bucket blocks
 
-def bucket_blocks(rows: DataFrame, key: str, member: str, order: str, block: int) -> DataFrame:
+#: Largest bucket whose members' sketches are all compared with each other.
+LAGS = 32
+
+
+def bucket_blocks(rows: DataFrame, key: str, member: str, order: str, block: int, differing: int | None = None) -> DataFrame:
     """Cut the members of every bucket into blocks of at most ``block``.
 
     ``rows`` has a long ``key``, a long ``member`` and a long ``order``.  The
     rows are range-partitioned by (key, order, member), so a bucket that holds
-    a third of all rows spreads over many tasks.  Returns (key, block_id,
-    members array<long> in that order).  Block ids are unique; a bucket
-    that one block holds whole has one row."""
+    a third of all rows spreads over many tasks.  Returns (k, block_id,
+    members array<long>, orders array<long>).  Block ids are unique.  Buckets of one member
+    are left out, but for those at a partition's border, which may go on in the next.
+
+    ``differing``: ``order`` is a 64-bit sketch, and a member of a bucket of up to ``LAGS`` that differs from
+    all others in more bits than this is left out as well (larger buckets and those at a border keep all members)."""
     n = partitions(rows)
     parts = (rows.select(F.col(key).alias("k"), F.col(order).alias("o"), F.col(member).alias("m"))
              .repartitionByRange(n, "k", "o", "m").sortWithinPartitions("k", "o", "m"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_k, held_m = np.empty(0, np.int64), np.empty(0, np.int64)
+        held_k, held_m, held_o = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         first = open_key = None  # the partition's first key; the key of which a block has gone out already
 
-        def emit(k: np.ndarray, m: np.ndarray, last: bool):
+        def partnered(k: np.ndarray, o: np.ndarray, size: np.ndarray) -> np.ndarray:
+            """Members that have a near sketch in their bucket, or whose bucket is too large to say."""
+            near = size > LAGS
+            for lag in range(1, min(LAGS, len(k))):
+                same = np.flatnonzero(k[lag:] == k[:-lag])
+                if not len(same):
+                    break
+                hit = same[np.bitwise_count((o[same] ^ o[same + lag]).view(np.uint64)) <= differing]
+                near[hit] = near[hit + lag] = True
+            return near
+
+        def emit(k: np.ndarray, m: np.ndarray, o: np.ndarray, last: bool):
             """The complete blocks and what is carried on.  A bucket of one member goes out only at
             the partition's borders, where its neighbour may hold more of it."""
             nonlocal open_key
             if not len(k):
-                return None, k, m
+                return None, k, m, o
             start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
             size = np.diff(np.r_[start, len(k)])
             place = np.arange(len(k)) - np.repeat(start, size)
@@ -95,47 +118,85 @@ def bucket_blocks(rows: DataFrame, key: str, member: str, order: str, block: int
             keep = len(k) if last else cuts[-1]
             cuts = cuts[cuts < keep]
             if not len(cuts):
-                return None, k, m
-            ends = np.r_[cuts[1:], keep]
-            alone = np.repeat(size, size)[cuts] == 1
-            alone &= (k[cuts] != first) & (k[cuts] != open_key)
-            if last:
-                alone &= k[cuts] != k[-1]
-            open_key = k[cuts[-1]]
-            cuts, ends = cuts[~alone], ends[~alone]
-            take = np.repeat(cuts - np.r_[0, np.cumsum(ends - cuts)[:-1]], ends - cuts) + np.arange((ends - cuts).sum())
-            offsets = np.r_[0, np.cumsum(ends - cuts)].astype(np.int32)
-            arr = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(m[take], pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array(k[cuts], pa.int64()), arr], ["k", "members"]), k[keep:], m[keep:]
+                return None, k, m, o
+            rest = k[keep:], m[keep:], o[keep:]
+            own, size = np.repeat(np.arange(len(size)), size)[:keep], np.repeat(size, size)[:keep]
+            k, m, o = k[:keep], m[:keep], o[:keep]
+            border = (k == first) | (k == open_key) | (last & (k == k[-1]))
+            open_key = k[-1]
+            stays = border | (size > 1 if differing is None else partnered(k, o, size))
+            k, m, o, own = k[stays], m[stays], o[stays], own[stays]
+            if not len(k):
+                return None, *rest
+            start = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            place = np.arange(len(k)) - np.repeat(start, np.diff(np.r_[start, len(k)]))
+            cuts = np.flatnonzero(place % block == 0)
+            ends = pa.array(np.r_[cuts, len(k)].astype(np.int32), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in (m, o)]
+            return pa.RecordBatch.from_arrays([pa.array(k[cuts], pa.int64()), *lists], ["k", "members", "orders"]), *rest
 
+        more: list[tuple[np.ndarray, ...]] = []
+        n = 0
         for b in batches:
             if first is None and b.num_rows:
                 first = b.column(0)[0].as_py()
-            held_k = np.r_[held_k, b.column(0).to_numpy()]
-            held_m = np.r_[held_m, b.column(2).to_numpy()]
-            out, held_k, held_m = emit(held_k, held_m, False)
+            more.append(tuple(b.column(i).to_numpy() for i in (0, 2, 1)))
+            n += b.num_rows
+            if n < 200_000:
+                continue
+            held_k, held_m, held_o = (np.concatenate([h, *x]) for h, x in zip((held_k, held_m, held_o), zip(*more)))
+            more, n = [], 0
+            out, held_k, held_m, held_o = emit(held_k, held_m, held_o, False)
             if out is not None:
                 yield out
-        out, _, _ = emit(held_k, held_m, True)
+        if more:
+            held_k, held_m, held_o = (np.concatenate([h, *x]) for h, x in zip((held_k, held_m, held_o), zip(*more)))
+        out, _, _, _ = emit(held_k, held_m, held_o, True)
         if out is not None:
             yield out
 
-    return (parts.mapInArrow(cut, "k long, members array<long>")
+    return (parts.mapInArrow(cut, "k long, members array<long>, orders array<long>")
             .withColumn("block_id", F.monotonically_increasing_id()))
 
 
 def block_units(blocks: DataFrame) -> DataFrame:
     """Work units of a materialized block table: every block with itself if it has
-    two members, and every two blocks of one bucket.  (a_members, b_members);
-    ``b_members`` is NULL for a block with itself.  Only buckets
+    two members, and every two blocks of one bucket.  (a, a_orders, b, b_orders), members and orders;
+    ``b`` is NULL for a block with itself.  Only buckets
     larger than one block (or cut by a partition border) reach the join."""
-    solo = (blocks.where(F.size("members") > 1)
-            .select(F.col("members").alias("a"), F.lit(None).cast("array<long>").alias("b")))
+    none = F.lit(None).cast("array<long>")
+    a = blocks.select("k", F.col("block_id").alias("ia"), F.col("members").alias("a"), F.col("orders").alias("a_orders"))
+    solo = a.where(F.size("a") > 1).select("a", "a_orders", none.alias("b"), none.alias("b_orders"))
     split = blocks.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
-    several = blocks.join(split, "k", "left_semi")
-    a = several.select("k", F.col("block_id").alias("ia"), F.col("members").alias("a"))
-    b = several.select("k", F.col("block_id").alias("ib"), F.col("members").alias("b"))
-    return solo.unionByName(a.join(b, "k").where("ia < ib").select("a", "b"))
+    several = a.join(split, "k", "left_semi")
+    b = several.select("k", F.col("ia").alias("ib"), F.col("a").alias("b"), F.col("a_orders").alias("b_orders"))
+    return solo.unionByName(several.join(b, "k").where("ia < ib").select("a", "a_orders", "b", "b_orders"))
+
+
+def near_members(units: DataFrame, differing: int) -> DataFrame:
+    """(unit, side, id): of work units (unit, a, a_orders, b, b_orders) whose orders are 64-bit sketches, the members that
+    differ from some member they are to be compared with in at most ``differing`` bits."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unit, side, ids = [], [], []
+            for r in range(batch.num_rows):
+                no, a, oa, b, ob = (batch.column(i)[r] for i in range(5))
+                a, oa = a.values.to_numpy(), oa.values.to_numpy().view(np.uint64)
+                if b.is_valid:
+                    near = np.bitwise_count(oa[:, None] ^ ob.values.to_numpy().view(np.uint64)[None, :]) <= differing
+                    parts = (a[near.any(axis=1)], b.values.to_numpy()[near.any(axis=0)])
+                else:
+                    near = np.bitwise_count(oa[:, None] ^ oa[None, :]) <= differing
+                    np.fill_diagonal(near, False)
+                    parts = (a[near.any(axis=1)],)
+                for s, x in enumerate(parts):
+                    unit.append(np.full(len(x), no.as_py(), np.int64))
+                    side.append(np.full(len(x), s, np.int32))
+                    ids.append(x)
+            cat = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
+            yield pa.RecordBatch.from_arrays([pa.array(cat(unit, np.int64)), pa.array(cat(side, np.int32)), pa.array(cat(ids, np.int64))], ["unit", "side", "id"])
+
+    return units.select("unit", "a", "a_orders", "b", "b_orders").mapInArrow(run, "unit long, side int, id long")
 
 
 # ---------------------------------------------------------------- union-find

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import block_units, bucket_blocks, components, local_forest, materialize, table
+from tidemark.llm.common import block_units, bucket_blocks, components, local_forest, materialize, packed, table
 
 SHINGLE = 4
 MAX_DISTANCE = 4
@@ -203,7 +203,7 @@ def hamming_links(codes: DataFrame, distance: int = MAX_DISTANCE, block: int = B
     keyed = codes.select("fp", gray_rank(F.col("fp")).alias("gray"), F.explode(F.array(
         *[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(masks)])).alias("key"))
     blocks = materialize(bucket_blocks(keyed, "key", "fp", "gray", block), "simhash-blocks")
-    return block_units(blocks).mapInArrow(_search(distance), "a long, b long")
+    return block_units(blocks).select("a", "b").mapInArrow(_search(distance), "a long, b long")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -222,10 +222,10 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
     among rows of one id that with the smallest row key, among identical rows any."""
     marked = simhash_components(docs.select("doc_id", "text"), **params)
     first = marked.groupBy("root_fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("m"))
-    keep = first.select(F.col("m.row_key").alias("_row_key")).distinct()
-    kept = docs.withColumn("_row_key", row_key("doc_id", "text")).join(keep, "_row_key", "left_semi")
-    nth = Window.partitionBy("_row_key").orderBy(F.lit(0))
-    return kept.withColumn("_nth", F.row_number().over(nth)).where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keep = first.select(F.col("m.row_key").alias("key")).distinct()
+    kept = packed(docs, key=row_key("doc_id", "text")).join(keep, "key", "left_semi")
+    nth = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))
+    return kept.withColumn("nth", nth).where("nth = 1").select("row.*")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

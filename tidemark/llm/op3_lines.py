@@ -5,8 +5,11 @@ space runs as one space, trimmed.  Lines equal in that form are one node, so fre
 never meet in a task.  A node's set is its character shingles of ``SHINGLE`` code points (a shorter line
 is one shingle); two nodes link if the sets' Jaccard similarity is at least ``SIMILARITY`` (0.8).
 
-Candidates: one-permutation MinHash of ``BANDS * ROWS`` densified bins, one key per band.  At a
-similarity of 0.8 a pair shares a band with probability 0.997, at 0.85 with 0.9995.
+Candidates: one-permutation MinHash with densified bins, one key per band of ``rows`` bins.  ``banding`` chooses rows and bands by
+the number of lines: buckets stay small at any size, and at a similarity of 0.8 a pair shares a band with
+probability 0.996 (0.9996 at 0.85).  With a key goes a sketch of one bit from each of 64 bins; in a bucket a line
+whose sketch differs from all others in over ``DIFFERING`` bits is no candidate (at 0.8 the sketches differ in 6 bits on
+average, in over 18 about once in 100,000 pairs).
 Band buckets are cut into blocks (a hot bucket spreads over many tasks), each block and each two blocks of a
 bucket are verified in a task on the lines' exact shingle sets; pairs that are already connected are skipped,
 and only a spanning forest of the links leaves the task.  Distributed union-find gives the
@@ -21,6 +24,7 @@ them get the same result; an empty table gives no rows; other columns are kept b
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +34,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import UnionFind, block_units, bucket_blocks, components, materialize, table
+from tidemark.llm.common import UnionFind, block_units, bucket_blocks, components, materialize, near_members, packed, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 8, 3
+SKETCH_BINS = 64
+DIFFERING = 18
+MISSED = 0.0035
 BLOCK = 256
-#: Bits of the table of nodes whose text is wanted: 16 MB in a task, whatever their number.
+#: Bits of the table of lines whose text is wanted: 16 MB in a task, whatever their number.
 TABLE_BITS = 27
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -51,12 +57,19 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """(lines, BANDS) keys of non-empty normalized lines, as int64."""
-    bins = BANDS * ROWS
+def banding(lines: int, similarity: float = SIMILARITY) -> tuple[int, int]:
+    """(bands, rows): one more row for each five-fold growth past 2.5 million lines, and as many bands as
+    keep the share of missed pairs at ``similarity`` under ``MISSED``."""
+    rows = max(4, 4 + math.ceil(math.log(max(1, lines) / 2.6e6) / math.log(5)))
+    return math.ceil(math.log(MISSED) / math.log(1 - similarity ** rows)), rows
+
+
+def band_keys(lines: list[str], bands: int, rows: int) -> np.ndarray:
+    """(lines, bands + 1) of non-empty normalized lines, as int64: the band keys, then the sketch."""
+    bins = max(SKETCH_BINS, bands * rows)
     padded = [x if len(x) >= SHINGLE else x.ljust(SHINGLE) for x in lines]
     lengths = np.fromiter(map(len, padded), np.int64, len(padded))
-    out = np.empty((len(lines), BANDS), np.uint64)
+    out = np.empty((len(lines), bands + 1), np.uint64)
     lo = 0
     while lo < len(lines):  # runs of about a million code points, or one longer line
         hi = max(lo + 1, int(np.searchsorted(np.cumsum(lengths[lo:]), 1 << 20, side="right")) + lo)
@@ -83,10 +96,12 @@ def band_keys(lines: list[str]) -> np.ndarray:
             dense[r[ok], c[ok]] = sketch[r[ok], source[ok]]
             todo[r[ok], c[ok]] = False
         sketch = dense
-        key = np.full((n, BANDS), np.uint64(1))
-        for i in range(ROWS):
-            key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + sketch[:, i * BANDS:(i + 1) * BANDS])
-        out[lo:hi] = _mix(key + np.arange(BANDS, dtype=np.uint64))
+        key = np.full((n, bands), np.uint64(1))
+        for i in range(rows):
+            key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + sketch[:, i * bands:(i + 1) * bands])
+        out[lo:hi, :bands] = _mix(key + np.arange(bands, dtype=np.uint64))
+        bits = (_mix(sketch[:, :SKETCH_BINS] + np.arange(SKETCH_BINS, dtype=np.uint64)) >> np.uint64(63)) << np.arange(SKETCH_BINS, dtype=np.uint64)
+        out[lo:hi, bands] = np.bitwise_or.reduce(bits, axis=1)
         lo = hi
     return out.view(np.int64)
 
@@ -106,35 +121,36 @@ def _row_columns(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per non-blank line: its document, number, digest and band keys."""
-    for b in batches:
-        row, pos, lines = [], [], []
-        size = 0
-
-        def out():
-            digests = [hashlib.md5(x.encode("utf-8", "surrogatepass")).digest() for x in lines]
-            keys = band_keys(lines)
-            at = pa.array(row, pa.int64())
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
-            return pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(pos, pa.int32()),
-                                               pa.array(digests, pa.binary()), bands],
-                                              ["doc_id", "text_hash", "pos", "line", "bands"])
-
-        for i, t in enumerate(b.column(2)):
-            t = t.as_py()
-            for n, x in enumerate(t.split("\n") if t else ()):
-                x = normal(x)
-                if x:
-                    row.append(i)
-                    pos.append(n)
-                    lines.append(x)
-                    size += len(x)
-            if size > 4 << 20:
+def _lines(bands: int, rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per non-blank line: its document, number, digest, band keys and sketch."""
+        for b in batches:
+            row, pos, lines = [], [], []
+            size = 0
+
+            def out():
+                digests = [hashlib.md5(x.encode("utf-8", "surrogatepass")).digest() for x in lines]
+                keys = band_keys(lines, bands, rows)
+                at = pa.array(row, pa.int64())
+                own = pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1) * bands, pa.int32()), pa.array(keys[:, :bands].ravel()))
+                return pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(pos, pa.int32()), pa.array(digests, pa.binary()),
+                                                   own, pa.array(np.ascontiguousarray(keys[:, bands]))], ["doc_id", "text_hash", "pos", "line", "bands", "sketch"])
+
+            for i, t in enumerate(b.column(2)):
+                t = t.as_py()
+                for n, x in enumerate(t.split("\n") if t else ()):
+                    x = normal(x)
+                    if x:
+                        row.append(i)
+                        pos.append(n)
+                        lines.append(x)
+                        size += len(x)
+                if size > 4 << 20:
+                    yield out()
+                    row, pos, lines, size = [], [], [], 0
+            if lines:
                 yield out()
-                row, pos, lines, size = [], [], [], 0
-        if lines:
-            yield out()
+    return run
 
 
 def _verify(least: float):
@@ -157,65 +173,78 @@ def _verify(least: float):
     return run
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(line, text) of the wanted nodes, read from the documents again.  A bit table of fixed
-    size holds back the others; the join that follows is exact."""
-    bits = 1 << TABLE_BITS
-    slot = lambda d: (d[0] | d[1] << 8 | d[2] << 16 | d[3] << 24) & (bits - 1)
+def _slot(row: int, pos: int) -> int:
+    """Slot of a line (``pos`` -1: of its document) in the bit table."""
+    h = (row + (pos + 1) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
+    h = (h ^ (h >> 31)) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
+    return (h ^ (h >> 29)) & ((1 << TABLE_BITS) - 1)
 
+
+def _texts(three: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, text) of the wanted lines (id, doc_id, text_hash, pos), read from the documents again.  A bit
+    table of fixed size holds back most others; the join that follows is exact."""
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = np.zeros(bits // 8, np.uint8)
+        got = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
         for b in batches:
-            for d in b.column(0).to_pylist():
-                s = slot(d)
-                got[s >> 3] |= 1 << (s & 7)
+            for r, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for s in (_slot(r, -1), _slot(r, p)):
+                    got[s >> 3] |= 1 << (s & 7)
         used = np.flatnonzero(got)
         if len(used):
             yield pa.RecordBatch.from_arrays([pa.array([used.astype(np.int32).tobytes()], pa.binary()),
                                               pa.array([got[used].tobytes()], pa.binary())], ["at", "byte"])
 
-    marks = np.zeros(bits // 8, np.uint8)
-    for part in wanted.select("line").mapInArrow(fill, "at binary, byte binary").toLocalIterator():  # at most 16 MB each
+    row = F.xxhash64("doc_id", "text_hash")
+    marks = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
+    for part in wanted.select(row.alias("row"), "pos").mapInArrow(fill, "at binary, byte binary").toLocalIterator():
         marks[np.frombuffer(part["at"], np.int32)] |= np.frombuffer(part["byte"], np.uint8)
-    sent = docs.sparkSession.sparkContext.broadcast(marks.tobytes())
+    sent = three.sparkSession.sparkContext.broadcast(marks.tobytes())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
+
+        def marked(r: int, p: int) -> bool:
+            s = _slot(r, p)
+            return bool(known[s >> 3] >> (s & 7) & 1)
+
         for b in batches:
-            found = {}
-            for t in b.column(0):
+            at, pos, found = [], [], []
+            for i, (r, t) in enumerate(zip(b.column(3).to_pylist(), b.column(2))):
+                if not marked(r, -1):
+                    continue
                 t = t.as_py()
-                for x in t.split("\n") if t else ():
-                    x = normal(x)
-                    if x:
-                        d = hashlib.md5(x.encode("utf-8", "surrogatepass")).digest()
-                        s = slot(d)
-                        if known[s >> 3] >> (s & 7) & 1:
-                            found[d] = x
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.string())], ["line", "text"])
+                for p, x in enumerate(t.split("\n") if t else ()):
+                    if marked(r, p) and (x := normal(x)):
+                        at.append(i)
+                        pos.append(p)
+                        found.append(x)
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(pos, pa.int32()), pa.array(found, pa.string())],
+                                             ["_id", "_hash", "_pos", "text"])
 
-    return docs.select("text").mapInArrow(scan, "line binary, text string").dropDuplicates(["line"])
+    seen = three.select("doc_id", "text_hash", "text", row.alias("row")).mapInArrow(scan, "_id long, _hash long, _pos int, text string")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) & (F.col("pos") == F.col("_pos"))
+    return wanted.join(seen, same).select("id", "text").dropDuplicates(["id"])
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, text_hash, removed array<int>): the line numbers that go, for documents that lose any."""
     three = _row_columns(docs)
-    lines = materialize(three.mapInArrow(_lines, "doc_id long, text_hash long, pos int, line binary, bands array<long>"), "lines")
-    place = F.struct(F.col("doc_id").isNull().alias("anon"), "doc_id", "text_hash", "pos", "bands")
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    count = docs.agg(F.sum(breaks.cast("long") + 1)).first()[0] or 0
+    lines = materialize(three.mapInArrow(_lines(*banding(count, similarity)), "doc_id long, text_hash long, pos int, line binary, bands array<long>, sketch long"), "lines")
+    place = F.struct(F.col("doc_id").isNull().alias("anon"), "doc_id", "text_hash", "pos", "sketch", "bands")
     nodes = materialize(lines.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                         .withColumn("id", F.monotonically_increasing_id()), "line-nodes")
-    keyed = nodes.select("id", F.explode("first.bands").alias("key"))
-    blocks = materialize(bucket_blocks(keyed, "key", "id", "id", BLOCK), "line-blocks")
-    units = materialize(block_units(blocks).distinct().withColumn("unit", F.monotonically_increasing_id()), "line-units")
-    members = (units.select("unit", F.lit(0).alias("side"), F.explode("a").alias("id"))
-               .unionByName(units.where("b IS NOT NULL").select("unit", F.lit(1).alias("side"), F.explode("b").alias("id"))))
-    wanted = materialize(members.select("id").distinct().join(nodes.select("id", "line"), "id"), "line-wanted")
-    texts = wanted.join(_texts(three, wanted), "line").select("id", "text")
-    sets = members.join(texts, "id").groupBy("unit").agg(F.collect_list(F.struct("side", "id", "text")).alias("members"))
+    keyed = nodes.select("id", "first.sketch", F.explode("first.bands").alias("key"))
+    blocks = materialize(bucket_blocks(keyed, "key", "id", "sketch", BLOCK, DIFFERING), "line-blocks")
+    units = block_units(blocks).dropDuplicates(["a", "b"]).withColumn("unit", F.monotonically_increasing_id())
+    members = materialize(near_members(materialize(units, "line-units"), DIFFERING), "line-members")
+    spot = F.struct("first.anon", "first.doc_id", "first.text_hash", "first.pos")
+    wanted = materialize(members.select("id").distinct().join(nodes.select("id", spot.alias("spot")), "id").select("id", "spot.*").drop("anon"), "line-wanted")
+    sets = members.join(_texts(three, wanted), "id").groupBy("unit").agg(F.collect_list(F.struct("side", "id", "text")).alias("members"))
     cc = components(sets.select("members").mapInArrow(_verify(similarity), "a long, b long"), "line-cc")
 
-    spot = F.struct("first.anon", "first.doc_id", "first.text_hash", "first.pos")
     named = nodes.select("id", "line", "n", spot.alias("spot")).join(cc, F.col("id") == F.col("node"), "left")
     fuzzy = named.where("root IS NOT NULL")
     kept = fuzzy.groupBy("root").agg(F.min("spot").alias("kept"))
@@ -238,10 +267,13 @@ def _without(text: pd.Series, removed: pd.Series) -> pd.Series:
 
 
 def _marked(docs: DataFrame, similarity: float) -> DataFrame:
-    gone = removed_lines(docs, similarity).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed"))
-    j = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
-    touched = F.col("_removed").isNotNull()
-    return j.withColumn("_text", F.when(touched, _without(F.when(touched, F.col("text")), F.col("_removed"))).otherwise(F.col("text")))
+    """(row struct, text, removed): the text without the removed lines; the row is packed, so that no column name clashes."""
+    gone = removed_lines(docs, similarity).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "removed")
+    rows = packed(docs)
+    j = rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("hash")), "left")
+    touched = F.col("removed").isNotNull()
+    cut = _without(F.when(touched, F.col("row.text")), F.col("removed"))
+    return j.select("row", F.when(touched, cut).otherwise(F.col("row.text")).alias("text"), "removed")
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -251,10 +283,10 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     def column(c: str) -> Column:
         if c == "text":
-            return F.col("_text").alias("text")
-        if c == "n_chars" and "text" in docs.columns:
-            return F.when(F.col("_removed").isNotNull(), F.length("_text")).otherwise(F.col("n_chars")).cast(docs.schema[c].dataType).alias(c)
-        return F.col(f"`{c}`")
+            return F.col("text")
+        if c == "n_chars":
+            return F.when(F.col("removed").isNotNull(), F.length("text")).otherwise(F.col("row.n_chars")).cast(docs.schema[c].dataType).alias(c)
+        return F.col("row").getField(c).alias(c)
 
     return out.select(*[column(c) for c in docs.columns])
 
@@ -262,8 +294,8 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_removed, removed (line numbers) and text without them, of every document."""
     out = _marked(table(spark, sf_dir, "documents").select("doc_id", "text"), SIMILARITY)
-    return out.select("doc_id", F.coalesce(F.size("_removed"), F.lit(0)).alias("n_removed"),
-                      F.coalesce("_removed", F.array().cast("array<int>")).alias("removed"), F.col("_text").alias("text"))
+    return out.select("row.doc_id", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
+                      F.coalesce("removed", F.array().cast("array<int>")).alias("removed"), "text")
 
 
 QUERIES = {"op3_lines": op3_lines}

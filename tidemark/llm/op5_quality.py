@@ -33,7 +33,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, table
+from tidemark.llm.common import materialize, packed, table
 
 LABELLED = 20_000
 LEXICON = 1_500
@@ -81,7 +81,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -
            .groupBy("doc_id").agg((1 - F.min("quality")).alias("low"), F.max("toxic").alias("toxic")))
     few = one.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(limit)
     few = materialize(few.select(F.col("doc_id").alias("_id"), "low", "toxic"), "labels")  # limit rows of 16 bytes
-    return materialize(docs.join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("text", "low", "toxic"), "labelled")
+    return materialize(docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("text", "low", "toxic"), "labelled")
 
 
 def pick_lexicon(sample: DataFrame, target: str, size: int) -> list[str]:
@@ -197,9 +197,8 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column) ->
 
 def accepted(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
-    bad = classify(docs, labels, host, path).where("NOT accepted").select(F.col("row_key").alias("_row_key")).distinct()
-    kept = docs.withColumn("_row_key", row_key()).join(bad, "_row_key", "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = classify(docs, labels, host, path).where("NOT accepted").select("row_key").distinct()
+    return packed(docs, row_key=row_key()).join(bad, "row_key", "left_anti").select("row.*")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

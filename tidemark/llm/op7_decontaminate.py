@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, table
+from tidemark.llm.common import materialize, packed, table
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -231,9 +231,8 @@ def _slots(bits: int):
 
 def decontaminate(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """``docs`` without the documents that contain an item; clean documents stay as they are."""
-    bad = containment_pairs(docs, items, containment).select(F.col("row_key").alias("_row_key")).distinct()
-    kept = docs.withColumn("_row_key", row_key("doc_id", "text")).join(bad, "_row_key", "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = containment_pairs(docs, items, containment).select("row_key").distinct()
+    return packed(docs, row_key=row_key("doc_id", "text")).join(bad, "row_key", "left_anti").select("row.*")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,7 +105,8 @@ def features(candidate: str, before: str, after: str, path: str | None, log: lis
     n = len(candidate)
     count = Counter(candidate)
     digits, upper, lower = (sum(map(f, candidate)) for f in (str.isdigit, str.isupper, str.islower))
-    steps = [log[a * SYMBOLS + b] for a, b in zip(s := candidate.encode().translate(_SYMBOL), s[1:])]
+    signs = candidate.encode().translate(_SYMBOL)
+    steps = [log[a * SYMBOLS + b] for a, b in zip(signs, signs[1:])]
     kinds = [c.isdigit() + 2 * c.isupper() + 4 * c.islower() for c in candidate]
     run = best = 1
     for a, b in zip(candidate, candidate[1:]):
@@ -156,7 +157,7 @@ def labelled_findings(count: int = FINDINGS, seed: int = SEED, words: frozenset[
         if kind == 3:
             return chars(hexa, rng.choice([32, 64])), rng.choice(["md5 ", "md5sum: ", "sha256 digest ", "hash: ", "checksum "])
         if kind == 4:
-            return rng.choice([c := rng.choice("x0aXz1*".replace("*", "")), c]) * rng.randint(16, 30) + str(rng.randint(0, 9)), rng.choice(["token = \"", "password: ", "api_key="])
+            return rng.choice("x0aXz1") * rng.randint(16, 30) + str(rng.randint(0, 9)), rng.choice(["token = \"", "password: ", "api_key="])
         if kind == 5:
             return rng.choice(["0123456789abcdef", "1234567890123456", "abcdefghijklmnop1", "your-api-key-here-1", "insert_token_here_0", "my_secret_token_123"]), rng.choice(["token = \"", "key: ", "secret="])
         if kind == 6:

@@ -6,7 +6,6 @@ from tidemark.catalog import q_stream
 from tidemark.catalog.common import bars_all
 from tidemark.operators import outcomes as B
 from tidemark.operators import ranges as L
-from tidemark.operators import signals as G
 
 EV = ["exchange", "symbol", "interval", "bar_idx", "event", "range_start_idx", "range_type", "vol_degree"]
 
@@ -26,17 +25,6 @@ def test_live_ranges_block_invariant(spark):
     assert whole and whole == short_halo == long_halo
 
 
-def test_swing_trades_block_invariant(spark):
-    cols = ["exchange", "symbol", "interval", "entry_idx", "exit_idx", "side", "reason"]
-    whole = _rows(B.swing_trades(G.swing_setups(bars_all(spark, SF01))), cols)
-    spark.conf.set("tidemark.series.blockRows", "128")
-    try:
-        blocked = _rows(B.swing_trades(G.swing_setups(bars_all(spark, SF01)), halo=16), cols)
-    finally:
-        spark.conf.unset("tidemark.series.blockRows")
-    assert whole == blocked
-
-
 def test_stream_equals_batch(spark):
     batch = _rows(L.live_ranges(bars_all(spark, SF01)), EV)
     stream = _rows(q_stream.st3_stream_range_events(spark, SF01), EV)

@@ -47,6 +47,30 @@ def w2_bar_index(spark, sf):
     return series.index_series(bars_all(spark, sf)).select(*K, "open_time", "bar_idx")
 
 
+def w2_odd_labels(spark, sf):
+    """Bars whose interval label is unknown to the map, or NULL, and bars that share a time: all keep their place,
+    and scans over them (running volume, smoothed close) are those of their own series."""
+    from tidemark.sources import adapters as A
+    b = A.bars_events(spark, sf, "1h")
+    k = F.pmod(F.floor(F.col("open_time") / 3_600_000), F.lit(3))
+    b = b.withColumn("interval", F.when(k == 0, "1w").when(k == 2, F.col("interval")))
+    b = b.unionByName(b.where("volume >= 5").withColumn("close", F.col("close") + 1))
+    d = series.index_series(b)
+    d = series.running_sum(d, "volume", "volume_so_far")
+    d = series.ewm(d, [("close", 1.0, "last_close")])
+    return rnd(d.select(*K, "open_time", "bar_idx", "volume_so_far", "last_close"), ["volume_so_far", "last_close"])
+
+
+def _w2_odd_sql():
+    return f"""WITH e AS ({sqlsrc.bars_events('1h')}),
+l AS (SELECT * REPLACE (CASE (open_time // 3600000) % 3 WHEN 0 THEN '1w' WHEN 1 THEN NULL ELSE interval END AS interval) FROM e),
+b AS (SELECT * FROM l UNION ALL SELECT * REPLACE (close + 1 AS close) FROM l WHERE volume >= 5)
+SELECT {KS}, open_time, row_number() OVER w - 1 AS bar_idx, {r('sum(volume) OVER (w ROWS UNBOUNDED PRECEDING)')} AS volume_so_far,
+  {r('close')} AS last_close
+FROM b WINDOW w AS (PARTITION BY {KS} ORDER BY open_time, close_time, open, high, low, close, volume)"""
+
+
+SQL["w2_odd_labels"] = _w2_odd_sql()
 SQL["w2_bar_index"] = IDX_CTE + f" SELECT {KS}, open_time, bar_idx FROM b"
 
 
@@ -360,7 +384,7 @@ def g4_swing_setups(spark, sf):
 
 def g5_regime_alerts(spark, sf):
     d = G.regime_alerts(swing_setups_shared(spark, sf))
-    return d.where(F.col("alert").isNotNull()).select(*K, "open_time", "alert")
+    return d.select(*K, "open_time", "alert")
 
 
 for _n, _f in list(globals().items()):
@@ -495,5 +519,7 @@ SELECT {KS}, open_time, in_zone_long, in_zone_short, long_setup, short_setup,
 SQL["g5_regime_alerts"] = _g4_sql_body() + f""",
 al AS (SELECT *, coalesce(up AND up <> lag(up) OVER w, FALSE) AS au, coalesce(down AND down <> lag(down) OVER w, FALSE) AS ad
        FROM fs {WIN})
-SELECT {KS}, open_time, CASE WHEN au THEN 'trending_up' WHEN ad THEN 'trending_down' WHEN long_setup THEN 'long_entry'
-  WHEN short_setup THEN 'short_entry' END AS alert FROM al WHERE au OR ad OR long_setup OR short_setup"""
+SELECT {KS}, open_time, 'trending_up' AS alert FROM al WHERE au
+UNION ALL SELECT {KS}, open_time, 'trending_down' FROM al WHERE ad
+UNION ALL SELECT {KS}, open_time, 'long_entry' FROM al WHERE long_setup
+UNION ALL SELECT {KS}, open_time, 'short_entry' FROM al WHERE short_setup"""

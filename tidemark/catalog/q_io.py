@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import sqlsrc
 from tidemark.catalog.common import prep
+from tidemark.session import cut_lineage
 from tidemark.sources import adapters as A
 from tidemark.sources import io as IO
 from tidemark.streaming.streams import scratch
@@ -22,15 +23,22 @@ DECL = {"bigint": "INTEGER", "int": "INT", "double": "REAL", "string": "TEXT", "
 
 
 def s3_s4_s5_ddl(spark, sf):
-    """Declared types -> Spark types (affinity rules) and the planned DDL per table."""
+    """Declared types -> Spark types, a namespace and a table created from them,
+    the orders loaded into it and read back."""
     prep(spark)
-    rows = []
-    for t in ("orders", "lineitem", "events", "customer"):
-        sch = A.table(spark, sf, t).schema
-        decls = [(f.name, DECL.get(f.dataType.simpleString(), "NUMERIC"), False) for f in sch.fields]
-        rows.append((t, ", ".join(f"{n} {d}" for n, d, _ in decls), IO.create_table_ddl(f"bronze.{t}",
-                                                                                      IO.schema_from_decls(decls))))
-    return spark.createDataFrame(rows, "table string, declared string, ddl string")
+    o = A.table(spark, sf, "orders")
+    decls = [(f.name, DECL.get(f.dataType.simpleString(), "NUMERIC"), False) for f in o.schema.fields]
+    db = f"tm_{uuid.uuid4().hex[:8]}"
+    IO.ensure_namespace(spark, db, scratch(spark, "namespace"))
+    IO.create_table(spark, f"{db}.orders", IO.schema_from_decls(decls))
+    target = spark.table(f"{db}.orders").schema
+    IO.append(o.select(*[F.col(f.name).cast(f.dataType) for f in target.fields]), f"{db}.orders")
+    back = spark.table(f"{db}.orders")
+    return back.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.min("o_orderdate").alias("first_date"))
+
+
+SQL["s3_s4_s5_ddl"] = """SELECT o_orderstatus, count(*) AS n, sum(o_orderkey)::BIGINT AS keys,
+  min(o_orderdate::VARCHAR) AS first_date FROM orders GROUP BY 1"""
 
 
 def s6_s7_csv_roundtrip(spark, sf):
@@ -51,21 +59,44 @@ SQL["s6_s7_csv_roundtrip"] = f"""SELECT side, count(*) AS n, count(stop_loss) AS
 
 
 def s8_s10_s16_table_ops(spark, sf):
-    """Overwrite, append, truncate-load and recreate a result table in a
-    database located under the checkpoint folder; returns the final table."""
+    """Save, append, upsert, truncate-load and recreate a result table in a
+    database under the checkpoint folder; the table is read back after each step."""
     prep(spark)
     db = f"tm_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch(spark, 'warehouse')}'")
-    o = A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    o = A.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     t = f"{db}.orders_copy"
-    IO.save_result(o.where("o_orderstatus = 'F'"), t, mode="overwrite", partition_by=["o_orderstatus"])
-    IO.append(o.where("o_orderstatus <> 'F'").select("o_orderkey", "o_totalprice", "o_orderstatus"), t)
-    IO.truncate_load(o.select("o_orderkey", "o_totalprice", "o_orderstatus"), t)
-    IO.recreate_load(spark.table(t).withColumn("o_year_bucket", F.col("o_orderkey") % 7), t)
-    return spark.table(t).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    seen = []
 
+    def read(step):
+        now = spark.table(t).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+        parts = ",".join(IO.partition_columns(spark, t))
+        seen.append(cut_lineage(now.select(F.lit(step).alias("step"), F.lit(parts).alias("partitions"), "*")))
 
-SQL["s8_s10_s16_table_ops"] = "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1"
+    IO.save_result(o.where("o_orderstatus = 'F'"), t, mode="overwrite", partition_by=["o_orderstatus"])
+    read("save")
+    IO.append(o.where("o_orderstatus = 'O'"), t)
+    read("append")
+    IO.upsert(spark, t, o.where("o_orderstatus = 'P' OR o_orderkey % 5 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_orderkey"])
+    read("upsert")
+    IO.truncate_load(o, t)
+    read("truncate")
+    IO.recreate_load(spark.table(t).withColumn("o_bucket", F.col("o_orderkey") % 7), t)
+    read("recreate")
+    out = seen[0]
+    for df in seen[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+SQL["s8_s10_s16_table_ops"] = f"""WITH steps AS (
+SELECT 'save' AS step, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'append', o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O')
+UNION ALL SELECT 'upsert', o_orderstatus, o_totalprice + CASE WHEN o_orderstatus = 'P' OR o_orderkey % 5 = 0 THEN 1 ELSE 0 END FROM orders
+UNION ALL SELECT 'truncate', o_orderstatus, o_totalprice FROM orders
+UNION ALL SELECT 'recreate', o_orderstatus, o_totalprice FROM orders)
+SELECT step, CASE WHEN step = 'recreate' THEN '' ELSE 'o_orderstatus' END AS partitions, o_orderstatus, count(*) AS n,
+  {rs('sum(o_totalprice)', 2)} AS total FROM steps GROUP BY step, o_orderstatus"""
 
 
 def s12_select_tables(spark, sf):

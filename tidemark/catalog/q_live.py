@@ -1,5 +1,5 @@
 """Registered queries: live ranges and their trades (L5, L14-L16, L20-L22,
-B17-B20, B24, B25).  Sequential state machines have no SQL statement; they
+B17-B19, B24, B25).  Sequential state machines have no SQL statement; they
 are checked by parity tests (tests/test_statemachine.py)."""
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ def l5_l14_live_ranges(spark, sf):
 
 
 def l15_cancellation(spark, sf):
-    return L.breakout_cancellation(_events(spark, sf), bars_all(spark, sf), window=20)
+    return L.breakout_cancellation(_events(spark, sf), bars_all(spark, sf))
 
 
 def l16_htf_gate(spark, sf):
@@ -74,11 +74,11 @@ def l22_tpsl_hits(spark, sf):
 
 
 def b18_retest_entries(spark, sf):
-    return B.retest_entries(_events(spark, sf), bars_all(spark, sf), 20)
+    return B.retest_entries(_events(spark, sf), bars_all(spark, sf))
 
 
 def b18_gravitation_fade(spark, sf):
-    return B.gravitation_fade(_events(spark, sf), bars_all(spark, sf), 50)
+    return B.gravitation_fade(_events(spark, sf), bars_all(spark, sf))
 
 
 def b19_scaled_exits(spark, sf):
@@ -87,11 +87,6 @@ def b19_scaled_exits(spark, sf):
     return B.scaled_exit_trades(t1, t2, 0.5)
 
 
-def b20_swing_trades(spark, sf):
-    from tidemark.catalog.q_indicators import swing_setups_shared
-    return B.swing_trades(swing_setups_shared(spark, sf))
-
-
 def _grid(spark, sf):
     t = _grid_trades(spark, sf)
     return t.withColumn("trade_id", F.sha2(F.concat_ws("::", *[F.col(k) for k in K], F.col("entry_time_utc").cast("string"),

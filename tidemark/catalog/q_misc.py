@@ -91,19 +91,19 @@ SQL["t8_time_split"] = f"""SELECT {KS}, open_time, CASE WHEN open_time < {T_TRAI
 
 def t9_resample_bars(spark, sf):
     prep(spark)
-    h = A.bars_events(spark, sf, "1h")
+    h = A.bars_events(spark, sf, "1h").unionByName(A.bars_events(spark, sf, "15m"))  # two source intervals, never added up
     return BR.resample_bars(h, "4h").unionByName(BR.resample_bars(h, "1d"))
 
 
-def _resample_sql(to):
+def _resample_sql(to, source="1h"):
     ms = INTERVAL_MS[to]
-    return f"""SELECT exchange, symbol, '{to}' AS interval, open_time - open_time % {ms} AS open_time,
+    return f"""SELECT '{source}' AS source_interval, exchange, symbol, '{to}' AS interval, open_time - open_time % {ms} AS open_time,
   open_time - open_time % {ms} + {ms - 1} AS close_time, first(open ORDER BY open_time) AS open, max(high) AS high,
   min(low) AS low, last(close ORDER BY open_time) AS close, sum(volume) AS volume, count(*) AS n_bars
-FROM ({sqlsrc.bars_events('1h')}) GROUP BY exchange, symbol, open_time - open_time % {ms}"""
+FROM ({sqlsrc.bars_events(source)}) GROUP BY exchange, symbol, open_time - open_time % {ms}"""
 
 
-SQL["t9_resample_bars"] = f"({_resample_sql('4h')}) UNION ALL ({_resample_sql('1d')})"
+SQL["t9_resample_bars"] = " UNION ALL ".join(f"({_resample_sql(to, source)})" for to in ("4h", "1d") for source in ("1h", "15m"))
 
 
 def t10_bars_from_ticks(spark, sf):
@@ -171,6 +171,19 @@ def p7_distinct_symbols(spark, sf):
 SQL["p7_distinct_symbols"] = f"SELECT DISTINCT symbol FROM ({sqlsrc.bars_all()})"
 
 
+def a10_null_groups(spark, sf):
+    """Exact quantiles per group where NULL is a group and one value is very frequent."""
+    prep(spark)
+    d = A.table(spark, sf, "lineitem").select(F.when(F.col("l_linenumber") > 1, F.col("l_returnflag")).alias("grp"),
+                                              F.when(F.col("l_quantity") < 25, F.lit(24.0)).otherwise(F.col("l_quantity").cast("double")).alias("x"))
+    return rnd(S.exact_quantiles(d, ["grp"], "x", [0.1, 0.5, 0.9]), ["q10", "q50", "q90"])
+
+
+SQL["a10_null_groups"] = f"""WITH d AS (SELECT CASE WHEN l_linenumber > 1 THEN l_returnflag END AS grp,
+  CASE WHEN l_quantity < 25 THEN 24.0 ELSE l_quantity END::DOUBLE AS x FROM lineitem)
+SELECT grp, {rs('quantile_cont(x, 0.1)')} AS q10, {rs('quantile_cont(x, 0.5)')} AS q50, {rs('quantile_cont(x, 0.9)')} AS q90 FROM d GROUP BY grp"""
+
+
 def p8_optional_columns(spark, sf):
     from tidemark.schemas import SNAPSHOT_ROW
     prep(spark)

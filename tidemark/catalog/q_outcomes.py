@@ -135,16 +135,16 @@ FROM c LEFT JOIN u u1 ON u1.exchange = c.exchange AND u1.symbol = c.symbol AND u
 
 
 def j8_permutation(spark, sf):
-    """Hash-salted permutation of close within each bucket: the multiset of
-    values is preserved (checked as per-key count / sum)."""
-    d = series.index_series(bars_all(spark, sf)).withColumn("rid", F.col("open_time"))
-    p = J.hash_shuffle_column(d, "close", 42, "rid")
-    return p.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("close"), 2).alias("sum_close"),
-                 F.min("close").alias("min_close"), F.max("close").alias("max_close"))
+    """Reproducible permutation of close: every row's new value."""
+    d = bars_all(spark, sf).withColumn("rid", F.concat_ws("/", "exchange", "symbol", "interval", F.col("open_time").cast("string")))
+    return J.hash_shuffle_column(d, "close", 42, "rid").select("rid", "close")
 
 
-SQL["j8_permutation"] = f"""WITH b AS ({sqlsrc.bars_all()})
-SELECT count(*) AS n, {rs('sum(close)', 2)} AS sum_close, min(close) AS min_close, max(close) AS max_close FROM b"""
+SQL["j8_permutation"] = f"""WITH b AS (SELECT concat_ws('/', exchange, symbol, interval, open_time::VARCHAR) AS rid, close FROM ({sqlsrc.bars_all()})),
+s AS (SELECT *, ('0x' || substr(md5('42:' || rid), 1, 8))::BIGINT % 64 AS salt FROM b),
+a AS (SELECT *, row_number() OVER (PARTITION BY salt ORDER BY rid) AS k,
+        row_number() OVER (PARTITION BY salt ORDER BY md5('43:' || rid), rid) AS k2 FROM s)
+SELECT x.rid, y.close FROM a x JOIN a y ON x.salt = y.salt AND x.k = y.k2"""
 
 
 # ------------------------------------------------------- alert outcomes B11-B14

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.catalog import sqlsrc
 from tidemark.catalog.common import bars_all, prep
 from tidemark.sources import adapters as A
 from tidemark.streaming import streams as ST
@@ -24,8 +25,8 @@ def st2_stream_dedup_alerts(spark, sf):
     prep(spark)
     ev = ST.table_stream(spark, sf, "events")
     out, ck = ST.scratch(spark, "dedup-out"), ST.scratch(spark, "dedup-ckpt")
-    ST.run_available(ST.stream_dedup_alerts(A.alerts_from_events(ev)).drop("event_time"), out, ck)
-    return spark.read.parquet(out)
+    ST.run_available(ST.stream_dedup_alerts(A.alerts_from_events(ev)), out, ck)
+    return spark.read.parquet(out).select("id", "exchange", "symbol", "signal", "source_tf", "ts")
 
 
 def _bars_stream(spark, sf):
@@ -93,3 +94,10 @@ SELECT exchange, symbol, interval, open_time, 'trending_down' AS alert FROM h WH
 
 
 SQL["st4_stream_regime_alerts"] = _st4_sql()
+
+
+# First alerts of the hours that end at or before the final watermark (max event time - 2 hours).
+SQL["st2_stream_dedup_alerts"] = f"""WITH a AS (SELECT * FROM ({sqlsrc.alerts()})),
+wm AS (SELECT max(ts) - 7200000 AS w FROM a),
+r AS (SELECT *, row_number() OVER (PARTITION BY exchange, symbol, signal, source_tf, ts // 3600000 ORDER BY ts, id) AS rn FROM a)
+SELECT id, exchange, symbol, signal, source_tf, ts FROM r, wm WHERE rn = 1 AND (ts // 3600000 + 1) * 3600000 <= w"""

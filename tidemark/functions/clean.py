@@ -83,10 +83,6 @@ def distinct_symbols(bars: DataFrame, exchange: str | None = None) -> DataFrame:
     return where_eq(bars, exchange=exchange).select("symbol").distinct().orderBy("symbol")
 
 
-def distinct_intervals(bars: DataFrame, symbol: str, exchange: str | None = None) -> DataFrame:
-    return where_eq(bars, symbol=symbol, exchange=exchange).select("interval").distinct().orderBy("interval")
-
-
 def optional_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` absent from ``df`` become typed NULLs."""
     have = set(df.columns)

@@ -39,17 +39,18 @@ def bars_from_ticks(ticks: DataFrame, every: str, ms: str = "ms", seq: str = "se
 def resample_bars(bars: DataFrame, to: str) -> DataFrame:
     """Aggregate bars into ``to`` buckets (higher-timeframe request).
 
-    Output bars keep the input's key with ``interval = to``; a bucket's open
+    Output bars keep the input's key with ``interval = to``; bars of different
+    source intervals are never added up (``source_interval``).  A bucket's open
     is the first bar's open, close the last bar's close.
     """
     to_ms = INTERVAL_MS[to]
     first = F.struct("open_time", "open")
     last = F.struct("open_time", "close")
     return (bars.withColumn("_b", bucket_start("open_time", to_ms))
-            .groupBy("exchange", "symbol", "_b")
+            .groupBy("exchange", "symbol", F.col("interval").alias("source_interval"), "_b")
             .agg(F.min_by("open", first).alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
                  F.max_by("close", last).alias("close"), F.sum("volume").alias("volume"),
                  F.count(F.lit(1)).alias("n_bars"))
             .select("exchange", "symbol", F.lit(to).alias("interval"), F.col("_b").alias("open_time"),
                     (F.col("_b") + F.lit(to_ms - 1)).alias("close_time"),
-                    "open", "high", "low", "close", "volume", "n_bars"))
+                    "open", "high", "low", "close", "volume", "n_bars", "source_interval"))

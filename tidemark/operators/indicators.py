@@ -21,7 +21,7 @@ def tr_expr():
 
 
 def indexed(bars: DataFrame) -> DataFrame:
-    return bars if "bar_idx" in bars.columns else series.index_series(bars)
+    return bars if "bar_idx" in bars.columns else series.pinned(series.index_series(bars))
 
 
 def div(a, b):

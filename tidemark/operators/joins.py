@@ -15,26 +15,43 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import series
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; otherwise leave the
-    join to the planner (sort-merge, or AQE's runtime broadcast)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def null_safe_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL (a series key or a group may be NULL)."""
+    right = b.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return a.join(right, same, how).drop(*[f"_k_{k}" for k in keys])
 
 
 def join_universe(df: DataFrame, universe: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep rows whose key is in ``universe`` (semi join; the universe
-    has one row per key and is broadcast after a size check)."""
-    u = checked_broadcast(universe.select(*keys).distinct())
-    return df.join(u, list(keys), "left_semi")
-
-
-def left_join(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Plain left equi-join (planner picks sort-merge / broadcast)."""
-    return df.join(other, list(keys), "left")
+    """Keep rows whose key is in ``universe`` (semi join; the runtime
+    re-plan broadcasts the keys when their measured size allows it)."""
+    return df.join(universe.select(*keys).distinct(), list(keys), "left_semi")
+
+
+def first_bar_where(entries: DataFrame, bars: DataFrame, key: Sequence[str], idx_col: str, cond: Column,
+                    first_window: int = 64, payload: Sequence[str] = ()) -> DataFrame:
+    """For each entry (``key``, ``idx_col``) the first bar (``_bi`` in ``bars``) after it on which ``cond``
+    holds: ``_hit`` and the ``payload`` columns of that bar; entries without one are absent.  No horizon:
+    windows grow four-fold per round and only open entries go on.  The bars are
+    materialized once."""
+    from tidemark.session import cut_lineage
+    key = list(key)
+    bars = cut_lineage(bars)
+    last = bars.groupBy(*key).agg(F.max("_bi").alias("_last"))
+    left = cut_lineage(null_safe_join(entries, last, key))
+    found, lo, width = None, 1, first_window
+    while True:
+        hi = lo + width - 1
+        pairs = within_rows(left, bars, key, idx_col, lo, hi, right_idx="_bi").where(cond)
+        hit = cut_lineage(pairs.groupBy(*key, idx_col).agg(F.min("_bi").alias("_hit"),
+                                                           *[F.min_by(c, "_bi").alias(c) for c in payload]))
+        found = hit if found is None else found.unionByName(hit)
+        done = hit.select(*[F.col(c).alias(f"_d_{c}") for c in [*key, idx_col]])
+        same = [F.col(c).eqNullSafe(F.col(f"_d_{c}")) for c in [*key, idx_col]]
+        left = cut_lineage(left.join(done, same, "left_anti").where(F.col(idx_col) + hi < F.col("_last")))
+        if left.limit(1).count() == 0:
+            return found
+        lo, width = hi + 1, width * 4
 
 
 def scan_carry(df: DataFrame, cols: Sequence[str], key: Sequence[str], order: Sequence[Column | str],
@@ -48,7 +65,7 @@ def scan_carry(df: DataFrame, cols: Sequence[str], key: Sequence[str], order: Se
     carried in from earlier/later blocks.  Adds ``<col>_carried``.
     """
     key = list(key)
-    d = df.withColumn("_cb", block)
+    d = series.pinned(df).withColumn("_cb", block)
     w = Window.partitionBy(*key, "_cb").orderBy(*order)
     if forward:
         frame, pick, edge = w.rowsBetween(Window.unboundedPreceding, 0), F.last, F.max_by
@@ -60,7 +77,7 @@ def scan_carry(df: DataFrame, cols: Sequence[str], key: Sequence[str], order: Se
     ord_struct = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
     summ = d.groupBy(*key, "_cb").agg(*[edge(F.col(f"_in_{c}"), ord_struct).alias(f"_b_{c}") for c in cols])
     summ = summ.select(*key, "_cb", *[pick(f"_b_{c}", ignorenulls=True).over(outer).alias(f"_o_{c}") for c in cols])
-    d = d.join(summ, [*key, "_cb"], "left")
+    d = null_safe_join(d, summ, [*key, "_cb"], "left")
     return (d.withColumns({f"{c}_carried": F.coalesce(F.col(f"_in_{c}"), F.col(f"_o_{c}")) for c in cols})
             .drop("_cb", *[f"_in_{c}" for c in cols], *[f"_o_{c}" for c in cols]))
 
@@ -84,7 +101,8 @@ def _asof(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], right_c
             R = R.withColumn(c, F.lit(None).cast(left.schema[c].dataType))
     u = L.unionByName(R.select(*L.columns))
     blk = F.floor(F.col("_ut") / F.lit(block_ms)).cast("long")
-    u = scan_carry(u, ["_p"], by, ["_ut", "_side"], blk, forward=not forward)
+    # right rows of one time are ordered by their payload, so the match is determined
+    u = scan_carry(u, ["_p"], by, ["_ut", "_side", "_p"], blk, forward=not forward)
     out = u.where(F.col("_side") == l_side)
     m = F.col("_p_carried")
     if tolerance is not None:
@@ -137,7 +155,7 @@ def within_rows(left: DataFrame, right: DataFrame, by: Sequence[str], idx_col: s
     b0 = F.floor((F.col(idx_col) + F.lit(lo)) / F.lit(width)).cast("long")
     lx = left.withColumn("_bk", F.explode(F.array(b0, b0 + 1)))
     rx = right.withColumn("_bk", F.floor(F.col(right_idx) / F.lit(width)).cast("long"))
-    return (lx.join(rx, [*list(by), "_bk"])
+    return (null_safe_join(lx, rx, [*list(by), "_bk"])
             .where(F.col(right_idx).between(F.col(idx_col) + lo, F.col(idx_col) + hi)).drop("_bk"))
 
 
@@ -174,22 +192,20 @@ def nth_previous(df: DataFrame, flag: str, value_cols: Sequence[str], n: int, ke
     return marks.join(tgt, [*key, "_want"], "left").drop("_fno", "_fno_carried", "_self", "_want")
 
 
-def hash_shuffle_column(df: DataFrame, col: str, seed: int, id_col: str, buckets: int = 64) -> DataFrame:
+def hash_shuffle_column(df: DataFrame, col: str, seed: int, id_col: str, rows_per_salt: int = 100_000) -> DataFrame:
     """Permute ``col`` across rows reproducibly and in parallel.
 
-    Rows are salted into ``buckets`` by ``xxhash64(seed, id)``; inside each
-    bucket row k (by id) receives the value of row k by a second hash order.
-    No global single-partition window.
+    Rows are salted by the md5 of (seed, id), with as many salts as keep about
+    ``rows_per_salt`` rows in each (64 at least); inside a salt row k (by id)
+    receives the value of row k by a second md5 order.  No global
+    single-partition window; ``id_col`` must be unique.
     """
-    salt = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(buckets))
-    d = df.withColumn("_salt", salt)
+    salts = max(64, -(-df.count() // rows_per_salt))
+    rid = F.col(id_col).cast("string")
+    digest = lambda s: F.md5(F.concat_ws(":", F.lit(str(s)), rid))
+    d = df.withColumn("_salt", F.pmod(F.conv(F.substring(digest(seed), 1, 8), 16, 10).cast("long"), F.lit(salts)))
     w1 = Window.partitionBy("_salt").orderBy(id_col)
-    w2 = Window.partitionBy("_salt").orderBy(F.xxhash64(F.lit(seed + 1), F.col(id_col)), id_col)
+    w2 = Window.partitionBy("_salt").orderBy(digest(seed + 1), id_col)
     a = d.withColumn("_k", F.row_number().over(w1))
     b = d.select("_salt", F.col(col).alias("_perm"), F.row_number().over(w2).alias("_k"))
     return a.join(b, ["_salt", "_k"]).withColumn(col, F.col("_perm")).drop("_salt", "_k", "_perm")
-
-
-def anti_join(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is absent from ``other``."""
-    return df.join(other.select(*keys), list(keys), "left_anti")

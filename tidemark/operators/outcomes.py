@@ -415,7 +415,7 @@ def performance_summary(trades: DataFrame, by: Sequence[str], r_col: str = "r_mu
         F.min(F.col("_eq") - F.col("_peak")).alias("max_drawdown_r"))
     g = g.withColumn("expectancy_r", F.col("win_rate") * F.coalesce("avg_win_r", F.lit(0.0))
                      + (1 - F.col("win_rate")) * F.coalesce("avg_loss_r", F.lit(0.0)))
-    return g.join(streaks, by, "left")
+    return J.null_safe_join(g, streaks, by, "left")
 
 
 # ------------------------------------------- first barrier hit (no horizon cap)
@@ -434,8 +434,9 @@ def first_barrier_hit(entries: DataFrame, bars: DataFrame, id_col: str = "trade_
     from tidemark.session import cut_lineage
     bi = I.indexed(bars).select(*KEY, F.col("bar_idx").alias("_bi"), F.col("high").alias("_h"),
                                 F.col("low").alias("_l"))
+    bi = cut_lineage(bi)
     last = bi.groupBy(*KEY).agg(F.max("_bi").alias("_last"))
-    rem = entries.select(*KEY, id_col, "entry_idx", "side", "stop", "tp").join(last, list(KEY))
+    rem = J.null_safe_join(entries.select(*KEY, id_col, "entry_idx", "side", "stop", "tp"), last, KEY)
     hits = None
     lo, width = start_offset, first_window
     while True:
@@ -530,34 +531,31 @@ def scaled_exit_trades(trades_tp1: DataFrame, trades_tp2: DataFrame, w1: float =
     return a.join(b, "trade_id").withColumn("r_multiple", w1 * F.col("r_leg1") + (1 - w1) * F.col("r_leg2"))
 
 
-def retest_entries(events: DataFrame, bars: DataFrame, window: int = 20) -> DataFrame:
-    """After a breakout, the first bar within ``window`` bars that comes
-    back to the broken edge (low <= top after an up breakout, high >= bottom
-    after a down breakout); entry at the edge."""
+def retest_entries(events: DataFrame, bars: DataFrame) -> DataFrame:
+    """After a breakout, the first bar that comes back to the broken
+    edge (low <= top after an up breakout, high >= bottom after a down
+    breakout), however late; entry at the edge."""
     br = events.where(F.col("event").startswith("breakout"))
     b = I.indexed(bars).select(*KEY, F.col("bar_idx").alias("_bi"), F.col("high").alias("_h"), F.col("low").alias("_l"))
-    p = J.within_rows(br, b, KEY, "bar_idx", 1, window, right_idx="_bi")
     up = F.col("event") == "breakout_up"
     touch = F.when(up, F.col("_l") <= F.col("range_high")).otherwise(F.col("_h") >= F.col("range_low"))
-    first = p.where(touch).groupBy(*KEY, "bar_idx").agg(F.min("_bi").alias("retest_idx"))
-    return br.join(first, [*KEY, "bar_idx"]).withColumn(
+    first = J.first_bar_where(br, b, KEY, "bar_idx", touch).withColumnRenamed("_hit", "retest_idx")
+    return J.null_safe_join(br, first, [*KEY, "bar_idx"]).withColumn(
         "retest_price", F.when(up, F.col("range_high")).otherwise(F.col("range_low")))
 
 
-def gravitation_fade(events: DataFrame, bars: DataFrame, window: int = 50) -> DataFrame:
+def gravitation_fade(events: DataFrame, bars: DataFrame) -> DataFrame:
     """For Gravitation ranges, fade a move of one height beyond an edge
-    (first close beyond within ``window`` bars after activation); target the
-    middle of the range."""
+    (first close beyond after activation, however late); target the middle
+    of the range."""
     act = events.where((F.col("event") == "activated") & (F.col("range_type") == "Gravitation"))
     b = I.indexed(bars).select(*KEY, F.col("bar_idx").alias("_bi"), F.col("close").alias("_c"))
-    p = J.within_rows(act, b, KEY, "bar_idx", 1, window, right_idx="_bi")
     hgt = F.col("range_high") - F.col("range_low")
-    above, below = F.col("_c") > F.col("range_high") + hgt, F.col("_c") < F.col("range_low") - hgt
-    f = p.where(above | below).groupBy(*KEY, "bar_idx").agg(
-        F.min_by(F.struct("_bi", "_c", above.alias("up")), F.col("_bi")).alias("_f"))
-    return act.join(f, [*KEY, "bar_idx"]).select(
-        *KEY, "bar_idx", "range_high", "range_low", F.col("_f._bi").alias("entry_idx"),
-        F.col("_f._c").alias("entry"), F.when(F.col("_f.up"), "short").otherwise("long").alias("side"),
+    beyond = (F.col("_c") > F.col("range_high") + hgt) | (F.col("_c") < F.col("range_low") - hgt)
+    f = J.first_bar_where(act, b, KEY, "bar_idx", beyond, payload=["_c"])
+    return J.null_safe_join(act, f, [*KEY, "bar_idx"]).select(
+        *KEY, "bar_idx", "range_high", "range_low", F.col("_hit").alias("entry_idx"),
+        F.col("_c").alias("entry"), F.when(F.col("_c") > F.col("range_high"), "short").otherwise("long").alias("side"),
         ((F.col("range_high") + F.col("range_low")) / 2).alias("tp"))
 
 
@@ -586,89 +584,3 @@ def monte_carlo_drawdown(trades: DataFrame, by: Sequence[str], runs: int = 1000,
 def walk_forward(trades: DataFrame, by: Sequence[str], split_col: str = "split") -> DataFrame:
     """Performance summary per split (in-sample vs out-of-sample)."""
     return performance_summary(trades, [*by, split_col])
-
-
-# ------------------------------------------------------------ B20 swing trades
-
-from tidemark.operators.statemachine import Machine, block_scan  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
-
-
-class SwingTradeMachine(Machine):
-    """13-day swing strategy, one position at a time.  Entry at the
-    setup bar's close, stop at the pullback extreme, target ``r_target`` R;
-    from the next bar: stop before target within a bar; after 1R the stop
-    trails ``trail_mult`` ATR behind the close; after ``exit_bars`` bars a
-    close below ``min_progress_r`` R exits; optional ``max_hold_bars``."""
-
-    event_fields = (("side", T.StringType()), ("entry_idx", T.LongType()), ("exit_idx", T.LongType()),
-                    ("entry", T.DoubleType()), ("initial_stop", T.DoubleType()), ("tp", T.DoubleType()),
-                    ("exit", T.DoubleType()), ("reason", T.StringType()), ("r_multiple", T.DoubleType()))
-
-    def __init__(self, r_target: float = 2.0, trail: bool = True, trail_mult: float = 2.0, exit_bars: int = 3,
-                 min_progress_r: float = 0.5, max_hold_bars: int | None = None):
-        self.p = dict(r_target=r_target, trail=trail, trail_mult=trail_mult, exit_bars=exit_bars,
-                      min_progress_r=min_progress_r, max_hold_bars=max_hold_bars)
-
-    def initial(self) -> dict:
-        return {"pos": 0, "entry": None, "stop": None, "stop0": None, "tp": None, "risk": None, "ebar": None}
-
-    def _close(self, s, i, px, why):
-        sgn = s["pos"]
-        r = (px - s["entry"]) * sgn / s["risk"] if s["risk"] else None
-        ev = {"side": "long" if sgn > 0 else "short", "entry_idx": s["ebar"], "exit_idx": i, "entry": s["entry"],
-              "initial_stop": s["stop0"], "tp": s["tp"], "exit": px, "reason": why, "r_multiple": r}
-        s.update(self.initial())
-        return ev
-
-    def step(self, s: dict, r: dict) -> list[dict]:
-        p, i = self.p, int(r["bar_idx"])
-        h, lo, c, atr = _fv(r["high"]), _fv(r["low"]), _fv(r["close"]), _fv(r["atr_value"])
-        evs = []
-        if s["pos"] != 0 and i > s["ebar"]:
-            if s["pos"] > 0 and lo <= s["stop"]:
-                evs.append(self._close(s, i, s["stop"], "stop"))
-            elif s["pos"] > 0 and h >= s["tp"]:
-                evs.append(self._close(s, i, s["tp"], "target"))
-            elif s["pos"] < 0 and h >= s["stop"]:
-                evs.append(self._close(s, i, s["stop"], "stop"))
-            elif s["pos"] < 0 and lo <= s["tp"]:
-                evs.append(self._close(s, i, s["tp"], "target"))
-        if s["pos"] != 0 and i > s["ebar"]:
-            prog = (c - s["entry"]) * s["pos"] / s["risk"]
-            if p["trail"] and prog >= 1.0 and atr == atr:
-                t = c - s["pos"] * atr * p["trail_mult"]
-                if (s["pos"] > 0 and t > s["stop"]) or (s["pos"] < 0 and t < s["stop"]):
-                    s["stop"] = t
-            held = i - s["ebar"]
-            if held >= p["exit_bars"] and prog < p["min_progress_r"]:
-                evs.append(self._close(s, i, c, "time"))
-            elif p["max_hold_bars"] is not None and held >= p["max_hold_bars"]:
-                evs.append(self._close(s, i, c, "max_hold"))
-        if s["pos"] == 0:
-            if bool(r["long_setup"]) and r["pullback_low"] == r["pullback_low"] and c - _fv(r["pullback_low"]) > 0:
-                risk = c - _fv(r["pullback_low"])
-                s.update(pos=1, entry=c, stop=_fv(r["pullback_low"]), stop0=_fv(r["pullback_low"]),
-                         tp=c + risk * p["r_target"], risk=risk, ebar=i)
-            elif bool(r["short_setup"]) and r["pullback_high"] == r["pullback_high"] and _fv(r["pullback_high"]) - c > 0:
-                risk = _fv(r["pullback_high"]) - c
-                s.update(pos=-1, entry=c, stop=_fv(r["pullback_high"]), stop0=_fv(r["pullback_high"]),
-                         tp=c - risk * p["r_target"], risk=risk, ebar=i)
-        return evs
-
-
-def _fv(x) -> float:
-    try:
-        return float(x)
-    except (TypeError, ValueError):
-        return float("nan")
-
-
-def swing_trades(setups: DataFrame, machine: SwingTradeMachine | None = None, halo: int = 2000) -> DataFrame:
-    """B20 over the output of ``signals.swing_setups`` (one row per closed trade)."""
-    machine = machine or SwingTradeMachine()
-    d = setups.withColumns({"pullback_low": F.coalesce(F.col("pullback_low"), F.lit(float("nan"))),
-                            "pullback_high": F.coalesce(F.col("pullback_high"), F.lit(float("nan"))),
-                            "atr_value": F.coalesce(F.col("atr_value"), F.lit(float("nan")))})
-    return block_scan(d, machine, ["high", "low", "close", "atr_value", "long_setup", "short_setup", "pullback_low",
-                                   "pullback_high"], halo=halo)

@@ -251,8 +251,7 @@ def confluence(ranges: DataFrame) -> DataFrame:
     """Per key in start order, whether a range repeats the previous
     range's type (stacking) or alternates, and the length of the same-type
     run so far."""
-    r = series.index_series(ranges.withColumn("open_time", F.col("start_time")), idx="_ri",
-                            span_ms=1 << 40).drop("open_time")
+    r = series.index_series(ranges.withColumn("open_time", F.col("start_time")), idx="_ri").drop("open_time")
     r = series.halo_windows(r, lambda w: {"prev_type": F.lag("type").over(w)}, back=1, idx="_ri")
     r = r.withColumn("stacking", F.col("type") == F.col("prev_type"))
     r = r.withColumn("_s", F.when(~F.coalesce(F.col("stacking"), F.lit(False)), F.col("_ri")))
@@ -264,31 +263,29 @@ def confluence(ranges: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ L5 live ranges
 
 import math  # noqa: E402
+from collections.abc import Sequence  # noqa: E402
+from itertools import accumulate, compress  # noqa: E402
 
 from tidemark.operators.statemachine import Machine, block_scan  # noqa: E402
 
 
-def _f(x) -> float:
-    try:
-        v = float(x)
-    except (TypeError, ValueError):
-        return math.nan
-    return v
+def running_touches(highs: Sequence[float], lows: Sequence[float], tolerance: float) -> tuple[list[bool], list[bool]]:
+    """Which bars of a run touch its running top / bottom: within ``tolerance`` x the height so far.
+    The first bar, which only sets the edges, touches neither."""
+    tops, bottoms = list(accumulate(highs, max)), list(accumulate(lows, min))
+    near = [(t - b) * tolerance for t, b in zip(tops, bottoms)]
+    return ([False] + [h >= t - x for h, t, x in zip(highs, tops, near)][1:],
+            [False] + [lo <= b + x for lo, b, x in zip(lows, bottoms, near)][1:])
 
 
-class LiveRangeMachine(Machine):
-    """L5 + L6 (height-% touches) + L7 + L8 (inclusive %) + L10 + L14.
+class RangeTracker(Machine):
+    """L5 as runs and breakouts (with L6 height-% touches, L7, L8 inclusive, L10, L14).
 
-    Per bar, detection runs before the breakout test, so the breakout bar
-    never starts a new range.  While no range is active: a narrow bar starts
-    or extends a candidate (touch = within ``touch_pct`` % of the candidate's
-    height of its running top/bottom; the first bar is never a touch); a
-    non-narrow bar drops it; a candidate older than ``max_bars`` is dropped.
-    A candidate with >= ``min_bars`` bars and a touch becomes the active range
-    (event ``activated``).  An active range breaks on the first close beyond
-    an edge by ``break_frac`` of its height (``breakout_up``/``_down``) and
-    detection restarts on the next bar.
-    """
+    Its state is the open range, or the bars of the current run of narrow (and gated) bars; a
+    run that reached ``max_bars`` past its first bar is forgotten.  As soon as a run has ``min_bars``
+    bars and a touch, it becomes the open range (``activated``), with the figures of
+    ``range_from_run``.  An open range ends on the first later close beyond an edge by ``break_frac`` of its height
+    (``breakout_up`` / ``breakout_down``); the next run can start on the bar after."""
 
     event_fields = (("event", T.StringType()), ("range_start_idx", T.LongType()), ("range_high", T.DoubleType()),
                     ("range_low", T.DoubleType()), ("range_type", T.StringType()), ("imbalance", T.DoubleType()),
@@ -297,80 +294,69 @@ class LiveRangeMachine(Machine):
 
     def __init__(self, min_bars: int = 8, max_bars: int = 100, narrow_mult: float = 0.8, touch_pct: float = 10.0,
                  min_imb_pct: float = 15.0, break_frac: float = 0.005, require_htf: bool = False):
-        self.p = dict(min_bars=min_bars, max_bars=max_bars, narrow_mult=narrow_mult, touch_pct=touch_pct,
-                      min_imb_pct=min_imb_pct, break_frac=break_frac, require_htf=require_htf)
+        self.min_bars, self.max_bars, self.narrow_mult = min_bars, max_bars, narrow_mult
+        self.touch, self.min_imb_pct, self.break_frac, self.require_htf = touch_pct / 100.0, min_imb_pct, break_frac, require_htf
 
     def initial(self) -> dict:
-        return {"active": False, "hi": None, "lo": None, "start": None, "typ": "Neutral", "imb": 0.0, "deg": "Low",
-                "bars": 0, "th": 0, "tl": 0, "ctop": None, "cbot": None, "cstart": None, "n": 0, "cth": 0, "ctl": 0,
-                "csh": 0.0, "csl": 0.0, "ctot": 0.0, "pu": False, "pd": False}
-
-    def step(self, s: dict, r: dict) -> list[dict]:
-        p = self.p
-        h, lo, c, v = _f(r["high"]), _f(r["low"]), _f(r["close"]), _f(r["volume"])
-        atr, avgv = _f(r["atr"]), _f(r["avg_volume"])
-        i = int(r["bar_idx"])
-        htf_ok = (not p["require_htf"]) or bool(r.get("htf_ok", True))
-        narrow = (not math.isnan(atr)) and (h - lo) < atr * p["narrow_mult"]
-        evs = []
-        if not s["active"]:
-            if narrow and htf_ok:
-                if s["ctop"] is None:
-                    s.update(ctop=h, cbot=lo, cstart=i, n=1, cth=0, ctl=0, csh=0.0, csl=0.0, ctot=v)
-                else:
-                    s["ctop"], s["cbot"] = max(s["ctop"], h), min(s["cbot"], lo)
-                    s["n"] += 1
-                    s["ctot"] += v
-                    thr = (s["ctop"] - s["cbot"]) * p["touch_pct"] / 100.0
-                    if h >= s["ctop"] - thr:
-                        s["cth"] += 1
-                        s["csh"] += v
-                    if lo <= s["cbot"] + thr:
-                        s["ctl"] += 1
-                        s["csl"] += v
-                if s["n"] >= p["min_bars"] and (s["cth"] > 0 or s["ctl"] > 0):
-                    avh = s["csh"] / s["cth"] if s["cth"] > 0 else 0.0
-                    avl = s["csl"] / s["ctl"] if s["ctl"] > 0 else 0.0
-                    mx = max(avh, avl)
-                    imb = (avh - avl) / mx if mx > 0 else 0.0
-                    ratio = s["ctot"] / (avgv * s["n"]) if avgv and not math.isnan(avgv) else math.nan
-                    deg = "High" if ratio > 1.5 else ("Medium" if ratio > 0.8 else "Low")
-                    typ = ("Resistance" if imb > 0 else "Support") if abs(imb) * 100 >= p["min_imb_pct"] \
-                        else "Gravitation"
-                    s.update(active=True, hi=s["ctop"], lo=s["cbot"], start=s["cstart"], typ=typ, imb=imb, deg=deg,
-                             bars=s["n"], th=s["cth"], tl=s["ctl"])
-                    evs.append(self._ev("activated", s, c, r))
-                    s.update(ctop=None, cbot=None, n=0, csh=0.0, csl=0.0, cth=0, ctl=0, ctot=0.0)
-            else:
-                s.update(ctop=None, cbot=None, n=0)
-            if s["cstart"] is not None and i - s["cstart"] > p["max_bars"]:
-                s.update(ctop=None, cbot=None, n=0)
-        up_c = dn_c = False
-        if s["active"]:
-            thr = (s["hi"] - s["lo"]) * p["break_frac"]
-            up_c, dn_c = c > s["hi"] + thr, c < s["lo"] - thr
-        bu, bd = up_c and not s["pu"], dn_c and not s["pd"]
-        s["pu"], s["pd"] = bool(up_c), bool(dn_c)
-        if bu or bd:
-            evs.append(self._ev("breakout_up" if bu else "breakout_down", s, c, r))
-            s.update(active=False, hi=None, lo=None, typ="Neutral")
-        return evs
-
-    @staticmethod
-    def _ev(name, s, c, r):
-        return {"event": name, "range_start_idx": s["start"], "range_high": s["hi"], "range_low": s["lo"],
-                "range_type": s["typ"], "imbalance": s["imb"], "vol_degree": s["deg"], "range_bars": s["bars"],
-                "touches_high": s["th"], "touches_low": s["tl"], "close": c, "open_time": int(r["open_time"])}
-
-
-def live_ranges(bars: DataFrame, machine: LiveRangeMachine | None = None, halo: int = 2000) -> DataFrame:
+        return {"range": None, "run": []}
+
+    def narrow(self, bar: dict) -> bool:
+        gate = bool(bar["htf_ok"]) if self.require_htf else True
+        return gate and bar["high"] - bar["low"] < bar["atr"] * self.narrow_mult  # false for an unknown ATR
+
+    def range_from_run(self, run: list, avg_volume: float) -> dict | None:
+        """The range that a run of (idx, high, low, volume) makes, or None without a touch."""
+        idx, highs, lows, volumes = zip(*run)
+        at_top, at_bottom = running_touches(highs, lows, self.touch)
+        if not any(at_top) and not any(at_bottom):
+            return None
+        per_touch = [sum(compress(volumes, t)) / sum(t) if any(t) else 0.0 for t in (at_top, at_bottom)]
+        pressure = (per_touch[0] - per_touch[1]) / max(per_touch) if max(per_touch) > 0 else 0.0
+        kind = "Gravitation" if abs(pressure) * 100 < self.min_imb_pct else "Resistance" if pressure > 0 else "Support"
+        usual = avg_volume * len(run)
+        busy = sum(volumes) / usual if usual > 0 else math.nan  # an unknown average gives the lowest degree
+        degree = next((name for name, over in (("High", 1.5), ("Medium", 0.8)) if busy > over), "Low")
+        return {"range_start_idx": idx[0], "range_high": max(highs), "range_low": min(lows), "range_type": kind,
+                "imbalance": pressure, "vol_degree": degree, "range_bars": len(run),
+                "touches_high": sum(at_top), "touches_low": sum(at_bottom)}
+
+    def step(self, state: dict, row: dict) -> list[dict]:
+        bar = {k: float("nan") if row[k] is None else float(row[k]) for k in ("high", "low", "close", "volume", "atr", "avg_volume")}
+        bar["htf_ok"] = row.get("htf_ok")
+        if state["range"] is None:
+            state["run"] = state["run"] + [[int(row["bar_idx"]), bar["high"], bar["low"], bar["volume"]]] if self.narrow(bar) else []
+            if len(state["run"]) >= self.min_bars:
+                state["range"] = self.range_from_run(state["run"], bar["avg_volume"])
+            named = "activated" if state["range"] else None
+            if named or len(state["run"]) > self.max_bars + 1:
+                state["run"] = []
+        else:
+            named = self.broken(state["range"], bar["close"])
+        if named is None:
+            return []
+        event = {"event": named, **state["range"], "close": bar["close"], "open_time": int(row["open_time"])}
+        if named != "activated":
+            state["range"] = None
+        return [event]
+
+    def broken(self, open_range: dict, close: float) -> str | None:
+        top, bottom = open_range["range_high"], open_range["range_low"]
+        beyond = (top - bottom) * self.break_frac
+        return "breakout_up" if close > top + beyond else "breakout_down" if close < bottom - beyond else None
+
+
+def live_ranges(bars: DataFrame, machine: RangeTracker | None = None, halo: int = 2000) -> DataFrame:
     """Range events per key (activated / breakout_up / breakout_down) with
     TPSL levels for activations (nearest swing before the start beyond the
-    range, else one height; TPSL2 = TPSL1 + half a height)."""
-    machine = machine or LiveRangeMachine()
+    range, else one height; TPSL2 = TPSL1 + half a height).  A machine with
+    ``require_htf`` needs the column ``htf_ok`` (L16) on ``bars``."""
+    machine = machine or RangeTracker()
+    if machine.require_htf and "htf_ok" not in bars.columns:
+        raise ValueError("require_htf needs the column htf_ok (see htf_consolidation)")
+    gate = ["htf_ok"] if machine.require_htf else []
     d = I.atr_wilder(I.indexed(bars), 14, "atr")
     d = series.halo_windows(d, lambda w: {"avg_volume": W.sma("volume", w, 20)}, back=20)
-    ev = block_scan(d, machine, ["open_time", "high", "low", "close", "volume", "atr", "avg_volume"], halo=halo)
+    ev = block_scan(d, machine, ["open_time", "high", "low", "close", "volume", "atr", "avg_volume", *gate], halo=halo)
     # nearest pivot strictly before each range start: as-of join of the (few)
     # events against the (few) pivots, ordered by bar index
     sw = swing_points(d.select(*K, "bar_idx", "open_time", "high", "low", "close", "volume"), 5)
@@ -389,36 +375,40 @@ def live_ranges(bars: DataFrame, machine: LiveRangeMachine | None = None, halo:
                            "tpsl2_low": t1l - 0.5 * hgt}).drop("_psh", "_psl")
 
 
-def breakout_cancellation(events: DataFrame, bars: DataFrame, window: int = 20, directional_pct: float = 70.0,
-                          gravitation_pct: float = 50.0) -> DataFrame:
-    """After a breakout, the first bar within ``window`` bars whose close
-    returns into the range by more than the threshold (% of height):
-    Resistance/Support > 70 %, Gravitation > 50 % (measured from the broken
-    edge; for Gravitation as depth towards the middle)."""
-    b = I.indexed(bars).select(*K, "bar_idx", F.col("close").alias("_c"))
+def breakout_cancellation(events: DataFrame, bars: DataFrame, directional_pct: float = 70.0,
+                          gravitation_pct: float = 50.0, crossing: bool = True) -> DataFrame:
+    """After a breakout, the first bar whose close returns into the range
+    by more than the threshold (% of height): Resistance/Support > 70 %,
+    Gravitation > 50 % (measured from the broken edge; for Gravitation as depth
+    towards the middle).  ``crossing``: the close of the bar before must be
+    beyond the broken edge.  The test stays open until the key's last bar."""
+    b = series.halo_windows(I.indexed(bars).select(*K, "bar_idx", "close"), lambda w: {"_pc": F.lag("close").over(w)}, back=1)
+    b = b.select(*K, F.col("bar_idx").alias("_bi"), F.col("close").alias("_c"), "_pc")
     br = events.where(F.col("event").startswith("breakout"))
-    pairs = J.within_rows(br, b.withColumnRenamed("bar_idx", "_bi"), K, "bar_idx", 1, window, right_idx="_bi")
     hgt = F.col("range_high") - F.col("range_low")
     up = F.col("event") == "breakout_up"
     inside = (F.col("_c") < F.col("range_high")) & (F.col("_c") > F.col("range_low"))
     ret_dir = F.when(up, (F.col("range_high") - F.col("_c")) / hgt).otherwise((F.col("_c") - F.col("range_low")) / hgt)
     mid = (F.col("range_high") + F.col("range_low")) / 2
     ret_grav = 1.0 - F.abs(F.col("_c") - mid) / (hgt / 2)
-    pct = F.when(F.col("range_type") == "Gravitation", ret_grav).otherwise(ret_dir) * 100
-    lim = F.when(F.col("range_type") == "Gravitation", F.lit(gravitation_pct)).otherwise(F.lit(directional_pct))
-    hit = pairs.where(inside & (pct > lim)).groupBy(*K, "bar_idx").agg(F.min("_bi").alias("cancel_idx"))
-    return br.join(hit, [*K, "bar_idx"], "left").withColumn("cancelled", F.col("cancel_idx").isNotNull())
+    grav = F.col("range_type") == "Gravitation"
+    back = F.when(grav, ret_grav * 100 > gravitation_pct).otherwise(ret_dir * 100 > directional_pct) & inside
+    if crossing:
+        back = back & F.when(up, F.col("_pc") > F.col("range_high")).otherwise(F.col("_pc") < F.col("range_low"))
+    hit = J.first_bar_where(br, b, K, "bar_idx", back)
+    return (J.null_safe_join(br, hit.select(*K, "bar_idx", F.col("_hit").alias("cancel_idx")), [*K, "bar_idx"], "left")
+            .withColumn("cancelled", F.col("cancel_idx").isNotNull()))
 
 
 def htf_consolidation(bars: DataFrame, htf: str = "4h", n: int = 20, mult: float = 1.2) -> DataFrame:
     """Attach ``htf_ok`` = the latest *completed* higher-timeframe bar's
     range < mult * SMA_n(HTF range) (T9 resample + J3 as-of on close time)."""
     from tidemark.operators.bars import resample_bars
-    hb = I.indexed(resample_bars(bars, htf))
+    hb = I.indexed(resample_bars(bars, htf).withColumn("interval", F.col("source_interval")))  # one series per source interval
     hb = series.halo_windows(hb, lambda w: {"_rs": W.sma(F.col("high") - F.col("low"), w, n)}, back=n)
-    right = hb.select("exchange", "symbol", (F.col("close_time") + 1).alias("open_time"),
+    right = hb.select(*K, (F.col("close_time") + 1).alias("open_time"),
                       ((F.col("high") - F.col("low")) < mult * F.col("_rs")).alias("htf_ok"))
-    out = J.asof_backward(bars, right, on="open_time", by=["exchange", "symbol"], right_cols=["htf_ok"], prefix="h_")
+    out = J.asof_backward(bars, right, on="open_time", by=K, right_cols=["htf_ok"], prefix="h_")
     return out.withColumn("htf_ok", F.coalesce(F.col("h_htf_ok"), F.lit(False))).drop("h_htf_ok", "h_open_time")
 
 

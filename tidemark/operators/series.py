@@ -33,12 +33,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.timeutil import interval_ms
-from tidemark.schemas import KEY
+from tidemark.schemas import INTERVAL_MS, KEY
 
 BLOCK_ROWS_CONF = "tidemark.series.blockRows"
 CHUNK_BARS_CONF = "tidemark.series.chunkBars"
 DEFAULT_BLOCK_ROWS = 1_000_000
 DEFAULT_CHUNK_BARS = 1_000_000
+TIE_BREAK = ("close_time", "open", "high", "low", "close", "volume")
 
 
 def _conf(df: DataFrame, name: str, default: int) -> int:
@@ -50,28 +51,51 @@ def block_rows(df: DataFrame) -> int:
     return _conf(df, BLOCK_ROWS_CONF, DEFAULT_BLOCK_ROWS)
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """``df`` as a reliable checkpoint (once): a scan helper uses its input two or three
+    times, and without this a chain of helpers would read the source exponentially often."""
+    if getattr(df, "_tidemark_pinned", False):
+        return df
+    from tidemark.session import cut_lineage
+    out = cut_lineage(df)
+    out._tidemark_pinned = True
+    return out
+
+
+def _join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    from tidemark.operators.joins import null_safe_join
+    return null_safe_join(a, b, keys, how)
+
+
 def index_series(df: DataFrame, key: Sequence[str] = KEY, order: Sequence[str] = ("open_time",),
                  idx: str = "bar_idx", span_ms: int | None = None) -> DataFrame:
     """Add ``idx`` = 0-based position of the row in its key, by ``order``.
 
     The first ``order`` column must be epoch ms.  Rows are cut into time
     chunks of ``span_ms`` (default: interval length x chunkBars, so a chunk
-    holds a bounded number of bars), positions inside a chunk come from a
+    holds a bounded number of bars; labels without a known length, and NULL,
+    count as the shortest).  NULL keys are keys of their own.  Bars of one time are
+    ordered by their other columns (``TIE_BREAK``), so the order is total.  Positions inside a chunk come from a
     ``row_number`` over (key, chunk) and the chunk's offset from a running sum
     over the small per-chunk count table.
     """
     key = list(key)
     t0 = order[0]
-    if span_ms is None:
-        span = interval_ms(F.col("interval")) * F.lit(_conf(df, CHUNK_BARS_CONF, DEFAULT_CHUNK_BARS))
-    else:
+    if tuple(order) == ("open_time",):
+        order = [*order, *[c for c in TIE_BREAK if c in df.columns]]
+    chunk = F.lit(_conf(df, CHUNK_BARS_CONF, DEFAULT_CHUNK_BARS))
+    if span_ms is not None:
         span = F.lit(int(span_ms))
+    elif "interval" in df.columns:  # an unknown or NULL label counts as the shortest interval
+        span = F.coalesce(interval_ms(F.col("interval")), F.lit(min(INTERVAL_MS.values()))) * chunk
+    else:
+        span = F.lit(min(INTERVAL_MS.values())) * chunk
     d = df.withColumn("_chunk", F.floor(F.col(t0) / span).cast("long"))
     counts = d.groupBy(*key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     wc = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*key, "_chunk", F.coalesce(F.sum("_n").over(wc), F.lit(0)).cast("long").alias("_off"))
     w = Window.partitionBy(*key, "_chunk").orderBy(*order)
-    return (d.join(offsets, [*key, "_chunk"])
+    return (_join(d, offsets, [*key, "_chunk"])
             .withColumn(idx, F.col("_off") + F.row_number().over(w) - 1)
             .drop("_chunk", "_off"))
 
@@ -153,6 +177,7 @@ def ewm(df: DataFrame, specs: Sequence[tuple[str, float, str]], key: Sequence[st
     key = list(key)
     b = block_rows(df)
     ins = [s[0] for s in specs]
+    df = pinned(df)
     d = df.withColumn("_blk", F.floor(F.col(idx) / F.lit(b)).cast("long"))
     part = d.select(*key, "_blk", idx, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(ins)])
     ktypes = {f.name: f.dataType for f in df.schema.fields}
@@ -171,7 +196,7 @@ def ewm(df: DataFrame, specs: Sequence[tuple[str, float, str]], key: Sequence[st
             out[f"_l0{i}"], out[f"_ls{i}"], out[f"_p{i}"], out[f"_seen{i}"] = l0, ls, p, seen
         return out
 
-    loc = part.groupBy(*key, "_blk").applyInPandas(local, local_schema)
+    loc = pinned(part.groupBy(*key, "_blk").applyInPandas(local, local_schema))
 
     # One row per block: values at the block's last row.
     last = F.max_by(F.struct(*[F.col(f"_{n}{i}") for i in range(len(specs)) for n in ("l0", "ls", "p", "seen")]),
@@ -197,7 +222,7 @@ def ewm(df: DataFrame, specs: Sequence[tuple[str, float, str]], key: Sequence[st
         return out
 
     carry = summ.groupBy(*key).applyInPandas(fold, T.StructType(carry_fields))
-    res = loc.join(carry, [*key, "_blk"], "left")
+    res = _join(loc, carry, [*key, "_blk"], "left")
     outs = {}
     for i, (_, _, name) in enumerate(specs):
         c = F.col(f"_c{i}")
@@ -205,7 +230,7 @@ def ewm(df: DataFrame, specs: Sequence[tuple[str, float, str]], key: Sequence[st
         val = F.when(has_carry, F.col(f"_l0{i}") + F.col(f"_p{i}") * c).when(F.col(f"_seen{i}"), F.col(f"_ls{i}"))
         outs[name] = F.when(~F.isnan(val), val)
     res = res.select(*key, idx, *[v.alias(k) for k, v in outs.items()])
-    return df.join(res, [*key, idx], "left")
+    return _join(df, res, [*key, idx], "left")
 
 
 # ------------------------------------------------------- carry-forward scan
@@ -222,7 +247,7 @@ def carry_last(df: DataFrame, cols: Sequence[str], key: Sequence[str], order: Se
     """
     key = list(key)
     b = block_rows(df)
-    d = df.withColumn("_blk", F.floor(F.col(idx) / F.lit(b)).cast("long"))
+    d = pinned(df).withColumn("_blk", F.floor(F.col(idx) / F.lit(b)).cast("long"))
     w = Window.partitionBy(*key, "_blk").orderBy(idx)
     if forward:
         frame = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -237,7 +262,7 @@ def carry_last(df: DataFrame, cols: Sequence[str], key: Sequence[str], order: Se
     edge = F.max_by if forward else F.min_by
     summ = d.groupBy(*key, "_blk").agg(*[edge(F.col(f"_in_{c}"), F.col(idx)).alias(f"_b_{c}") for c in cols])
     summ = summ.select(*key, "_blk", *[agg_fn(f"_b_{c}", ignorenulls=True).over(outer).alias(f"_o_{c}") for c in cols])
-    d = d.join(summ, [*key, "_blk"], "left")
+    d = _join(d, summ, [*key, "_blk"], "left")
     return d.withColumns({c + "_carried": F.coalesce(F.col(f"_in_{c}"), F.col(f"_o_{c}")) for c in cols}) \
             .drop("_blk", *[f"_in_{c}" for c in cols], *[f"_o_{c}" for c in cols])
 
@@ -267,13 +292,13 @@ def segment_running(df: DataFrame, value: str, seg: str, out: str, fn: str = "ma
     key = list(key)
     b = block_rows(df)
     agg = F.max if fn == "max" else F.min
-    d = df.withColumn("_sb", F.floor(F.col(idx) / F.lit(b)).cast("long"))
+    d = pinned(df).withColumn("_sb", F.floor(F.col(idx) / F.lit(b)).cast("long"))
     w = Window.partitionBy(*key, seg, "_sb").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_loc", agg(value).over(w))
     summ = d.groupBy(*key, seg, "_sb").agg(agg(value).alias("_bx"))
     wo = Window.partitionBy(*key, seg).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select(*key, seg, "_sb", agg("_bx").over(wo).alias("_carry"))
-    d = d.join(summ, [*key, seg, "_sb"], "left")
+    d = _join(d, summ, [*key, seg, "_sb"], "left")
     both = F.greatest("_loc", "_carry") if fn == "max" else F.least("_loc", "_carry")
     return d.withColumn(out, both).drop("_sb", "_loc", "_carry")
 
@@ -283,11 +308,11 @@ def running_sum(df: DataFrame, value: str, out: str, key: Sequence[str] = KEY, i
     sum plus the total of earlier blocks (one-row-per-block summary)."""
     key = list(key)
     b = block_rows(df)
-    d = df.withColumn("_rb", F.floor(F.col(idx) / F.lit(b)).cast("long"))
+    d = pinned(df).withColumn("_rb", F.floor(F.col(idx) / F.lit(b)).cast("long"))
     w = Window.partitionBy(*key, "_rb").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_loc", F.sum(value).over(w))
     summ = d.groupBy(*key, "_rb").agg(F.sum(value).alias("_bs"))
     wo = Window.partitionBy(*key).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select(*key, "_rb", F.coalesce(F.sum("_bs").over(wo), F.lit(0.0)).alias("_carry"))
-    d = d.join(summ, [*key, "_rb"], "left")
+    d = _join(d, summ, [*key, "_rb"], "left")
     return d.withColumn(out, F.col("_loc") + F.col("_carry")).drop("_rb", "_loc", "_carry")

@@ -80,7 +80,8 @@ def swing_setups(bars: DataFrame, use_vol_filter: bool = True, direction: str =
 
 
 def regime_alerts(df: DataFrame) -> DataFrame:
-    """Regime-change alerts (trend flag turns on) and entry alerts."""
+    """Regime-change alerts (trend flag turns on) and entry alerts, one row
+    per alert: a bar that raises several has several rows, one that raises none has none."""
     def build(w):
         return {"alert_trending_up": F.col("trending_up") & (F.col("trending_up") != F.lag("trending_up").over(w)),
                 "alert_trending_down": F.col("trending_down")
@@ -89,7 +90,8 @@ def regime_alerts(df: DataFrame) -> DataFrame:
     d = series.halo_windows(df, build, back=1)
     d = d.withColumns({"alert_trending_up": F.coalesce("alert_trending_up", F.lit(False)),
                        "alert_trending_down": F.coalesce("alert_trending_down", F.lit(False))})
-    ev = F.when(F.col("alert_trending_up"), "trending_up").when(F.col("alert_trending_down"), "trending_down")
+    named = [("trending_up", F.col("alert_trending_up")), ("trending_down", F.col("alert_trending_down"))]
     if "long_setup" in df.columns:
-        ev = ev.when(F.col("long_setup"), "long_entry").when(F.col("short_setup"), "short_entry")
-    return d.withColumn("alert", ev)
+        named += [("long_entry", F.col("long_setup")), ("short_entry", F.col("short_setup"))]
+    raised = F.filter(F.array(*[F.when(cond, F.lit(n)) for n, cond in named]), lambda x: x.isNotNull())
+    return d.withColumn("alert", F.explode(raised))

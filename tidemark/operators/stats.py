@@ -120,41 +120,40 @@ def json_keys_seen(df: DataFrame, json_col: str) -> DataFrame:
 def exact_quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
                     names: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (``percentile`` / pandas /
-    ``quantile_cont``) per group, without holding a group in one task.
+    ``quantile_cont``) per group (NULL is a group), without holding a group in one task.
 
-    The values are range-partitioned by (group, value) — the partitioner
-    samples, so a hot group is spread over many partitions — and sorted; a
-    row's rank in its group is its position in the partition plus the counts
+    Equal values are counted first (which combines before the shuffle, so a
+    frequent value costs one row); the distinct values are range-partitioned by
+    (group, value), and a value's ranks follow from running counts inside the partition plus the counts
     of the same group in earlier partitions (a small per-partition table).
-    Only the rows at ranks floor(h) and ceil(h), h = (n - 1) p, survive to
-    the final per-group aggregate.  The ranked frame is checkpointed so
+    Only the values that cover ranks floor(h) and ceil(h), h = (n - 1) p, survive to
+    the final per-group aggregate.  The counted frame is checkpointed so
     partition ids are stable.
     """
+    from tidemark.operators.joins import null_safe_join
     from tidemark.session import cut_lineage
     by = list(by)
     names = list(names or [f"q{round(p * 100)}" for p in probs])
-    spark = df.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     v = df.select(*by, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    s = v.repartitionByRange(p, *by, "_v").sortWithinPartitions(*by, "_v")
-    s = s.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    s = cut_lineage(s)
-    s = s.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    part = s.groupBy(*by, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
+    s = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")).repartitionByRange(p, *by, "_v")
+    s = cut_lineage(s.withColumn("_pid", F.spark_partition_id()))
+    part = s.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc"))
     w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    part = part.select(*by, "_pid", "_p0", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"),
-                       F.sum("_c").over(Window.partitionBy(*by)).alias("_n"))
-    r = s.join(part, [*by, "_pid"]).withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_p0"))
-    hs = [((F.col("_n") - 1) * float(q)) for q in probs]
-    wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(h), F.ceil(h)) for h in hs])))
-    r = r.where(F.array_contains(wanted.cast("array<long>"), F.col("_rank")))
-    g = r.groupBy(*by).agg(F.first("_n").alias("_n"), F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"))
+    part = part.select(*by, "_pid", F.coalesce(F.sum("_pc").over(w), F.lit(0)).alias("_off"),
+                       F.sum("_pc").over(Window.partitionBy(*by)).alias("_n"))
+    inside = Window.partitionBy(*by, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    r = null_safe_join(s.withColumn("_to", F.sum("_c").over(inside)), part, [*by, "_pid"])
+    r = r.withColumn("_to", F.col("_off") + F.col("_to") - 1).withColumn("_from", F.col("_to") - F.col("_c") + 1)
+    ranks = [rank for q in probs for rank in (F.floor((F.col("_n") - 1) * float(q)), F.ceil((F.col("_n") - 1) * float(q)))]
+    r = r.where(F.exists(F.array(*ranks), lambda x: x.between(F.col("_from"), F.col("_to"))))
+    g = r.groupBy(*by).agg(F.first("_n").alias("_n"), F.collect_list(F.struct("_from", "_to", "_v")).alias("_vs"))
     outs = []
     for q, nm in zip(probs, names):
         h = (F.col("_n") - 1) * float(q)
-        lo, hi = F.floor(h), F.ceil(h)
-        vlo, vhi = F.element_at("_m", lo), F.element_at("_m", hi)
-        outs.append((vlo + (h - lo) * (vhi - vlo)).alias(nm))
+        at = lambda rank: F.element_at(F.filter("_vs", lambda x: rank.between(x["_from"], x["_to"])), 1)["_v"]
+        vlo, vhi = at(F.floor(h)), at(F.ceil(h))
+        outs.append((vlo + (h - F.floor(h)) * (vhi - vlo)).alias(nm))
     return g.select(*by, *outs)
 
 

@@ -84,26 +84,12 @@ def strict_local_min(x, w: Window, left: int, right: int) -> Column:
             & (c(x) < F.min(c(x)).over(lf)) & (c(x) < F.min(c(x)).over(rf)))
 
 
-def first_per_group(df: DataFrame, keys, order) -> DataFrame:
-    """First row per group under a total order (dedup / first event)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def run_id(flag, w: Window) -> Column:
     """Gaps-and-islands id: increases whenever ``flag`` changes."""
     changed = F.coalesce((c(flag) != F.lag(c(flag)).over(w)).cast("int"), F.lit(1))
     return F.sum(changed).over(w.rowsBetween(Window.unboundedPreceding, 0))
 
 
-def running_extreme_since(df: DataFrame, x: str, seg: str, out: str, fn=F.max, key=KEY,
-                          idx: str = "bar_idx") -> DataFrame:
-    """Running max/min of ``x`` since the start of segment ``seg`` (a
-    segment id per key; segments are bounded, e.g. one range)."""
-    w = Window.partitionBy(*key, seg).orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, fn(c(x)).over(w))
-
-
 def qcut_edges(df: DataFrame, x: str, q: int = 5, by=("exchange", "symbol", "interval")) -> DataFrame:
     """W10 edges: exact quantile edges of ``x`` per key (one small row per
     key), computed as distributed order statistics."""

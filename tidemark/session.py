@@ -68,11 +68,6 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def conf_int(spark: SparkSession, name: str, default: int) -> int:
-    v = spark.conf.get(name, None)
-    return int(v) if v else default
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -86,6 +81,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path

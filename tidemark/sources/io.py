@@ -76,9 +76,9 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, fmt: str
     spark.sql(create_table_ddl(name, schema, fmt, partition_by))
 
 
-def ensure_namespace(spark: SparkSession, ns: str) -> None:
-    """CREATE SCHEMA IF NOT EXISTS."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_q(ns)}")
+def ensure_namespace(spark: SparkSession, ns: str, location: str | None = None) -> None:
+    """CREATE SCHEMA IF NOT EXISTS (at ``location``, else under the warehouse)."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_q(ns)}" + (f" LOCATION '{location}'" if location else ""))
 
 
 def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",", mode: str = "overwrite") -> None:
@@ -137,17 +137,21 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"source has duplicate keys on {list(keys)}")
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
 def upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str]) -> None:
     """Upsert into a Parquet table: fail on duplicate source keys, write
-    the merged rows to a staging table, then swap it in (Spark refuses to
-    overwrite a table it is reading)."""
+    all merged rows to a staging table, then overwrite the live table's rows from
+    it and drop it.  The live table, with its partitioning, exists at every moment; if the overwrite
+    fails, the staging table holds the whole result and ``truncate_load`` from it finishes the work."""
     check_unique(source, keys)
-    merged = merge_rows(spark.table(table), source, keys)
     staging = f"{table}__staging"
     spark.sql(f"DROP TABLE IF EXISTS {_q(staging)}")
-    merged.write.saveAsTable(staging)
-    spark.sql(f"DROP TABLE {_q(table)}")
-    spark.sql(f"ALTER TABLE {_q(staging)} RENAME TO {_q(table)}")
+    merge_rows(spark.table(table), source, keys).write.saveAsTable(staging)
+    truncate_load(spark.table(staging), table)
+    spark.sql(f"DROP TABLE {_q(staging)}")
 
 
 def select_tables(requested: Iterable[str] | None, available: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

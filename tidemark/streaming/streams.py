@@ -5,8 +5,8 @@ here the same per-bar logic runs as stateful streaming queries:
 
 * ST1 ``stream_bars``: ticks -> bars with an event-time watermark (late ticks
   dropped), append mode.
-* ST2 ``stream_dedup_alerts``: first alert per (key, hour bucket) with
-  ``dropDuplicatesWithinWatermark``.
+* ST2 ``stream_dedup_alerts``: first alert per (key, hour bucket), a
+  watermarked windowed minimum.
 * ST3 ``stream_range_events``: live locked-range events with
   ``applyInPandasWithState``; the state is the batch machine's state plus
   the incremental ATR (Wilder) and volume-SMA inputs, so stream and batch
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tidemark.operators.ranges import LiveRangeMachine
+from tidemark.operators.ranges import RangeTracker
 from tidemark.schemas import INTERVAL_MS
 from tidemark.session import ensure_checkpoint_dir
 
@@ -82,13 +82,14 @@ def event_ticks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------- ST2
 
-def stream_dedup_alerts(alerts: DataFrame, bucket_ms: int = 3_600_000, watermark: str = "2 hours") -> DataFrame:
-    """ST2: first alert per (exchange, symbol, signal, source_tf, hour bucket)
-    within the watermark (the bucket keeps parity with the batch B13)."""
-    a = alerts.withColumn("dedup_bucket", F.floor(F.col("ts") / F.lit(bucket_ms)).cast("long")) \
-        .withColumn("event_time", F.timestamp_millis("ts"))
-    return (a.withWatermark("event_time", watermark)
-            .dropDuplicatesWithinWatermark(["exchange", "symbol", "signal", "source_tf", "dedup_bucket"]))
+def stream_dedup_alerts(alerts: DataFrame, every: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
+    """ST2: the first alert, by (ts, id), per (exchange, symbol, signal, source_tf, hour);
+    emitted once the watermark passes the hour's end (the same choice as the batch B13)."""
+    rest = [c for c in alerts.columns if c not in ("exchange", "symbol", "signal", "source_tf")]
+    g = (alerts.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", watermark)
+         .groupBy("exchange", "symbol", "signal", "source_tf", F.window("event_time", every))
+         .agg(F.min_by(F.struct(*rest), F.struct("ts", "id")).alias("_a")))
+    return g.select("exchange", "symbol", "signal", "source_tf", "_a.*")
 
 
 # ------------------------------------------------------------------- ST3
@@ -96,7 +97,7 @@ def stream_dedup_alerts(alerts: DataFrame, bucket_ms: int = 3_600_000, watermark
 RANGE_EVENT_SCHEMA = T.StructType(
     [T.StructField("exchange", T.StringType()), T.StructField("symbol", T.StringType()),
      T.StructField("interval", T.StringType()), T.StructField("bar_idx", T.LongType())]
-    + [T.StructField(n, t) for n, t in LiveRangeMachine.event_fields])
+    + [T.StructField(n, t) for n, t in RangeTracker.event_fields])
 STATE_SCHEMA = T.StructType([T.StructField("json", T.StringType())])
 
 
@@ -125,7 +126,7 @@ class IncrementalInputs:
         return (s["atr"] if s["atr"] is not None else math.nan), avgv
 
 
-def _range_state_fn(machine: LiveRangeMachine):
+def _range_state_fn(machine: RangeTracker):
     inputs = IncrementalInputs()
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
@@ -150,9 +151,9 @@ def _range_state_fn(machine: LiveRangeMachine):
     return fn
 
 
-def stream_range_events(bars: DataFrame, machine: LiveRangeMachine | None = None) -> DataFrame:
+def stream_range_events(bars: DataFrame, machine: RangeTracker | None = None) -> DataFrame:
     """ST3: live locked-range events from a bars stream (per key state)."""
-    machine = machine or LiveRangeMachine()
+    machine = machine or RangeTracker()
     return (bars.groupBy("exchange", "symbol", "interval")
             .applyInPandasWithState(_range_state_fn(machine), RANGE_EVENT_SCHEMA, STATE_SCHEMA, "append",
                                     GroupStateTimeout.NoTimeout))

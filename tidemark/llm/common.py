@@ -174,29 +174,32 @@ def block_units(blocks: DataFrame) -> DataFrame:
 
 
 def near_members(units: DataFrame, differing: int) -> DataFrame:
-    """(unit, side, id): of work units (unit, a, a_orders, b, b_orders) whose orders are 64-bit sketches, the members that
+    """(unit, side, id, sketch): of work units (unit, a, a_orders, b, b_orders) whose orders are 64-bit sketches, the members that
     differ from some member they are to be compared with in at most ``differing`` bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unit, side, ids = [], [], []
+            unit, side, ids, sketches = [], [], [], []
             for r in range(batch.num_rows):
                 no, a, oa, b, ob = (batch.column(i)[r] for i in range(5))
                 a, oa = a.values.to_numpy(), oa.values.to_numpy().view(np.uint64)
                 if b.is_valid:
-                    near = np.bitwise_count(oa[:, None] ^ ob.values.to_numpy().view(np.uint64)[None, :]) <= differing
-                    parts = (a[near.any(axis=1)], b.values.to_numpy()[near.any(axis=0)])
+                    b, ob = b.values.to_numpy(), ob.values.to_numpy().view(np.uint64)
+                    near = np.bitwise_count(oa[:, None] ^ ob[None, :]) <= differing
+                    parts = ((a, oa, near.any(axis=1)), (b, ob, near.any(axis=0)))
                 else:
                     near = np.bitwise_count(oa[:, None] ^ oa[None, :]) <= differing
                     np.fill_diagonal(near, False)
-                    parts = (a[near.any(axis=1)],)
-                for s, x in enumerate(parts):
-                    unit.append(np.full(len(x), no.as_py(), np.int64))
-                    side.append(np.full(len(x), s, np.int32))
-                    ids.append(x)
-            cat = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
-            yield pa.RecordBatch.from_arrays([pa.array(cat(unit, np.int64)), pa.array(cat(side, np.int32)), pa.array(cat(ids, np.int64))], ["unit", "side", "id"])
-
-    return units.select("unit", "a", "a_orders", "b", "b_orders").mapInArrow(run, "unit long, side int, id long")
+                    parts = ((a, oa, near.any(axis=1)),)
+                for s, (x, o, stays) in enumerate(parts):
+                    unit.append(np.full(stays.sum(), no.as_py(), np.int64))
+                    side.append(np.full(stays.sum(), s, np.int32))
+                    ids.append(x[stays])
+                    sketches.append(o[stays].view(np.int64))
+            cat = lambda x, t: pa.array(np.concatenate(x) if x else np.empty(0, t))
+            yield pa.RecordBatch.from_arrays([cat(unit, np.int64), cat(side, np.int32), cat(ids, np.int64), cat(sketches, np.int64)],
+                                             ["unit", "side", "id", "sketch"])
+
+    return units.select("unit", "a", "a_orders", "b", "b_orders").mapInArrow(run, "unit long, side int, id long, sketch long")
 
 
 # ---------------------------------------------------------------- union-find

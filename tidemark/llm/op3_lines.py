@@ -44,7 +44,7 @@ MISSED = 0.0035
 BLOCK = 256
 #: Bits of the table of lines whose text is wanted: 16 MB in a task, whatever their number.
 TABLE_BITS = 27
-_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+_NONE = np.uint32(0xFFFFFFFF)
 
 
 def normal(line: str) -> str:
@@ -57,10 +57,33 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _mix32(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint32(16)
+    h *= np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(0xC2B2AE35)
+    h ^= h >> np.uint32(16)
+    return h
+
+
+def _densified(sketch: np.ndarray) -> np.ndarray:
+    """Empty bins take the value of the nearest full bin around the circle, to the left or to the right by the bin."""
+    full, bins = sketch != _NONE, sketch.shape[1]
+    if full.all():
+        return sketch
+    column = np.arange(bins)
+    at = np.where(full, column, -1)
+    left = np.maximum.accumulate(np.concatenate([at, np.where(full, column + bins, -1)], axis=1), axis=1)[:, bins:] % bins
+    at = np.where(full, column, 4 * bins)
+    right = np.minimum.accumulate(np.concatenate([at, np.where(full, column + bins, 4 * bins)], axis=1)[:, ::-1], axis=1)[:, ::-1][:, :bins] % bins
+    toward = (_mix(column.astype(np.uint64) + np.uint64(1)) & np.uint64(1)).astype(bool)
+    return np.take_along_axis(sketch, np.where(toward, left, right), axis=1)
+
+
 def banding(lines: int, similarity: float = SIMILARITY) -> tuple[int, int]:
     """(bands, rows): one more row for each five-fold growth past 2.5 million lines, and as many bands as
     keep the share of missed pairs at ``similarity`` under ``MISSED``."""
-    rows = max(4, 4 + math.ceil(math.log(max(1, lines) / 2.6e6) / math.log(5)))
+    rows = max(3, 3 + math.ceil(math.log(max(1, lines) / 2.6e6) / math.log(5)))
     return math.ceil(math.log(MISSED) / math.log(1 - similarity ** rows)), rows
 
 
@@ -74,28 +97,21 @@ def band_keys(lines: list[str], bands: int, rows: int) -> np.ndarray:
     while lo < len(lines):  # runs of about a million code points, or one longer line
         hi = max(lo + 1, int(np.searchsorted(np.cumsum(lengths[lo:]), 1 << 20, side="right")) + lo)
         n = hi - lo
-        codes = np.frombuffer("".join(padded[lo:hi]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        codes = np.frombuffer("".join(padded[lo:hi]).encode("utf-32-le", "surrogatepass"), np.uint32)
         own = lengths[lo:hi]
-        h = np.zeros(len(codes) - SHINGLE + 1, np.uint64)
+        h = np.zeros(len(codes) - SHINGLE + 1, np.uint32)
         for i in range(SHINGLE):
-            h = h * np.uint64(0x100000001B3) + codes[i:i + len(h)]
-        line = np.repeat(np.arange(n), own)[:len(h)]
-        inside = np.arange(len(h)) <= np.repeat(np.cumsum(own) - SHINGLE, own)[:len(h)]
-        h, line = _mix(h[inside]), line[inside]
+            h = h * np.uint32(0x01000193) + codes[i:i + len(h)]
+        inside = np.ones(len(h), bool)
+        for i in range(1, SHINGLE):  # shingles that run over the end of a line
+            inside[np.cumsum(own)[:-1] - i] = False
+        line = np.repeat(np.arange(n), own - SHINGLE + 1)
+        h = _mix32(h[inside])
         sketch = np.full(n * bins, _NONE)
-        np.minimum.at(sketch, line * bins + ((h >> np.uint64(32)) % np.uint64(bins)).astype(np.int64), h)
+        at = (h >> np.uint32(26)).astype(np.int64) if bins == 64 else (_mix32(h.copy()) % np.uint32(bins)).astype(np.int64)
+        np.minimum.at(sketch, line * bins + at, h)
         sketch = sketch.reshape(n, bins)
-        full = sketch != _NONE  # an empty bin takes the value of a full one, tried in an order fixed by the bin
-        todo, step = ~full, 0
-        dense = sketch.copy()
-        while todo.any():
-            step += 1
-            r, c = np.nonzero(todo)
-            source = (_mix(c.astype(np.uint64) * np.uint64(1009) + np.uint64(step)) % np.uint64(bins)).astype(np.int64)
-            ok = full[r, source]
-            dense[r[ok], c[ok]] = sketch[r[ok], source[ok]]
-            todo[r[ok], c[ok]] = False
-        sketch = dense
+        sketch = _densified(sketch).astype(np.uint64)
         key = np.full((n, bands), np.uint64(1))
         for i in range(rows):
             key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + sketch[:, i * bands:(i + 1) * bands])
@@ -154,21 +170,31 @@ def _lines(bands: int, rows: int):
 
 
 def _verify(least: float):
+    """Links that connect the members of a unit: exact similarity of the pairs whose sketches are near."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            left, right = [], []
+            left, right, sets, judged = [], [], {}, {}
             for members in b.column(0).to_pylist():
                 members.sort(key=lambda m: (m["side"], m["id"]))
-                sets = [shingles(m["text"]) for m in members]
                 cut = sum(m["side"] == 0 for m in members)
-                cross = cut < len(members)
+                sketch = np.array([m["sketch"] for m in members], np.int64).view(np.uint64)
+                near = np.bitwise_count(sketch[:cut, None] ^ sketch[None, :]) <= DIFFERING
+                if cut < len(members):
+                    near[:, :cut] = False
                 known = UnionFind(len(members))
-                for i in range(cut):
-                    for j in range(cut if cross else i + 1, len(members)):
-                        if known.find(i) != known.find(j) and similar(sets[i], sets[j], least):
-                            known.union(i, j)
-                            left.append(members[i]["id"])
-                            right.append(members[j]["id"])
+                for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
+                    if i >= j or known.find(i) == known.find(j):
+                        continue
+                    pair = members[i]["id"], members[j]["id"]
+                    if pair not in judged:
+                        for m in (members[i], members[j]):
+                            if m["id"] not in sets:
+                                sets[m["id"]] = shingles(m["text"])
+                        judged[pair] = similar(sets[pair[0]], sets[pair[1]], least)
+                    if judged[pair]:
+                        known.union(i, j)
+                        left.append(pair[0])
+                        right.append(pair[1])
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
     return run
 
@@ -242,7 +268,8 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     members = materialize(near_members(materialize(units, "line-units"), DIFFERING), "line-members")
     spot = F.struct("first.anon", "first.doc_id", "first.text_hash", "first.pos")
     wanted = materialize(members.select("id").distinct().join(nodes.select("id", spot.alias("spot")), "id").select("id", "spot.*").drop("anon"), "line-wanted")
-    sets = members.join(_texts(three, wanted), "id").groupBy("unit").agg(F.collect_list(F.struct("side", "id", "text")).alias("members"))
+    sets = (members.join(_texts(three, wanted), "id").groupBy("unit")
+            .agg(F.collect_list(F.struct("side", "id", "sketch", "text")).alias("members")))
     cc = components(sets.select("members").mapInArrow(_verify(similarity), "a long, b long"), "line-cc")
 
     named = nodes.select("id", "line", "n", spot.alias("spot")).join(cc, F.col("id") == F.col("node"), "left")

@@ -384,6 +384,21 @@ def b23_performance(spark, sf):
                PERF_COLS)
 
 
+PERF_KEYS = ["exchange", "symbol", "interval", "max_hold_bars", "atr_mult_stop"]
+
+
+def _monthly(spark, sf):
+    return B.monthly_results(_grid(spark, sf).withColumn("exit_ms", F.unix_millis("exit_time_utc")), PERF_KEYS)
+
+
+def b23_monthly(spark, sf):
+    return rnd(_monthly(spark, sf), ["net_r"])
+
+
+def b23_sharpe(spark, sf):
+    return rnd(B.sharpe(_monthly(spark, sf), PERF_KEYS), ["mean_month_r", "worst_month_r", "sharpe"])
+
+
 for _n, _f in list(globals().items()):
     if callable(_f) and (_n[:1] in ("j", "b") and _n[1:2].isdigit() or _n.startswith("e1_")):
         QUERIES[_n] = _f
@@ -492,3 +507,9 @@ SELECT {by}, n_trades, max_win_streak, max_loss_streak, {', '.join(f"{rs(c)} AS
 
 
 SQL["b23_performance"] = perf_sql("exchange, symbol, interval, max_hold_bars, atr_mult_stop")
+
+_MONTHLY = f"""SELECT {', '.join(PERF_KEYS)}, strftime(exit_time_utc, '%Y-%m') AS month, count(*) AS n_trades, sum(r_multiple) AS net_r
+FROM ({_b7_raw_sql()}) GROUP BY ALL"""
+SQL["b23_monthly"] = f"SELECT * REPLACE ({rs('net_r')} AS net_r) FROM ({_MONTHLY})"
+SQL["b23_sharpe"] = f"""SELECT {', '.join(PERF_KEYS)}, count(*) AS months, {rs('avg(net_r)')} AS mean_month_r, {rs('min(net_r)')} AS worst_month_r,
+  {rs('CASE WHEN stddev_samp(net_r) <> 0 THEN avg(net_r) / stddev_samp(net_r) * sqrt(12) END')} AS sharpe FROM ({_MONTHLY}) GROUP BY ALL"""

@@ -68,12 +68,13 @@ def alert_outcomes(alerts: DataFrame, bars: DataFrame, interval: str = "1h",
     b = bars.where(F.col("interval") == interval)
     fs = bar_forward_stats(b, horizons, window)
     a = dedup_alerts(alerts).select("exchange", "symbol", "signal", "source_tf", "ts", "id")
-    m = J.asof_forward(a, fs.select("exchange", "symbol", "open_time", "open"), on="ts", by=("exchange", "symbol"),
-                       right_cols=["open"], prefix="e_", right_on="open_time")
+    # the entry bar's prices travel with the as-of match, so the forward statistics are computed once
+    carried = ["open", "bar_idx", *[f"close_h{h}" for h in horizons], "max_high_w", "min_low_w"]
+    m = J.asof_forward(a, fs.select("exchange", "symbol", "open_time", *carried), on="ts", by=("exchange", "symbol"),
+                       right_cols=carried, prefix="e_", right_on="open_time")
     m = m.where(F.col("e_open_time").isNotNull())
-    m = m.join(fs.select("exchange", "symbol", F.col("open_time").alias("e_open_time"), "bar_idx",
-                         *[f"close_h{h}" for h in horizons], "max_high_w", "min_low_w"),
-               ["exchange", "symbol", "e_open_time"])
+    m = m.select("exchange", "symbol", "signal", "source_tf", "ts", "id", "e_open_time", "e_open",
+                 *[F.col(f"e_{c}").alias(c) for c in carried[1:]])
     ts_utc = ms_to_utc("ts")
     ts_loc = utc_to_local(ts_utc, tz)
     out = m.select(
@@ -267,39 +268,45 @@ def signal_backtest(feat: DataFrame, signal_col: str, grid: Sequence[GridParams]
     is the parameter count).
     """
     hmax = max(g.max_hold_bars for g in grid)
-    d = I.indexed(feat)
+    d = series.pinned(I.indexed(feat))
     edges = W.qcut_edges(d, "atrp_14", 5)
 
     def build(w):
-        fut = F.collect_list(F.struct(F.col("bar_idx").alias("i"), F.col("high").alias("h"), F.col("low").alias("l"),
-                                      F.col("close").alias("c"), F.col("open_time").alias("t"))
-                             ).over(w.rowsBetween(1, hmax + 1))
         return {"_entry": F.lead("open", 1).over(w), "_atr_e": F.lead("atr_14", 1).over(w),
                 "_atrp_e": F.lead("atrp_14", 1).over(w), "_t_e": F.lead("open_time", 1).over(w),
-                "_has2": F.lead("open", 2).over(w).isNotNull() | F.lead("open_time", 2).over(w).isNotNull(),
-                "_fut": fut}
+                "_has2": F.lead("open", 2).over(w).isNotNull() | F.lead("open_time", 2).over(w).isNotNull()}
 
-    s = series.halo_windows(d.where(F.lit(True)), build, fwd=hmax + 1)
+    s = series.halo_windows(d.select(*KEY, "bar_idx", "open", "open_time", "atr_14", "atrp_14", signal_col), build, fwd=2)
     s = s.where(F.col(signal_col) & F.col("_has2") & F.col("_entry").isNotNull() & F.col("_atr_e").isNotNull()
                 & (F.col("_atr_e") > 0) & ~F.isnan("_atr_e") & ~F.isnan("_entry"))
     g = s.sparkSession.createDataFrame([(p.atr_mult_stop, p.atr_mult_tp, p.max_hold_bars) for p in grid],
                                        "atr_mult_stop double, atr_mult_tp double, max_hold_bars int")
     s = s.crossJoin(F.broadcast(g))
-    s = s.withColumns({"entry": F.col("_entry"), "stop": F.col("_entry") - F.col("atr_mult_stop") * F.col("_atr_e"),
-                       "tp": F.col("_entry") + F.col("atr_mult_tp") * F.col("_atr_e"),
-                       "_last": F.col("bar_idx") + 1 + F.col("max_hold_bars")})
-    inwin = F.filter("_fut", lambda x: x["i"] <= F.col("_last"))
-    s = s.withColumn("_win", inwin)
-    first = F.get(F.filter("_win", lambda x: (x["l"] <= F.col("stop")) | (x["h"] >= F.col("tp"))), 0)
-    last = F.element_at("_win", -1)
-    s = s.withColumns({"_hit": first, "_lastbar": last})
-    hit = F.col("_hit").isNotNull()
-    outcome = F.when(hit & (F.col("_hit.l") <= F.col("stop")), "stop").when(hit, "tp").otherwise("time")
-    exit_px = F.when(outcome == "stop", F.col("stop")).when(outcome == "tp", F.col("tp")).otherwise(F.col("_lastbar.c"))
-    exit_i = F.when(hit, F.col("_hit.i")).otherwise(F.col("_lastbar.i"))
-    exit_t = F.when(hit, F.col("_hit.t")).otherwise(F.col("_lastbar.t"))
+    s = s.select(*KEY, "bar_idx", "_atrp_e", "_t_e", "atr_mult_stop", "atr_mult_tp", "max_hold_bars",
+                 F.col("_entry").alias("entry"), (F.col("_entry") - F.col("atr_mult_stop") * F.col("_atr_e")).alias("stop"),
+                 (F.col("_entry") + F.col("atr_mult_tp") * F.col("_atr_e")).alias("tp"))
+    s = series.pinned(s)
+    # Only signal bars meet the bars of their holding time; the pairs are reduced in the join's task
+    # to the first barrier (index and kind in one number) and the last bar.
+    trade = [*KEY, "bar_idx", "atr_mult_stop", "atr_mult_tp", "max_hold_bars"]
+    b = d.select(*KEY, F.col("bar_idx").alias("_i"), F.col("high").alias("_h"), F.col("low").alias("_l"),
+                 F.col("close").alias("_c"), F.col("open_time").alias("_t"))
+    pairs = J.within_rows(s.select(*trade, "stop", "tp"), b, KEY, "bar_idx", 1, hmax + 1, right_idx="_i")
+    pairs = pairs.where(F.col("_i") <= F.col("bar_idx") + 1 + F.col("max_hold_bars"))
+    at_stop, at_tp = F.coalesce(F.col("_l") <= F.col("stop"), F.lit(False)), F.coalesce(F.col("_h") >= F.col("tp"), F.lit(False))
+    touched = at_stop | at_tp
+    ends = pairs.groupBy(*trade).agg(
+        F.min(F.when(touched, F.col("_i") * 2 + F.when(at_stop, 0).otherwise(1))).alias("_code"),
+        F.min(F.when(touched, F.col("_t"))).alias("_hit_t"), F.max("_i").alias("_last_i"),
+        F.max_by("_c", "_i").alias("_last_c"), F.max("_t").alias("_last_t"))
+    s = J.null_safe_join(s, ends, trade)
+    hit = F.col("_code").isNotNull()
+    outcome = F.when(hit & (F.col("_code") % 2 == 0), "stop").when(hit, "tp").otherwise("time")
+    exit_px = F.when(outcome == "stop", F.col("stop")).when(outcome == "tp", F.col("tp")).otherwise(F.col("_last_c"))
+    exit_i = F.when(hit, F.floor(F.col("_code") / 2)).otherwise(F.col("_last_i"))
+    exit_t = F.when(hit, F.col("_hit_t")).otherwise(F.col("_last_t"))
     s = s.withColumns({"outcome": outcome, "exit": exit_px, "_exit_i": exit_i, "_exit_t": exit_t})
-    s = s.join(edges, list(KEY), "left")
+    s = J.null_safe_join(s, edges, KEY, "left")
     bucket = W.qcut_bucket("_atrp_all", F.col("_edges"), 5)
     # bucket of the entry bar's ATR% (whole-series edges, as the reference)
     s = s.withColumn("_atrp_all", F.col("_atrp_e")).withColumn("_bk", bucket)
@@ -559,6 +566,18 @@ def gravitation_fade(events: DataFrame, bars: DataFrame) -> DataFrame:
         ((F.col("range_high") + F.col("range_low")) / 2).alias("tp"))
 
 
+def monthly_results(trades: DataFrame, by: Sequence[str], t_col: str = "exit_ms", r_col: str = "r_multiple") -> DataFrame:
+    """Trades and net R per calendar month (UTC) of the exit."""
+    month = F.date_format(F.timestamp_millis(t_col), "yyyy-MM")
+    return trades.groupBy(*by, month.alias("month")).agg(F.count(F.lit(1)).alias("n_trades"), F.sum(r_col).alias("net_r"))
+
+
+def sharpe(monthly: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Annualized Sharpe ratio of the monthly net R (NULL for one month or no spread)."""
+    return monthly.groupBy(*by).agg(F.count(F.lit(1)).alias("months"), F.avg("net_r").alias("mean_month_r"), F.min("net_r").alias("worst_month_r"),
+                                    (F.try_divide(F.avg("net_r"), F.stddev_samp("net_r")) * F.lit(12 ** 0.5)).alias("sharpe"))
+
+
 def monte_carlo_drawdown(trades: DataFrame, by: Sequence[str], runs: int = 1000, seed: int = 7,
                          r_col: str = "r_multiple", id_col: str = "trade_id") -> DataFrame:
     """Max drawdown (in R) of ``runs`` reshuffles of each trade list;

@@ -117,6 +117,37 @@ SELECT {KS}, start_time, end_time, start_idx, end_idx, duration_bars, high_touch
   {', '.join(f'{rs(c)} AS {c}' for c in RANGE_DBL)} FROM fr"""
 
 
+RULES = [("auto", "beyond"), ("swing", "half"), ("height", "fixed"), ("swing", "second_swing")]
+
+
+def l12_l13_target_rules(spark, sf):
+    """Targets of every fixed range under other rules than the report's, heights counted 1.5 times."""
+    r = L.fixed_ranges(bars_all(spark, sf), tpsl=RULES, height_mult=1.5)
+    cols = ["tpsl1_high", "tpsl1_low", "tpsl2_high", "tpsl2_low"]
+    return rnd(r.select(*K, "start_idx", "method1", "method2", *cols), cols)
+
+
+def _rules_sql():
+    side = {"high": ("range_high", "h", ">", "+"), "low": ("range_low", "l", "<", "-")}
+    first = {"auto": "{s}1 IS NOT NULL AND {s}1 <> 0 AND {s}1 {o} {e}", "swing": "{s}1 IS NOT NULL", "height": "FALSE"}
+    out = []
+    for m1, m2 in RULES:
+        cols = []
+        for name, (e, s, o, g) in side.items():
+            t1 = f"CASE WHEN {first[m1].format(s=s, o=o, e=e)} THEN {s}1 ELSE {e} {g} hh END"
+            half = f"{t1} {g} hh / 2"
+            t2 = {"beyond": f"CASE WHEN {s}2 IS NOT NULL AND {s}2 {o} {t1} THEN {s}2 ELSE {half} END", "half": half,
+                  "fixed": f"{e} {g} 1.5 * hh", "second_swing": f"{s}2"}[m2]
+            cols += [f"{rs(t1)} AS tpsl1_{name}", f"{rs(t2)} AS tpsl2_{name}"]
+        out.append(f"SELECT {KS}, start_idx, '{m1}' AS method1, '{m2}' AS method2, {', '.join(cols)} FROM tg")
+    return RANGES_SQL + f""",
+tg AS (SELECT im.*, range_height * 1.5 AS hh, sw.h1, sw.l1, sw.h2, sw.l2 FROM im JOIN sw USING ({KS}, start_idx))
+""" + " UNION ALL ".join(out)
+
+
+SQL["l12_l13_target_rules"] = _rules_sql()
+
+
 def l10_l11_range_labels(spark, sf):
     """Volume degree of each fixed range (total volume vs SMA20 volume at the
     range end x bars) and imbalance strength label."""

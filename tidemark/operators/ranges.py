@@ -12,7 +12,10 @@ Exact for any block size, and no key ever needs one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from itertools import accumulate, compress
 
 import numpy as np
 import pandas as pd
@@ -24,6 +27,7 @@ from tidemark.operators import indicators as I
 from tidemark.operators import joins as J
 from tidemark.operators import series
 from tidemark.operators import windows as W
+from tidemark.operators.statemachine import Machine, block_scan
 from tidemark.schemas import KEY
 
 K = list(KEY)
@@ -135,7 +139,8 @@ def range_starts(flags: DataFrame, max_bars: int = 50, key: Sequence[str] = KEY)
 
 
 def fixed_ranges(bars: DataFrame, max_bars: int = 50, min_history: int = 20, touch_atr: float = 0.1,
-                 threshold: float = 0.15, narrow_rule: str = "atr_sma", swing_len: int = 5) -> DataFrame:
+                 threshold: float = 0.15, narrow_rule: str = "atr_sma", swing_len: int = 5,
+                 tpsl: Sequence[tuple[str, str]] = (("auto", "second_swing"),), height_mult: float = 1.0) -> DataFrame:
     """L4 + L6 + L7 + L8 + L12 + L13 + L18: the Python range report.
 
     Every range spans [start, start + max_bars] (the script's break test can
@@ -173,7 +178,13 @@ def fixed_ranges(bars: DataFrame, max_bars: int = 50, min_history: int = 20, tou
                            "sell_pressure": F.col("_lv") / F.greatest(F.col("low_touches"), F.lit(1))})
     agg = agg.withColumn("imbalance", imbalance(F.col("buy_pressure"), F.col("sell_pressure")))
     agg = agg.withColumn("type", range_type(F.col("imbalance"), threshold, inclusive=False)).drop("_hv", "_lv", "rid")
-    return with_tpsl(agg, d)
+    if len(tpsl) > 1:  # several target rules: one row per range and rule
+        agg = series.pinned(agg)
+    found = [with_tpsl(agg, d, height_mult=height_mult, method1=m1, method2=m2) for m1, m2 in tpsl]
+    if len(tpsl) == 1:
+        return found[0]
+    named = [f.withColumns({"method1": F.lit(m1), "method2": F.lit(m2)}) for f, (m1, m2) in zip(found, tpsl)]
+    return reduce(DataFrame.unionByName, named)
 
 
 def imbalance(buy: Column, sell: Column) -> Column:
@@ -201,13 +212,32 @@ def strength_label(imbalance_pct: Column) -> Column:
     return F.when(a >= 25, "Strong").when(a >= 15, "Moderate").otherwise("Weak")
 
 
+def tpsl_levels(edge: Column, height: Column, first: Column, second: Column, sign: int, method1: str = "auto",
+                method2: str = "second_swing") -> tuple[Column, Column]:
+    """The two targets beyond one edge (``sign`` 1: the top, -1: the bottom).
+
+    Target 1: ``auto`` (the nearest swing if it lies beyond the edge, else one height), ``swing`` (the nearest swing
+    if there is one, else one height), ``height``.  Target 2: ``second_swing`` (the second swing, or NULL), ``beyond`` (the
+    second swing if beyond target 1, else half a height more), ``half`` (half a height more than target 1), ``fixed`` (one and a
+    half heights from the edge)."""
+    beyond = lambda a, b: (a > b) if sign > 0 else (a < b)
+    projected = edge + sign * height
+    swing = {"auto": first.isNotNull() & (first != 0) & beyond(first, edge), "swing": first.isNotNull(),
+             "height": F.lit(False)}[method1]
+    target1 = F.when(swing, first).otherwise(projected)
+    half = target1 + sign * height / 2
+    target2 = {"second_swing": second, "beyond": F.when(second.isNotNull() & beyond(second, target1), second).otherwise(half),
+               "half": half, "fixed": edge + sign * height * 1.5}[method2]
+    return target1, target2
+
+
 def with_tpsl(ranges: DataFrame, swings: DataFrame, near: int = 50, far: int = 100,
-              height_mult: float = 1.0) -> DataFrame:
-    """L12 + L13 (Python variant): the nearest swing strictly before the start
-    with index > max(0, start - near) gives TPSL1 when it lies beyond the
-    range (else one height away); the second swing with index
-    > max(0, start - far) gives TPSL2.  Swings within ``far`` bars of each
-    start come from a bounded index-bucket join."""
+              height_mult: float = 1.0, method1: str = "auto", method2: str = "second_swing") -> DataFrame:
+    """L12 + L13: TPSL1 and TPSL2 of each range by ``tpsl_levels``.  The nearest
+    swing is the last one strictly before the start with index
+    > max(0, start - near), the second swing the one before the last with index
+    > max(0, start - far).  Swings within ``far`` bars of each start come from a
+    bounded index-bucket join; heights count ``height_mult`` times."""
     piv = swings.where(F.col("swing_high") | F.col("swing_low")).select(
         *K, F.col("bar_idx").alias("_pi"), "swing_high", "swing_low", F.col("high").alias("_ph"),
         F.col("low").alias("_pl"))
@@ -224,15 +254,11 @@ def with_tpsl(ranges: DataFrame, swings: DataFrame, near: int = 50, far: int = 1
     tp = pairs.groupBy(*K, "start_idx").agg(
         nth("swing_high", "_ph", lo_near, 0).alias("_h1"), nth("swing_low", "_pl", lo_near, 0).alias("_l1"),
         nth("swing_high", "_ph", lo_far, 1).alias("_h2"), nth("swing_low", "_pl", lo_far, 1).alias("_l2"))
-    r = ranges.join(tp, [*K, "start_idx"], "left")
-    h1, l1 = F.col("_h1"), F.col("_l1")
+    r = J.null_safe_join(ranges, tp, [*K, "start_idx"], "left")
     hgt = F.col("range_height") * height_mult
-    r = r.withColumns({
-        "tpsl1_high": F.when(h1.isNotNull() & (h1 != 0) & (h1 > F.col("range_high")), h1)
-                       .otherwise(F.col("range_high") + hgt),
-        "tpsl1_low": F.when(l1.isNotNull() & (l1 != 0) & (l1 < F.col("range_low")), l1)
-                      .otherwise(F.col("range_low") - hgt),
-        "tpsl2_high": F.col("_h2"), "tpsl2_low": F.col("_l2")})
+    up1, up2 = tpsl_levels(F.col("range_high"), hgt, F.col("_h1"), F.col("_h2"), 1, method1, method2)
+    dn1, dn2 = tpsl_levels(F.col("range_low"), hgt, F.col("_l1"), F.col("_l2"), -1, method1, method2)
+    r = r.withColumns({"tpsl1_high": up1, "tpsl1_low": dn1, "tpsl2_high": up2, "tpsl2_low": dn2})
     return r.drop("_h1", "_l1", "_h2", "_l2")
 
 
@@ -262,11 +288,6 @@ def confluence(ranges: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ L5 live ranges
 
-import math  # noqa: E402
-from collections.abc import Sequence  # noqa: E402
-from itertools import accumulate, compress  # noqa: E402
-
-from tidemark.operators.statemachine import Machine, block_scan  # noqa: E402
 
 
 def running_touches(highs: Sequence[float], lows: Sequence[float], tolerance: float) -> tuple[list[bool], list[bool]]:

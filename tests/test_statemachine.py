@@ -26,7 +26,8 @@ def test_live_ranges_block_invariant(spark):
 
 
 def test_stream_equals_batch(spark):
-    batch = _rows(L.live_ranges(bars_all(spark, SF01)), EV)
+    batch = _rows(L.live_ranges(bars_all(spark, SF01), L.RangeTracker(cancellations=True)), EV)
+    assert any(r[4] == "cancelled" for r in batch)
     stream = _rows(q_stream.st3_stream_range_events(spark, SF01), EV)
     assert batch == stream
 

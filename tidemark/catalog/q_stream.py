@@ -83,14 +83,7 @@ HAVING ((epoch_us(any_value(ts)) // 3600000000) + 1) * 3600000000 <= wm.w"""
 
 def _st4_sql():
     from tidemark.catalog.q_indicators import SQL as ISQL
-    ctx = ISQL["i18_i19_swing_context"]
-    head = ctx[:ctx.rindex("SELECT")].rstrip() + ","
-    return head + """
-h AS (SELECT *, lag(up) OVER w2 AS pu, lag(down) OVER w2 AS pd FROM g
-      WINDOW w2 AS (PARTITION BY exchange, symbol, interval ORDER BY bar_idx))
-SELECT exchange, symbol, interval, open_time, 'trending_up' AS alert FROM h WHERE up AND NOT coalesce(pu, FALSE)
-UNION ALL
-SELECT exchange, symbol, interval, open_time, 'trending_down' AS alert FROM h WHERE down AND NOT coalesce(pd, FALSE)"""
+    return ISQL["g5_regime_alerts"]
 
 
 SQL["st4_stream_regime_alerts"] = _st4_sql()

@@ -306,7 +306,9 @@ class RangeTracker(Machine):
     run that reached ``max_bars`` past its first bar is forgotten.  As soon as a run has ``min_bars``
     bars and a touch, it becomes the open range (``activated``), with the figures of
     ``range_from_run``.  An open range ends on the first later close beyond an edge by ``break_frac`` of its height
-    (``breakout_up`` / ``breakout_down``); the next run can start on the bar after."""
+    (``breakout_up`` / ``breakout_down``); the next run can start on the bar after.  With ``cancellations`` the latest
+    broken range is watched until a close crosses back from beyond its edge deeper than ``back_pct`` of the
+    height (``back_mid_pct`` of the way to the middle for a Gravitation range): event ``cancelled`` (L15)."""
 
     event_fields = (("event", T.StringType()), ("range_start_idx", T.LongType()), ("range_high", T.DoubleType()),
                     ("range_low", T.DoubleType()), ("range_type", T.StringType()), ("imbalance", T.DoubleType()),
@@ -314,12 +316,14 @@ class RangeTracker(Machine):
                     ("touches_low", T.LongType()), ("close", T.DoubleType()), ("open_time", T.LongType()))
 
     def __init__(self, min_bars: int = 8, max_bars: int = 100, narrow_mult: float = 0.8, touch_pct: float = 10.0,
-                 min_imb_pct: float = 15.0, break_frac: float = 0.005, require_htf: bool = False):
+                 min_imb_pct: float = 15.0, break_frac: float = 0.005, require_htf: bool = False,
+                 cancellations: bool = False, back_pct: float = 70.0, back_mid_pct: float = 50.0):
+        self.cancellations, self.back_pct, self.back_mid_pct = cancellations, back_pct, back_mid_pct
         self.min_bars, self.max_bars, self.narrow_mult = min_bars, max_bars, narrow_mult
         self.touch, self.min_imb_pct, self.break_frac, self.require_htf = touch_pct / 100.0, min_imb_pct, break_frac, require_htf
 
     def initial(self) -> dict:
-        return {"range": None, "run": []}
+        return {"range": None, "run": []} | ({"watched": None, "up": None, "before": None} if self.cancellations else {})
 
     def narrow(self, bar: dict) -> bool:
         gate = bool(bar["htf_ok"]) if self.require_htf else True
@@ -344,6 +348,7 @@ class RangeTracker(Machine):
     def step(self, state: dict, row: dict) -> list[dict]:
         bar = {k: float("nan") if row[k] is None else float(row[k]) for k in ("high", "low", "close", "volume", "atr", "avg_volume")}
         bar["htf_ok"] = row.get("htf_ok")
+        events = self.cancelled(state, bar, int(row["open_time"])) if self.cancellations else []
         if state["range"] is None:
             state["run"] = state["run"] + [[int(row["bar_idx"]), bar["high"], bar["low"], bar["volume"]]] if self.narrow(bar) else []
             if len(state["run"]) >= self.min_bars:
@@ -354,11 +359,32 @@ class RangeTracker(Machine):
         else:
             named = self.broken(state["range"], bar["close"])
         if named is None:
-            return []
-        event = {"event": named, **state["range"], "close": bar["close"], "open_time": int(row["open_time"])}
+            return events
+        events.append({"event": named, **state["range"], "close": bar["close"], "open_time": int(row["open_time"])})
         if named != "activated":
+            if self.cancellations:
+                state["watched"], state["up"] = state["range"], named == "breakout_up"
             state["range"] = None
-        return [event]
+        return events
+
+    def cancelled(self, state: dict, bar: dict, open_time: int) -> list[dict]:
+        """Whether this bar's close takes back the watched breakout."""
+        broken, before = state["watched"], state["before"]
+        state["before"] = close = bar["close"]
+        if broken is None or before is None:
+            return []
+        top, bottom = broken["range_high"], broken["range_low"]
+        outside = before > top if state["up"] else before < bottom
+        if not outside or not bottom < close < top:
+            return []
+        if broken["range_type"] == "Gravitation":
+            enough = (1 - abs(close - (top + bottom) / 2) / ((top - bottom) / 2)) * 100 > self.back_mid_pct
+        else:
+            enough = (top - close if state["up"] else close - bottom) / (top - bottom) * 100 > self.back_pct
+        if not enough:
+            return []
+        state["watched"] = None
+        return [{"event": "cancelled", **broken, "close": close, "open_time": open_time}]
 
     def broken(self, open_range: dict, close: float) -> str | None:
         top, bottom = open_range["range_high"], open_range["range_low"]

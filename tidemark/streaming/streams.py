@@ -11,8 +11,8 @@ here the same per-bar logic runs as stateful streaming queries:
   ``applyInPandasWithState``; the state is the batch machine's state plus
   the incremental ATR (Wilder) and volume-SMA inputs, so stream and batch
   give the same events.
-* ST4 ``stream_regime_alerts``: regime-change alerts from incremental
-  SMA-seeded EMAs.
+* ST4 ``stream_regime_alerts``: regime-change and entry alerts from
+  incremental SMA-seeded EMAs and Wilder ATR.
 * ST5 ``ingest_new_files``: exactly-once file ingest (``availableNow``
   trigger + checkpoint).
 
@@ -136,7 +136,8 @@ def _range_state_fn(machine: RangeTracker):
         for r in batch.itertuples(index=False):
             t = int(r.open_time)
             if st["i"]["last_t"] is not None and t <= st["i"]["last_t"]:
-                continue  # bars must arrive in order; repeats and late bars are ignored
+                rows.append({"exchange": key[0], "symbol": key[1], "interval": key[2], "event": "late_bar", "close": float(r.close), "open_time": t})
+                continue  # a repeated or late bar changes no state and is reported
             st["i"]["last_t"] = t
             atr, avgv = inputs.update(st["i"], float(r.high), float(r.low), float(r.close), float(r.volume))
             row = {"bar_idx": st["i"]["idx"], "open_time": t, "high": float(r.high), "low": float(r.low),
@@ -152,8 +153,9 @@ def _range_state_fn(machine: RangeTracker):
 
 
 def stream_range_events(bars: DataFrame, machine: RangeTracker | None = None) -> DataFrame:
-    """ST3: live locked-range events from a bars stream (per key state)."""
-    machine = machine or RangeTracker()
+    """ST3: live locked-range events from a bars stream (per key state): activated, breakout_up / _down,
+    cancelled, and late_bar for a bar that is not newer than the last one seen."""
+    machine = machine or RangeTracker(cancellations=True)
     return (bars.groupBy("exchange", "symbol", "interval")
             .applyInPandasWithState(_range_state_fn(machine), RANGE_EVENT_SCHEMA, STATE_SCHEMA, "append",
                                     GroupStateTimeout.NoTimeout))
@@ -166,42 +168,66 @@ REGIME_SCHEMA = T.StructType([T.StructField("exchange", T.StringType()), T.Struc
                               T.StructField("alert", T.StringType())])
 
 
-def _regime_fn(fast: int = 20, slow: int = 50, slope: int = 5):
-    def ema_update(e: dict, x: float, n: int):
-        if e["v"] is None:
+class RegimeInputs:
+    """Swing context of one key (as ``indicators.swing_context`` and ``signals.swing_setups``), one bar at a time."""
+
+    def __init__(self, fast: int = 20, slow: int = 50, slope: int = 5, atr_n: int = 14, atr_sma_n: int = 20):
+        self.spans, self.slope, self.atr_sma_n, self.ranges = {"fast": fast, "slow": slow}, slope, atr_sma_n, IncrementalInputs(atr_n)
+
+    def initial(self) -> dict:
+        return {"ema": {k: {"value": None, "seed": []} for k in self.spans}, "slow_past": [], "atr": self.ranges.initial(), "atr_past": [],
+                "bar": None, "zone": {"long": None, "short": None}, "trend": {"up": False, "down": False}, "last_t": None}
+
+    def smooth(self, e: dict, x: float, n: int) -> float | None:
+        if e["value"] is not None:
+            e["value"] += 2.0 / (n + 1) * (x - e["value"])
+        else:
             e["seed"].append(x)
             if len(e["seed"]) == n:
-                e["v"], e["seed"] = sum(e["seed"]) / n, []
-        else:
-            e["v"] = e["v"] + (2.0 / (n + 1)) * (x - e["v"])
+                e["value"], e["seed"] = sum(e["seed"]) / n, []
+        return e["value"]
+
+    def update(self, s: dict, bar) -> list[str]:
+        """Advance the state by one bar and name the alerts it raises."""
+        o, h, lo, c = (float(x) for x in (bar.open, bar.high, bar.low, bar.close))
+        fast, slow = (self.smooth(s["ema"][k], c, n) for k, n in self.spans.items())
+        s["slow_past"] = (s["slow_past"] + [slow])[-(self.slope + 1):]
+        known = fast is not None and len(s["slow_past"]) > self.slope and s["slow_past"][0] is not None
+        rise = slow - s["slow_past"][0] if known else 0.0
+        trend = {"up": known and fast > slow and rise > 0, "down": known and fast < slow and rise < 0}
+        atr, _ = self.ranges.update(s["atr"], h, lo, c, 0.0)
+        s["atr_past"] = (s["atr_past"] + [None if math.isnan(atr) else atr])[-max(self.atr_sma_n, 3):]
+        past = s["atr_past"]
+        calming = len(past) >= 3 and None not in past[-3:] and past[-1] < past[-2] < past[-3]
+        usual = sum(past) / len(past) if len(past) == self.atr_sma_n and None not in past else None
+        quiet = usual is not None and past[-1] < usual
+        within = {"long": trend["up"] and slow < c < fast, "short": trend["down"] and fast < c < slow}
+        for side, extreme, x in (("long", min, lo), ("short", max, h)):
+            s["zone"][side] = (x if s["zone"][side] is None else extreme(s["zone"][side], x)) if within[side] else None
+        before = s["bar"]
+        entry = before is not None and calming and not quiet
+        raised = [f"trending_{k}" for k in ("up", "down") if trend[k] and not s["trend"][k]]
+        if entry and within["long"] and c > before["high"] and c > o:
+            raised.append("long_entry")
+        if entry and within["short"] and c < before["low"] and c < o:
+            raised.append("short_entry")
+        s["bar"], s["trend"] = {"high": h, "low": lo}, trend
+        return raised
+
+
+def _regime_fn():
+    inputs = RegimeInputs()
 
     def fn(key, pdfs, state):
-        st = json.loads(state.get[0]) if state.exists else {
-            "f": {"v": None, "seed": []}, "s": {"v": None, "seed": []}, "hist": [], "up": False, "down": False,
-            "last_t": None}
+        st = json.loads(state.get[0]) if state.exists else inputs.initial()
         rows = []
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values("open_time", kind="stable")
         for r in batch.itertuples(index=False):
             t = int(r.open_time)
-            if st["last_t"] is not None and t <= st["last_t"]:
-                continue
-            st["last_t"] = t
-            ema_update(st["f"], float(r.close), fast)
-            ema_update(st["s"], float(r.close), slow)
-            st["hist"] = (st["hist"] + [st["s"]["v"]])[-(slope + 1):]
-            sl = None
-            if len(st["hist"]) == slope + 1 and st["hist"][0] is not None and st["s"]["v"] is not None:
-                sl = st["s"]["v"] - st["hist"][0]
-            fv, sv = st["f"]["v"], st["s"]["v"]
-            up = fv is not None and sv is not None and sl is not None and fv > sv and sl > 0
-            down = fv is not None and sv is not None and sl is not None and fv < sv and sl < 0
-            if up and not st["up"]:
-                rows.append({"exchange": key[0], "symbol": key[1], "interval": key[2], "open_time": t,
-                             "alert": "trending_up"})
-            if down and not st["down"]:
-                rows.append({"exchange": key[0], "symbol": key[1], "interval": key[2], "open_time": t,
-                             "alert": "trending_down"})
-            st["up"], st["down"] = up, down
+            late = st["last_t"] is not None and t <= st["last_t"]
+            raised = ["late_bar"] if late else inputs.update(st, r)
+            st["last_t"] = st["last_t"] if late else t
+            rows += [{"exchange": key[0], "symbol": key[1], "interval": key[2], "open_time": t, "alert": a} for a in raised]
         state.update((json.dumps(st),))
         names = [f.name for f in REGIME_SCHEMA.fields]
         yield pd.DataFrame(rows, columns=names) if rows else pd.DataFrame({n: pd.Series([], dtype=object)
@@ -211,7 +237,7 @@ def _regime_fn(fast: int = 20, slow: int = 50, slope: int = 5):
 
 
 def stream_regime_alerts(bars: DataFrame) -> DataFrame:
-    """ST4: trending-up / trending-down regime changes from a bars stream."""
+    """ST4: regime changes and entry alerts (G5) from a bars stream, and late_bar for a bar not newer than the last."""
     return (bars.groupBy("exchange", "symbol", "interval")
             .applyInPandasWithState(_regime_fn(), REGIME_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
 

@@ -41,6 +41,7 @@ SIMILARITY = 0.8
 SKETCH_BINS = 64
 DIFFERING = 18
 MISSED = 0.0035
+HELD_SHINGLES = 1_000_000
 BLOCK = 256
 #: Bits of the table of lines whose text is wanted: 16 MB in a task, whatever their number.
 TABLE_BITS = 27
@@ -173,8 +174,11 @@ def _verify(least: float):
     """Links that connect the members of a unit: exact similarity of the pairs whose sketches are near."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            left, right, sets, judged = [], [], {}, {}
-            for members in b.column(0).to_pylist():
+            left, right, sets, judged, held = [], [], {}, {}, 0
+            for r in range(b.num_rows):
+                members = b.column(0)[r].as_py()
+                if held > HELD_SHINGLES:  # what is remembered for the next units of the batch stays bounded
+                    sets, judged, held = {}, {}, 0
                 members.sort(key=lambda m: (m["side"], m["id"]))
                 cut = sum(m["side"] == 0 for m in members)
                 sketch = np.array([m["sketch"] for m in members], np.int64).view(np.uint64)
@@ -190,6 +194,7 @@ def _verify(least: float):
                         for m in (members[i], members[j]):
                             if m["id"] not in sets:
                                 sets[m["id"]] = shingles(m["text"])
+                                held += len(m["text"])
                         judged[pair] = similar(sets[pair[0]], sets[pair[1]], least)
                     if judged[pair]:
                         known.union(i, j)

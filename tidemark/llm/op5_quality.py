@@ -1,11 +1,13 @@
 """Quality classifier: document evidence and hierarchical empirical Bayes over sites.
 
-Two targets, low quality and toxic, each with a logistic model over words and text shape:
+Two targets, low quality and toxic, each with a logistic model over word evidence and text shape:
 
 1. A bounded sample of labelled documents (``LABELLED`` rows, those with the smallest md5 of their
-   id) gives word counts by class; the ``LEXICON`` words with the largest log-odds z-score (with
-   a Dirichlet prior from all words) are the model's words, their presence and the shape measures its features.
-2. A logistic regression is trained on that sample (Spark ML).
+   id) gives, per word, the documents of each class that hold it; the ``LEXICON`` words whose counts are least likely under
+   the base rate (signed root of the likelihood ratio) are the model's words.
+2. A document's features are measures of its form and, per target, its strongest word evidences. Words seen once or twice
+   weigh little by themselves; in training a document's own count is left out, so that chance words get no weight.  A
+   logistic regression is trained on the sample (Spark ML).
 3. All documents are scored whole, in one scan.
 4. Sites: the mean evidence of a host is shrunk toward the global mean, that of a path toward its host;
    the prior strengths are moment estimates from the spread between hosts (and between paths). The sums are grouped
@@ -29,20 +31,21 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, packed, table
 
 LABELLED = 20_000
-LEXICON = 1_500
+LEXICON = 20_000
+TOP_WORDS = 3
 SITE_WEIGHT = 0.5
-MIN_WORD_DOCS = 4
+MIN_WORD_DOCS = 2
 TARGETS = ("low", "toxic")
 _WORD = re.compile(r"\w+")
 SHAPE = ("log_words", "symbol_tokens", "symbol_ends", "upper", "digits", "word_length", "distinct", "top_word", "longest_run",
-         "bang_tokens", "line_words", "copied_lines", "short_lines", "letters")
+         "bang_tokens", "line_words", "copied_lines", "short_lines", "letters", "doubled")
 
 
 def shape(text: str, words: list[str]) -> list[float]:
@@ -53,10 +56,11 @@ def shape(text: str, words: list[str]) -> list[float]:
     alone = sum(not any(map(str.isalnum, t)) for t in tokens if len(t) < 4)
     upper = sum(map(str.isupper, tokens))
     counts = Counter(words)
-    run = longest = 0
+    run = longest = doubled = 0
     before = None
     for x in words:
         run = run + 1 if x == before else 1
+        doubled += run > 1
         before = x
         longest = max(longest, run)
     lines = [x for x in text.split("\n") if x.strip()]
@@ -64,28 +68,45 @@ def shape(text: str, words: list[str]) -> list[float]:
     return [math.log1p(len(words)), alone / n, symbols / n, upper / n, sum(t.isdigit() for t in tokens) / n,
             sum(map(len, words)) / w / 10, len(counts) / w, max(counts.values(), default=0) / w, math.log1p(longest),
             sum(t.endswith("!") for t in tokens) / n, math.log1p(w / m), 1 - len(set(lines)) / m,
-            sum(len(x) < 20 for x in lines) / m, sum(map(len, words)) / c]
+            sum(len(x) < 20 for x in lines) / m, sum(map(len, words)) / c, doubled / w]
 
 
-def features(text: str | None, lexicon: dict[str, int]) -> tuple[list[int], list[float]]:
-    """Sparse features: the shape measures, then a one for each word of the lexicon that occurs."""
+def evidence(yes: float, no: float, base: float) -> float:
+    """Signed root of the likelihood ratio of ``yes`` of ``yes + no`` against the base rate; 0 for one without documents."""
+    n = yes + no
+    if n <= 0:
+        return 0.0
+    g = (yes * math.log(yes / (n * base)) if yes else 0.0) + (no * math.log(no / (n * (1 - base))) if no else 0.0)
+    return math.copysign(math.sqrt(max(0.0, 2 * g)), yes - n * base)
+
+
+def features(text: str | None, lexicon: dict, own: dict | None = None) -> list[float]:
+    """The shape measures, then for each target the strongest evidences of the text's words and their sum.
+
+    ``lexicon``: {target: (base rate, {word: (yes, no)})}; ``own``: the labels by which the text itself is counted there."""
     text = text or ""
     words = _WORD.findall(text.lower())
-    present = sorted(lexicon[x] for x in lexicon.keys() & set(words))
-    return list(range(len(SHAPE))) + [len(SHAPE) + i for i in present], shape(text, words) + [1.0] * len(present)
+    out, present = shape(text, words), set(words)
+    for t in TARGETS:
+        base, counts = lexicon[t]
+        label = (own or {}).get(t)
+        found = sorted((evidence(y - (label == 1), n - (label == 0), base) for y, n in map(counts.__getitem__, counts.keys() & present)), reverse=True)
+        top = [max(x, 0.0) for x in found[:TOP_WORDS]]
+        out += top + [0.0] * (TOP_WORDS - len(top)) + [sum(x for x in found if x > 3)]
+    return out
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
     """(text, low, toxic) of the sample; ``limit`` labels at most are sent to the scan."""
     one = (labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)")
-           .groupBy("doc_id").agg((1 - F.min("quality")).alias("low"), F.max("toxic").alias("toxic")))
+           .groupBy("doc_id").agg((1 - F.min("quality")).cast("int").alias("low"), F.max("toxic").cast("int").alias("toxic")))
     few = one.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(limit)
     few = materialize(few.select(F.col("doc_id").alias("_id"), "low", "toxic"), "labels")  # limit rows of 16 bytes
     return materialize(docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("text", "low", "toxic"), "labelled")
 
 
-def pick_lexicon(sample: DataFrame, target: str, size: int) -> list[str]:
-    """The words whose presence differs most between the classes, in standard errors of the log-odds."""
+def pick_lexicon(sample: DataFrame, target: str, size: int) -> tuple[float, dict[str, tuple[int, int]]]:
+    """(base rate, {word: (documents with the label, without)}) of the ``size`` words that speak most for or against the label."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got: dict[bool, Counter] = {False: Counter(), True: Counter()}
@@ -97,53 +118,56 @@ def pick_lexicon(sample: DataFrame, target: str, size: int) -> list[str]:
 
     rows = sample.where(F.col(target).isNotNull()).select("text", target)
     totals = rows.agg(F.sum((F.col(target) == 1).cast("long")), F.count(F.lit(1))).first()
-    yes, no = totals[0] or 0, (totals[1] or 0) - (totals[0] or 0)
-    if not yes or not no:
-        return []
+    yes, every = totals[0] or 0, totals[1] or 0
+    if not yes or yes == every:
+        return 0.5, {}
     words = (rows.mapInArrow(count, "word string, yes long, no long").groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
              .where(F.col("yes") + F.col("no") >= MIN_WORD_DOCS))
-    prior = (F.col("yes") + F.col("no")) / (yes + no)  # expected presence, worth one document of each class
-    odds = lambda k, n: F.log((k + prior) / (F.lit(n) - k + F.lit(1.0) - prior))
-    z = (odds(F.col("yes"), yes) - odds(F.col("no"), no)) / F.sqrt(1 / (F.col("yes") + prior) + 1 / (F.col("no") + prior))
-    return [r["word"] for r in words.orderBy(F.abs(z).desc(), "word").limit(size).collect()]
+    base, n = yes / every, F.col("yes") + F.col("no")
+    part = lambda k, rate: F.when(k > 0, k * F.log(k / (n * rate))).otherwise(0.0)
+    best = words.orderBy((part(F.col("yes"), base) + part(F.col("no"), 1 - base)).desc(), "word").limit(size)
+    return base, {r["word"]: (r["yes"], r["no"]) for r in best.collect()}
 
 
 def train(docs: DataFrame, labels: DataFrame, lexicon_size: int = LEXICON) -> dict:
-    """{target: (intercept, weights)} and the lexicon; a target without both classes has no weights."""
+    """The lexicon and {target: (intercept, weights)}; a target without both classes has no weights."""
     sample = labelled_sample(docs, labels)
-    words: dict[str, int] = {}
-    for t in TARGETS:
-        for w in pick_lexicon(sample, t, lexicon_size):
-            words.setdefault(w, len(words))
-    size = len(SHAPE) + len(words)
-    vector = F.udf(lambda t: SparseVector(size, *features(t, words)), VectorUDT())  # LABELLED rows at most
-    rows = materialize(sample.select(vector("text").alias("features"), *TARGETS).coalesce(8), "labelled-features")
+    lexicon = {t: pick_lexicon(sample, t, lexicon_size) for t in TARGETS}
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [dict(zip(TARGETS, y)) for y in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            x = [features(t.as_py(), lexicon, y) for t, y in zip(b.column(0), own)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1), b.column(2)], ["x", *TARGETS])
+
+    rows = sample.select("text", *TARGETS).coalesce(8).mapInArrow(measure, "x array<double>, low int, toxic int")
+    rows = materialize(rows, "labelled-features").select(array_to_vector("x").alias("features"), *TARGETS)
     models: dict = {}
     for t in TARGETS:
         known = rows.where(F.col(t).isNotNull()).withColumn("label", F.col(t).cast("double"))
         if known.select("label").distinct().count() < 2:
             models[t] = None
             continue
-        fit = LogisticRegression(maxIter=60, regParam=3e-4, elasticNetParam=0.0).fit(known)
+        fit = LogisticRegression(maxIter=100, regParam=1e-4, elasticNetParam=0.0).fit(known)
         models[t] = (float(fit.intercept), [float(x) for x in fit.coefficients])
-    return {"words": words, "models": models}
+    return {"lexicon": lexicon, "models": models}
 
 
 def score(docs: DataFrame, model: dict, host: Column, path: Column) -> DataFrame:
     """(doc_id, row_key, host, path, low, toxic): the models' probabilities for every row."""
-    words, models = model["words"], model["models"]
+    lexicon, models = model["lexicon"], model["models"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = {t: [] for t in TARGETS}
             for text in b.column(4):
-                at, x = features(text.as_py(), words)
+                x = features(text.as_py(), lexicon)
                 for t in TARGETS:
                     if models[t] is None:
                         out[t].append(None)
                         continue
                     bias, w = models[t]
-                    z = bias + sum(w[i] * v for i, v in zip(at, x))
+                    z = bias + sum(a * v for a, v in zip(w, x))
                     out[t].append(1 / (1 + math.exp(-min(30.0, max(-30.0, z)))))
             yield pa.RecordBatch.from_arrays([*b.columns[:4], *[pa.array(out[t], pa.float64()) for t in TARGETS]],
                                              ["doc_id", "row_key", "host", "path", *TARGETS])

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import UnionFind, block_units, bucket_blocks, components, materialize, near_members, packed, table
+from tidemark.llm.common import UnionFind, block_units, bucket_blocks, components, drop_table, materialize, near_members, packed, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -84,7 +85,7 @@ def _densified(sketch: np.ndarray) -> np.ndarray:
 def banding(lines: int, similarity: float = SIMILARITY) -> tuple[int, int]:
     """(bands, rows): one more row for each five-fold growth past 2.5 million lines, and as many bands as
     keep the share of missed pairs at ``similarity`` under ``MISSED``."""
-    rows = max(3, 3 + math.ceil(math.log(max(1, lines) / 2.6e6) / math.log(5)))
+    rows = max(4, 4 + math.ceil(math.log(max(1, lines) / 2.6e6) / math.log(5)))
     return math.ceil(math.log(MISSED) / math.log(1 - similarity ** rows)), rows
 
 
@@ -193,8 +194,9 @@ def _verify(least: float):
                     if pair not in judged:
                         for m in (members[i], members[j]):
                             if m["id"] not in sets:
-                                sets[m["id"]] = shingles(m["text"])
-                                held += len(m["text"])
+                                text = zlib.decompress(m["text"]).decode("utf-8", "surrogatepass")
+                                sets[m["id"]] = shingles(text)
+                                held += len(text)
                         judged[pair] = similar(sets[pair[0]], sets[pair[1]], least)
                     if judged[pair]:
                         known.union(i, j)
@@ -212,7 +214,7 @@ def _slot(row: int, pos: int) -> int:
 
 
 def _texts(three: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, text) of the wanted lines (id, doc_id, text_hash, pos), read from the documents again.  A bit
+    """(id, text, packed) of the wanted lines (id, doc_id, text_hash, pos), read from the documents again.  A bit
     table of fixed size holds back most others; the join that follows is exact."""
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
@@ -248,16 +250,23 @@ def _texts(three: DataFrame, wanted: DataFrame) -> DataFrame:
                     if marked(r, p) and (x := normal(x)):
                         at.append(i)
                         pos.append(p)
-                        found.append(x)
+                        found.append(zlib.compress(x.encode("utf-8", "surrogatepass"), 1))
             take = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(pos, pa.int32()), pa.array(found, pa.string())],
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(pos, pa.int32()), pa.array(found, pa.binary())],
                                              ["_id", "_hash", "_pos", "text"])
 
-    seen = three.select("doc_id", "text_hash", "text", row.alias("row")).mapInArrow(scan, "_id long, _hash long, _pos int, text string")
+    seen = three.select("doc_id", "text_hash", "text", row.alias("row")).mapInArrow(scan, "_id long, _hash long, _pos int, text binary")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) & (F.col("pos") == F.col("_pos"))
     return wanted.join(seen, same).select("id", "text").dropDuplicates(["id"])
 
 
+def _slim(df: DataFrame, name: str, *columns) -> DataFrame:
+    """The columns that later steps need, written anew; the wide table's files go."""
+    out = materialize(df.select(*columns), name)
+    drop_table(df)
+    return out
+
+
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, text_hash, removed array<int>): the line numbers that go, for documents that lose any."""
     three = _row_columns(docs)
@@ -265,19 +274,21 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     count = docs.agg(F.sum(breaks.cast("long") + 1)).first()[0] or 0
     lines = materialize(three.mapInArrow(_lines(*banding(count, similarity)), "doc_id long, text_hash long, pos int, line binary, bands array<long>, sketch long"), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("anon"), "doc_id", "text_hash", "pos", "sketch", "bands")
-    nodes = materialize(lines.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-                        .withColumn("id", F.monotonically_increasing_id()), "line-nodes")
-    keyed = nodes.select("id", "first.sketch", F.explode("first.bands").alias("key"))
+    full = materialize(lines.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+                       .withColumn("id", F.monotonically_increasing_id()), "line-nodes-full")
+    lines = _slim(lines, "lines-slim", "doc_id", "text_hash", "pos", "line")
+    keyed = full.select("id", "first.sketch", F.explode("first.bands").alias("key"))
     blocks = materialize(bucket_blocks(keyed, "key", "id", "sketch", BLOCK, DIFFERING), "line-blocks")
+    spot = F.struct("first.anon", "first.doc_id", "first.text_hash", "first.pos")
+    nodes = _slim(full, "line-nodes", "id", "line", "n", spot.alias("spot"))
     units = block_units(blocks).dropDuplicates(["a", "b"]).withColumn("unit", F.monotonically_increasing_id())
     members = materialize(near_members(materialize(units, "line-units"), DIFFERING), "line-members")
-    spot = F.struct("first.anon", "first.doc_id", "first.text_hash", "first.pos")
-    wanted = materialize(members.select("id").distinct().join(nodes.select("id", spot.alias("spot")), "id").select("id", "spot.*").drop("anon"), "line-wanted")
+    wanted = materialize(members.select("id").distinct().join(nodes.select("id", "spot"), "id").select("id", "spot.*").drop("anon"), "line-wanted")
     sets = (members.join(_texts(three, wanted), "id").groupBy("unit")
             .agg(F.collect_list(F.struct("side", "id", "sketch", "text")).alias("members")))
     cc = components(sets.select("members").mapInArrow(_verify(similarity), "a long, b long"), "line-cc")
 
-    named = nodes.select("id", "line", "n", spot.alias("spot")).join(cc, F.col("id") == F.col("node"), "left")
+    named = nodes.join(cc, F.col("id") == F.col("node"), "left")
     fuzzy = named.where("root IS NOT NULL")
     kept = fuzzy.groupBy("root").agg(F.min("spot").alias("kept"))
     again = (fuzzy.join(kept, "root").select("line", "kept")

@@ -119,3 +119,14 @@ def test_quantiles_of_a_frequent_value(spark):
     got = {r.g: (r.q25, r.q50, r.q99) for r in stats.exact_quantiles(d, ["g"], "v", [0.25, 0.5, 0.99], partitions=7).collect()}
     want = {r.g: tuple(r.q) for r in d.groupBy("g").agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.99))).alias("q")).collect()}
     assert got == want
+
+
+def test_staged_exits(spark):
+    """Stop first; break-even after the first target; all three parts."""
+    rows = [(*K, "a", 0, "long", 100.0, 90.0, 110.0, 120.0), (*K, "b", 4, "long", 100.0, 90.0, 110.0, 120.0), (*K, "c", 7, "short", 100.0, 110.0, 90.0, 80.0)]
+    t = spark.createDataFrame(rows, "exchange string, symbol string, interval string, trade_id string, entry_idx long, side string, entry double, stop double, tp1 double, tp2 double")
+    b = closes(spark, [100.0, 105.0, 89.0, 100.0, 100.0, 111.0, 99.0, 100.0, 89.0, 79.0, 85.0, 91.0])
+    got = {r.trade_id: (r.exit_kind_1, r.exit_kind_2, r.exit_kind_3, r.r_multiple) for r in B.staged_exits(t, b).collect()}
+    assert got["a"] == ("stop", None, None, -1.0)
+    assert got["b"] == ("tp", "stop", None, 0.5)
+    assert got["c"][:3] == ("tp", "tp", "stop") and abs(got["c"][3] - (0.5 + 0.3 * 2 + 0.2)) < 1e-9

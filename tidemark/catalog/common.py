@@ -35,13 +35,21 @@ R6 = 6  # decimals for doubles compared against the SQL oracle
 _SHARED: dict[str, object] = {}
 
 
+def listing(spark: SparkSession, sf: str) -> str:
+    """Names, sizes and times of what lies under ``sf``: changed inputs are other inputs."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return ";".join(sorted(f"{x.getPath().getName()}:{x.getLen()}:{x.getModificationTime()}" for x in found))
+
+
 def shared(spark: SparkSession, sf: str, name: str, build):
     """A per-application cache of intermediate results several registered
     queries start from (e.g. live-range events, grid trades).  The result is
     cut from its lineage with a reliable checkpoint, so later queries reuse
-    it instead of recomputing, and executor loss only re-reads the files."""
+    it instead of recomputing, and executor loss only re-reads the files.
+    Results are kept per content of the input folder (``listing``)."""
     from tidemark.session import cut_lineage
-    key = f"{spark.sparkContext.applicationId}:{sf}:{name}"
+    key = f"{spark.sparkContext.applicationId}:{sf}:{listing(spark, sf)}:{name}"
     if key not in _SHARED:
         _SHARED[key] = cut_lineage(build())
     return _SHARED[key]

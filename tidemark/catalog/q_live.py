@@ -87,6 +87,22 @@ def b19_scaled_exits(spark, sf):
     return B.scaled_exit_trades(t1, t2, 0.5)
 
 
+def b18_retest_trades(spark, sf):
+    return B.retest_trades(_events(spark, sf), bars_all(spark, sf))
+
+
+def b18_fade_trades(spark, sf):
+    return B.fade_trades(_events(spark, sf), bars_all(spark, sf))
+
+
+def b19_staged_exits(spark, sf):
+    """50 / 30 / 20 exits of every breakout trade."""
+    t1 = _range_trades(spark, sf, method="Breakout", use_tpsl2=False, one_position=False)
+    t2 = _range_trades(spark, sf, method="Breakout", use_tpsl2=True, one_position=False).select("trade_id", F.col("tp").alias("tp2"))
+    t = t1.join(t2, "trade_id").select(*K, "trade_id", "entry_idx", "side", "entry", "stop", F.col("tp").alias("tp1"), "tp2")
+    return B.staged_exits(t, bars_all(spark, sf))
+
+
 def _grid(spark, sf):
     t = _grid_trades(spark, sf)
     return t.withColumn("trade_id", F.sha2(F.concat_ws("::", *[F.col(k) for k in K], F.col("entry_time_utc").cast("string"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.catalog.common import bars_all, prep
+from tidemark.catalog.common import bars_all, listing, prep
 from tidemark.session import cut_lineage
 from tidemark.operators import outcomes as B
 from tidemark.operators import signals as G
@@ -26,7 +26,7 @@ def _dataset(spark, sf):
 
 
 def _model(spark, sf):
-    key = f"{spark.sparkContext.applicationId}:{sf}"
+    key = f"{spark.sparkContext.applicationId}:{sf}:{listing(spark, sf)}"
     if key not in _MODELS:
         ds = cut_lineage(_dataset(spark, sf))  # reliable checkpoint: short plans for 80 boosting rounds
         model, metrics = ML.train(ds, CFG)
@@ -69,7 +69,7 @@ def m8_ml_filter(spark, sf):
     ds, model, _ = _model(spark, sf)
     preds = ML.score(model, ds, CFG)
     trades = B.signal_backtest(G.momentum_signals(bars_all(spark, sf)), "sig_breakout_long", run_id="r1")
-    return ML.ml_filter(trades, preds, 0.5)
+    return ML.ml_filter(trades, preds, 0.55)
 
 
 def m9_latest_run(spark, sf):

@@ -243,8 +243,17 @@ def e1_plan_trades(spark, sf):
     return rnd(_trades(spark, sf), TRADE_COLS)
 
 
+def e1_other_rules(spark, sf):
+    """The plan backtest with the target first within a bar and resolution from the bar after the fill."""
+    cfg = B.PlanConfig(include_entry_candle=False, intrabar_priority="tp_first")
+    return rnd(B.plan_trades(_plans(spark, sf), bars_plan(spark, sf), cfg), TRADE_COLS)
+
+
 W30 = 30 * 86_400_000
-SQL_TRADES = f"""WITH b AS ({SQL_BARS_PLAN}),
+def _trades_sql(tp_first=False, next_bar=False):
+    since = ">" if next_bar else ">="
+    event = "CASE WHEN ev_th THEN 'TP1' ELSE 'STOP' END" if tp_first else "CASE WHEN ev_sh THEN 'STOP' ELSE 'TP1' END"
+    return f"""WITH b AS ({SQL_BARS_PLAN}),
 al AS ({sqlsrc.alerts()}),
 p AS (SELECT pl.id AS plan_id, pl.alert_id, pl.ts AS plan_ts, pl.exchange, pl.symbol, upper(pl.side) AS side,
              pl.entry_price, pl.stop_loss, pl.tp1, pl.tp2, pl.tp3, coalesce(al.source_tf, '15m') AS tf
@@ -257,16 +266,16 @@ r AS (SELECT c.*, f.entry_open_ms,
         coalesce(CASE WHEN side = 'BUY' THEN low <= stop_loss WHEN side = 'SELL' THEN high >= stop_loss END, FALSE) AS sh,
         coalesce(CASE WHEN side = 'BUY' THEN high >= tp1 WHEN side = 'SELL' THEN low <= tp1 END, FALSE) AS th
       FROM c JOIN f USING (plan_id)
-      WHERE f.entry_open_ms IS NOT NULL AND open_time >= f.entry_open_ms AND open_time <= f.entry_open_ms + {W30}),
+      WHERE f.entry_open_ms IS NOT NULL AND open_time {since} f.entry_open_ms AND open_time <= f.entry_open_ms + {W30}),
 e AS (SELECT plan_id, min(open_time) FILTER (WHERE sh OR th) AS ev_t FROM r GROUP BY plan_id),
 g AS (SELECT r.plan_id, any_value(alert_id) AS alert_id, any_value(plan_ts) AS plan_ts, any_value(exchange) AS exchange,
         any_value(symbol) AS symbol, any_value(tf) AS tf, any_value(side) AS side, any_value(entry_price) AS entry_price,
         any_value(stop_loss) AS stop_loss, any_value(tp1) AS tp1, any_value(tp2) AS tp2, any_value(tp3) AS tp3,
         min(low) AS min_low, max(high) AS max_high, count(*) AS candles_observed,
         count(*) FILTER (WHERE open_time < e.ev_t) AS bars_to_resolve,
-        bool_or(sh) FILTER (WHERE open_time = e.ev_t) AS ev_sh, any_value(e.ev_t) AS ev_t
+        bool_or(sh) FILTER (WHERE open_time = e.ev_t) AS ev_sh, bool_or(th) FILTER (WHERE open_time = e.ev_t) AS ev_th, any_value(e.ev_t) AS ev_t
       FROM r JOIN e USING (plan_id) WHERE e.ev_t IS NOT NULL GROUP BY r.plan_id),
-o AS (SELECT *, CASE WHEN ev_sh THEN 'STOP' ELSE 'TP1' END AS event, abs(entry_price - stop_loss) AS risk FROM g)
+o AS (SELECT *, {event} AS event, abs(entry_price - stop_loss) AS risk FROM g)
 SELECT sha256(concat_ws('::', CAST(plan_id AS VARCHAR), 'v1_entry_price_tp1', '30')) AS id, plan_id, alert_id,
   30 AS window_days, 'v1_entry_price_tp1' AS strategy_version, make_timestamp(plan_ts * 1000) AS created_ts,
   exchange, symbol, tf AS source_tf, side, entry_price AS entry, stop_loss AS stop, tp1, tp2, tp3,
@@ -277,9 +286,15 @@ SELECT sha256(concat_ws('::', CAST(plan_id AS VARCHAR), 'v1_entry_price_tp1', '3
   CASE WHEN risk <> 0 THEN (CASE WHEN side = 'BUY' THEN max_high - entry_price WHEN side = 'SELL' THEN entry_price - min_low END) / risk END AS mfe_r,
   CAST(bars_to_resolve AS DOUBLE) AS bars_to_resolve, candles_observed, make_timestamp(ev_t * 1000) AS resolved_ts
 FROM o"""
+
+
+SQL_TRADES = _trades_sql()
 SQL["e1_plan_trades"] = ("SELECT * EXCLUDE (r_multiple, mae_r, mfe_r), "
                          + ", ".join(f"{rs(c)} AS {c}" for c in TRADE_COLS) + f" FROM ({SQL_TRADES})")
 
+SQL["e1_other_rules"] = ("SELECT * EXCLUDE (r_multiple, mae_r, mfe_r), " + ", ".join(f"{rs(c)} AS {c}" for c in TRADE_COLS)
+                         + f" FROM ({_trades_sql(tp_first=True, next_bar=True)})")
+
 RES_COLS = ["win_rate", "avg_r", "avg_mae_r", "avg_mfe_r", "avg_bars_to_resolve"]
 
 
@@ -334,6 +349,28 @@ SELECT {KS}, open_time, entry_bar_idx, entry_open, {rs('tp_price')} AS tp_price,
 FROM m"""
 
 
+def b8_other_policies(spark, sf):
+    """Labels where a bar that touches both barriers counts as a win, or as a loss; narrow barriers, so that there are some."""
+    from functools import reduce
+    d = I.ml_window_features(bars_all(spark, sf))
+    out = [B.barrier_labels(d, tp_atr=0.5, sl_atr=0.5, w_bars=6, policy=p, run_id="r1") for p in ("tp_first", "sl_first")]
+    return reduce(lambda a, b: a.unionByName(b), [x.select(*K, "open_time", "tp_hit_idx", "sl_hit_idx", "ambiguous_same_bar", "label", "label_variant") for x in out])
+
+
+def _policies_sql():
+    head = SQL["b8_b9_barrier_labels"]
+    head = head[:head.index("m AS (SELECT *, CASE WHEN amb")].rstrip().rstrip(",")
+    head = head.replace("entry_open + 3.0 * atr_entry", "entry_open + 0.5 * atr_entry").replace(
+        "entry_open - 2.0 * atr_entry", "entry_open - 0.5 * atr_entry").replace("e2.entry_bar_idx + 24", "e2.entry_bar_idx + 6")
+    part = """SELECT {ks}, open_time, tp_hit_idx, sl_hit_idx, CAST(amb AS INTEGER) AS ambiguous_same_bar,
+  CAST(CASE WHEN amb THEN {won} WHEN tp_hit_idx IS NOT NULL AND (sl_hit_idx IS NULL OR tp_hit_idx < sl_hit_idx) THEN 1
+       WHEN sl_hit_idx IS NOT NULL THEN 0 END AS INTEGER) AS label, 'TP0.5_SL0.5_W6_{p}' AS label_variant FROM l"""
+    return head + " " + " UNION ALL ".join(part.format(ks=KS, won=w, p=p) for w, p in ((1, "tp_first"), (0, "sl_first")))
+
+
+SQL["b8_other_policies"] = _policies_sql()
+
+
 # ------------------------------------------------------ grid backtest (R)
 
 def _grid(spark, sf):

@@ -566,6 +566,62 @@ def gravitation_fade(events: DataFrame, bars: DataFrame) -> DataFrame:
         ((F.col("range_high") + F.col("range_low")) / 2).alias("tp"))
 
 
+def _with_outcome(t: DataFrame, bars: DataFrame) -> DataFrame:
+    t = first_barrier_hit(t, bars)
+    return t.withColumn("r_multiple", signed_r(F.col("entry"), F.col("exit_price"), F.col("stop"), F.col("side")))
+
+
+def _event_id(*cols: str) -> Column:
+    return F.sha2(F.concat_ws("::", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in (*KEY, *cols)]), 256)
+
+
+def retest_trades(events: DataFrame, bars: DataFrame, stop_beyond_pct: float = 50.0) -> DataFrame:
+    """Trades from ``retest_entries`` in the breakout's direction: entry at the broken edge, stop beyond the far edge by
+    ``stop_beyond_pct`` % of the height, target TPSL1, resolved from the bar after the retest."""
+    e = retest_entries(events, bars)
+    lng = F.col("event") == "breakout_up"
+    hgt = (F.col("range_high") - F.col("range_low")) * stop_beyond_pct / 100.0
+    return _with_outcome(e.select(*KEY, _event_id("bar_idx", "event").alias("trade_id"), F.col("retest_idx").alias("entry_idx"),
+                                  F.when(lng, "long").otherwise("short").alias("side"), F.col("retest_price").alias("entry"),
+                                  F.when(lng, F.col("range_low") - hgt).otherwise(F.col("range_high") + hgt).alias("stop"),
+                                  F.when(lng, F.col("tpsl1_high")).otherwise(F.col("tpsl1_low")).alias("tp")), bars)
+
+
+def fade_trades(events: DataFrame, bars: DataFrame) -> DataFrame:
+    """Trades from ``gravitation_fade``: stop at TPSL1 of the side that was left (NULL, no stop, where the
+    entry is already beyond it), target the middle of the range, resolved from the bar after the entry."""
+    levels = events.where(F.col("event") == "activated").select(*KEY, "bar_idx", "tpsl1_high", "tpsl1_low")
+    e = J.null_safe_join(gravitation_fade(events, bars), levels, [*KEY, "bar_idx"])
+    short = F.col("side") == "short"
+    stop = F.when(short & (F.col("tpsl1_high") > F.col("entry")), F.col("tpsl1_high")).when(
+        ~short & (F.col("tpsl1_low") < F.col("entry")), F.col("tpsl1_low"))
+    return _with_outcome(e.select(*KEY, _event_id("bar_idx").alias("trade_id"), "entry_idx", "side", "entry", stop.alias("stop"), "tp"), bars)
+
+
+def staged_exits(trades: DataFrame, bars: DataFrame, parts: tuple[float, float, float] = (0.5, 0.3, 0.2)) -> DataFrame:
+    """One position left in three parts.  Part 1 at ``tp1`` (all of it at the stop if that comes first); then the stop is at
+    the entry and part 2 leaves at ``tp2``; then the stop is at ``tp1`` for part 3.  ``trades`` has trade_id, the key, entry_idx,
+    side, entry, stop, tp1, tp2.  Adds the three exits and ``r_multiple``, weighted by parts (NULL while a part is open)."""
+    t = series.pinned(trades)
+    base = [*KEY, "trade_id", "side"]
+
+    def leg(entries: DataFrame, name: str) -> DataFrame:
+        hit = first_barrier_hit(entries, bars)
+        return series.pinned(hit.select("trade_id", F.col("exit_idx").alias(f"exit_idx_{name}"), F.col("exit_kind").alias(f"exit_kind_{name}")))
+
+    one = leg(t.select(*base, "entry_idx", "stop", F.col("tp1").alias("tp")), "1")
+    after1 = t.join(one.where("exit_kind_1 = 'tp'"), "trade_id")
+    two = leg(after1.select(*base, F.col("exit_idx_1").alias("entry_idx"), F.col("entry").alias("stop"), F.col("tp2").alias("tp")), "2")
+    after2 = t.join(two.where("exit_kind_2 = 'tp'"), "trade_id")
+    three = leg(after2.select(*base, F.col("exit_idx_2").alias("entry_idx"), F.col("tp1").alias("stop"), F.lit(None).cast("double").alias("tp")), "3")
+    out = t.join(one, "trade_id", "left").join(two, "trade_id", "left").join(three, "trade_id", "left")
+    r = lambda price: signed_r(F.col("entry"), price, F.col("stop"), F.col("side"))
+    rest = F.when(F.col("exit_kind_2") == "stop", F.lit(0.0)).when(
+        F.col("exit_kind_3") == "stop", parts[1] * r(F.col("tp2")) + parts[2] * r(F.col("tp1")))
+    return out.withColumn("r_multiple", F.when(F.col("exit_kind_1") == "stop", r(F.col("stop"))).when(
+        F.col("exit_kind_1") == "tp", parts[0] * r(F.col("tp1")) + rest))
+
+
 def monthly_results(trades: DataFrame, by: Sequence[str], t_col: str = "exit_ms", r_col: str = "r_multiple") -> DataFrame:
     """Trades and net R per calendar month (UTC) of the exit."""
     month = F.date_format(F.timestamp_millis(t_col), "yyyy-MM")

@@ -58,6 +58,16 @@ def test_recall_of_the_bands():
     assert found >= 0.98 * 400 and near == 400
 
 
+def test_similarity_is_exact():
+    rng = random.Random(6)
+    plain = lambda x: {x[i:i + 5] for i in range(max(1, len(x) - 4))} if len(x) >= 5 else {x.ljust(5, "\0")}
+    for _ in range(400):
+        a = "".join(rng.choice("abcé漢😀 ") if rng.random() < 0.1 else rng.choice("abc") for _ in range(rng.randint(1, 40)))
+        b = a[:rng.randint(0, len(a))] + "".join(rng.choice("abc漢") for _ in range(rng.randint(1, 6)))
+        x, y = plain(a), plain(b)
+        assert op.similar(op.shingles(a), op.shingles(b)) == (len(x & y) >= 0.8 * len(x | y))
+
+
 def test_bands_grow_with_the_lines():
     for lines in (1, 10**6, 10**9, 10**12):
         bands, rows = op.banding(lines)

@@ -124,15 +124,36 @@ def band_keys(lines: list[str], bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def similar(a: set, b: set, least: float = SIMILARITY) -> bool:
+def similar(a, b, least: float = SIMILARITY) -> bool:
+    """Whether the Jaccard similarity of two shingle sets (``shingles``) is at least ``least``, exactly."""
     if min(len(a), len(b)) < least * max(len(a), len(b)):
         return False
-    both = len(a & b)
+    if isinstance(a, np.ndarray) and isinstance(b, np.ndarray):
+        merged = np.sort(np.concatenate([a, b]))
+        both = int((merged[1:] == merged[:-1]).sum())
+    else:
+        both = len(_as_set(a) & _as_set(b))
     return both >= least * (len(a) + len(b) - both)
 
 
-def shingles(line: str) -> set[str]:
-    return {line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
+def shingles(line: str):
+    """The distinct shingles of a line: five code points of twelve bits packed into a sorted array of numbers, or a
+    set of strings for a line with code points from 4096 on."""
+    padded = line.ljust(SHINGLE, "\0") if len(line) < SHINGLE else line
+    codes = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if codes.max() >= 4096:
+        return {padded[i:i + SHINGLE] for i in range(len(padded) - SHINGLE + 1)}
+    codes = codes.astype(np.uint64)
+    packed = np.zeros(len(codes) - SHINGLE + 1, np.uint64)
+    for i in range(SHINGLE):
+        packed = packed << np.uint64(12) | codes[i:i + len(packed)]
+    return np.unique(packed)
+
+
+def _as_set(x) -> set:
+    if isinstance(x, set):
+        return x
+    return {"".join(chr(int(v) >> shift & 4095) for shift in (48, 36, 24, 12, 0)) for v in x}
 
 
 def _row_columns(docs: DataFrame) -> DataFrame:
@@ -214,7 +235,7 @@ def _slot(row: int, pos: int) -> int:
 
 
 def _texts(three: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, text, packed) of the wanted lines (id, doc_id, text_hash, pos), read from the documents again.  A bit
+    """(id, text as zlib bytes) of the wanted lines (id, doc_id, text_hash, pos), read from the documents again.  A bit
     table of fixed size holds back most others; the join that follows is exact."""
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = np.zeros((1 << TABLE_BITS) // 8, np.uint8)

@@ -43,16 +43,10 @@ def test_volume_degree(spark):
 
 
 def test_breakout_margin(spark):
-    from tidemark.operators.ranges import LiveRangeMachine
-    m = LiveRangeMachine()
-    s = m.initial()
-    s.update(active=True, hi=110.0, lo=100.0, start=0, typ="Support")
-    row = {"high": 110.1, "low": 109.0, "close": 110.04, "volume": 1, "atr": float("nan"), "avg_volume": 1,
-           "bar_idx": 10, "open_time": 0}
-    assert m.step(s, row) == []
-    row["close"] = 110.06
-    ev = m.step(s, row)
-    assert ev and ev[0]["event"] == "breakout_up"
+    m = L.RangeTracker()
+    open_range = {"range_high": 110.0, "range_low": 100.0}
+    assert m.broken(open_range, 110.04) is None and m.broken(open_range, 99.96) is None
+    assert m.broken(open_range, 110.06) == "breakout_up" and m.broken(open_range, 99.94) == "breakout_down"
 
 
 @pytest.mark.parametrize("swing,expected", [(108.0, 120.0), (115.0, 115.0), (None, 120.0)])

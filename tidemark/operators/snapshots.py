@@ -44,19 +44,26 @@ def snapshot_array(txt: Column) -> Column:
     order) whose value is an array, or an object holding an array under a
     wrapper key; else the first array value in document order, or one level
     down."""
-    m = safe_json_map(txt)
-    cands = []
-    for k in WRAPPER_KEYS:
-        v = m[k]
-        inner = F.from_json(F.when(_is_object(v), v), MAP)
-        nested = F.coalesce(*[F.when(_is_array(inner[kk]), inner[kk]) for kk in WRAPPER_KEYS])
-        cands.append(F.when(_is_array(v), v).when(_is_object(v), nested))
-    entries = F.map_entries(m)
-    first_arr = F.get(F.filter(entries, lambda e: _is_array(e["value"])), 0)["value"]
-    down = F.get(F.filter(F.transform(entries, lambda e: F.when(_is_object(e["value"]), F.get(
-        F.filter(F.map_entries(F.from_json(e["value"], MAP)), lambda x: _is_array(x["value"])), 0)["value"])),
-        lambda x: x.isNotNull()), 0)
-    return F.when(_is_array(txt), F.trim(txt)).otherwise(F.coalesce(*cands, first_arr, down))
+    keys = F.array(*[F.lit(k) for k in WRAPPER_KEYS])
+    rank = lambda e: F.array_position(keys, e["key"])
+    first = lambda entries: F.get(F.filter(entries, lambda e: _is_array(e["value"])), 0)["value"]
+    inside = lambda v: F.map_entries(F.from_json(F.when(_is_object(v), v), MAP))
+
+    def by_key_order(entries: Column, value) -> Column:
+        """The first non-NULL ``value`` of the entries under wrapper keys."""
+        named = F.transform(F.filter(entries, lambda e: rank(e) > 0), lambda e: F.struct(rank(e).alias("p"), value(e["value"]).alias("v")))
+        return F.get(F.array_sort(F.filter(named, lambda x: x["v"].isNotNull())), 0)["v"]
+
+    array_of = lambda v: F.when(_is_array(v), v)
+
+    def choose(m: Column) -> Column:
+        entries = F.map_entries(m)
+        wrapped = by_key_order(entries, lambda v: F.coalesce(array_of(v), by_key_order(inside(v), array_of)))
+        down = F.get(F.filter(F.transform(entries, lambda e: first(inside(e["value"]))), lambda x: x.isNotNull()), 0)
+        return F.coalesce(wrapped, first(entries), down)
+
+    # the one-element array binds the parsed document, so that it is parsed once
+    return F.when(_is_array(txt), F.trim(txt)).otherwise(F.get(F.transform(F.array(safe_json_map(txt)), choose), 0))
 
 
 def snapshot_rows(snaps: DataFrame, json_col: str = "snapshot_json", schema=SNAPSHOT_ROW,

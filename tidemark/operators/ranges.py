@@ -460,13 +460,15 @@ def htf_consolidation(bars: DataFrame, htf: str = "4h", n: int = 20, mult: float
 
 
 def directional_accuracy(events: DataFrame) -> DataFrame:
-    """Breakouts by range type and direction; Resistance breaking down
-    and Support breaking up count as correct."""
+    """Breakouts by range type and direction, and one row ('all', 'all') over the directional
+    types; Resistance breaking down and Support breaking up count as correct."""
     br = events.where(F.col("event").startswith("breakout"))
     correct = ((F.col("range_type") == "Resistance") & (F.col("event") == "breakout_down")) | \
               ((F.col("range_type") == "Support") & (F.col("event") == "breakout_up"))
-    return br.groupBy("range_type", "event").agg(F.count(F.lit(1)).alias("n"),
-                                                 F.count_if(correct).alias("n_correct"))
+    n = [F.count(F.lit(1)).alias("n"), F.count_if(correct).alias("n_correct")]
+    each = br.groupBy("range_type", "event").agg(*n)
+    every = br.where(F.col("range_type").isin("Resistance", "Support")).agg(*n)
+    return each.unionByName(every.select(F.lit("all").alias("range_type"), F.lit("all").alias("event"), "*"))
 
 
 def imbalance_band(imb_pct: Column) -> Column:

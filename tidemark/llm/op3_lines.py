@@ -334,7 +334,8 @@ def _marked(docs: DataFrame, similarity: float) -> DataFrame:
     """(row struct, text, removed): the text without the removed lines; the row is packed, so that no column name clashes."""
     gone = removed_lines(docs, similarity).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "removed")
     rows = packed(docs)
-    j = rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("hash")), "left")
+    # the lists of line numbers are the hashed side, so that the rows with their texts are not sorted
+    j = rows.join(gone.hint("shuffle_hash"), F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("hash")), "left")
     touched = F.col("removed").isNotNull()
     cut = _without(F.when(touched, F.col("row.text")), F.col("removed"))
     return j.select("row", F.when(touched, cut).otherwise(F.col("row.text")).alias("text"), "removed")

@@ -80,17 +80,26 @@ def evidence(yes: float, no: float, base: float) -> float:
     return math.copysign(math.sqrt(max(0.0, 2 * g)), yes - n * base)
 
 
-def features(text: str | None, lexicon: dict, own: dict | None = None) -> list[float]:
+def word_evidence(lexicon: dict) -> dict:
+    """{target: {word: evidence}} of a lexicon, for texts that are not counted in it."""
+    return {t: {w: evidence(y, n, base) for w, (y, n) in counts.items()} for t, (base, counts) in lexicon.items()}
+
+
+def features(text: str | None, lexicon: dict, own: dict | None = None, known: dict | None = None) -> list[float]:
     """The shape measures, then for each target the strongest evidences of the text's words and their sum.
 
-    ``lexicon``: {target: (base rate, {word: (yes, no)})}; ``own``: the labels by which the text itself is counted there."""
+    ``lexicon``: {target: (base rate, {word: (yes, no)})}; ``own``: the labels by which the text itself is counted
+    there; ``known``: the words' evidences if the text is not counted (``word_evidence``)."""
     text = text or ""
     words = _WORD.findall(text.lower())
     out, present = shape(text, words), set(words)
     for t in TARGETS:
         base, counts = lexicon[t]
-        label = (own or {}).get(t)
-        found = sorted((evidence(y - (label == 1), n - (label == 0), base) for y, n in map(counts.__getitem__, counts.keys() & present)), reverse=True)
+        if known is not None:
+            found = sorted(map(known[t].__getitem__, known[t].keys() & present), reverse=True)
+        else:
+            label = (own or {}).get(t)
+            found = sorted((evidence(y - (label == 1), n - (label == 0), base) for y, n in map(counts.__getitem__, counts.keys() & present)), reverse=True)
         top = [max(x, 0.0) for x in found[:TOP_WORDS]]
         out += top + [0.0] * (TOP_WORDS - len(top)) + [sum(x for x in found if x > 3)]
     return out
@@ -158,10 +167,11 @@ def score(docs: DataFrame, model: dict, host: Column, path: Column) -> DataFrame
     lexicon, models = model["lexicon"], model["models"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = word_evidence(lexicon)
         for b in batches:
             out = {t: [] for t in TARGETS}
             for text in b.column(4):
-                x = features(text.as_py(), lexicon)
+                x = features(text.as_py(), lexicon, known=known)
                 for t in TARGETS:
                     if models[t] is None:
                         out[t].append(None)

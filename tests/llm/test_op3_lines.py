@@ -58,6 +58,32 @@ def test_recall_of_the_bands():
     assert found >= 0.98 * 400 and near == 400
 
 
+def test_recall_on_short_lines():
+    rng = random.Random(8)
+    for lines in (10**6, 5 * 10**7):
+        bands, rows = op.banding(lines)
+        found = near = 0
+        for _ in range(1500):
+            n = rng.randint(8, 60) // 5 * 5 + 3  # the union of the shingles is a multiple of five, four fifths of it are shared
+            own = (n - 3) // 5
+            text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n + 1))
+            line, other = text[:len(text) - own // 2], text[own - own // 2:]
+            assert len(op._as_set(op.shingles(line)) & op._as_set(op.shingles(other))) >= 0.8 * (n - 3)
+            a, b = op.band_keys([line, other], bands, rows).tolist()
+            found += bool(set(a[:-1]) & set(b[:-1]))
+            near += ((a[-1] ^ b[-1]) & (2**64 - 1)).bit_count() <= op.DIFFERING
+        assert found >= 0.99 * 1500 and near >= 1498
+
+
+def test_sketch_of_a_line_is_that_of_its_set():
+    rng = random.Random(9)
+    lines = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 30))) * rng.choice([1, 1, 40]) for _ in range(300)] + ["a" * 50_000, "a"]
+    for bands, rows in (op.banding(1), op.banding(10**9)):
+        together = op.band_keys(lines, bands, rows)
+        assert all((op.band_keys([x], bands, rows)[0] == y).all() for x, y in zip(lines, together))
+    assert (op.band_keys(["a" * 9, "a" * 5000], 11, 4)[0] == op.band_keys(["a" * 9, "a" * 5000], 11, 4)[1]).all()
+
+
 def test_similarity_is_exact():
     rng = random.Random(6)
     plain = lambda x: {x[i:i + 5] for i in range(max(1, len(x) - 4))} if len(x) >= 5 else {x.ljust(5, "\0")}

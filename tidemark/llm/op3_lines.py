@@ -5,7 +5,7 @@ space runs as one space, trimmed.  Lines equal in that form are one node, so fre
 never meet in a task.  A node's set is its character shingles of ``SHINGLE`` code points (a shorter line
 is one shingle); two nodes link if the sets' Jaccard similarity is at least ``SIMILARITY`` (0.8).
 
-Candidates: one-permutation MinHash with densified bins, one key per band of ``rows`` bins.  ``banding`` chooses rows and bands by
+Candidates: MinHash in bins, filled for short lines as well as for long ones (``_sketches``), one key per band of ``rows`` bins.  ``banding`` chooses rows and bands by
 the number of lines: buckets stay small at any size, and at a similarity of 0.8 a pair shares a band with
 probability 0.996 (0.9996 at 0.85).  With a key goes a sketch of one bit from each of 64 bins; in a bucket a line
 whose sketch differs from all others in over ``DIFFERING`` bits is no candidate (at 0.8 the sketches differ in 6 bits on
@@ -41,6 +41,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCH_BINS = 64
 DIFFERING = 18
+#: Hashes that spread a line's shingles over the bins before bins that stay empty get hashes of their own.
+ROUNDS = 6
 MISSED = 0.0035
 HELD_SHINGLES = 1_000_000
 BLOCK = 256
@@ -68,18 +70,48 @@ def _mix32(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _densified(sketch: np.ndarray) -> np.ndarray:
-    """Empty bins take the value of the nearest full bin around the circle, to the left or to the right by the bin."""
-    full, bins = sketch != _NONE, sketch.shape[1]
-    if full.all():
-        return sketch
-    column = np.arange(bins)
-    at = np.where(full, column, -1)
-    left = np.maximum.accumulate(np.concatenate([at, np.where(full, column + bins, -1)], axis=1), axis=1)[:, bins:] % bins
-    at = np.where(full, column, 4 * bins)
-    right = np.minimum.accumulate(np.concatenate([at, np.where(full, column + bins, 4 * bins)], axis=1)[:, ::-1], axis=1)[:, ::-1][:, :bins] % bins
-    toward = (_mix(column.astype(np.uint64) + np.uint64(1)) & np.uint64(1)).astype(bool)
-    return np.take_along_axis(sketch, np.where(toward, left, right), axis=1)
+def _bin(h: np.ndarray, bins: int) -> np.ndarray:
+    return (h >> np.uint32(26)).astype(np.int64) if bins == 64 else (_mix32(h.copy()) % np.uint32(bins)).astype(np.int64)
+
+
+def _rehashed(h: np.ndarray, seed) -> np.ndarray:
+    return _mix32(h + np.uint32(0x9E3779B9) * seed)
+
+
+def _sketches(h: np.ndarray, line: np.ndarray, n: int, bins: int) -> np.ndarray:
+    """(n, bins): one MinHash value per bin of the shingle hashes ``h`` of the lines 0..n-1 (``line`` ascends, no line without a shingle).
+
+    The shingles of a line are spread over the bins, those of lines with empty bins again by other hashes (``ROUNDS`` times in all), where
+    they fill empty bins only.  A bin that is still empty gets the minimum of its own hash over all shingles of the line.  So two
+    lines agree in a bin with the probability of their similarity, and the bins of a short line are as good as independent."""
+    out = np.full(n * bins, _NONE)
+    np.minimum.at(out, line * bins + _bin(h, bins), h)
+    for r in range(1, ROUNDS):
+        keep = (out.reshape(n, bins) == _NONE).any(axis=1)[line]
+        h, line = h[keep], line[keep]
+        if not len(h):
+            return out.reshape(n, bins)
+        g = _rehashed(h, np.array([r], np.uint32))
+        at = line * bins + _bin(g, bins)
+        free = out[at] == _NONE
+        np.minimum.at(out, at[free], g[free])
+    keep = (out.reshape(n, bins) == _NONE).any(axis=1)[line]
+    distinct = np.unique(line[keep].astype(np.uint64) << np.uint64(32) | h[keep])
+    h, line = distinct.astype(np.uint32), (distinct >> np.uint64(32)).astype(np.int64)
+    count = np.bincount(line, minlength=n)
+    first = np.cumsum(count) - count
+    empty = np.flatnonzero(out == _NONE)
+    own, ends = empty // bins, np.cumsum(count[empty // bins])
+    lo = 0
+    while lo < len(empty):  # runs of about a million hashes, or one longer line
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + (1 << 20), side="right")))
+        size = count[own[lo:hi]]
+        start = np.cumsum(size) - size
+        each = np.arange(size.sum()) + np.repeat(first[own[lo:hi]] - start, size)
+        seed = (ROUNDS + empty[lo:hi] % bins).astype(np.uint32)
+        out[empty[lo:hi]] = np.minimum.reduceat(_rehashed(h[each], np.repeat(seed, size)), start)
+        lo = hi
+    return out.reshape(n, bins)
 
 
 def banding(lines: int, similarity: float = SIMILARITY) -> tuple[int, int]:
@@ -109,11 +141,7 @@ def band_keys(lines: list[str], bands: int, rows: int) -> np.ndarray:
             inside[np.cumsum(own)[:-1] - i] = False
         line = np.repeat(np.arange(n), own - SHINGLE + 1)
         h = _mix32(h[inside])
-        sketch = np.full(n * bins, _NONE)
-        at = (h >> np.uint32(26)).astype(np.int64) if bins == 64 else (_mix32(h.copy()) % np.uint32(bins)).astype(np.int64)
-        np.minimum.at(sketch, line * bins + at, h)
-        sketch = sketch.reshape(n, bins)
-        sketch = _densified(sketch).astype(np.uint64)
+        sketch = _sketches(h, line, n, bins).astype(np.uint64)
         key = np.full((n, bands), np.uint64(1))
         for i in range(rows):
             key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + sketch[:, i * bands:(i + 1) * bands])

@@ -26,6 +26,24 @@ def test_recall_with_few_probes(spark):
     assert len({(q, v) for q, _, v, _ in want} & found) >= 0.9 * len(want)
 
 
+def test_recall_with_mixed_norms_and_an_outlier(spark):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(60, 32))
+    x = centers[rng.integers(0, 60, 6000)] + 0.7 * rng.normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    mixed = x * np.exp(0.5 * rng.normal(size=(6000, 1)))
+    outlier = np.vstack([x, 20 * x[:1] + 0.1])
+    for vectors in (mixed, outlier):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+        found = {(q, v) for q, _, v, _ in got(op.nearest(df, F.col("vec_id") % 100 == 0, min_candidates=1))}
+        want = set()
+        for q in range(0, len(vectors), 100):
+            score = vectors @ vectors[q]
+            score[q] = -np.inf
+            want |= {(q, int(v)) for v in np.argsort(-score)[:20]}
+        assert len(found) == len(want) and len(want & found) >= 0.9 * len(want)
+
+
 def test_small_tables_are_exact(spark):
     nan, inf = float("nan"), float("inf")
     rng = np.random.default_rng(0)

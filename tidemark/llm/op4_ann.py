@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by cross-polytope hashing, reranked exactly.
 
-Largest inner product becomes smallest angle by one more coordinate, sqrt(M^2 - |x|^2) on the indexed side (M the largest
-norm) and 0 on the query's.  The vector, padded to a power of two, is turned by a fast pseudo-rotation (three rounds of random
+The indexed vectors are divided into bands of near norms (quarter octaves), each searched by itself, so that a few long vectors
+do not flatten the others.  In a band, largest inner product becomes smallest angle by one more coordinate, sqrt(M^2 - |x|^2) on
+the indexed side (M the largest norm of the band) and 0 on the query's.  The vector, padded to a power of two, is turned by a fast pseudo-rotation (three rounds of random
 signs and a Walsh-Hadamard transform) and hashed to the nearest of the signed axes; ``TABLES`` tables use their own signs.
-A query probes in every table the ``probes`` signed axes nearest to it (more in a small index, so that it sees ``MIN_CANDIDATES`` expected
-candidates).  Buckets are cut into blocks of indexed vectors and of queries; a task takes the inner products of
+A query probes in every band and table the occupied signed axes nearest to it, until it has probed ``probes`` of them and seen k + 1 vectors
+and its share of ``MIN_CANDIDATES`` (the bucket sizes are known; a band that is probed whole needs one table).  Buckets are cut into blocks of indexed vectors and of queries; a task takes the inner products of
 a query block with a candidate block of the same bucket, in double precision on the original numbers, and keeps the best of each query.
 
 Equal vectors are one entry that carries its k + 1 smallest ids: more can never be among k results, so a vector that a
@@ -49,13 +50,24 @@ def rotate(x: np.ndarray, table_no: int, rounds: int = 3) -> np.ndarray:
     return x
 
 
-def padded(vectors: np.ndarray, norm: float, query: bool) -> np.ndarray:
-    """Unit-free coordinates with the extra one, up to the next power of two."""
+def length_of(x: np.ndarray) -> float:
+    """The norm of a finite vector other than zero, finite also where the squares are not."""
+    m = float(np.abs(x).max())
+    return min(m * math.sqrt(float(((x / m) ** 2).sum())), np.finfo(np.float64).max)
+
+
+def norm_band(norm: float) -> int:
+    """Quarter octave of a norm; norms near a power of two (as 1) are in the middle of one."""
+    return round(4 * math.log2(norm))
+
+
+def padded(vectors: np.ndarray, norm: np.ndarray, query: bool) -> np.ndarray:
+    """Unit-free coordinates (by ``norm``, one per row) with the extra one, up to the next power of two."""
     n, d = vectors.shape
     out = np.zeros((n, 1 << d.bit_length()))
-    out[:, :d] = vectors
+    out[:, :d] = vectors / norm[:, None]
     if not query:
-        out[:, d] = np.sqrt(np.maximum(norm * norm - (vectors * vectors).sum(axis=1), 0.0))
+        out[:, d] = np.sqrt(np.maximum(1.0 - (out[:, :d] ** 2).sum(axis=1), 0.0))
     return out
 
 
@@ -64,8 +76,9 @@ def signed_axes(rotated: np.ndarray) -> np.ndarray:
     return np.concatenate([rotated, -rotated], axis=1)
 
 
-def bucket_key(length: int, table_no: int, axis: np.ndarray) -> np.ndarray:
-    return (np.int64(length) << np.int64(40)) + (np.int64(table_no) << np.int64(32)) + axis.astype(np.int64)
+def bucket_key(length: int, band, table_no: int, axis):
+    """22 bits of the axis, 6 of the table, 14 of the band, the rest of the length."""
+    return (((np.int64(length) << np.int64(14)) + np.asarray(band, np.int64) + np.int64(6000) << np.int64(6)) + np.int64(table_no) << np.int64(22)) + np.asarray(axis, np.int64)
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray]:
@@ -169,41 +182,73 @@ def _top(keep: int) -> Column:
 def nearest(rows: DataFrame, asked: Column, k: int = TOP, id_col: str = "vec_id", vec_col: str = "embedding",
             tables: int = TABLES, probes: int = PROBES, min_candidates: int = MIN_CANDIDATES) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows where ``asked`` holds."""
+    spark = rows.sparkSession
     given = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), asked.alias("asked")).where("id IS NOT NULL")
     keep = k + 1
     nodes = materialize(distinct_vectors(given, keep).withColumn("node", F.monotonically_increasing_id())
                         .withColumn("low", F.element_at("ids", 1)), "ann-nodes")
-    size = nodes.count()
 
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([math.sqrt(float((x * x).sum())) for x in _vectors(b.column(0))], pa.float64())], ["norm"])
-
-    norm = nodes.select("vec").mapInArrow(norms, "norm double").agg(F.max("norm")).first()[0] or 1.0
-
-    def probe_count(width: int) -> int:
-        return min(2 * width, max(probes, math.ceil(2 * width * min_candidates / max(1, size * tables))))
-
-    def hashed(query: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                vecs = _vectors(b.column(2))
-                for length in sorted({len(v) for v in vecs}):
-                    own = np.array([i for i, v in enumerate(vecs) if len(v) == length])
-                    x = padded(np.array([vecs[i] for i in own]), norm, query)
-                    for t in range(tables):
-                        axes = signed_axes(rotate(x, t))
-                        p = probe_count(x.shape[1]) if query else 1
-                        near = np.argsort(-axes, axis=1, kind="stable")[:, :p] if query else np.argmax(axes, axis=1)[:, None]
-                        take = pa.array(np.repeat(own, p))
-                        yield pa.RecordBatch.from_arrays([pa.array(bucket_key(length, t, near).ravel()), b.column(0).take(take), b.column(1).take(take),
-                                                          b.column(2).take(take)], ["key", "node", "low", "vec"])
-        return run
+            got = [length_of(x) for x in _vectors(b.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array([norm_band(x) for x in got], pa.int32()), pa.array(got, pa.float64())], ["band", "norm"])
+
+    # One row per quarter octave that occurs: a few thousand at most, whatever the input.
+    longest = {r["band"]: r["norm"] for r in nodes.select("vec").mapInArrow(norms, "band int, norm double").groupBy("band").agg(F.max("norm").alias("norm")).collect()}
+
+    def by_length(vecs: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for length in sorted({len(v) for v in vecs}):
+            own = np.array([i for i, v in enumerate(vecs) if len(v) == length])
+            yield length, own, np.array([vecs[i] for i in own])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for length, own, x in by_length(_vectors(b.column(2))):
+                band = np.array([norm_band(length_of(v)) for v in x])
+                x = padded(x, np.array([longest[k] for k in band.tolist()]), False)
+                take = pa.array(own)
+                for t in range(tables):
+                    key = bucket_key(length, band, t, np.argmax(signed_axes(rotate(x, t)), axis=1))
+                    yield pa.RecordBatch.from_arrays([pa.array(key), *(b.column(i).take(take) for i in range(3))], ["key", "node", "low", "vec"])
 
     schema = "key long, node long, low long, vec binary"
-    index = _blocked(nodes.select("node", "low", "vec").mapInArrow(hashed(False), schema), BLOCK)
+    index = _blocked(nodes.select("node", "low", "vec").mapInArrow(hashed, schema), BLOCK)
     index = materialize(index.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(64)).cast("int")), "ann-index")
-    queries = _blocked(nodes.where("asked").select("node", "low", "vec").mapInArrow(hashed(True), schema), QUERY_BLOCK)
+    # The sizes of the buckets: at most tables x signed axes numbers for a band.
+    counts = index.groupBy("key").agg(F.sum(F.size("nodes")).alias("n")).orderBy("key").toPandas()
+    sent = spark.sparkContext.broadcast((counts["key"].to_numpy(np.int64), counts["n"].to_numpy(np.int64)))
+
+    def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, sizes = sent.value
+        for b in batches:
+            for length, own, x in by_length(_vectors(b.column(2))):
+                x = padded(x, np.array([length_of(v) for v in x]), True)
+                buckets = [np.zeros(2 * x.shape[1], np.int64) for _ in longest]
+                total = 0
+                for t in range(tables):
+                    axes = signed_axes(rotate(x, t))
+                    near = np.argsort(-axes, axis=1, kind="stable")
+                    for of, band in zip(buckets, longest):
+                        lo, hi = np.searchsorted(keys, [bucket_key(length, band, t, 0), bucket_key(length, band, t + 1, 0)])
+                        of[:] = 0
+                        of[keys[lo:hi] & ((1 << 22) - 1)] = sizes[lo:hi]
+                    if t == 0:
+                        inside = [int(of.sum()) for of in buckets]
+                        total = sum(inside)
+                    for of, band, held in zip(buckets, longest, inside):
+                        share = max(keep, math.ceil(min_candidates * held / max(1, total) / tables))
+                        if not held or t and share >= held:  # probed whole in the first table
+                            continue
+                        n = of[near]
+                        full = n > 0
+                        before = np.cumsum(n, axis=1) - n
+                        go = full & ((np.cumsum(full, axis=1) <= probes) | (before < share))
+                        at, place = np.nonzero(go)
+                        take = pa.array(own[at])
+                        yield pa.RecordBatch.from_arrays([pa.array(bucket_key(length, band, t, near[at, place])), *(b.column(i).take(take) for i in range(3))],
+                                                         ["key", "node", "low", "vec"])
+
+    queries = _blocked(nodes.where("asked").select("node", "low", "vec").mapInArrow(probed, schema), QUERY_BLOCK)
     queries = materialize(queries.select("key", F.col("nodes").alias("qnodes"), F.col("vecs").alias("qvecs")), "ann-queries")
     found = (queries.join(index, "key").select("qnodes", "qvecs", "nodes", "lows", "vecs", "salt")
              .mapInArrow(_best(keep), "q long, node long, low long, score double, salt int"))

@@ -33,6 +33,18 @@ def test_article_without_its_surroundings():
     assert op.extract(page, op.default_model()) == "A title & more\n\nFirst paragraph, with space.\n\nSecond one. It has two sentences.\n\nThird €5 link end."
 
 
+def test_hidden_is_an_attribute_name():
+    shown = ('href="/hidden-gems"', "title='a hidden door'", 'data-hidden="false"', 'data-menu="hidden"', "alt=hidden", "href=/x?hidden=1", 'data-style="display:none"',
+             'aria-label="style=display:none"', "data-aria-hidden=true", 'title="x" aria-hidden="false"', "style='color:red'")
+    unseen = ("hidden", 'class="a" HIDDEN', "hidden=''", 'aria-hidden="true"', "aria-hidden=true", "style='color:red; display: none'", "style=visibility:hidden", 'title="a"hidden')
+    assert [a for a in shown if "!hidden" in op._names(a)] == [] and [a for a in unseen if "!hidden" not in op._names(a)] == []
+    assert op._names(' data-class="menu" class = "Main-Text" title="id=footer" id=storyBody') == ("main", "text", "story", "body")
+    text = "First paragraph of the story, with a few words. It has two sentences."
+    for a in shown:
+        page = f"<html><body {a}><article><h1>A title</h1><p>{text}</p><p>Second one, with <a {a}>a link</a> inside. It has two sentences.</p></article></body></html>"
+        assert op.extract(page, op.default_model()) == f"A title\n\n{text}\n\nSecond one, with a link inside. It has two sentences."
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>" + "long text here. " * 100_000 + "</p></article>"
     rows = [(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "", "x"), (2, "u", "no tags", "x"), (3, "u", "<p", "x"), (4, "u", "<article><p>unclosed", None),

@@ -49,8 +49,9 @@ SELF_ENDING = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "t
 # ---- end of fixed values
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTR = re.compile(r"([^\s=\"'/>][^\s=/>]*)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
 _RAW_END = {t: re.compile(rf"</{t}\s*>|\Z", re.I) for t in RAW}
+_UNSEEN = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 _PIECE = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -156,7 +157,7 @@ def _names(attributes: str) -> tuple[str, ...]:
     found: list[str] = []
     for key, value in _ATTR.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+        if key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true" or key == "style" and _UNSEEN.search(value):
             found.append("!hidden")
         elif key in ("class", "id", "role", "itemprop"):
             found += _PIECE.findall(_CAMEL.sub(" ", value).lower())

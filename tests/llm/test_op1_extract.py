@@ -45,6 +45,20 @@ def test_hidden_is_an_attribute_name():
         assert op.extract(page, op.default_model()) == f"A title\n\n{text}\n\nSecond one, with a link inside. It has two sentences."
 
 
+def test_head_without_its_end_tag():
+    text = "First paragraph of the story, with a few words. It has two sentences."
+    article = f"<article><h1>A title</h1><p>{text}</p><p>Second one, with a comma. It has two sentences.</p></article>"
+    want = f"A title\n\n{text}\n\nSecond one, with a comma. It has two sentences."
+    heads = ("<head><title>T</title>", "<head><meta charset=utf-8><style>p{}</style>\n<script>var a = '<p>';</script>\n<title>T</title>\n", "<head>",
+             "<head><noscript><link href=x>", "<head><template><p>not shown</p></template>",
+             "<head><noscript><p>Switch scripts on.</p><img src=x></noscript><title>T</title>", "<head><title>T</title></head>")
+    for head in heads:
+        for body in ("<body>", "", "\n<div>"):
+            assert op.extract(f"<html>{head}{body}{article}", op.default_model()) == want, (head, body)
+    assert [b[0] for b in op.parse("<html><head><title>T</title>Bare text <b>here</b>")] == ["Bare text here"]
+    assert op.parse("<head><script>x</script><noscript><style>p{}</style></noscript><template><div>no</div></template></head>") == []
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>" + "long text here. " * 100_000 + "</p></article>"
     rows = [(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "", "x"), (2, "u", "no tags", "x"), (3, "u", "<p", "x"), (4, "u", "<article><p>unclosed", None),

@@ -46,12 +46,15 @@ CLOSES_P = BLOCK - {"button", "label", "caption", "legend", "summary"}
 #: Closing one of these also closes what stands open inside it; an open one of the same kind ends at the next.
 SELF_ENDING = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"},
                "option": {"select"}}
+#: Start tags that a head may hold; any other one, and text, ends an open head.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes script style template".split())
 # ---- end of fixed values
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=\"'/>][^\s=/>]*)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
 _RAW_END = {t: re.compile(rf"</{t}\s*>|\Z", re.I) for t in RAW}
 _UNSEEN = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+_NOSCRIPT_END = re.compile(r"</noscript\s*>", re.I)
 _PIECE = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -82,8 +85,23 @@ def parse(page: str) -> list[tuple[str, tuple, int, int]]:
             in_link -= t == "a"
         del stack[i:]
 
+    def leave_head(name: str | None):
+        """A start tag (None: text) that an open head cannot hold closes it and all in it; the content of a template or of a raw
+        element is its own, and so is that of a noscript that ends before the body."""
+        for i in range(len(stack) - 1, -1, -1):
+            t = stack[i][0]
+            if t == "head":
+                apart = name != "body" and any(x == "noscript" for x, _ in stack[i:]) and _NOSCRIPT_END.search(page, at)
+                if name not in IN_HEAD and not apart:
+                    close(i)
+                return
+            if t not in ("noscript", "noframes") and t in HIDDEN:
+                return
+
     def add(text: str):
         nonlocal owner, links
+        if hidden and not text.isspace():
+            leave_head(None)
         if hidden or not text:
             return
         if not parts or not owner:
@@ -116,6 +134,8 @@ def parse(page: str) -> list[tuple[str, tuple, int, int]]:
                 if name not in BLOCK and stack[i][0] in BLOCK:  # an inline tag does not close a block
                     break
             continue
+        if hidden:
+            leave_head(name)
         if name in CLOSES_P:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":

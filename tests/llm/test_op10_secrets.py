@@ -42,6 +42,22 @@ def test_corpus_tokens(spark):
     assert got.where("candidate RLIKE '^[0-9]{16}$' AND secret").count() == 0
 
 
+def test_assigned_values_of_any_signs(spark, learned):
+    from pyspark.ml.functions import array_to_vector
+
+    secrets = ["Tr0ub4dor&3", "k!9x#Lq2vP", "QkzWvTnRbLxPmYhGfDsJ", "aB3$xZ9.q%", "p@5$w0rd.7xQ"]
+    forms = ['password = "%s"\n', "DB_PASSWORD=%s\n", '{"client_secret": "%s"}', "api_key: '%s';", "$cfg['token'] => `%s`", "secret := %s;"]
+    texts = [f % v for f in forms for v in secrets]
+    assert all(v in [t[s:e] for s, e in op.places(t)] for t, v in zip(texts, secrets * len(forms)))
+    assert [t[s:e] for t in ["key: a=b, password=x;y", 'key = ""', "token =", 'key = "open\n', "pwd='z"] for s, e in op.places(t)] == ["a=b", "x;y", "open", "z"]
+    log, words, model = learned
+    rows = [(op.features(v, f"some text {name} = \"", "\" more text here", "config/prod", log, words), 1) for v in secrets for name in ("password", "token")]
+    rows += [(op.features(v, "the password: ", " and more text", "docs/guide", log, words), 0) for v in ("None", "changeme", "********", "${DB_PASSWORD}", "required")]
+    df = spark.createDataFrame(rows, "x array<double>, label int").withColumn("features", array_to_vector("x"))
+    got = model.transform(df).select("label", "prediction").collect()
+    assert sum(r.label == r.prediction for r in got) >= 13
+
+
 def test_odd_rows(odd_docs, no_docs, spark):
     assert op.scan_secrets(odd_docs, F.col("source")).count() == 0
     assert op.scan_secrets(no_docs, F.col("source")).count() == 0

@@ -1,6 +1,7 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Candidates are runs of 16 or more ASCII letters, digits and ``+/_=-`` that hold a digit (the texts are scanned whole).  Their
+Candidates are runs of 16 or more ASCII letters, digits and ``+/_=-`` that hold a digit, and, whatever its signs and length, the value
+assigned to a name of a password, token, secret or key: all up to the end quote or, unquoted, to white space (the texts are scanned whole).  Their
 features: length and make-up, how likely the character transitions are in the corpus, how much of the candidate
 corpus words cover, the path, and the neighbouring words.  The transition counts and the word list come from one pass
 over all documents (the counts are aggregates; the list is the ``DICTIONARY`` most frequent words of four letters or more).
@@ -39,6 +40,8 @@ SEED = 5
 TREES, DEPTH = 40, 9
 CONTEXT = 48
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z+/_=\-]*\d)[A-Za-z0-9+/_=\-]{16,}")
+ASSIGNED = re.compile(r"""(?:passw(?:or)?d|passphrase|passwort|pwd|pass|secret|token|credentials?|api_?key|key|auth)s?["'`\])]{0,2}[ \t]*(?::=|=>|={1,3}|:)[ \t]*
+                          (?=(?P<quote>["'`])(?P<inside>[^\n]*?)(?:(?P=quote)|\n|\Z)|(?P<plain>[^\s"'`]\S*))""", re.I | re.X)
 _WORD = re.compile(r"[^\W\d_]{4,}")
 _NEAR = re.compile(r"[A-Za-z]+")
 # Words near a finding that speak for or against a secret, and words of test paths.
@@ -101,11 +104,23 @@ def covered(candidate: str, words: frozenset[str]) -> float:
     return sum(mark) / len(low)
 
 
+def places(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the candidates of a text; one that is a run and an assigned value counts once."""
+    found = {m.span() for m in CANDIDATE.finditer(text)}
+    for m in ASSIGNED.finditer(text):
+        s, e = m.span("plain" if m["quote"] is None else "inside")
+        while m["quote"] is None and e > s and text[e - 1] in ",;)]}\"'`":  # what ends a statement is no part of the value
+            e -= 1
+        if e > s and not text[s:e].isspace():
+            found.add((s, e))
+    return sorted(found)
+
+
 def features(candidate: str, before: str, after: str, path: str | None, log: list[float], words: frozenset[str]) -> list[float]:
     n = len(candidate)
     count = Counter(candidate)
     digits, upper, lower = (sum(map(f, candidate)) for f in (str.isdigit, str.isupper, str.islower))
-    signs = candidate.encode().translate(_SYMBOL)
+    signs = candidate.encode("utf-8", "surrogatepass").translate(_SYMBOL)
     steps = [log[a * SYMBOLS + b] for a, b in zip(signs, signs[1:])]
     kinds = [c.isdigit() + 2 * c.isupper() + 4 * c.islower() for c in candidate]
     run = best = 1
@@ -133,7 +148,7 @@ def labelled_findings(count: int = FINDINGS, seed: int = SEED, words: frozenset[
     text = lambda n: " ".join(rng.choice(plain) for _ in range(n))
 
     def secret():
-        kind = rng.randrange(7)
+        kind = rng.randrange(10)
         if kind < 2:
             return chars(hexa, rng.choice([24, 32, 40, 40, 48, 64]))
         if kind == 2:
@@ -144,10 +159,25 @@ def labelled_findings(count: int = FINDINGS, seed: int = SEED, words: frozenset[
             return rng.choice(["ghp_", "gho_", "sk_live_", "xoxb-", "rk_live_", "glpat-"]) + chars(string.ascii_letters + string.digits, rng.randint(20, 36))
         if kind == 5:
             return chars(string.ascii_letters + string.digits + "-_", rng.randint(18, 43))
-        return chars(hexa.upper(), rng.choice([32, 40]))
+        if kind == 6:
+            return chars(hexa.upper(), rng.choice([32, 40]))
+        if kind == 7:  # a word with other signs in it
+            w = "".join({"o": "0", "e": "3", "a": "4", "i": "1", "s": "$"}.get(c, c) if rng.random() < 0.6 else c for c in rng.choice(plain).title())
+            return w + rng.choice("!@#$%&*.?") + chars(string.digits, rng.randint(1, 4))
+        if kind == 8:
+            return chars(string.ascii_letters + string.digits, 6) + rng.choice("!@#$%^&*.?") + chars(string.ascii_letters + string.digits + "!@#$%^&*.?", rng.randint(1, 12))
+        return chars(rng.choice([string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase]), rng.randint(16, 40))
 
     def decoy():
-        kind = rng.randrange(10)
+        kind = rng.randrange(13)
+        if kind > 9:  # assigned words, references and placeholders
+            said = rng.choice(["password", "token", "secret", "key", "api_key", "Key", "auth_token"]) + rng.choice([" = ", "=", ": ", ": "])
+            if kind == 10:
+                return rng.choice(plain) + rng.choice(["", "", ".", "?"]), said
+            if kind == 11:
+                w = rng.choice(plain)
+                return rng.choice([f"${{{w.upper()}}}", f"${w.upper()}", f"os.environ['{w.upper()}']", f"config.{w}", f"self.{w}", f"args.{w}", f"get_{w}()", f"<{w}>", f"{{{w}}}", f"your_{w}"]), said
+            return rng.choice(["None", "null", "true", "false", "string", "required", "changeme", "********", "xxxxxxxx", "...", "%s", "password", "-", "0", "1", str(rng.randint(2, 9999))]), said
         if kind == 0:
             return chars(string.digits, rng.choice([16, 16, 18, 20])), rng.choice([text(3) + " ", "card ", "phone: ", "order number "])
         if kind == 1:
@@ -200,12 +230,11 @@ def candidates(docs: DataFrame, path: Column, log: list[float], words: frozenset
             ids, place, found, x = [], [], [], []
             for i, t, p in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
                 t = t.as_py()
-                for m in CANDIDATE.finditer(t) if t else ():
-                    s, e = m.span()
+                for s, e in places(t) if t else ():
                     ids.append(i)
                     place.append(s)
-                    found.append(m.group())
-                    x.append(features(m.group(), t[max(0, s - CONTEXT):s], t[e:e + CONTEXT], p, log, words))
+                    found.append(t[s:e])
+                    x.append(features(t[s:e], t[max(0, s - CONTEXT):s], t[e:e + CONTEXT], p, log, words))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(place, pa.int64()), pa.array(found, pa.string()),
                                               pa.array(x, pa.list_(pa.float64()))], ["doc_id", "place", "candidate", "x"])
 

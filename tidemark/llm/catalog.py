@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["op1_extract", "op2_simhash", "op3_lines", "op4_ann", "op5_quality", "op6_chat", "op7_decontaminate", "op8_mixing", "op9_warc", "op10_secrets"]
+MODULES = ["op1_extract", "op2_simhash", "op3_lines", "op4_ann", "op5_quality", "op6_chat", "op7_decontaminate", "op8_mixing", "op9_warc", "op10_secrets",
+           "op11_spelling"]
 
 
 def load() -> tuple[dict, dict]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = ["op1_extract", "op2_simhash", "op3_lines", "op4_ann", "op5_quality", "op6_chat", "op7_decontaminate", "op8_mixing", "op9_warc", "op10_secrets",
-           "op11_spelling", "op13_phrases"]
+           "op11_spelling", "op12_rules", "op13_phrases"]
 
 
 def load() -> tuple[dict, dict]:

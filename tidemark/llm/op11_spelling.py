@@ -13,7 +13,7 @@ its most frequent near word, if that is frequent enough, and its root is where f
    start or one further in the longer word.  With grams of at most half the bordered word that is never less than one.
 4. List merging (``near_words``): in one order, rarest gram first, near words share a gram among the first (affected + 1) of either.
    Only these are indexed, by gram, word length and place; lists of one key are joined and each pair is verified.
-   A key held by more than ``HOT`` words is dealt over salts.
+   A key held by more than ``HOT`` words, by an estimate from a sample of them, is dealt over salts.
 
 A dictionary built from other counts, or another threshold, changes the lists and never the result.
 
@@ -24,6 +24,7 @@ rows; other columns are ignored.  Texts are read whole.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from bisect import bisect_left, bisect_right
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop_table, materialize, table
+from tidemark.llm.common import drop_table, materialize, partitions, table
 
 MIN_LENGTH = 7
 MIN_COUNT = 2
@@ -47,6 +48,10 @@ THRESHOLD = 500
 #: Most entries of the dictionary that goes to every task (some 5 MB); the threshold doubles until it fits.
 MAX_GRAMS = 200_000
 HOT = 4096
+#: Words from which the size of the lists is estimated, and the most lists that are dealt over salts.
+SAMPLE_WORDS = 100_000
+MAX_HOT = 50_000
+SALT = 0x1E3779B97F4A7C15
 START, END = "\x01", "\x02"
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
 
@@ -84,7 +89,7 @@ def word_counts(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int =
                         word = misspelt(i, run.encode())
                         if len(word) >= min_length:
                             held[word] += n
-                if len(held) > 300_000:
+                if len(held) > 150_000:
                     yield out()
         if held:
             yield out()
@@ -110,7 +115,7 @@ def gram_counts(words: DataFrame, longest: int = LONGEST) -> DataFrame:
                 s = START + w + END
                 for q in range(SHORTEST, longest + 1):
                     held.update([s[i:i + q] for i in range(len(s) - q + 1)])
-                if len(held) > 500_000:
+                if len(held) > 250_000:
                     yield out()
         if held:
             yield out()
@@ -202,32 +207,69 @@ def letters(word: str) -> int:
 
 # ---------------------------------------------------------------- near words
 
-#: Roles of an index row: with words of its own length, as the longer word, as the shorter word.
-SAME, LONGER, SHORTER = 0, 1, 2
+#: Roles of an index row: with words of its own length, as the longer word, as the shorter word, and asking words of its own length under the salts of a hot key.
+SAME, LONGER, SHORTER, ASKING = 0, 1, 2, 3
 
 
-def _index(words: DataFrame, dictionary: dict[str, int], longest: int) -> DataFrame:
-    sent = words.sparkSession.sparkContext.broadcast(dictionary)
+def _keys(grams: Grams, word: str, longest: int) -> list[tuple[int, int]]:
+    """The (role, key) under which a word is indexed."""
+    n, known = len(word), {}
+
+    def signature(length: int) -> list[tuple[str, int]]:
+        q = longest_gram(length, longest)
+        if q not in known:
+            known[q] = grams.signature(word, q)
+        return known[q]
+
+    key = lambda g, length, p, kind: xxhash.xxh64_intdigest(f"{g}{length},{p},{kind}") - (1 << 63)
+    return ([(SAME, key(g, n, p, 0)) for g, p in signature(n)] + [(LONGER, key(g, n, p, 1)) for g, p in signature(n - 1)]
+            + [(SHORTER, key(g, n + 1, p + step, 1)) for g, p in signature(n) for step in (0, 1)])
+
+
+def _hot_keys(words: DataFrame, sent, longest: int, hot: int) -> dict[int, int]:
+    """{key: salts} of the keys that more than ``hot`` words hold, by an estimate from a sample of the words."""
+    share = min(1.0, SAMPLE_WORDS / max(1, words.count()))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams(sent.value)
-        key = lambda g, length, p, kind: xxhash.xxh64_intdigest(f"{g}{length},{p},{kind}") - (1 << 63)
+        for b in batches:
+            keys = [k for w in b.column(0).to_pylist() for role, k in _keys(grams, w, longest) if role != SHORTER]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], ["key"])
+
+    held = words.select("word").sample(share, seed=3).mapInArrow(rows, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    held = materialize(held.where(F.col("n") > max(1, int(hot * share))), "spelling-hot")
+    while True:
+        found = held.where(F.col("n") > max(1, int(hot * share))).limit(MAX_HOT + 1).collect()
+        if len(found) <= MAX_HOT:
+            drop_table(held)
+            return {r["key"]: math.ceil(r["n"] / share / hot) for r in found}
+        hot *= 2
+
+
+def _index(words: DataFrame, dictionary: dict[str, int], longest: int, hot: int) -> DataFrame:
+    """(key, role, mask, id, word, n).  Keys that many words hold are dealt over salts: a word is found under one of them and asks under all."""
+    spark = words.sparkSession.sparkContext
+    sent = spark.broadcast(dictionary)
+    salts = spark.broadcast(_hot_keys(words, sent, longest, hot))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, many = Grams(sent.value), salts.value
         for b in batches:
             at, role, keys, mask = [], [], [], []
-            for r, w in enumerate(b.column(1).to_pylist()):
-                n, bits, cache = len(w), letters(w), {}
-
-                def signature(length: int):
-                    q = longest_gram(length, longest)
-                    if q not in cache:
-                        cache[q] = grams.signature(w, q)
-                    return cache[q]
-
-                own = [(SAME, key(g, n, p, 0)) for g, p in signature(n)]
-                own += [(LONGER, key(g, n, p, 1)) for g, p in signature(n - 1)]
-                own += [(SHORTER, key(g, n + 1, p + step, 1)) for g, p in signature(n) for step in (0, 1)]
+            for r, (i, w) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                own = []
+                for kind, k in _keys(grams, w, longest):
+                    n = many.get(k, 1)
+                    if n == 1:
+                        own.append((kind, k))
+                        continue
+                    salted = [k ^ (s * SALT & (1 << 62) - 1) for s in range(n)]
+                    if kind != SHORTER:
+                        own.append((kind, salted[i % n]))
+                    if kind != LONGER:
+                        own += [(ASKING if kind == SAME else SHORTER, x) for x in salted]
                 at += [r] * len(own)
-                mask += [bits] * len(own)
+                mask += [letters(w)] * len(own)
                 role += [x for x, _ in own]
                 keys += [x for _, x in own]
             take = pa.array(at, pa.int64())
@@ -239,27 +281,27 @@ def _index(words: DataFrame, dictionary: dict[str, int], longest: int) -> DataFr
 
 def near_words(words: DataFrame, longest: int = LONGEST, threshold: int = THRESHOLD, max_grams: int = MAX_GRAMS, hot: int = HOT) -> DataFrame:
     """(a, a_word, a_n, b, b_word, b_n): the pairs of ``words`` (id, word, n) that differ by one edit; a pair may come repeatedly."""
-    index = materialize(_index(words, gram_dictionary(words, longest, threshold, max_grams), longest), "spelling-index")
-    many = index.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > hot)
-    index = index.join(many, "key", "left").withColumn("salts", F.ceil(F.coalesce(F.col("held") / hot, F.lit(1))).cast("int"))
-    held = index.withColumn("salt", F.pmod("id", F.col("salts")).cast("int"))
-    asking = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    index = materialize(_index(words, gram_dictionary(words, longest, threshold, max_grams), longest, hot), "spelling-index")
 
-    def side(df: DataFrame, role: int, name: str) -> DataFrame:
-        return df.where(F.col("role") == role).select("key", "salt", F.col("mask").alias(f"{name}_mask"), F.col("id").alias(name),
-                                                      F.col("word").alias(f"{name}_word"), F.col("n").alias(f"{name}_n"))
+    def side(roles: list[int], name: str) -> DataFrame:
+        return index.where(F.col("role").isin(roles)).select("key", F.col("mask").alias(f"{name}_mask"), F.col("id").alias(name),
+                                                             F.col("word").alias(f"{name}_word"), F.col("n").alias(f"{name}_n"))
 
     alike = (F.bit_count(F.col("a_mask").bitwiseXOR(F.col("b_mask"))) <= 2) & (F.levenshtein("a_word", "b_word", 1) == 1)
-    same = side(asking, SAME, "a").join(side(held, SAME, "b"), ["key", "salt"]).where((F.col("a") < F.col("b")) & alike)
-    other = side(asking, SHORTER, "a").join(side(held, LONGER, "b"), ["key", "salt"]).where(alike)
-    return same.unionByName(other).select("a", "a_word", "a_n", "b", "b_word", "b_n")
+    held = side([SAME], "b")
+    same = side([SAME], "a").join(held, "key").where((F.col("a") < F.col("b")) & alike)
+    # Under a salted key the words of one salt have met above; those of others meet here, each pair in both directions.
+    salted = side([ASKING], "a").join(held, "key").where((F.col("a") < F.col("b")) & alike)
+    other = side([SHORTER], "a").join(side([LONGER], "b"), "key").where(alike)
+    return same.unionByName(salted).unionByName(other).select("a", "a_word", "a_n", "b", "b_word", "b_n")
 
 
 def variants(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT, ratio: int = RATIO, **index) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of every word."""
     if min_length < SHORTEST:
         raise ValueError(f"words of fewer than {SHORTEST} code points have no gram")
-    words = materialize(word_counts(docs, min_length, min_count).withColumn("id", F.monotonically_increasing_id()), "spelling-words")
+    words = word_counts(docs, min_length, min_count).repartition(partitions(docs))
+    words = materialize(words.withColumn("id", F.monotonically_increasing_id()), "spelling-words")
     pairs = near_words(words, **index)
     ways = F.array(*[F.struct(F.col(x).alias("id"), F.col(y).alias("other"),
                               F.when(F.col(f"{y}_n") >= ratio * F.col(f"{x}_n"), F.struct((-F.col(f"{y}_n")).alias("less"), F.col(f"{y}_word").alias("form"))).alias("best"))

@@ -175,8 +175,10 @@ def thresholds(rows: DataFrame, labels: DataFrame, limit: float = LIMIT, delta:
     cells = cells.join(hits, F.col("stratum").eqNullSafe(F.col("s")) & (F.col("code") == F.col("c")), "left").na.fill(0, ["g", "p"])
     chain = Window.partitionBy("stratum", "r").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
     poor, good = F.sum("p").over(chain), F.sum("g").over(chain)
-    lift = (poor / (F.col("n_poor") + 1)) / ((good + 1) / (F.col("n_good") + 1))
-    steps = cells.withColumn("here", lift).withColumn("lift", F.min("here").over(chain)).where(F.col("lift") >= min_lift)
+    lift = F.when(poor + good > 0, (poor / (F.col("n_poor") + 1)) / ((good + 1) / (F.col("n_good") + 1)))
+    # Cutoffs too strict to reject any come with the first that does.
+    steps = cells.withColumn("here", lift).withColumn("lift", F.min("here").over(chain))
+    steps = steps.withColumn("lift", F.coalesce("lift", F.max("lift").over(Window.partitionBy("stratum", "r")))).where(F.col("lift") >= min_lift)
     steps = steps.withColumn("step", F.row_number().over(Window.partitionBy("stratum").orderBy(F.desc("lift"), "r", "j")))
     steps = materialize(steps.select("stratum", "step", "rule", "cutoff", "code", "lift"), "rules-steps")
 
@@ -252,7 +254,8 @@ cells AS (SELECT n.lang, r, j, 100 * r + j AS code, n_good, n_poor,
                  sum(coalesce(p, 0)) OVER ch AS poor, sum(coalesce(g, 0)) OVER ch AS ok
           FROM n CROSS JOIN (VALUES {_GRID}) grid(r, j, cutoff) LEFT JOIN hits ON hits.lang IS NOT DISTINCT FROM n.lang AND hits.c = 100 * r + j
           WINDOW ch AS (PARTITION BY n.lang, r ORDER BY j)),
-lifts AS (SELECT *, min((poor::DOUBLE / (n_poor + 1)) / ((ok + 1)::DOUBLE / (n_good + 1))) OVER (PARTITION BY lang, r ORDER BY j) AS lift FROM cells),
+mins AS (SELECT *, min(CASE WHEN poor + ok > 0 THEN (poor::DOUBLE / (n_poor + 1)) / ((ok + 1)::DOUBLE / (n_good + 1)) END) OVER (PARTITION BY lang, r ORDER BY j) AS low FROM cells),
+lifts AS (SELECT *, coalesce(low, max(low) OVER (PARTITION BY lang, r)) AS lift FROM mins),
 steps AS (SELECT lang, code, row_number() OVER (PARTITION BY lang ORDER BY lift DESC, r, j) AS step FROM lifts WHERE lift >= {MIN_LIFT}),
 other AS (SELECT row_number() OVER () AS d, lang, codes FROM known WHERE good AND NOT proposes),
 sizes AS (SELECT lang, count(*) AS n FROM other GROUP BY lang),

@@ -203,7 +203,7 @@ def daily_context(bars_1d: DataFrame) -> DataFrame:
                                "close", "volume"))
     t = t.select("exchange", "symbol", "interval", "bar_idx", F.col("macd_hist").alias("macd_hist_1d"),
                  F.col("adx_14").alias("adx_14_1d"))
-    return d.drop("_ret").join(t, ["exchange", "symbol", "interval", "bar_idx"], "left")
+    return series._join(d.drop("_ret"), t, ["exchange", "symbol", "interval", "bar_idx"], "left")
 
 
 def swing_context(bars: DataFrame, fast: int = 20, slow: int = 50, atr_n: int = 14, atr_sma_n: int = 20,

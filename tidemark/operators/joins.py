@@ -29,13 +29,13 @@ def join_universe(df: DataFrame, universe: DataFrame, keys: Sequence[str]) -> Da
 
 
 def first_bar_where(entries: DataFrame, bars: DataFrame, key: Sequence[str], idx_col: str, cond: Column,
-                    first_window: int = 64, payload: Sequence[str] = ()) -> DataFrame:
-    """For each entry (``key``, ``idx_col``) the first bar (``_bi`` in ``bars``) after it on which ``cond``
+                    first_window: int = 64, payload: Sequence[str] = (), also: Sequence[str] = ()) -> DataFrame:
+    """For each entry (``key``, ``idx_col`` and the columns ``also``, which tell entries of one bar apart) the first bar (``_bi`` in ``bars``) after it on which ``cond``
     holds: ``_hit`` and the ``payload`` columns of that bar; entries without one are absent.  No horizon:
     windows grow four-fold per round and only open entries go on.  The bars are
     materialized once."""
     from tidemark.session import cut_lineage
-    key = list(key)
+    key, who = list(key), [*key, idx_col, *also]
     bars = cut_lineage(bars)
     last = bars.groupBy(*key).agg(F.max("_bi").alias("_last"))
     left = cut_lineage(null_safe_join(entries, last, key))
@@ -43,11 +43,11 @@ def first_bar_where(entries: DataFrame, bars: DataFrame, key: Sequence[str], idx
     while True:
         hi = lo + width - 1
         pairs = within_rows(left, bars, key, idx_col, lo, hi, right_idx="_bi").where(cond)
-        hit = cut_lineage(pairs.groupBy(*key, idx_col).agg(F.min("_bi").alias("_hit"),
+        hit = cut_lineage(pairs.groupBy(*who).agg(F.min("_bi").alias("_hit"),
                                                            *[F.min_by(c, "_bi").alias(c) for c in payload]))
         found = hit if found is None else found.unionByName(hit)
-        done = hit.select(*[F.col(c).alias(f"_d_{c}") for c in [*key, idx_col]])
-        same = [F.col(c).eqNullSafe(F.col(f"_d_{c}")) for c in [*key, idx_col]]
+        done = hit.select(*[F.col(c).alias(f"_d_{c}") for c in who])
+        same = [F.col(c).eqNullSafe(F.col(f"_d_{c}")) for c in who]
         left = cut_lineage(left.join(done, same, "left_anti").where(F.col(idx_col) + hi < F.col("_last")))
         if left.limit(1).count() == 0:
             return found
@@ -143,7 +143,7 @@ def within_time_window(left: DataFrame, right: DataFrame, by: Sequence[str], lo_
     b1 = F.floor(F.col(hi_col) / F.lit(width_ms)).cast("long")
     lx = left.withColumn("_bk", F.explode(F.sequence(b0, b1)))
     rx = right.withColumn("_bk", F.floor(F.col(t_col) / F.lit(width_ms)).cast("long"))
-    return (lx.join(rx, [*by, "_bk"])
+    return (null_safe_join(lx, rx, [*by, "_bk"])
             .where((F.col(t_col) >= F.col(lo_col)) & (F.col(t_col) <= F.col(hi_col))).drop("_bk"))
 
 
@@ -179,7 +179,7 @@ def nth_previous(df: DataFrame, flag: str, value_cols: Sequence[str], n: int, ke
     key = list(key)
     flagged = df.where(F.col(flag)).select(*key, F.col(idx).alias("_fidx"), *value_cols)
     numbered = series.index_series(flagged, key=key, order=("_fidx",), idx="_fno", span_ms=block_rows)
-    marks = df.join(numbered.select(*key, F.col("_fidx").alias(idx), "_fno"), [*key, idx], "left")
+    marks = null_safe_join(df, numbered.select(*key, F.col("_fidx").alias(idx), "_fno"), [*key, idx], "left")
     marks = marks.withColumn("_self", F.col("_fno").isNotNull())
     blk = F.floor(F.col(idx) / F.lit(block_rows)).cast("long")
     marks = scan_carry(marks, ["_fno"], key, [idx], blk, forward=True)
@@ -189,7 +189,7 @@ def nth_previous(df: DataFrame, flag: str, value_cols: Sequence[str], n: int, ke
     marks = marks.withColumn("_want", seen - F.lit(n))
     tgt = numbered.select(*key, F.col("_fno").alias("_want"), F.col("_fidx").alias(f"{prefix}{n}_idx"),
                           *[F.col(c).alias(f"{prefix}{n}_{c}") for c in value_cols])
-    return marks.join(tgt, [*key, "_want"], "left").drop("_fno", "_fno_carried", "_self", "_want")
+    return null_safe_join(marks, tgt, [*key, "_want"], "left").drop("_fno", "_fno_carried", "_self", "_want")
 
 
 def hash_shuffle_column(df: DataFrame, col: str, seed: int, id_col: str, rows_per_salt: int = 100_000) -> DataFrame:

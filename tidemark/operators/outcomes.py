@@ -18,6 +18,7 @@ from tidemark.operators import indicators as I
 from tidemark.operators import joins as J
 from tidemark.operators import series
 from tidemark.operators import windows as W
+from tidemark.operators.touch import first_touch
 from tidemark.schemas import INTERVAL_MS, KEY
 
 DAY_MS = 86_400_000
@@ -390,7 +391,8 @@ def non_overlapping(trades: DataFrame, key: Sequence[str], start: str, end: str,
     t = series.index_series(t, key=key, order=("_s", *[o for o in order if o != start]), idx="bar_idx",
                             span_ms=span)
     kept = block_scan(t, M(), ["_s", "_e"], halo=256, key=key)
-    return t.join(kept.select(*key, "bar_idx"), [*key, "bar_idx"], "left_semi").drop("_s", "_e", "bar_idx")
+    kept = kept.select(*key, "bar_idx").withColumn("_kept", F.lit(True))
+    return J.null_safe_join(t, kept, [*key, "bar_idx"]).drop("_s", "_e", "bar_idx", "_kept")
 
 
 def performance_summary(trades: DataFrame, by: Sequence[str], r_col: str = "r_multiple",
@@ -427,47 +429,22 @@ def performance_summary(trades: DataFrame, by: Sequence[str], r_col: str = "r_mu
 
 # ------------------------------------------- first barrier hit (no horizon cap)
 
-def first_barrier_hit(entries: DataFrame, bars: DataFrame, id_col: str = "trade_id", start_offset: int = 1,
-                      first_window: int = 64, stop_first: bool = True) -> DataFrame:
+def first_barrier_hit(entries: DataFrame, bars: DataFrame, start_offset: int = 1, stop_first: bool = True) -> DataFrame:
     """For each entry (key, ``entry_idx``, ``side`` long/short, ``stop``, ``tp``):
     the first bar from ``entry_idx + start_offset`` on whose range touches the
-    stop or the target.  Same bar: stop first (``stop_first``).  No horizon
-    cap: windows grow each round (64, 256, 1024, ... bars) and only entries
-    still open go on, so the work per entry is about twice its distance to the
-    exit.  Adds ``exit_idx``, ``exit_kind`` (stop / tp / NULL = still open)
-    and ``exit_price``.  (Windows grow 4x per round: few rounds, at most
-    about 4x the bars an entry really needs.)
-    """
-    from tidemark.session import cut_lineage
-    bi = I.indexed(bars).select(*KEY, F.col("bar_idx").alias("_bi"), F.col("high").alias("_h"),
-                                F.col("low").alias("_l"))
-    bi = cut_lineage(bi)
-    last = bi.groupBy(*KEY).agg(F.max("_bi").alias("_last"))
-    rem = J.null_safe_join(entries.select(*KEY, id_col, "entry_idx", "side", "stop", "tp"), last, KEY)
-    hits = None
-    lo, width = start_offset, first_window
-    while True:
-        hi = lo + width - 1
-        pairs = J.within_rows(rem, bi, KEY, "entry_idx", lo, hi, right_idx="_bi")
-        lng = F.col("side") == "long"
-        sh = F.coalesce(F.when(lng, F.col("_l") <= F.col("stop")).otherwise(F.col("_h") >= F.col("stop")), F.lit(False))
-        th = F.coalesce(F.when(lng, F.col("_h") >= F.col("tp")).otherwise(F.col("_l") <= F.col("tp")), F.lit(False))
-        code = F.when(sh | th, F.col("_bi") * 4 + sh.cast("long") * 2 + th.cast("long"))
-        h = pairs.groupBy(id_col).agg(F.min(code).alias("_ev")).where(F.col("_ev").isNotNull())
-        h = cut_lineage(h)
-        hits = h if hits is None else hits.unionByName(h)
-        rem = rem.join(h.select(id_col), id_col, "left_anti").where(F.col("entry_idx") + hi < F.col("_last"))
-        rem = cut_lineage(rem)
-        if rem.limit(1).count() == 0:
-            break
-        lo, width = hi + 1, width * 4
-    sh_ev = F.pmod(F.col("_ev"), F.lit(4)) >= 2
-    th_ev = F.pmod(F.col("_ev"), F.lit(2)) == 1
-    kind = (F.when(sh_ev & th_ev, F.lit("stop" if stop_first else "tp")).when(sh_ev, "stop").when(th_ev, "tp"))
-    out = entries.join(hits, id_col, "left")
-    out = out.withColumns({"exit_idx": F.floor(F.col("_ev") / 4).cast("long"), "exit_kind": kind})
-    return out.withColumn("exit_price", F.when(F.col("exit_kind") == "stop", F.col("stop"))
-                          .when(F.col("exit_kind") == "tp", F.col("tp"))).drop("_ev")
+    stop or the target, however late (``touch.first_touch``: logarithmic work per entry).  Same bar: stop first (``stop_first``).
+    Adds ``exit_idx``, ``exit_kind`` (stop / tp / NULL = still open)
+    and ``exit_price``."""
+    lng = F.col("side") == "long"
+    bi = I.indexed(bars).select(*KEY, "bar_idx", "high", "low")
+    t = entries.withColumn("_from", F.col("entry_idx") + F.lit(start_offset))
+    t = first_touch(t, bi, KEY, "_from", F.when(lng, F.col("tp")).otherwise(F.col("stop")), F.when(lng, F.col("stop")).otherwise(F.col("tp")))
+    at_stop = F.coalesce(F.when(lng, F.col("_hit_low") <= F.col("stop")).otherwise(F.col("_hit_high") >= F.col("stop")), F.lit(False))
+    at_tp = F.coalesce(F.when(lng, F.col("_hit_high") >= F.col("tp")).otherwise(F.col("_hit_low") <= F.col("tp")), F.lit(False))
+    kind = F.when(at_stop & at_tp, F.lit("stop" if stop_first else "tp")).when(at_stop, "stop").when(at_tp, "tp")
+    t = t.withColumn("exit_kind", kind).withColumn("exit_idx", F.col("_hit"))
+    return t.withColumn("exit_price", F.when(F.col("exit_kind") == "stop", F.col("stop"))
+                        .when(F.col("exit_kind") == "tp", F.col("tp"))).drop("_from", "_hit", "_hit_high", "_hit_low")
 
 
 def signed_r(entry, exit_, stop, side) -> Column:
@@ -520,8 +497,7 @@ def range_trades(events: DataFrame, bars: DataFrame, method: str = "Breakout", d
         F.col("range_high") + hgt * stop_beyond_pct / 100.0)
     e = e.select(*KEY, F.col("bar_idx").alias("entry_idx"), "side", F.col("close").alias("entry"), stop.alias("stop"),
                  tp.alias("tp"), "range_type", "vol_degree", "imbalance", "range_start_idx",
-                 F.sha2(F.concat_ws("::", *[F.col(k) for k in KEY], F.col("bar_idx").cast("string"),
-                                    F.col("event")), 256).alias("trade_id"))
+                 _event_id("bar_idx", "event", "range_start_idx").alias("trade_id"))
     t = first_barrier_hit(e, bars)
     t = t.withColumn("r_multiple", signed_r(F.col("entry"), F.col("exit_price"), F.col("stop"), F.col("side")))
     if one_position:
@@ -543,26 +519,24 @@ def retest_entries(events: DataFrame, bars: DataFrame) -> DataFrame:
     edge (low <= top after an up breakout, high >= bottom after a down
     breakout), however late; entry at the edge."""
     br = events.where(F.col("event").startswith("breakout"))
-    b = I.indexed(bars).select(*KEY, F.col("bar_idx").alias("_bi"), F.col("high").alias("_h"), F.col("low").alias("_l"))
     up = F.col("event") == "breakout_up"
-    touch = F.when(up, F.col("_l") <= F.col("range_high")).otherwise(F.col("_h") >= F.col("range_low"))
-    first = J.first_bar_where(br, b, KEY, "bar_idx", touch).withColumnRenamed("_hit", "retest_idx")
-    return J.null_safe_join(br, first, [*KEY, "bar_idx"]).withColumn(
+    t = first_touch(br.withColumn("_from", F.col("bar_idx") + 1), I.indexed(bars).select(*KEY, "bar_idx", "high", "low"), KEY, "_from",
+                    F.when(~up, F.col("range_low")), F.when(up, F.col("range_high")))
+    return t.where("_hit IS NOT NULL").withColumnRenamed("_hit", "retest_idx").drop("_from", "_hit_high", "_hit_low").withColumn(
         "retest_price", F.when(up, F.col("range_high")).otherwise(F.col("range_low")))
 
 
-def gravitation_fade(events: DataFrame, bars: DataFrame) -> DataFrame:
-    """For Gravitation ranges, fade a move of one height beyond an edge
+def gravitation_fade(events: DataFrame, bars: DataFrame, heights: float = 1.0) -> DataFrame:
+    """For Gravitation ranges, fade a move of ``heights`` heights beyond an edge
     (first close beyond after activation, however late); target the middle
     of the range."""
     act = events.where((F.col("event") == "activated") & (F.col("range_type") == "Gravitation"))
-    b = I.indexed(bars).select(*KEY, F.col("bar_idx").alias("_bi"), F.col("close").alias("_c"))
-    hgt = F.col("range_high") - F.col("range_low")
-    beyond = (F.col("_c") > F.col("range_high") + hgt) | (F.col("_c") < F.col("range_low") - hgt)
-    f = J.first_bar_where(act, b, KEY, "bar_idx", beyond, payload=["_c"])
-    return J.null_safe_join(act, f, [*KEY, "bar_idx"]).select(
-        *KEY, "bar_idx", "range_high", "range_low", F.col("_hit").alias("entry_idx"),
-        F.col("_c").alias("entry"), F.when(F.col("_c") > F.col("range_high"), "short").otherwise("long").alias("side"),
+    hgt = (F.col("range_high") - F.col("range_low")) * heights
+    f = first_touch(act.withColumn("_from", F.col("bar_idx") + 1), I.indexed(bars).select(*KEY, "bar_idx", "close"), KEY, "_from",
+                    F.col("range_high") + hgt, F.col("range_low") - hgt, high="close", low="close", strict=True)
+    return f.where("_hit IS NOT NULL").select(
+        *KEY, "bar_idx", *[c for c in ("range_start_idx",) if c in f.columns], "range_high", "range_low", F.col("_hit").alias("entry_idx"),
+        F.col("_hit_high").alias("entry"), F.when(F.col("_hit_high") > F.col("range_high"), "short").otherwise("long").alias("side"),
         ((F.col("range_high") + F.col("range_low")) / 2).alias("tp"))
 
 
@@ -581,21 +555,21 @@ def retest_trades(events: DataFrame, bars: DataFrame, stop_beyond_pct: float = 5
     e = retest_entries(events, bars)
     lng = F.col("event") == "breakout_up"
     hgt = (F.col("range_high") - F.col("range_low")) * stop_beyond_pct / 100.0
-    return _with_outcome(e.select(*KEY, _event_id("bar_idx", "event").alias("trade_id"), F.col("retest_idx").alias("entry_idx"),
+    return _with_outcome(e.select(*KEY, _event_id("bar_idx", "event", "range_start_idx").alias("trade_id"), F.col("retest_idx").alias("entry_idx"),
                                   F.when(lng, "long").otherwise("short").alias("side"), F.col("retest_price").alias("entry"),
                                   F.when(lng, F.col("range_low") - hgt).otherwise(F.col("range_high") + hgt).alias("stop"),
                                   F.when(lng, F.col("tpsl1_high")).otherwise(F.col("tpsl1_low")).alias("tp")), bars)
 
 
-def fade_trades(events: DataFrame, bars: DataFrame) -> DataFrame:
+def fade_trades(events: DataFrame, bars: DataFrame, heights: float = 1.0) -> DataFrame:
     """Trades from ``gravitation_fade``: stop at TPSL1 of the side that was left (NULL, no stop, where the
     entry is already beyond it), target the middle of the range, resolved from the bar after the entry."""
-    levels = events.where(F.col("event") == "activated").select(*KEY, "bar_idx", "tpsl1_high", "tpsl1_low")
-    e = J.null_safe_join(gravitation_fade(events, bars), levels, [*KEY, "bar_idx"])
+    levels = events.where(F.col("event") == "activated").select(*KEY, "bar_idx", "range_start_idx", "tpsl1_high", "tpsl1_low")
+    e = J.null_safe_join(gravitation_fade(events, bars, heights), levels, [*KEY, "bar_idx", "range_start_idx"])
     short = F.col("side") == "short"
     stop = F.when(short & (F.col("tpsl1_high") > F.col("entry")), F.col("tpsl1_high")).when(
         ~short & (F.col("tpsl1_low") < F.col("entry")), F.col("tpsl1_low"))
-    return _with_outcome(e.select(*KEY, _event_id("bar_idx").alias("trade_id"), "entry_idx", "side", "entry", stop.alias("stop"), "tp"), bars)
+    return _with_outcome(e.select(*KEY, _event_id("bar_idx", "range_start_idx").alias("trade_id"), "entry_idx", "side", "entry", stop.alias("stop"), "tp"), bars)
 
 
 def staged_exits(trades: DataFrame, bars: DataFrame, parts: tuple[float, float, float] = (0.5, 0.3, 0.2)) -> DataFrame:

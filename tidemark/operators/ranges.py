@@ -28,6 +28,7 @@ from tidemark.operators import joins as J
 from tidemark.operators import series
 from tidemark.operators import windows as W
 from tidemark.operators.statemachine import Machine, block_scan
+from tidemark.operators.touch import first_touch
 from tidemark.schemas import KEY
 
 K = list(KEY)
@@ -135,7 +136,7 @@ def range_starts(flags: DataFrame, max_bars: int = 50, key: Sequence[str] = KEY)
         st = _chain(np.sort(pdf["bar_idx"].to_numpy()), blk * b + e, gap)
         return series.pandas_frame({**{k: [pdf[k].iloc[0]] * len(st) for k in key}, "start_idx": st}, start_schema)
 
-    return nar.join(entry, [*key, "_blk"]).groupBy(*key, "_blk").applyInPandas(starts, start_schema)
+    return J.null_safe_join(nar, entry, [*key, "_blk"]).groupBy(*key, "_blk").applyInPandas(starts, start_schema)
 
 
 def fixed_ranges(bars: DataFrame, max_bars: int = 50, min_history: int = 20, touch_atr: float = 0.1,
@@ -154,7 +155,7 @@ def fixed_ranges(bars: DataFrame, max_bars: int = 50, min_history: int = 20, tou
     """
     d = swing_points(narrow_bars(bars, narrow_rule), swing_len)
     n = d.groupBy(*K).agg(F.max("bar_idx").alias("_last"), F.count(F.lit(1)).alias("_n"))
-    st = range_starts(d, max_bars).join(n, K).where(
+    st = J.null_safe_join(range_starts(d, max_bars), n, K).where(
         (F.col("_n") >= min_history) & (F.col("start_idx") + max_bars <= F.col("_last"))).drop("_n", "_last")
     # Bars of each range: bounded index-bucket join from the (few) starts.
     inr = J.within_rows(st.withColumnRenamed("start_idx", "rid"), d, K, "rid", 0, max_bars)
@@ -422,6 +423,25 @@ def live_ranges(bars: DataFrame, machine: RangeTracker | None = None, halo: int
                            "tpsl2_low": t1l - 0.5 * hgt}).drop("_psh", "_psl")
 
 
+def range_breakouts(ranges: DataFrame, bars: DataFrame, break_frac: float = 0.005) -> DataFrame:
+    """L14 for ranges that are known (``fixed_ranges``): the first close after each range's end that is beyond an edge by
+    ``break_frac`` of its height, however late.  Rows are events like those of ``live_ranges`` (event, bar_idx, open_time, close), the
+    ranges' other columns stay; ranges that are never left have no row."""
+    d = I.indexed(bars).select(*K, "bar_idx", "open_time", "close")
+    beyond = (F.col("range_high") - F.col("range_low")) * break_frac
+    r = ranges.withColumnsRenamed({"type": "range_type", "start_idx": "range_start_idx"}).withColumn("_from", F.col("end_idx") + 1)
+    hit = first_touch(r, d, K, "_from", F.col("range_high") + beyond, F.col("range_low") - beyond, high="close", low="close", strict=True)
+    hit = hit.where("_hit IS NOT NULL").withColumnRenamed("_hit", "bar_idx").withColumnRenamed("_hit_high", "close").drop("_from", "_hit_low")
+    hit = hit.withColumn("event", F.when(F.col("close") > F.col("range_high"), "breakout_up").otherwise("breakout_down"))
+    return J.null_safe_join(hit, d.select(*K, "bar_idx", "open_time"), [*K, "bar_idx"])
+
+
+def range_activations(ranges: DataFrame) -> DataFrame:
+    """The ends of known ranges as ``activated`` events."""
+    r = ranges.withColumnsRenamed({"type": "range_type", "start_idx": "range_start_idx"})
+    return r.withColumns({"event": F.lit("activated"), "bar_idx": F.col("end_idx"), "open_time": F.col("end_time")})
+
+
 def breakout_cancellation(events: DataFrame, bars: DataFrame, directional_pct: float = 70.0,
                           gravitation_pct: float = 50.0, crossing: bool = True) -> DataFrame:
     """After a breakout, the first bar whose close returns into the range
@@ -442,8 +462,9 @@ def breakout_cancellation(events: DataFrame, bars: DataFrame, directional_pct: f
     back = F.when(grav, ret_grav * 100 > gravitation_pct).otherwise(ret_dir * 100 > directional_pct) & inside
     if crossing:
         back = back & F.when(up, F.col("_pc") > F.col("range_high")).otherwise(F.col("_pc") < F.col("range_low"))
-    hit = J.first_bar_where(br, b, K, "bar_idx", back)
-    return (J.null_safe_join(br, hit.select(*K, "bar_idx", F.col("_hit").alias("cancel_idx")), [*K, "bar_idx"], "left")
+    who = [*K, "bar_idx", *[c for c in ("range_start_idx",) if c in br.columns]]
+    hit = J.first_bar_where(br, b, K, "bar_idx", back, also=who[len(K) + 1:])
+    return (J.null_safe_join(br, hit.select(*who, F.col("_hit").alias("cancel_idx")), who, "left")
             .withColumn("cancelled", F.col("cancel_idx").isNotNull()))
 
 
@@ -494,7 +515,7 @@ def simple_imbalance(bars: DataFrame, min_bars: int = 5, lookback: int = 21, min
     seg = d.where(F.col("run_start").isNotNull())
     seg = series.segment_running(seg, "high", "run_start", "cons_high", "max")
     seg = series.segment_running(seg, "low", "run_start", "cons_low", "min")
-    d = d.join(seg.select(*K, "bar_idx", "cons_high", "cons_low"), [*K, "bar_idx"], "left")
+    d = J.null_safe_join(d, seg.select(*K, "bar_idx", "cons_high", "cons_low"), [*K, "bar_idx"], "left")
 
     def build(w):
         return {"_win": F.collect_list(F.struct(F.col("bar_idx").alias("i"), F.col("high").alias("h"),

@@ -59,7 +59,7 @@ def swing_setups(bars: DataFrame, use_vol_filter: bool = True, direction: str =
     zl = series.segment_running(d.where(F.col("_seg_l").isNotNull()), "low", "_seg_l", "_pb_low", "min")
     zs = series.segment_running(d.where(F.col("_seg_s").isNotNull()), "high", "_seg_s", "_pb_high", "max")
     keys = ["exchange", "symbol", "interval", "bar_idx"]
-    d = d.join(zl.select(*keys, "_pb_low"), keys, "left").join(zs.select(*keys, "_pb_high"), keys, "left")
+    d = series._join(series._join(d, zl.select(*keys, "_pb_low"), keys, "left"), zs.select(*keys, "_pb_high"), keys, "left")
     vol_ok = F.lit(True) if not use_vol_filter else ~F.coalesce(F.col("low_volatility"), F.lit(False))
     long_ok = direction in ("Long Only", "Both")
     short_ok = direction in ("Short Only", "Both")

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import series
+from tidemark.operators.joins import null_safe_join
 from tidemark.schemas import KEY
 from tidemark.session import cut_lineage
 
@@ -114,24 +115,28 @@ def block_scan(df: DataFrame, machine: Machine, in_cols: Sequence[str], halo: in
     out = x.groupBy(*key, "_blk").applyInPandas(_runner(machine, key, in_cols, schema, halo, b), schema)
     out = cut_lineage(out)
 
-    for _ in range(1 << 30):  # rounds; ends when every block is verified
-        bad = _unverified(out, key)
+    left = None
+    while True:  # rounds; each makes at least one block of every open key exact
+        bad = cut_lineage(_unverified(out, key))
         first_bad = bad.groupBy(*key).agg(F.min("_blk").alias("_blk"))
-        if first_bad.limit(1).count() == 0:
+        open_ = bad.count()
+        if not open_:
             break
+        if left is not None and open_ >= left:
+            raise RuntimeError(f"{open_} blocks stay unverified")
+        left = open_
         # exact rerun of the first unverified block of each key from its predecessor's end state
         ends = out.where(F.col("_kind") == "end").select(*key, (F.col("_blk") + 1).alias("_blk"),
                                                          F.col("_sig").alias("_init"))
-        rerun_in = (base.withColumn("_blk", F.floor(F.col("bar_idx") / F.lit(b)).cast("long"))
-                    .withColumn("_core", F.lit(True))
-                    .join(first_bad, [*key, "_blk"]).join(ends, [*key, "_blk"]))
+        mine = base.withColumn("_blk", F.floor(F.col("bar_idx") / F.lit(b)).cast("long")).withColumn("_core", F.lit(True))
+        rerun_in = null_safe_join(null_safe_join(mine, first_bad, [*key, "_blk"]), ends, [*key, "_blk"])
         redo = rerun_in.groupBy(*key, "_blk").applyInPandas(_runner(machine, key, in_cols + [], schema, halo, b),
                                                            schema)
         # keep the old speculative halo signatures of the rerun block (they are its link to the
         # predecessor, now irrelevant) and replace everything else it produced
-        keep = out.join(first_bad, [*key, "_blk"], "left_anti")
-        spec_old = out.join(first_bad, [*key, "_blk"], "left_semi").where(F.col("_kind") == "spec")
-        out = cut_lineage(keep.unionByName(redo).unionByName(spec_old))
+        marked = null_safe_join(out, first_bad.withColumn("_redo", F.lit(True)), [*key, "_blk"], "left")
+        keep = marked.where("_redo IS NULL OR _kind = 'spec'").drop("_redo")
+        out = cut_lineage(keep.unionByName(redo))
         # the rerun block is exact: mark it by giving it a self-verifying spec row
         out = out.unionByName(_verified_marks(first_bad, schema, key))
     ev = out.where(F.col("_kind") == "event")
@@ -157,10 +162,9 @@ def _unverified(out: DataFrame, key: list[str]) -> DataFrame:
     blocks = out.select(*key, "_blk").distinct()
     spec = out.where(F.col("_kind") == "spec").select(*key, "_blk", "bar_idx", "_sig")
     own = out.where(F.col("_kind") == "own").select(*key, (F.col("_blk") + 1).alias("_blk"), "bar_idx", "_sig")
-    synced = spec.join(own, [*key, "_blk", "bar_idx", "_sig"]).select(*key, "_blk").distinct() \
-        .withColumn("_ok", F.lit(1))
+    synced = null_safe_join(spec, own, [*key, "_blk", "bar_idx", "_sig"]).select(*key, "_blk").distinct().withColumn("_ok", F.lit(1))
     exact = out.where(F.col("_kind") == "exact").select(*key, "_blk").distinct().withColumn("_ex", F.lit(1))
-    st = blocks.join(synced, [*key, "_blk"], "left").join(exact, [*key, "_blk"], "left")
+    st = null_safe_join(null_safe_join(blocks, synced, [*key, "_blk"], "left"), exact, [*key, "_blk"], "left")
     ok = F.when((F.col("_blk") == 0) | (F.col("_ex") == 1) | (F.col("_ok") == 1), 1).otherwise(0)
     w = Window.partitionBy(*key).orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)
     # a verified block after an exact rerun counts from that rerun on: correct = all ok up to here

@@ -24,6 +24,7 @@ from tidemark.functions import timeutil as TU
 from tidemark.operators import indicators as I
 from tidemark.operators import joins as J
 from tidemark.operators import outcomes as B
+from tidemark.operators.joins import null_safe_join
 from tidemark.schemas import KEY
 
 CORE = ["atr_entry", "atrp", "trend_up", "trend_strength", "ret_1", "ret_vol", "range", "body_to_range", "upper_wick",
@@ -59,7 +60,7 @@ def build_dataset(bars: DataFrame, bars_1d: DataFrame, cfg: MLConfig) -> DataFra
     """One row per labelled entry with core, technical and daily features."""
     feat = I.ml_window_features(bars)
     tech = I.tech_features(feat.select(*KEY, "bar_idx", "open_time", "open", "high", "low", "close", "volume"))
-    feat = feat.join(tech.select(*KEY, "bar_idx", *TECH), [*KEY, "bar_idx"])
+    feat = null_safe_join(feat, tech.select(*KEY, "bar_idx", *TECH), [*KEY, "bar_idx"])
     lab = B.barrier_labels(feat, cfg.tp_atr, cfg.sl_atr, cfg.w_bars, cfg.policy, "atr", cfg.run_id)
     d1 = I.daily_context(bars_1d).select(
         "exchange", "symbol", (F.col("close_time") + 1).alias("entry_open_time"),
@@ -180,5 +181,5 @@ def ml_filter(trades: DataFrame, preds: DataFrame, threshold: float = 0.55) -> D
     keep trades with p_win >= threshold."""
     run = latest_run(preds)
     p = preds.join(run, "run_id").select(*KEY, F.col("entry_dt_utc").alias("entry_time_utc"), "p_win")
-    t = trades.join(p, [*KEY, "entry_time_utc"], "left").withColumn("p_win", F.coalesce("p_win", F.lit(0.0)))
+    t = null_safe_join(trades, p, [*KEY, "entry_time_utc"], "left").withColumn("p_win", F.coalesce("p_win", F.lit(0.0)))
     return t.where(F.col("p_win") >= threshold)

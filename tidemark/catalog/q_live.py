@@ -11,7 +11,8 @@ from tidemark.catalog.q_outcomes import _grid as _grid_trades
 from tidemark.operators import outcomes as B
 from tidemark.operators import ranges as L
 from tidemark.operators import signals as G
-from tidemark.catalog.q_outcomes import PERF_COLS, perf_sql, rnd
+from tidemark.catalog import sqlsrc
+from tidemark.catalog.q_outcomes import PERF_COLS, _b7_raw_sql, perf_sql, rnd
 from tidemark.sources import adapters as A
 
 QUERIES, SQL = {}, {}
@@ -111,7 +112,21 @@ def _grid(spark, sf):
 
 
 def b24_monte_carlo(spark, sf):
-    return B.monte_carlo_drawdown(_grid(spark, sf), ["exchange", "symbol", "interval", "atr_mult_stop"], runs=1000)
+    return rnd(B.monte_carlo_drawdown(_grid(spark, sf), ["exchange", "symbol", "interval", "atr_mult_stop"], runs=1000),
+               ["mean_max_dd", "p50_max_dd", "p95_max_dd", "worst_max_dd"])
+
+
+_MC = "exchange, symbol, interval, atr_mult_stop"
+_B28 = lambda x: f"('0x' || substr(md5({x}), 1, 7))::BIGINT"
+SQL["b24_monte_carlo"] = f"""WITH t AS (SELECT {_MC}, coalesce(r_multiple, 0) AS r, sha256(concat_ws('::', exchange, symbol, interval, CAST(entry_time_utc AS VARCHAR),
+         CAST(max_hold_bars AS VARCHAR), CAST(atr_mult_stop AS VARCHAR))) AS id FROM ({_b7_raw_sql()})),
+p AS (SELECT run, {_B28("'a:7:' || run")} + 1 AS a, {_B28("'b:7:' || run")} AS b, {_B28("'c:7:' || run")} AS c FROM range(1000) x(run)),
+o AS (SELECT {_MC}, run, r, id, (h * a + (h * h % 2147483647) * c + b) % 2147483647 AS k FROM (SELECT *, {_B28('id')} AS h FROM t), p),
+e AS (SELECT {_MC}, run, k, id, sum(r) OVER (PARTITION BY {_MC}, run ORDER BY k, id ROWS UNBOUNDED PRECEDING) AS eq FROM o),
+d AS (SELECT {_MC}, run, eq - greatest(0, max(eq) OVER (PARTITION BY {_MC}, run ORDER BY k, id ROWS UNBOUNDED PRECEDING)) AS dd FROM e),
+m AS (SELECT {_MC}, run, min(dd) AS max_dd FROM d GROUP BY ALL)
+SELECT {_MC}, count(*) AS runs, {sqlsrc.rnd('avg(max_dd)')} AS mean_max_dd, {sqlsrc.rnd('quantile_cont(max_dd, 0.5)')} AS p50_max_dd,
+  {sqlsrc.rnd('quantile_cont(max_dd, 0.05)')} AS p95_max_dd, {sqlsrc.rnd('min(max_dd)')} AS worst_max_dd FROM m GROUP BY ALL"""
 
 
 def b25_walk_forward(spark, sf):
@@ -133,7 +148,6 @@ for _n, _f in list(globals().items()):
 
 
 def _l16_sql():
-    from tidemark.catalog import sqlsrc
     from tidemark.catalog.q_misc import _resample_sql
     return f"""WITH h AS ({_resample_sql('4h')}),
 hi AS (SELECT *, row_number() OVER (PARTITION BY exchange, symbol ORDER BY open_time) - 1 AS bar_idx FROM h),

@@ -7,11 +7,15 @@ functions) or bucketed window joins — never with per-key loops.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.timeutil import ms_to_utc, utc_to_local
 from tidemark.operators import indicators as I
@@ -608,22 +612,71 @@ def sharpe(monthly: DataFrame, by: Sequence[str]) -> DataFrame:
                                     (F.try_divide(F.avg("net_r"), F.stddev_samp("net_r")) * F.lit(12 ** 0.5)).alias("sharpe"))
 
 
+# Orders of reshuffled runs: a polynomial of a trade's hash modulo a prime, its coefficients from the run.
+_PRIME = 2_147_483_647
+
+
+def _bits28(text: Column) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long")
+
+
+def _run_coefficients(seed: int, run: int) -> tuple[int, int, int]:
+    return tuple(int(hashlib.md5(f"{c}:{seed}:{run}".encode()).hexdigest()[:7], 16) + (c == "a") for c in "abc")
+
+
+def run_summaries(r: np.ndarray, h: np.ndarray, runs: Sequence[int], seed: int) -> list[np.ndarray]:
+    """For each run, of the trades (ordered by id) in the run's order: net sum, highest and lowest equity on the way, worst fall from a peak.
+
+    Such summaries of two stretches compose to that of both, one after the other (``_compose``)."""
+    out = np.empty((4, len(runs)))
+    squares = h * h % _PRIME
+    for i, run in enumerate(runs):
+        a, b, c = _run_coefficients(seed, run)
+        equity = np.cumsum(r[np.argsort((h * a + squares * c + b) % _PRIME, kind="stable")])
+        peak = np.maximum(np.maximum.accumulate(equity), 0.0)
+        out[:, i] = equity[-1], peak[-1], equity.min(), (equity - peak).min()
+    return list(out)
+
+
+def _compose(a: Column, b: Column) -> Column:
+    """The summary of stretch ``b`` after stretch ``a``."""
+    return F.struct((a["total"] + b["total"]).alias("total"), F.greatest(a["top"], a["total"] + b["top"]).alias("top"),
+                    F.least(a["low"], a["total"] + b["low"]).alias("low"),
+                    F.least(a["fall"], b["fall"], b["low"] + a["total"] - a["top"]).alias("fall"))
+
+
 def monte_carlo_drawdown(trades: DataFrame, by: Sequence[str], runs: int = 1000, seed: int = 7,
-                         r_col: str = "r_multiple", id_col: str = "trade_id") -> DataFrame:
-    """Max drawdown (in R) of ``runs`` reshuffles of each trade list;
-    order within a run by ``xxhash64(seed, run, id)``; distribution summary
-    (mean, p50, p95, worst)."""
+                         r_col: str = "r_multiple", id_col: str = "trade_id", block: int = 50_000, deal_runs: int = 50) -> DataFrame:
+    """Max drawdown (in R) of ``runs`` reshuffles of each trade list, summed up
+    (mean, p50, p95, worst).
+
+    A list of up to ``block`` trades is read once: its task goes through all runs, ordering by a hash of run and id.  A longer list is dealt into blocks by a
+    hash, anew for every ``deal_runs`` runs; a run reads the blocks in an order of its own, and the blocks' summaries are composed
+    in that order.  So a trade is copied once per ``deal_runs`` runs and no task holds more than a block."""
     by = list(by)
-    t = trades.select(*by, id_col, F.coalesce(F.col(r_col), F.lit(0.0)).alias("_r"))
-    t = t.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
-    t = t.withColumn("_h", F.xxhash64(F.lit(seed), F.col("run"), F.col(id_col)))
-    kr = [*by, "run"]
-    # position in the reshuffled list, equity and running peak as blocked scans
-    t = series.index_series(t, key=kr, order=("_h", id_col), idx="_k", span_ms=1 << 56)
-    t = series.running_sum(t, "_r", "_eq", key=kr, idx="_k")
-    t = series.segment_running(t.withColumn("_one", F.lit(1)), "_eq", "_one", "_pk", "max", key=kr, idx="_k")
-    t = t.withColumn("_dd", F.col("_eq") - F.greatest(F.lit(0.0), F.col("_pk")))
-    per_run = t.groupBy(*by, "run").agg(F.min("_dd").alias("max_dd"))
+    t = series.pinned(trades.select(*by, F.col(id_col).cast("string").alias("_id"), F.coalesce(F.col(r_col), F.lit(0.0)).cast("double").alias("_r")))
+    sizes = t.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("_blocks"))
+    deals = F.when(F.col("_blocks") > 1, F.lit(-(-runs // deal_runs))).otherwise(F.lit(1))
+    t = J.null_safe_join(t, sizes, by).withColumn("_deal", F.explode(F.sequence(F.lit(0), deals - 1)))
+    t = t.withColumn("_block", F.when(F.col("_blocks") > 1, F.pmod(_bits28(F.concat_ws(":", F.lit(f"deal:{seed}"), "_deal", "_id")), F.col("_blocks"))).otherwise(F.lit(0)))
+    t = t.withColumn("_h", _bits28(F.col("_id")))
+    types = {f.name: f.dataType for f in t.schema.fields}
+    schema = T.StructType([T.StructField(k, types[k]) for k in by] + [T.StructField("_block", T.LongType()), T.StructField("run", T.LongType())]
+                          + [T.StructField(c, T.DoubleType()) for c in ("total", "top", "low", "fall")])
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_id", kind="stable")
+        deal, whole = int(pdf["_deal"].iloc[0]), int(pdf["_blocks"].iloc[0]) == 1
+        mine = range(runs) if whole else range(deal * deal_runs, min(runs, (deal + 1) * deal_runs))
+        sums = run_summaries(pdf["_r"].to_numpy(float), pdf["_h"].to_numpy(np.int64), mine, seed)
+        return series.pandas_frame({**{k: [pdf[k].iloc[0]] * len(mine) for k in by}, "_block": [int(pdf["_block"].iloc[0])] * len(mine), "run": list(mine),
+                                    **dict(zip(("total", "top", "low", "fall"), map(list, sums)))}, schema)
+
+    parts = t.select(*by, "_deal", "_block", "_blocks", "_id", "_h", "_r").groupBy(*by, "_deal", "_block").applyInPandas(one, schema)
+    order = F.md5(F.concat_ws(":", F.lit(f"order:{seed}"), "run", "_block"))
+    listed = F.array_sort(F.collect_list(F.struct(order.alias("o"), "total", "top", "low", "fall")))
+    zero = F.struct(*[F.lit(0.0).alias(c) for c in ("total", "top", "low", "fall")])
+    per_run = parts.groupBy(*by, "run").agg(listed.alias("_l")).withColumn("max_dd", F.aggregate("_l", zero, _compose)["fall"])
     return per_run.groupBy(*by).agg(F.count(F.lit(1)).alias("runs"), F.avg("max_dd").alias("mean_max_dd"),
                                     F.percentile("max_dd", 0.5).alias("p50_max_dd"),
                                     F.percentile("max_dd", 0.05).alias("p95_max_dd"),

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import same_rows
@@ -68,23 +69,24 @@ def test_transducer_is_minimal_and_keeps_counts():
         for r in rows:
             want[tuple(names[i] for i in r if i >= 0)] += 1
         rows, counts = op.sorted_counts(rows, np.ones(400, np.int64))
-        t = op.Transducer.build(names, rows, counts)
+        t = op.Transducer.build(pa.array(names, pa.binary()), rows, counts)
         parts.append(op.Transducer.unpack(*(np.array(x) if i else x for i, x in enumerate(t.pack()))))
         for d in range(5):  # no two states of a depth are equal
             at = np.r_[0, np.cumsum(t.degree[d])]
             states = [(t.final[d][i], *((t.label[d][j], t.target[d][j]) for j in range(at[i], at[i + 1]))) for i in range(len(t.final[d]))] if d < 4 else t.final[d].tolist()
             assert len(set(states)) == len(states)
     whole = op.Transducer.union(parts)
+    names = whole.symbols.to_pylist()
     rows, counts = whole.sequences()
-    assert {tuple(whole.symbols[i] for i in r if i >= 0): c for r, c in zip(rows, counts)} == want
+    assert {tuple(names[i] for i in r if i >= 0): c for r, c in zip(rows, counts)} == want
     prefix = Counter()
     for s, c in want.items():
         for k in range(1, len(s) + 1):
             prefix[s[:k]] += c
-    assert {tuple(whole.symbols[i] for i in p): c for _, ps, cs in whole.prefixes() for p, c in zip(ps, cs)} == prefix
+    assert {tuple(names[i] for i in p): c for _, ps, cs in whole.prefixes() for p, c in zip(ps, cs)} == prefix
     along = whole.compose(rows)
     for r, a in zip(rows, along):
-        s = [whole.symbols[i] for i in r if i >= 0]
+        s = [names[i] for i in r if i >= 0]
         assert a.tolist() == [want[tuple(s[:k + 1])] if k < len(s) else 0 for k in range(4)]
 
 

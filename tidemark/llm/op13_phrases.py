@@ -27,6 +27,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,24 +39,19 @@ MAX_WORDS = 4
 TOP = 2000
 #: A candidate goes if a longer one that holds it has at least this share (in percent) of its count.
 INSIDE_PERCENT = 80
-CHUNK = 1_000_000
+CHUNK = 2_000_000
 #: Bits of the table of frequent pairs: 8 MB in a task, whatever their number.
 TABLE_BITS = 26
 #: Documents read for the range borders, and the most borders' candidates that reach the driver.
 SAMPLE_DOCS = 2_000
 SAMPLE_KEYS = 100_000
 _BREAK = b"\xff"  # no byte of UTF-8
-_MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _BREAK * 10)
+_MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", _BREAK * 10 + b" ")
 
 
 def tokens(text: str | None) -> list[bytes]:
-    """The words of a text in order, with breaks between its pieces."""
-    return (text or "").encode("utf-8", "ignore").lower().translate(_MARKS).replace(_BREAK, b" \xff ").split(b" ")
-
-
-def _words(text: str | None) -> list[bytes]:
-    """As ``tokens``; blanks and tabs separate, other white space is part of a word."""
-    return [w for x in tokens(text) if x for w in (x.split(b"\t") if b"\t" in x else (x,)) if w]
+    """The words of a text in order, with breaks between its pieces.  No white space but the blank is left to split at."""
+    return (text or "").encode("utf-8", "ignore").lower().translate(_MARKS).replace(_BREAK, b" \xff ").split()
 
 
 # ---------------------------------------------------------------- automata
@@ -92,7 +88,7 @@ class Transducer:
         self.symbols, self.final, self.degree, self.label, self.target = symbols, final, degree, label, target
 
     @classmethod
-    def build(cls, symbols: list[bytes], rows: np.ndarray, counts: np.ndarray) -> Transducer:
+    def build(cls, symbols: pa.BinaryArray, rows: np.ndarray, counts: np.ndarray) -> Transducer:
         """From distinct sorted sequences of ranks, -1 after their end."""
         depth = rows.shape[1]
         node, begins = [np.zeros(len(rows), np.int64)], [np.zeros(min(1, len(rows)), np.int64)]
@@ -142,13 +138,13 @@ class Transducer:
     @staticmethod
     def union(parts: Sequence[Transducer]) -> Transducer:
         """The automaton of all sequences of ``parts``, counts summed."""
-        symbols = sorted({s for t in parts for s in t.symbols})
-        rank = {s: i for i, s in enumerate(symbols)}
-        rows, counts = [], []
+        symbols, codes = _ranked(pa.concat_arrays([t.symbols for t in parts]))
+        rows, counts, at = [], [], 0
         for t in parts:
             r, c = t.sequences()
-            rows.append(np.r_[np.fromiter(map(rank.__getitem__, t.symbols), np.int64, len(t.symbols)), -1][r])
+            rows.append(np.r_[codes[at:at + len(t.symbols)], -1][r])
             counts.append(c)
+            at += len(t.symbols)
         return Transducer.build(symbols, *sorted_counts(np.concatenate(rows), np.concatenate(counts)))
 
     def prefixes(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -188,7 +184,7 @@ class Transducer:
         used = np.unique(np.concatenate(self.label))
         small = np.full(len(self.symbols) + 1, -1, np.int64)
         small[used] = np.arange(len(used))
-        return [[self.symbols[i] for i in used], [len(f) for f in self.final], np.concatenate(self.final), np.concatenate(self.degree),
+        return [self.symbols.take(pa.array(used)), [len(f) for f in self.final], np.concatenate(self.final), np.concatenate(self.degree),
                 small[np.concatenate(self.label)], np.concatenate(self.target)]
 
     @classmethod
@@ -199,6 +195,15 @@ class Transducer:
         return cls(symbols, np.split(final, cut), degrees, np.split(label.astype(np.int64), arcs), np.split(target.astype(np.int64), arcs))
 
 
+def _ranked(symbols: pa.BinaryArray) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The distinct symbols in byte order, and the rank of each given one."""
+    coded = symbols.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return coded.dictionary.take(pa.array(order)), rank[coded.indices.to_numpy()]
+
+
 def _arcs(degree: np.ndarray, states: np.ndarray) -> np.ndarray:
     """Places of the arcs of ``states``, in their order."""
     start, many = (np.cumsum(degree) - degree)[states], degree[states]
@@ -249,16 +254,15 @@ def pair_slots(lang: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple
     return h >> np.uint64(64 - TABLE_BITS), (h >> np.uint64(64 - 2 * TABLE_BITS)) & np.uint64((1 << TABLE_BITS) - 1)
 
 
-def chunk_windows(held: list[tuple[str, np.ndarray]], ids: dict, n_words: int, frequent: np.ndarray | None) -> tuple[list[bytes], np.ndarray]:
+def chunk_windows(held: list[tuple[str, np.ndarray]], ids: dict, n_words: int, frequent: np.ndarray | None) -> tuple[pa.BinaryArray, np.ndarray]:
     """(symbols in byte order, windows of ranks) of a chunk: one window (language, word, ...) per word; with a table of
     frequent pairs only windows of three words or more whose pairs are all in it, cut where one is not."""
-    names = list(ids)
-    langs = sorted({lang.encode() for lang, _ in held})
-    symbols = sorted({*names, *langs} - {_BREAK})
-    rank = {s: i for i, s in enumerate(symbols)}
-    to_rank = np.array([rank.get(w, -1) for w in names], np.int64)
-    flow = to_rank[np.concatenate([a for _, a in held])]
-    lang = np.repeat([rank[x.encode()] for x, _ in held], [len(a) for _, a in held])
+    langs = {lang: i for i, lang in enumerate(dict.fromkeys(lang for lang, _ in held))}
+    symbols, rank = _ranked(pa.array([*ids, *(x.encode() for x in langs)], pa.binary()))
+    if _BREAK in ids:
+        rank[ids[_BREAK]] = -1
+    flow = rank[np.concatenate([a for _, a in held])]
+    lang = np.repeat([rank[len(ids) + langs[x]] for x, _ in held], [len(a) for _, a in held])
     cols = [lang, flow]
     for k in range(1, n_words):
         nxt = np.r_[flow[k:], np.full(min(k, len(flow)), -1)][:len(flow)]
@@ -266,7 +270,7 @@ def chunk_windows(held: list[tuple[str, np.ndarray]], ids: dict, n_words: int, f
     rows = np.stack(cols, axis=1)
     rows = rows[rows[:, 1] >= 0]
     if frequent is not None and len(rows):
-        h = np.fromiter(map(word_hash, symbols), np.uint64, len(symbols))
+        h = np.fromiter(map(word_hash, symbols.to_pylist()), np.uint64, len(symbols))
         known = np.zeros(len(rows), bool)
         for k in range(1, n_words):
             pair = rows[:, k + 1] >= 0
@@ -279,12 +283,12 @@ def chunk_windows(held: list[tuple[str, np.ndarray]], ids: dict, n_words: int, f
     return symbols, rows
 
 
-def cut_ranges(symbols: list[bytes], rows: np.ndarray, borders: list[tuple[bytes, ...]]) -> list[int]:
+def cut_ranges(symbols: pa.BinaryArray, rows: np.ndarray, borders: list[tuple[bytes, ...]]) -> list[int]:
     """First row of each prefix range among sorted rows, and their number at the end."""
     if not borders:
         return [0, len(rows)]
     width = len(borders[0])
-    word = lambda i: tuple(symbols[x] if x >= 0 else b"" for x in rows[i, :width])
+    word = lambda i: tuple(symbols[x].as_py() if x >= 0 else b"" for x in rows[i, :width].tolist())
     return [0, *(bisect_left(range(len(rows)), b, key=word) for b in borders), len(rows)]
 
 
@@ -314,7 +318,7 @@ def _scan(docs: DataFrame, n_words: int, borders, frequent, chunk: int) -> DataF
 
         for b in batches:
             for lang, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ws = _words(t.as_py())
+                ws = tokens(t.as_py())
                 if not ws:
                     continue
                 ws.append(_BREAK)
@@ -347,8 +351,10 @@ def _united(parts: DataFrame, ranges: int, min_count: int, shortest: int, collap
             t = Transducer.union(held)
             for length, paths, f in t.prefixes():
                 take = np.ones(len(f), bool) if length == 1 else (f >= min_count) & (length - 1 > shortest)
-                name = [t.symbols[i].decode() for i in paths[take, 0]]
-                gram = [b" ".join([t.symbols[i] for i in p]).decode() for p in paths[take, 1:].tolist()]
+                used, at = np.unique(paths[take], return_inverse=True)
+                names = t.symbols.take(pa.array(used)).cast(pa.string()).to_pylist()
+                words = [[names[i] for i in p] for p in at.reshape(-1, length).tolist()]
+                name, gram = [w[0] for w in words], [" ".join(w[1:]) for w in words]
                 yield pa.RecordBatch.from_arrays([pa.array(name, pa.string()), pa.array(gram, pa.string()),
                                                   pa.array(np.full(len(name), length - 1, np.int32)), pa.array(f[take])], ["lang", "gram", "words", "f"])
 
@@ -360,7 +366,7 @@ def _united(parts: DataFrame, ranges: int, min_count: int, shortest: int, collap
                     held, size = [], 0
                 now = r
                 symbols, *arrays = (b.column(j)[i].values for j in range(1, 7))
-                held.append(Transducer.unpack(symbols.to_pylist(), *(a.to_numpy() for a in arrays)))
+                held.append(Transducer.unpack(symbols, *(a.to_numpy() for a in arrays)))
                 size += len(arrays[3])
                 if size >= collapse:
                     held = [Transducer.union(held)]
@@ -397,7 +403,7 @@ def sampled_prefixes(docs: DataFrame) -> list[tuple[bytes, bytes, bytes]]:
         for b in batches:
             out = []
             for lang, t in zip(b.column(0).to_pylist(), b.column(1)):
-                ws = [w for w in _words(t.as_py()) if w != _BREAK]
+                ws = [w for w in tokens(t.as_py()) if w != _BREAK]
                 step = max(1, len(ws) * SAMPLE_DOCS // SAMPLE_KEYS // 10)
                 out += [(lang.encode(), x, y) for x, y in zip(ws[::step], ws[1::step])]
             out = out[::max(1, len(out) // 50 // max(1, b.num_rows))]
@@ -463,11 +469,10 @@ def part_counts(grams: DataFrame, ranges: int | None = None) -> DataFrame:
         def out() -> Iterator[pa.RecordBatch]:
             back = bool(now % 2)
             seqs = [seq(lang, gram, back) for _, lang, gram, _ in held]
-            symbols = sorted({s for x in seqs for s in x})
-            rank = {s: i for i, s in enumerate(symbols)}
-            rows = np.full((len(seqs), max(map(len, seqs))), -1, np.int64)
-            for i, x in enumerate(seqs):
-                rows[i, :len(x)] = [rank[s] for s in x]
+            lengths = np.array([len(x) for x in seqs])
+            symbols, codes = _ranked(pa.array([s for x in seqs for s in x], pa.binary()))
+            rows = np.full((len(seqs), lengths.max()), -1, np.int64)
+            rows[np.arange(rows.shape[1]) < lengths[:, None]] = codes
             counts = np.array([f for *_, f in held], np.int64)
             along = Transducer.build(symbols, *sorted_counts(rows, counts)).compose(rows)
             own = [i for i, (mine, *_) in enumerate(held) if mine and len(seqs[i]) > 2]

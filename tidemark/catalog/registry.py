@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_quality", "q_indicators", "q_outcomes", "q_ranges", "q_misc", "q_ml", "q_live", "q_touch", "q_stream", "q_io"]
+MODULES = ["q_quality", "q_indicators", "q_outcomes", "q_ranges", "q_misc", "q_ml", "q_live", "q_touch", "q_more", "q_stream", "q_io"]
 
 
 def load():

@@ -77,6 +77,40 @@ def snapshot_rows(snaps: DataFrame, json_col: str = "snapshot_json", schema=SNAP
     return d.where(F.col("_r").isNotNull()).select(*[ren.get(c, c) for c in keep], "_r.*")
 
 
+def variant_array(doc: Column) -> Column:
+    """N2 on VARIANT: the row array of a parsed document, by the rules of ``snapshot_array``; a VARIANT object has no document order, so
+    where no wrapper key holds an array the first one by key name is taken."""
+    kind = lambda v: F.schema_of_variant(v)
+    array_of = lambda v: F.when(F.startswith(kind(v), F.lit("ARRAY")), v)
+    fields = lambda v: F.try_variant_get(F.when(F.startswith(kind(v), F.lit("OBJECT")), v), "$", "map<string,variant>")
+    wrapped = lambda m, value: F.get(F.filter(F.transform(F.array(*[F.lit(k) for k in WRAPPER_KEYS]), lambda k: value(F.try_element_at(m, k))),
+                                              lambda x: x.isNotNull()), 0)
+    named = lambda m, value: F.get(F.filter(F.transform(F.map_values(m), value), lambda x: x.isNotNull()), 0)
+
+    def choose(m: Column) -> Column:
+        return F.coalesce(wrapped(m, lambda v: F.coalesce(array_of(v), wrapped(fields(v), array_of))), named(m, array_of),
+                          named(m, lambda v: named(fields(v), array_of)))
+
+    return F.coalesce(array_of(doc), F.get(F.transform(F.array(fields(doc)), choose), 0))
+
+
+def snapshot_rows_variant(snaps: DataFrame, json_col: str = "snapshot_json", schema: T.StructType = SNAPSHOT_ROW,
+                          keep: Sequence[str] = ("id", "exchange", "ts")) -> DataFrame:
+    """N1-N3 on VARIANT: each document is parsed once (bad JSON gives no rows); a field that does not fit its type is NULL."""
+    ren = {"id": "snapshot_id", "exchange": "snapshot_exchange", "ts": "snapshot_ts"}
+    doc = snaps.select(*[F.col(c).alias(ren.get(c, c)) for c in keep], F.try_parse_json(json_col).alias("_v"))
+    row = doc.select(*[ren.get(c, c) for c in keep], F.explode(F.try_variant_get(variant_array(F.col("_v")), "$", "array<variant>")).alias("_r"))
+    row = row.where(F.startswith(F.schema_of_variant("_r"), F.lit("OBJECT")))
+    return row.select(*[ren.get(c, c) for c in keep], *[F.try_variant_get("_r", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields])
+
+
+def variant_keys(df: DataFrame, json_col: str) -> DataFrame:
+    """A17 on VARIANT: distinct top-level keys of the JSON objects of a column, with the number of documents and of values that are not null."""
+    docs = df.select(F.try_parse_json(json_col).alias("_v")).where(F.startswith(F.schema_of_variant("_v"), F.lit("OBJECT")))
+    each = docs.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    return each.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if(~F.is_variant_null("value")).alias("n_values"))
+
+
 def latest_snapshot(snaps: DataFrame, per_exchange: bool = True, latest: bool = True) -> DataFrame:
     """The newest (or oldest) snapshot, optionally per exchange (a hash
     aggregate over (ts, id); the JSON payload is carried by a key join)."""

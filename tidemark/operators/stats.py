@@ -99,6 +99,40 @@ def quantiles(x: Column | str, probs: Sequence[float], exact: bool = True, accur
     return [F.percentile_approx(x, p, accuracy).alias(f"q{round(p * 100)}") for p in probs]
 
 
+def quantile_sketches(df: DataFrame, by: Sequence[str], col: str, k: int = 400) -> DataFrame:
+    """A mergeable KLL sketch of ``col`` per group (e.g. key and day), with its count: a few KB whatever the group's size.  NULL and
+    NaN are left out, and so are groups without a value."""
+    x = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+    return (df.where(x.isNotNull()).groupBy(*by)
+            .agg(F.kll_sketch_agg_double(x, k).alias("sketch"), F.count(F.lit(1)).alias("n")))
+
+
+def merged_quantiles(sketches: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(``by``, n, q, value): quantiles of coarser groups from stored sketches, without the rows."""
+    by = list(by)
+    m = sketches.groupBy(*by).agg(F.kll_merge_agg_double("sketch").alias("_s"), F.sum("n").alias("n"))
+    q = F.explode(F.array(*[F.struct(F.lit(float(p)).alias("q"), F.kll_sketch_get_quantile_double("_s", F.lit(float(p))).alias("value")) for p in probs]))
+    return m.select(*by, "n", q.alias("_q")).select(*by, "n", "_q.*")
+
+
+def rank_errors(df: DataFrame, by: Sequence[str], col: str, answers: DataFrame) -> DataFrame:
+    """``answers`` (``by``, n, q, value) with ``rank_error``: how far q is outside the share of rows below and up to the value.
+    One pass of conditional sums per group, for a handful of answers."""
+    by = list(by)
+    got = answers.groupBy(*by).agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("q", "value"))).alias("_a"))
+    size = answers.select("q").distinct().count()
+    x = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+    d = join_null_safe(df.select(*by, x.alias("_x")).where("_x IS NOT NULL"), got, by)
+    value = lambda i: F.get("_a", F.lit(i))["value"]
+    d = d.groupBy(*by).agg(*[f(F.when(c, 1).otherwise(0)).alias(f"_{name}{i}") for i in range(size) for f, name, c in
+                             ((F.sum, "lt", F.col("_x") < value(i)), (F.sum, "le", F.col("_x") <= value(i)))])
+    d = join_null_safe(d, got, by)
+    rows = F.explode(F.array(*[F.struct(F.get("_a", F.lit(i))["q"].alias("q"), value(i).alias("value"), (F.col(f"_lt{i}") / F.col("n")).alias("lo"),
+                                        (F.col(f"_le{i}") / F.col("n")).alias("hi")) for i in range(size)]))
+    d = d.select(*by, "n", rows.alias("_r")).select(*by, "n", "_r.*")
+    return d.withColumn("rank_error", F.greatest(F.col("lo") - F.col("q"), F.col("q") - F.col("hi"), F.lit(0.0))).drop("lo", "hi")
+
+
 def weekday_hour_counts(df: DataFrame, ts_local: str) -> DataFrame:
     """Counts by local weekday (Mon..Sun) and hour."""
     return (df.groupBy(F.date_format(ts_local, "E").alias("dow"), F.hour(ts_local).alias("hour"))

@@ -171,6 +171,28 @@ def score(model: PipelineModel, dataset: DataFrame, cfg: MLConfig) -> DataFrame:
                     (F.col("p_win") >= cfg.threshold).cast("int").alias("take_trade"))
 
 
+def log_run(spark: SparkSession, path: str, run_id: str, metrics: DataFrame, finished: int) -> bool:
+    """Append the one-row ``metrics`` of a run to the run log at ``path``, a folder per run.  A run is committed once, by its id:
+    logging it again changes nothing and returns False.  ``finished`` (epoch ms) orders the runs."""
+    part = f"{path}/run_id={run_id}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{part}/_SUCCESS")
+    done = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    if not done:  # an attempt that was lost left no marker and is replaced
+        metrics.drop("run_id").withColumn("finished_ms", F.lit(finished).cast("long")).coalesce(1).write.mode("overwrite").parquet(part)
+    return not done
+
+
+def run_log(spark: SparkSession, path: str) -> DataFrame:
+    """The logged runs (run_id as text)."""
+    return spark.read.option("mergeSchema", True).parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
+
+
+def latest_logged_run(log: DataFrame) -> DataFrame:
+    """M9: the run that finished last (ties: the greatest id)."""
+    best = log.agg(F.max(F.struct("finished_ms", "run_id")).alias("_b")).select(F.col("_b.run_id").alias("run_id"))
+    return log.join(best, "run_id")
+
+
 def latest_run(preds: DataFrame) -> DataFrame:
     """M9: the run id with the newest entry time (one row)."""
     return preds.agg(F.max_by("run_id", "entry_dt_utc").alias("run_id"))

@@ -122,6 +122,53 @@ def s17_json_roundtrip(spark, sf):
 SQL["s17_json_roundtrip"] = f"""SELECT signal, count(*) AS n, make_timestamp(min(ts) * 1000) AS first_ts,
   {rs('sum(price)', 2)} AS sum_price FROM ({sqlsrc.alerts()}) GROUP BY signal"""
 
+
+
+def s7_split_csv(spark, sf):
+    """Plans with fields over several lines, quotes and backslashes in one file, read back by many tasks (splits of 8 KB)."""
+    prep(spark)
+    p = A.trade_plans(spark, sf).select("id", "side", "entry_price", F.concat(
+        F.col("symbol"), F.lit('\n"'), F.col("side"), F.lit('"\t\\\n\n'), F.repeat(F.lit('x,"\n'), F.pmod("id", F.lit(5)).cast("int")), F.lit("end")).alias("note"))
+    path = scratch(spark, "csv-split")
+    IO.export_csv(p.coalesce(1), path, header=True, sep="\t")
+    name = "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, "8192")
+    try:
+        return cut_lineage(IO.load_csv_split(spark, path, p.schema, header=True))
+    finally:
+        spark.conf.set(name, usual)
+
+
+SQL["s7_split_csv"] = f"""SELECT id, side, entry_price,
+  symbol || chr(10) || '"' || side || '"' || chr(9) || chr(92) || chr(10) || chr(10) || repeat('x,"' || chr(10), (id % 5)::INT) || 'end' AS note FROM ({sqlsrc.trade_plans()})"""
+
+
+def s11_upsert_touched(spark, sf):
+    """Orders by year, upserted: those of the last year of the table repriced, one in seven of the year before moved there.  Per year the
+    rows, and whether all its files are the ones from before."""
+    prep(spark)
+    db = f"tm_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch(spark, 'warehouse')}'")
+    o = A.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("o_year"))
+    t = f"{db}.orders_by_year"
+    IO.save_result(o, t, mode="overwrite", partition_by=["o_year"])
+    files = lambda name: cut_lineage(spark.table(t).groupBy("o_year").agg(F.array_sort(F.collect_set(F.col("_metadata.file_name"))).alias(name)))
+    was = files("was")
+    last = o.agg(F.max("o_year")).first()[0]
+    src = o.where((F.col("o_year") == last) | ((F.col("o_year") == last - 1) & (F.col("o_orderkey") % 7 == 0)))
+    IO.upsert(spark, t, src.withColumns({"o_totalprice": F.col("o_totalprice") + 1, "o_year": F.lit(last)}), ["o_orderkey"])
+    now = spark.table(t).groupBy("o_year").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    same = files("now").join(was, "o_year", "left").select("o_year", F.coalesce(F.col("now") == F.col("was"), F.lit(False)).alias("files_kept"))
+    return now.join(same, "o_year")
+
+
+SQL["s11_upsert_touched"] = f"""WITH o AS (SELECT o_orderkey, o_totalprice, year(o_orderdate) AS y, max(year(o_orderdate)) OVER () AS last FROM orders),
+m AS (SELECT *, y = last OR (y = last - 1 AND o_orderkey % 7 = 0) AS hit FROM o)
+SELECT CASE WHEN hit THEN last ELSE y END AS o_year, count(*) AS n, {rs('sum(CASE WHEN hit THEN o_totalprice + 1 ELSE o_totalprice END)', 2)} AS total,
+  bool_and(y < last - 1) AS files_kept FROM m GROUP BY 1"""
+
+
 for _n, _f in list(globals().items()):
     if callable(_f) and _n[:1] == "s" and _n[1:2].isdigit():
         QUERIES[_n] = _f

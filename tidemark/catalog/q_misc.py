@@ -191,6 +191,14 @@ def p8_optional_columns(spark, sf):
     return C.optional_columns(r, SNAPSHOT_ROW)
 
 
+def _p8_sql():
+    from tidemark.schemas import SNAPSHOT_ROW
+    return "SELECT symbol, last_price, " + ", ".join(f"NULL AS {f.name}" for f in SNAPSHOT_ROW.fields if f.name not in ("symbol", "last_price")) + f" FROM ({sqlsrc.snapshot_rows()})"
+
+
+SQL["p8_optional_columns"] = _p8_sql()
+
+
 def p9_safe_ratio(spark, sf):
     b = bars_all(spark, sf)
     return rnd(b.select(*K, "open_time", C.safe_ratio(F.col("close") - F.col("open"), F.col("high") - F.col("low"))
@@ -216,7 +224,13 @@ SQL["s1_read_table"] = "SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS q
 
 def s2_table_columns(spark, sf):
     prep(spark)
-    return IO.table_columns(A.trade_plans(spark, sf), primary_key=["id"])
+    return IO.column_fill(A.table(spark, sf, "orders"), primary_key=["o_orderkey"])
+
+
+_ORDERS = [("o_orderkey", "bigint", 1), ("o_custkey", "bigint", 0), ("o_orderstatus", "string", 0), ("o_totalprice", "double", 0),
+           ("o_orderdate", "timestamp_ntz", 0), ("o_orderpriority", "string", 0)]
+SQL["s2_table_columns"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS name, '{t}' AS type, FALSE AS not_null, {k} AS pk, count(*) AS n_rows, count({c}) AS n_values FROM orders" for c, t, k in _ORDERS)
 
 
 def s11_upsert_merge(spark, sf):
@@ -250,6 +264,17 @@ def s14_preview_ingest(spark, sf):
     return IO.preview_ingest({t: A.table(spark, sf, t) for t in ("orders", "lineitem", "events")})
 
 
+def _ddl(table, cols):
+    return (f"SELECT '{table}' AS \"table\", 'CREATE TABLE IF NOT EXISTS bronze.{table} ({cols}) USING parquet' AS ddl, count(*) AS n FROM {table}")
+
+
+SQL["s14_preview_ingest"] = " UNION ALL ".join([
+    _ddl("events", "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"),
+    _ddl("lineitem", "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+                     "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"),
+    _ddl("orders", "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")])
+
+
 def s15_latest_rows(spark, sf):
     prep(spark)
     o = A.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")

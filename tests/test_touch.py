@@ -112,3 +112,30 @@ def test_windows_and_ranges_under_null_keys(spark, tiny_blocks):
         got = out.collect()
         halves = [sorted(map(str, (r[1:] for r in got if r[0] == k))) for k in (None, "a")]
         assert halves[0] == halves[1] and halves[0]
+
+
+def test_hot_buckets_are_split(spark):
+    left = spark.createDataFrame([(k, n, t, t + 40) for k in (None, "a") for n, t in enumerate(range(0, 400, 30))], "k string, n long, lo long, hi long")
+    right = spark.createDataFrame([(k, t % 400, t) for k in (None, "a", "b") for t in range(900)], "k string, t long, v long")
+    plain = sorted(map(repr, J.within_time_window(left, right, ["k"], "lo", "hi", "t", 40).collect()))
+    rows = sorted(map(repr, J.within_rows(left, right, ["k"], "n", 0, 15, right_idx="t").collect()))
+    spark.conf.set(J.HEAVY_ROWS_CONF, "7")
+    try:
+        assert sorted(map(repr, J.within_time_window(left, right, ["k"], "lo", "hi", "t", 40).collect())) == plain and plain
+        assert sorted(map(repr, J.within_rows(left, right, ["k"], "n", 0, 15, right_idx="t").collect())) == rows and rows
+    finally:
+        spark.conf.unset(J.HEAVY_ROWS_CONF)
+
+
+def test_dense_series_are_cut(spark, tiny_blocks):
+    from tidemark.operators import series
+
+    ticks = spark.createDataFrame([("a", 1_000 * (i // 40), i) for i in range(4000)] + [(None, 10 ** 9 * i, i) for i in range(300)], "k string, t long, v long")
+    d = series.density_blocks(ticks, ["k"], "t", 1_000)
+    sizes = {(r.k, r._cb): r["count"] for r in d.groupBy("k", "_cb").count().collect()}
+    assert max(sizes.values()) <= 64 + 40 and len(sizes) > 50
+    left = spark.createDataFrame([(k, t, i) for k in ("a", None) for i, t in enumerate(range(-500, 120_000, 777))], "k string, t long, n long")
+    got = {(r.k, r.n): (r.r_t, r.r_v) for r in J.asof_backward(left, ticks.select("k", "t", "v"), "t", ["k"], ["v"], grain=1_000).collect()}
+    for r in left.collect():
+        own = [(t, v) for k, t, v in [("a", 1_000 * (i // 40), i) for i in range(4000)] + [(None, 10 ** 9 * i, i) for i in range(300)] if k == r.k and t <= r.t]
+        assert got[r.k, r.n] == (max(own) if own else (None, None))

@@ -83,7 +83,7 @@ def scan_carry(df: DataFrame, cols: Sequence[str], key: Sequence[str], order: Se
 
 
 def _asof(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], right_cols: Sequence[str],
-          forward: bool, tolerance: int | None, block_ms: int, prefix: str, right_on: str | None) -> DataFrame:
+          forward: bool, tolerance: int | None, grain: int, prefix: str, right_on: str | None) -> DataFrame:
     by = list(by)
     lcols = [c for c in left.columns]
     ron = right_on or on
@@ -100,9 +100,9 @@ def _asof(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], right_c
         if c not in by:
             R = R.withColumn(c, F.lit(None).cast(left.schema[c].dataType))
     u = L.unionByName(R.select(*L.columns))
-    blk = F.floor(F.col("_ut") / F.lit(block_ms)).cast("long")
+    u = series.density_blocks(series.pinned(u), by, "_ut", grain, "_db")
     # right rows of one time are ordered by their payload, so the match is determined
-    u = scan_carry(u, ["_p"], by, ["_ut", "_side", "_p"], blk, forward=not forward)
+    u = scan_carry(u, ["_p"], by, ["_ut", "_side", "_p"], F.col("_db"), forward=not forward)
     out = u.where(F.col("_side") == l_side)
     m = F.col("_p_carried")
     if tolerance is not None:
@@ -114,19 +114,38 @@ def _asof(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], right_c
 
 
 def asof_backward(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], right_cols: Sequence[str],
-                  tolerance: int | None = None, block_ms: int = 7 * 86_400_000, prefix: str = "r_",
+                  tolerance: int | None = None, grain: int = 3_600_000, prefix: str = "r_",
                   right_on: str | None = None) -> DataFrame:
     """For each left row, the latest right row with ``right.on <= left.on``
     in the same ``by`` group, optionally within ``tolerance``.  Left rows
-    without a match are kept with NULLs (true left as-of join)."""
-    return _asof(left, right, on, by, right_cols, False, tolerance, block_ms, prefix, right_on)
+    without a match are kept with NULLs (true left as-of join).  The scan runs over blocks of about
+    ``series.block_rows`` rows, counted per ``grain`` of time, whatever the density."""
+    return _asof(left, right, on, by, right_cols, False, tolerance, grain, prefix, right_on)
 
 
 def asof_forward(left: DataFrame, right: DataFrame, on: str, by: Sequence[str], right_cols: Sequence[str],
-                 tolerance: int | None = None, block_ms: int = 7 * 86_400_000, prefix: str = "r_",
+                 tolerance: int | None = None, grain: int = 3_600_000, prefix: str = "r_",
                  right_on: str | None = None) -> DataFrame:
     """For each left row, the earliest right row with ``right.on >= left.on``."""
-    return _asof(left, right, on, by, right_cols, True, tolerance, block_ms, prefix, right_on)
+    return _asof(left, right, on, by, right_cols, True, tolerance, grain, prefix, right_on)
+
+
+HEAVY_ROWS_CONF = "tidemark.joins.heavyRows"
+
+
+def _bucket_join(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Join on ``by`` and the bucket ``_bk``.  The right rows of a bucket that holds more than ``heavyRows`` (200,000) of them are dealt over
+    salts and its left rows are repeated for each, so that no task holds a hot bucket whole."""
+    heavy, on = int(left.sparkSession.conf.get(HEAVY_ROWS_CONF, None) or 200_000), [*by, "_bk"]
+    hot = right.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / F.lit(heavy)).cast("int").alias("_salts")).where("_salts > 1")
+    hot = series.pinned(hot)
+    if hot.isEmpty():
+        return null_safe_join(left, right, on)
+    salts = F.coalesce("_salts", F.lit(1))
+    a = null_safe_join(left, hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in right.columns])
+    b = null_safe_join(right, hot, on, "left").withColumn("_salt", F.pmod(row, salts).cast("int")).drop("_salts")
+    return null_safe_join(a, b, [*on, "_salt"]).drop("_salt")
 
 
 def within_time_window(left: DataFrame, right: DataFrame, by: Sequence[str], lo_col: str, hi_col: str,
@@ -143,7 +162,7 @@ def within_time_window(left: DataFrame, right: DataFrame, by: Sequence[str], lo_
     b1 = F.floor(F.col(hi_col) / F.lit(width_ms)).cast("long")
     lx = left.withColumn("_bk", F.explode(F.sequence(b0, b1)))
     rx = right.withColumn("_bk", F.floor(F.col(t_col) / F.lit(width_ms)).cast("long"))
-    return (null_safe_join(lx, rx, [*by, "_bk"])
+    return (_bucket_join(lx, rx, by)
             .where((F.col(t_col) >= F.col(lo_col)) & (F.col(t_col) <= F.col(hi_col))).drop("_bk"))
 
 
@@ -155,7 +174,7 @@ def within_rows(left: DataFrame, right: DataFrame, by: Sequence[str], idx_col: s
     b0 = F.floor((F.col(idx_col) + F.lit(lo)) / F.lit(width)).cast("long")
     lx = left.withColumn("_bk", F.explode(F.array(b0, b0 + 1)))
     rx = right.withColumn("_bk", F.floor(F.col(right_idx) / F.lit(width)).cast("long"))
-    return (null_safe_join(lx, rx, [*list(by), "_bk"])
+    return (_bucket_join(lx, rx, list(by))
             .where(F.col(right_idx).between(F.col(idx_col) + lo, F.col(idx_col) + hi)).drop("_bk"))
 
 

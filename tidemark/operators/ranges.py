@@ -411,7 +411,7 @@ def live_ranges(bars: DataFrame, machine: RangeTracker | None = None, halo: int
     ev = ev.withColumn("_t", F.col("range_start_idx") - 1)
     for flag, col, alias in (("swing_high", "high", "_psh"), ("swing_low", "low", "_psl")):
         piv = sw.where(F.col(flag)).select(*K, F.col("bar_idx").alias("_t"), F.col(col).alias(alias))
-        ev = J.asof_backward(ev, piv, on="_t", by=K, right_cols=[alias], block_ms=1 << 20, prefix="p")
+        ev = J.asof_backward(ev, piv, on="_t", by=K, right_cols=[alias], grain=1 << 20, prefix="p")
         ev = ev.withColumnRenamed(f"p{alias}", alias).drop("p_t")
     ev = ev.drop("_t")
     hgt = F.col("range_high") - F.col("range_low")

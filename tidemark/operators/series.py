@@ -151,6 +151,17 @@ def block_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schem
     return d.groupBy(*key, "_blk").applyInPandas(run, schema)
 
 
+def density_blocks(df: DataFrame, key: Sequence[str], t: str, grain: int, out: str = "_cb") -> DataFrame:
+    """Add ``out``: a block number per key that grows with ``t``, cut so that a block holds about ``block_rows`` rows at any
+    density.  Rows are counted per key and ``grain`` of ``t``; a running sum over these counts gives the blocks (a single grain is never cut)."""
+    key = list(key)
+    g = F.floor(F.col(t) / F.lit(grain)).cast("long")
+    counts = df.groupBy(*key, g.alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*key).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*key, "_g", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(block_rows(df))).cast("long").alias(out))
+    return _join(df.withColumn("_g", g), counts, [*key, "_g"]).drop("_g")
+
+
 # ---------------------------------------------------------------- EWM scan
 
 def _local_ewm(x: np.ndarray, alpha: float):

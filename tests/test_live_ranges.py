@@ -130,3 +130,38 @@ def test_staged_exits(spark):
     assert got["a"] == ("stop", None, None, -1.0)
     assert got["b"] == ("tp", "stop", None, 0.5)
     assert got["c"][:3] == ("tp", "tp", "stop") and abs(got["c"][3] - (0.5 + 0.3 * 2 + 0.2)) < 1e-9
+
+
+def expected_held(rows):
+    """The chart's bar-by-bar rules: a candidate all the time, one held range."""
+    out, held, run = [], None, []
+    spans = [r[6] - r[7] for r in rows]
+    for i, r in enumerate(rows):
+        high, low, close, volume = r[6], r[7], r[8], r[9]
+        run = run + [(i, high, low, volume)] if i >= 19 and spans[i] < 1.5 * sum(spans[i - 19:i + 1]) / 20 else []
+        if held is None and 8 <= len(run) <= 100:
+            vol = {1: [], -1: []}
+            for k in range(1, len(run)):
+                top, bottom = max(x[1] for x in run[:k + 1]), min(x[2] for x in run[:k + 1])
+                if run[k][1] >= top - (top - bottom) * 0.1:
+                    vol[1].append(run[k][3])
+                if run[k][2] <= bottom + (top - bottom) * 0.1:
+                    vol[-1].append(run[k][3])
+            per = [sum(v) / len(v) if v else 0.0 for v in vol.values()]
+            if max(per) > 0:
+                pressure = (per[0] - per[1]) / max(per) * 100
+                held = [run[0][0], i, max(x[1] for x in run), min(x[2] for x in run), "Resistance" if pressure > 10 else "Support" if pressure < -10 else "Gravitation"]
+        if held is not None:
+            _, _, top, bottom, kind = held
+            back = kind == "Resistance" and low < top - (top - bottom) * 0.7 or kind == "Support" and high > bottom + (top - bottom) * 0.7
+            if close > top or close < bottom or back:
+                out.append((*held, i, "breakout_up" if close > top else "breakout_down" if close < bottom else "cancelled"))
+                held = None
+    return out + ([(*held, None, None)] if held else [])
+
+
+def test_held_ranges_by_the_bar(spark, bars, tiny_blocks):
+    rows = [tuple(r) for r in bars.orderBy("open_time").collect()]
+    got = L.held_ranges(bars).select("range_start_idx", "confirm_idx", "range_high", "range_low", "range_type", "end_idx", "end_kind")
+    want = expected_held(rows)
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) >= 4

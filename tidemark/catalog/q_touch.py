@@ -107,6 +107,37 @@ SELECT type AS range_type, event, count(*) AS n, {_RIGHT} AS n_correct FROM ev G
 UNION ALL SELECT 'all', 'all', count(*), {_RIGHT} FROM ev WHERE type IN ('Resistance', 'Support')"""
 
 
+# ------------------------------------------------------------------ held ranges
+
+def l5_held_ranges(spark, sf):
+    return rnd(L.held_ranges(bars_all(spark, sf)), ["imbalance"])
+
+
+SQL["l5_held_ranges"] = BASE + f""",
+n AS (SELECT {KS}, bar_idx, high, low, close, volume, coalesce(high - low < 1.5 * CASE WHEN count(high) OVER w20 >= 20 THEN avg(high - low) OVER w20 END, FALSE) AS nar
+      FROM i WINDOW w20 AS (PARTITION BY {KS} ORDER BY bar_idx ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)),
+s AS (SELECT *, CASE WHEN nar AND NOT coalesce(lag(nar) OVER (PARTITION BY {KS} ORDER BY bar_idx), FALSE) THEN bar_idx END AS s0 FROM n),
+r AS (SELECT *, max(s0) OVER (PARTITION BY {KS} ORDER BY bar_idx ROWS UNBOUNDED PRECEDING) AS rs FROM s),
+e AS (SELECT *, max(high) OVER run AS top, min(low) OVER run AS bot FROM r WHERE nar WINDOW run AS (PARTITION BY {KS}, rs ORDER BY bar_idx ROWS UNBOUNDED PRECEDING)),
+h AS (SELECT *, bar_idx > rs AND high >= top - (top - bot) * 0.1::DOUBLE AS ht, bar_idx > rs AND low <= bot + (top - bot) * 0.1::DOUBLE AS lt FROM e),
+v AS (SELECT *, sum(ht::INT) OVER run AS nt, sum(CASE WHEN ht THEN volume ELSE 0 END) OVER run AS vt, sum(lt::INT) OVER run AS nb, sum(CASE WHEN lt THEN volume ELSE 0 END) OVER run AS vb
+      FROM h WINDOW run AS (PARTITION BY {KS}, rs ORDER BY bar_idx ROWS UNBOUNDED PRECEDING)),
+p AS (SELECT *, CASE WHEN nt > 0 THEN vt / nt ELSE 0 END AS pt, CASE WHEN nb > 0 THEN vb / nb ELSE 0 END AS pb FROM v),
+c AS (SELECT {KS}, rs, bar_idx AS ci, top, bot, nt, nb, (pt - pb) / greatest(pt, pb) AS imb,
+        CASE WHEN (pt - pb) / greatest(pt, pb) * 100 > 10 THEN 'Resistance' WHEN (pt - pb) / greatest(pt, pb) * 100 < -10 THEN 'Support' ELSE 'Gravitation' END AS type
+      FROM p WHERE bar_idx - rs + 1 BETWEEN 8 AND 100 AND greatest(pt, pb) > 0),
+f AS (SELECT {', '.join('c.' + k for k in K)}, ci, min(x.bar_idx) AS ei FROM c JOIN i x ON {SAME('x', 'c')} AND x.bar_idx >= ci AND CASE type
+        WHEN 'Resistance' THEN x.close > top OR x.low < top - (top - bot) * 0.7::DOUBLE WHEN 'Support' THEN x.high > bot + (top - bot) * 0.7::DOUBLE OR x.close < bot
+        ELSE x.close > top OR x.close < bot END GROUP BY ALL),
+o AS (SELECT c.*, ei, coalesce(ei, 4611686018427387904) AS xe, CASE WHEN ei IS NULL THEN NULL WHEN x.close > top THEN 'breakout_up' WHEN x.close < bot THEN 'breakout_down' ELSE 'cancelled' END AS kind
+      FROM c LEFT JOIN f USING ({KS}, ci) LEFT JOIN i x ON {SAME('x', 'c')} AND x.bar_idx = ei),
+held(exchange, symbol, interval, ci, xe) AS (
+  SELECT {KS}, ci, xe FROM (SELECT *, row_number() OVER (PARTITION BY {KS} ORDER BY ci) AS rn FROM o) WHERE rn = 1
+  UNION ALL SELECT q.exchange, q.symbol, q.interval, q.ci, q.xe FROM held, LATERAL (SELECT o.* FROM o WHERE {SAME('o', 'held')} AND o.ci > held.xe ORDER BY o.ci LIMIT 1) q)
+SELECT {KS}, rs AS range_start_idx, ci AS confirm_idx, top AS range_high, bot AS range_low, type AS range_type, {rs('imb')} AS imbalance, nt::BIGINT AS touches_high,
+  nb::BIGINT AS touches_low, ei AS end_idx, kind AS end_kind FROM o JOIN held USING ({KS}, ci)"""
+
+
 # ------------------------------------------------------------------ trades
 
 TRADE = ["trade_id", "entry_idx", "side", "entry", "stop", "tp", "exit_idx", "exit_kind", "exit_price", "r_multiple"]

@@ -423,6 +423,50 @@ def live_ranges(bars: DataFrame, machine: RangeTracker | None = None, halo: int
                            "tpsl2_low": t1l - 0.5 * hgt}).drop("_psh", "_psl")
 
 
+def held_ranges(bars: DataFrame, min_bars: int = 8, max_bars: int = 100, touch: float = 0.1, min_imb_pct: float = 10.0,
+                back_pct: float = 70.0) -> DataFrame:
+    """L5, the variant that builds a candidate all the time and holds one range until it ends.
+
+    The candidate is the current run of narrow bars (``range_sma``): its running edges and, from its second bar on, the volume per touch of either
+    (within ``touch`` x the height so far).  A bar of a run of ``min_bars`` to ``max_bars`` bars that has a touch and volume could confirm a range.  A range
+    ends on the first bar, its own included, that closes beyond an edge or, for a Resistance or Support range, comes back more than
+    ``back_pct`` % into it (the low from the top, the high from the bottom).  While a range is held nothing is confirmed, so the held ranges are the greedy
+    choice among all possible ones, in order: every part is a scan whose blocks compose, and no machine runs bar by bar.
+
+    (key, range_start_idx, confirm_idx, range_high, range_low, range_type, imbalance, touches_high, touches_low, end_idx, end_kind): ``end_kind`` is
+    breakout_up, breakout_down or cancelled, NULL while the range is held."""
+    from tidemark.operators.outcomes import non_overlapping
+    d = narrow_bars(bars, "range_sma")
+    d = series.halo_windows(d, lambda w: {"_s": F.when(F.col("is_narrow") & ~F.coalesce(F.lag("is_narrow").over(w), F.lit(False)), F.col("bar_idx"))}, back=1)
+    d = J.scan_carry(d, ["_s"], K, ["bar_idx"], F.floor(F.col("bar_idx") / F.lit(series.block_rows(d))).cast("long"))
+    run = d.where("is_narrow").withColumnRenamed("_s_carried", "range_start_idx")
+    run = series.segment_runs(run, [("high", "range_high", "max"), ("low", "range_low", "min")], "range_start_idx")
+    near, later = (F.col("range_high") - F.col("range_low")) * touch, F.col("bar_idx") > F.col("range_start_idx")
+    at_top, at_bottom = later & (F.col("high") >= F.col("range_high") - near), later & (F.col("low") <= F.col("range_low") + near)
+    run = run.withColumns({"_nt": F.when(at_top, 1).otherwise(0).cast("long"), "_vt": F.when(at_top, F.col("volume")).otherwise(0.0),
+                           "_nb": F.when(at_bottom, 1).otherwise(0).cast("long"), "_vb": F.when(at_bottom, F.col("volume")).otherwise(0.0)})
+    run = series.segment_runs(run, [("_nt", "touches_high", "sum"), ("_vt", "_sum_t", "sum"), ("_nb", "touches_low", "sum"), ("_vb", "_sum_b", "sum")], "range_start_idx")
+    top, bottom = (F.when(F.col(n) > 0, F.col(v) / F.col(n)).otherwise(0.0) for n, v in (("touches_high", "_sum_t"), ("touches_low", "_sum_b")))
+    most = F.greatest(top, bottom)
+    run = run.withColumns({"imbalance": F.try_divide(top - bottom, most), "_bars": F.col("bar_idx") - F.col("range_start_idx") + 1})
+    run = run.where(F.col("_bars").between(min_bars, max_bars) & (most > 0))
+    kind = F.when(F.col("imbalance") * 100 > min_imb_pct, "Resistance").when(F.col("imbalance") * 100 < -min_imb_pct, "Support").otherwise("Gravitation")
+    could = series.pinned(run.select(*K, "range_start_idx", F.col("bar_idx").alias("confirm_idx"), "range_high", "range_low", kind.alias("range_type"),
+                                     "imbalance", "touches_high", "touches_low"))
+    b, size = series.pinned(d.select(*K, "bar_idx", "high", "low", "close")), (F.col("range_high") - F.col("range_low")) * (back_pct / 100.0)
+    ways = (("Resistance", F.col("range_high"), F.col("range_high") - size, "close", "low"), ("Support", F.col("range_low") + size, F.col("range_low"), "high", "close"),
+            ("Gravitation", F.col("range_high"), F.col("range_low"), "close", "close"))
+    ends = []
+    for name, up, down, high, low in ways:
+        t = first_touch(could.where(F.col("range_type") == name), b, K, "confirm_idx", up, down, high=high, low=low, strict=True)
+        ends.append(t.withColumn("_close", F.col("_hit_high" if high == "close" else "_hit_low")).drop("_hit_high", "_hit_low"))
+    t = reduce(DataFrame.unionByName, ends)
+    ended = F.when(F.col("_close") > F.col("range_high"), "breakout_up").when(F.col("_close") < F.col("range_low"), "breakout_down").otherwise("cancelled")
+    t = t.withColumn("end_kind", F.when(F.col("_hit").isNotNull(), ended)).withColumnRenamed("_hit", "end_idx").drop("_close")
+    t = t.withColumn("_end", F.coalesce("end_idx", F.lit(1 << 62)))
+    return non_overlapping(t, K, "confirm_idx", "_end", ["confirm_idx"], span=1 << 16).drop("_end")
+
+
 def range_breakouts(ranges: DataFrame, bars: DataFrame, break_frac: float = 0.005) -> DataFrame:
     """L14 for ranges that are known (``fixed_ranges``): the first close after each range's end that is beyond an edge by
     ``break_frac`` of its height, however late.  Rows are events like those of ``live_ranges`` (event, bar_idx, open_time, close), the

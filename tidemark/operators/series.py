@@ -314,6 +314,23 @@ def segment_running(df: DataFrame, value: str, seg: str, out: str, fn: str = "ma
     return d.withColumn(out, both).drop("_sb", "_loc", "_carry")
 
 
+def segment_runs(df: DataFrame, specs: Sequence[tuple[str, str, str]], seg: str, key: Sequence[str] = KEY, idx: str = "bar_idx") -> DataFrame:
+    """Several running aggregates of a segment in one pass: ``specs`` are (column, output, max / min / sum), from the start of
+    segment ``seg`` up to the row.  The state of a block (its extremes and sums) composes with that of the blocks before it."""
+    key = list(key)
+    fn = {"max": F.max, "min": F.min, "sum": F.sum}
+    both = {"max": F.greatest, "min": F.least, "sum": lambda a, b: F.coalesce(a + b, a, b)}
+    d = pinned(df).withColumn("_sb", F.floor(F.col(idx) / F.lit(block_rows(df))).cast("long"))
+    w = Window.partitionBy(*key, seg, "_sb").orderBy(idx).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumns({f"_l{i}": fn[f](v).over(w) for i, (v, _, f) in enumerate(specs)})
+    state = d.groupBy(*key, seg, "_sb").agg(*[fn[f](v).alias(f"_b{i}") for i, (v, _, f) in enumerate(specs)])
+    before = Window.partitionBy(*key, seg).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    state = state.select(*key, seg, "_sb", *[fn[f](f"_b{i}").over(before).alias(f"_c{i}") for i, (_, _, f) in enumerate(specs)])
+    d = _join(d, state, [*key, seg, "_sb"], "left")
+    d = d.withColumns({out: both[f](F.col(f"_l{i}"), F.col(f"_c{i}")) for i, (_, out, f) in enumerate(specs)})
+    return d.drop("_sb", *[f"_{x}{i}" for i in range(len(specs)) for x in "lc"])
+
+
 def running_sum(df: DataFrame, value: str, out: str, key: Sequence[str] = KEY, idx: str = "bar_idx") -> DataFrame:
     """Prefix sum of ``value`` per key in ``idx`` order: block-local running
     sum plus the total of earlier blocks (one-row-per-block summary)."""

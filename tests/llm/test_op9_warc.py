@@ -45,3 +45,34 @@ def test_odd_rows(spark, tmp_path):
     assert {r.record_type for r in op.read_warc(least, f"file://{tmp_path}/least").collect()} == {"response"}
     empty = op.write_warc(df.limit(0), f"file://{tmp_path}/none")
     assert op.read_warc(empty, f"file://{tmp_path}/none").count() == 0
+
+
+def test_a_write_cut_off_before_the_renames_can_be_finished(spark, tmp_path, monkeypatch):
+    from tests.conftest import SF
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    path = f"file://{tmp_path}/cut"
+    finish = op.finish_warc
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(op, "finish_warc", lost)
+    try:
+        op.write_warc(pages, path, shard_bytes=40_000)
+        raise AssertionError
+    except RuntimeError:
+        monkeypatch.undo()
+    assert not os.path.exists(f"{tmp_path}/cut/manifest") and not files(path)
+    for _ in range(2):
+        m = finish(spark, path)
+        assert op.read_warc(m, path).count() == pages.count() and sorted(files(path)) == sorted(r.name for r in m.collect())
+
+
+def test_many_rows_under_one_key(spark, tmp_path):
+    """A third of the rows has one key, another part none."""
+    rows = [(None if i % 5 == 0 else 4 if i % 3 == 0 else i, f"u{i}", f"text {i % 50} " * 20) for i in range(600)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    m = op.write_warc(df, f"file://{tmp_path}/hot", shard_bytes=5_000)
+    got = op.read_warc(m, f"file://{tmp_path}/hot").collect()
+    assert len(got) == 600 and all(r.digest_ok for r in got)

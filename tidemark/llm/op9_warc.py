@@ -124,7 +124,7 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
                 ["shard", "sha1", *b.schema.names])
 
     sharded = both.mapInArrow(to_shard, "shard long, sha1 binary, key long, url string, payload binary, kind int, first long")
-    placed = (sharded.repartition(len(starts) + 1, "shard")
+    placed = (sharded.repartitionById(len(starts) + 1, F.col("shard").cast("int"))  # a shard is a partition
               .sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "sha1", "kind", "url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,8 +168,14 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
             yield pa.RecordBatch.from_pylist(done, pa.schema([("shard", pa.int64()), ("number", pa.int32()), ("temp", pa.string()),
                                                               ("name", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
-    placed.mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
-    manifest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
+    placed.mapInArrow(write, MANIFEST).write.parquet(f"{path}/pending")
+    return finish_warc(spark, path)
+
+
+def finish_warc(spark: SparkSession, path: str) -> DataFrame:
+    """Give the files of a finished write their final names and publish the manifest, which comes last: a manifest under ``path`` names
+    files that exist.  Also finishes a write whose driver was lost after all files were there; safe to repeat."""
+    pending = spark.read.schema(MANIFEST).parquet(f"{path}/pending")
 
     def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Safe to run again: a file that already has its final name stays."""
@@ -178,13 +184,15 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
             for r in b.to_pylist():
                 if out.get_file_info(f"{base}/{r['temp']}").type != fs.FileType.NotFound:
                     out.move(f"{base}/{r['temp']}", f"{base}/{r['name']}")
+                elif out.get_file_info(f"{base}/{r['name']}").type == fs.FileType.NotFound:
+                    raise FileNotFoundError(f"{path}/{r['name']}")
             yield b
 
-    manifest.mapInArrow(rename, MANIFEST).write.format("noop").mode("overwrite").save()
+    pending.mapInArrow(rename, MANIFEST).write.mode("overwrite").parquet(f"{path}/manifest")
     out, base = _filesystem(path)
     if out.get_file_info(f"{base}/tmp").type != fs.FileType.NotFound:
         out.delete_dir(f"{base}/tmp")  # what failed attempts left
-    return manifest
+    return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
 
 READ = "key long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, digest_ok boolean"

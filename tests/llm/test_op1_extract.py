@@ -59,6 +59,38 @@ def test_head_without_its_end_tag():
     assert op.parse("<head><script>x</script><noscript><style>p{}</style></noscript><template><div>no</div></template></head>") == []
 
 
+def test_quote_signs_outside_of_quoted_values():
+    text = "First paragraph of the story, with a few words. It has two sentences."
+    for a in ("title=it's", "alt=5\"x", "data-a=a'b\"c", "'", "title='x'y'", "href=/x?a=\"b", "= 'x>y'", "a = \"x>y\"", "a==b'"):
+        page = f"<article><h1>A title</h1><p>{text}</p><p>Second one, <b {a}>with</b> a word. It has two sentences.</p></article>"
+        assert op.extract(page, op.default_model()) == f"A title\n\n{text}\n\nSecond one, with a word. It has two sentences.", a
+
+
+def test_elements_around_blocks():
+    shown = lambda page: [b[0] for b in op.parse(page)]
+    assert shown("a<span hidden><div>no</div>no<p>no</p></span>b") == ["a", "b"]
+    assert shown("<app-x style='display:none'><div>no</div><div>no</div></app-x><p>yes</p>") == ["yes"]
+    assert shown("<b><div>one</div><i>two<p>three</p>") == ["one", "two", "three"]
+    notice = op.parse("<cookie-bar class='cookie consent'><div>We use them.</div></cookie-bar><p>x</p>")
+    assert notice[0][1][1] == ("cookie-bar", ("cookie", "consent")) and notice[1][1] == (("p", ()),)
+    assert shown("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math> be, <script>f()</script>or <svg><text>no</text></svg>not.</p>") == ["Let x=2 be, or not."]
+    text = "First paragraph of the story, with a few words. It has two sentences."
+    page = f"<body><cookie-bar class='cookie consent'><div>We use cookies, accept.</div></cookie-bar><article><h1>A title</h1><p>{text}</p><p>{text}</p></article></body>"
+    assert op.extract(page, op.default_model()) == f"A title\n\n{text}\n\n{text}"
+
+
+def test_unclosed_tags_cost_the_same_each():
+    import time
+
+    n = 20_000
+    pages = ("<b>" * n + "</i>" * n, "<i><div>" + "<b>x" * n + "</i>" * n, "<div hidden>" + "<b>x</i>" * n, "<div>x" * n, "<span class=x><div>y</div>" * n,
+             "<head><noscript>" + "<link>" * n + "</noscript>", "<a =" * n, "<p>x<i><li>" * n, "<td><b>" * n + "</td>" * n)
+    for page in pages:
+        start = time.time()
+        op.extract(page, op.default_model())
+        assert time.time() - start < 8, page[:40]
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>" + "long text here. " * 100_000 + "</p></article>"
     rows = [(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "", "x"), (2, "u", "no tags", "x"), (3, "u", "<p", "x"), (4, "u", "<article><p>unclosed", None),

@@ -23,6 +23,7 @@ from __future__ import annotations
 import html as html_lib
 import random
 import re
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -37,7 +38,7 @@ TRAIN_PAGES = 700
 SEED = 7
 # ---- fixed values: element kinds of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style head title noscript template textarea select option svg math iframe object canvas".split())
+HIDDEN = frozenset("script style head title noscript template textarea select option svg annotation annotation-xml iframe object canvas".split())
 RAW = ("script", "style", "textarea", "title")
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul
@@ -46,11 +47,17 @@ CLOSES_P = BLOCK - {"button", "label", "caption", "legend", "summary"}
 #: Closing one of these also closes what stands open inside it; an open one of the same kind ends at the next.
 SELF_ENDING = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"},
                "option": {"select"}}
+#: Elements that an open paragraph outside of them does not end at.
+KEEPS_P = ("div", "td", "th", "li", "article", "section", "body", "button")
 #: Start tags that a head may hold; any other one, and text, ends an open head.
 IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes script style template".split())
+#: Elements that end each other.
+ALIKE = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
 # ---- end of fixed values
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+# A quote sign opens a value only behind an equals sign; elsewhere, and in an unquoted value, it is a sign like any other.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
+                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*+)?)*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=\"'/>][^\s=/>]*)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
 _RAW_END = {t: re.compile(rf"</{t}\s*>|\Z", re.I) for t in RAW}
 _UNSEEN = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
@@ -60,11 +67,20 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 def parse(page: str) -> list[tuple[str, tuple, int, int]]:
-    """Leaf blocks in page order: (text, ancestors from the inside out as (tag, names), link characters, place of a start)."""
+    """Leaf blocks in page order: (text, ancestors from the inside out as (tag, names), link characters, place of a start).
+
+    Of the ancestors beyond the two nearest, equal ones are given once.  The open elements are also listed by tag, so that a tag
+    costs the same on a page with thousands of unclosed ones.
+    """
     out: list[tuple[str, tuple, int, int]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    trails: list[tuple] = []  # of every open element, the distinct ones up to it
+    where: defaultdict[str, list[int]] = defaultdict(list)  # tag -> places in the stack
+    blocks: list[int] = []  # places of block elements
+    shut: list[int] = []  # places of elements whose content is not shown, noscript apart
     parts: list[str] = []
     hidden = links = in_link = 0
+    noscript_end = -1
     owner: tuple = ()
 
     def flush():
@@ -75,28 +91,51 @@ def parse(page: str) -> list[tuple[str, tuple, int, int]]:
                 out.append((text, owner, links, len(out)))
             parts, links = [], 0
 
+    def last(*tags: str) -> int:
+        """Place of the innermost open element of these tags, -1 if none."""
+        return max((where[t][-1] if where[t] else -1 for t in tags), default=-1)
+
+    def open_(tag: str, names: tuple[str, ...]):
+        nonlocal hidden, in_link
+        i, above = len(stack), trails[-1] if trails else ()
+        stack.append((tag, names))
+        trails.append(above if stack[-1] in above else (stack[-1], *above))
+        where[tag].append(i)
+        if tag in BLOCK:
+            blocks.append(i)
+        if tag in HIDDEN and tag != "noscript":
+            shut.append(i)
+        hidden += tag in HIDDEN or "!hidden" in names
+        in_link += tag == "a"
+
     def close(i: int):
         """Close the elements from ``i`` on."""
         nonlocal hidden, in_link
-        if any(t in BLOCK or t in HIDDEN for t, _ in stack[i:]):
+        if blocks and blocks[-1] >= i or any(t in ("head", "title") for t, _ in stack[i:]):
             flush()
         for t, n in stack[i:]:
             hidden -= t in HIDDEN or "!hidden" in n
             in_link -= t == "a"
-        del stack[i:]
+            where[t].pop()
+        for places in (blocks, shut):
+            while places and places[-1] >= i:
+                places.pop()
+        del stack[i:], trails[i:]
 
     def leave_head(name: str | None):
         """A start tag (None: text) that an open head cannot hold closes it and all in it; the content of a template or of a raw
         element is its own, and so is that of a noscript that ends before the body."""
-        for i in range(len(stack) - 1, -1, -1):
-            t = stack[i][0]
-            if t == "head":
-                apart = name != "body" and any(x == "noscript" for x, _ in stack[i:]) and _NOSCRIPT_END.search(page, at)
-                if name not in IN_HEAD and not apart:
-                    close(i)
-                return
-            if t not in ("noscript", "noframes") and t in HIDDEN:
+        nonlocal noscript_end
+        head = last("head")
+        if head < 0 or name in IN_HEAD or shut[-1] > head:
+            return
+        if name != "body" and last("noscript") > head:
+            if noscript_end < at:
+                end = _NOSCRIPT_END.search(page, at)
+                noscript_end = end.end() if end else -1
+            if noscript_end >= at:
                 return
+        close(head)
 
     def add(text: str):
         nonlocal owner, links
@@ -105,7 +144,7 @@ def parse(page: str) -> list[tuple[str, tuple, int, int]]:
         if hidden or not text:
             return
         if not parts or not owner:
-            owner = tuple(x for x in reversed(stack))
+            owner = (*stack[:-3:-1], *(trails[-3] if len(stack) > 2 else ()))
         parts.append(text)
         if in_link:
             links += len(text.strip())
@@ -124,45 +163,32 @@ def parse(page: str) -> list[tuple[str, tuple, int, int]]:
             continue
         name = name.lower()
         if m.group(1):
-            if name == "p" and not any(t == "p" for t, _ in stack):
+            i = last(name)
+            if i < 0 and name == "p":
                 flush()
-                continue
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    close(i)
-                    break
-                if name not in BLOCK and stack[i][0] in BLOCK:  # an inline tag does not close a block
-                    break
+            elif i >= 0 and (name in BLOCK or not blocks or blocks[-1] < i):  # an inline tag does not close a block
+                close(i)
             continue
         if hidden:
             leave_head(name)
         if name in CLOSES_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] in ("div", "td", "th", "li", "article", "section", "body", "button"):
-                    break
-            while stack and stack[-1][0] not in BLOCK and stack[-1][0] not in HIDDEN and name != "a":
+            i = last("p")
+            if i > last(*KEEPS_P):
+                close(i)
+            while stack and name != "a" and not _holds_blocks(*stack[-1]):
                 close(len(stack) - 1)
             flush()
         if name in SELF_ENDING:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in SELF_ENDING[name]:
-                    break
-                if stack[i][0] == name or (name in ("dt", "dd") and stack[i][0] in ("dt", "dd")) or (name in ("td", "th") and stack[i][0] in ("td", "th")):
-                    close(i)
-                    break
+            i = last(*ALIKE.get(name, (name,)))
+            if i > last(*SELF_ENDING[name]):
+                close(i)
         if name in ("br", "wbr", "hr", "img"):
             add(" " if name != "wbr" else "")
         if name in VOID or m.group(3).endswith("/") and name not in BLOCK:
             continue
-        names = _names(m.group(3)) if m.group(3) else ()
-        if name in BLOCK or name in HIDDEN:
+        if name in BLOCK or name in ("head", "title"):
             flush()
-        stack.append((name, names))
-        hidden += name in HIDDEN or "!hidden" in names
-        in_link += name == "a"
+        open_(name, _names(m.group(3)) if m.group(3) else ())
         if name in RAW:
             end = _RAW_END[name].search(page, at)
             at = end.end()
@@ -171,6 +197,12 @@ def parse(page: str) -> list[tuple[str, tuple, int, int]]:
     return out
 
 
+def _holds_blocks(tag: str, names: tuple[str, ...]) -> bool:
+    """Whether an open element stays open when a block starts in it: blocks, elements that are not shown, custom elements and
+    inline ones with a class or id; a bare inline element was left open by mistake."""
+    return tag in BLOCK or tag in HIDDEN or "-" in tag or "!hidden" in names or bool(names) and tag != "a"
+
+
 @lru_cache(maxsize=20_000)
 def _names(attributes: str) -> tuple[str, ...]:
     """Lower-case words of class, id and role; ``!hidden`` for an element that is not shown."""

@@ -58,6 +58,31 @@ def test_assigned_values_of_any_signs(spark, learned):
     assert sum(r.label == r.prediction for r in got) >= 13
 
 
+def _found(text):
+    return [text[s:e] for s, e in op.places(text)]
+
+
+def test_values_in_other_places():
+    want = {"Authorization: Bearer QkzWvTnRbLx": "QkzWvTnRbLx", "curl -H \"Authorization: Basic dXNlcjpw\"": "dXNlcjpw", "see https://bob:hunter2x@host.example/a:b": "hunter2x",
+            "<password>x9!y</password>": "x9!y", "run --password s3cr -v": "s3cr", "DB_PASS=Tr0ub4dor&3": "Tr0ub4dor&3", "a?token=v1&x=2": "v1"}
+    assert {t: _found(t) for t in want} == {t: [v] for t, v in want.items()}
+    assert _found("{key:v0a,token:'b c',secret:[d,e]}") == ["v0a", "b c", "[d"]
+    assert _found("a.key=b1;c.token=d2;") == ["b1", "d2"]
+    assert _found('key: "see password=abc and 0123456789abcdef01"') == ["see password=abc and 0123456789abcdef01", "abc", "0123456789abcdef01"]
+    assert _found("https://a.example:8080/x@y and bearer of news, basic training") == []
+
+
+def test_long_runs_without_white_space():
+    import time
+
+    n = 60_000
+    for text, least in (("{" + ",".join(f"key:v{i}a" for i in range(n)) + "}", n), ("".join(f"key:v{i}a;" for i in range(n)), n), ("key:" * n, 1), ("key:\"" * n, 1),
+                        ("key:\" token:' " * n, n), ("key=x&" * n, n), ("0123456789abcdef" * n, 1), ("://a:" * n, 0), ("--key " * n, 1), ("<key>" * n, 0), ("key:a;" + "b" * n * 10, 1)):
+        start = time.time()
+        got = op.places(text)
+        assert len(got) >= least and sum(e - s for s, e in got) <= 4 * len(text) and time.time() - start < 10, text[:30]
+
+
 def test_odd_rows(odd_docs, no_docs, spark):
     assert op.scan_secrets(odd_docs, F.col("source")).count() == 0
     assert op.scan_secrets(no_docs, F.col("source")).count() == 0

@@ -1,8 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
 Candidates are runs of 16 or more ASCII letters, digits and ``+/_=-`` that hold a digit, and, whatever its signs and length, the value
-assigned to a name of a password, token, secret or key: all up to the end quote or, unquoted, to white space (the texts are scanned whole).  Their
-features: length and make-up, how likely the character transitions are in the corpus, how much of the candidate
+assigned to a name of a password, token, secret or key (also as an option, in an element, an authorization header or an address): all up to the
+end quote or, unquoted, to white space, a comma, a closing bracket or the next assignment (the texts are scanned whole).  Their features: length and make-up, how likely the character transitions are in the corpus, how much of the candidate
 corpus words cover, the path, and the neighbouring words.  The transition counts and the word list come from one pass
 over all documents (the counts are aggregates; the list is the ``DICTIONARY`` most frequent words of four letters or more).
 
@@ -40,10 +40,17 @@ SEED = 5
 TREES, DEPTH = 40, 9
 CONTEXT = 48
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z+/_=\-]*\d)[A-Za-z0-9+/_=\-]{16,}")
-ASSIGNED = re.compile(r"""(?:passw(?:or)?d|passphrase|passwort|pwd|pass|secret|token|credentials?|api_?key|key|auth)s?["'`\])]{0,2}[ \t]*(?::=|=>|={1,3}|:)[ \t]*
-                          (?=(?P<quote>["'`])(?P<inside>[^\n]*?)(?:(?P=quote)|\n|\Z)|(?P<plain>[^\s"'`]\S*))""", re.I | re.X)
+_NAMES = r"(?:passw(?:or)?d|passphrase|passwort|pwd|pass|secret|token|credentials?|api_?key|key|auth)s?"
+#: What stands before a value: an assignment to a name, an option, an element's start tag, an authorization header, or a user in an address.
+#: An unquoted value ends at white space, a comma or closing bracket, an end tag, or where ``;`` or ``&`` starts the next assignment.
+ASSIGNED = re.compile(rf"""(?:{_NAMES}["'`\])]{{0,2}}[ \t]*(?::=|=>|={{1,3}}|:)[ \t]* | (?<![\w-])--?{_NAMES}[ \t]+ | <{_NAMES}>
+                          | authorization["'`]{{0,2}}[ \t]*[:=][ \t]*["'`]?(?:bearer|basic|token)[ \t]+)
+                          (?=(?P<quote>["'`])(?P<inside>[^\n]*?)(?:(?P=quote)|\n|\Z)
+                             |(?P<plain>[^\s"'`,;)}}\]<](?:[^\s,;&)}}\]<]|<(?!/)|[;&](?![\w.$]*[:=]))*))
+                          | ://[^\s/:@"'`<>]*:(?=(?P<user>[^\s@/"'`<>]+)@)""", re.I | re.X)
 _WORD = re.compile(r"[^\W\d_]{4,}")
 _NEAR = re.compile(r"[A-Za-z]+")
+_SPACE = re.compile(r"\s")
 # Words near a finding that speak for or against a secret, and words of test paths.
 FOR = frozenset("secret secrets token tokens password passwd pwd pass key keys apikey api auth authorization bearer credential credentials private access client".split())
 AGAINST = frozenset("commit sha md5 hash checksum digest id uuid guid isbn order number phone card account page version date file path url example sample placeholder build ref".split())
@@ -105,15 +112,20 @@ def covered(candidate: str, words: frozenset[str]) -> float:
 
 
 def places(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the candidates of a text; one that is a run and an assigned value counts once."""
-    found = {m.span() for m in CANDIDATE.finditer(text)}
-    for m in ASSIGNED.finditer(text):
-        s, e = m.span("plain" if m["quote"] is None else "inside")
-        while m["quote"] is None and e > s and text[e - 1] in ",;)]}\"'`":  # what ends a statement is no part of the value
+    """(start, end) of the candidates of a text: the assigned values, and the runs outside of them and of their names.  A value of
+    several words in quotes is searched inside as well; no other candidates overlap, so a text is read a few times at most."""
+    found, at = set(), 0
+    while True:
+        m = ASSIGNED.search(text, at)
+        found.update(r.span() for r in CANDIDATE.finditer(text, at, m.start() if m else len(text)))
+        if not m:
+            return sorted(found)
+        s, e = m.span("inside" if m["quote"] else "plain" if m["plain"] else "user")
+        while not m["quote"] and e > s and text[e - 1] in ",;)]}\"'`":  # what ends a statement is no part of the value
             e -= 1
         if e > s and not text[s:e].isspace():
             found.add((s, e))
-    return sorted(found)
+        at = max(m.end(), s if m["quote"] and _SPACE.search(text, s, e) else e)
 
 
 def features(candidate: str, before: str, after: str, path: str | None, log: list[float], words: frozenset[str]) -> list[float]:
@@ -177,6 +189,8 @@ def labelled_findings(count: int = FINDINGS, seed: int = SEED, words: frozenset[
             if kind == 11:
                 w = rng.choice(plain)
                 return rng.choice([f"${{{w.upper()}}}", f"${w.upper()}", f"os.environ['{w.upper()}']", f"config.{w}", f"self.{w}", f"args.{w}", f"get_{w}()", f"<{w}>", f"{{{w}}}", f"your_{w}"]), said
+            if rng.random() < 0.2:
+                said = rng.choice(["<key>", "<token>", "--key ", "--token ", f"http://{text(1)}:"])
             return rng.choice(["None", "null", "true", "false", "string", "required", "changeme", "********", "xxxxxxxx", "...", "%s", "password", "-", "0", "1", str(rng.randint(2, 9999))]), said
         if kind == 0:
             return chars(string.digits, rng.choice([16, 16, 18, 20])), rng.choice([text(3) + " ", "card ", "phone: ", "order number "])
@@ -206,8 +220,9 @@ def labelled_findings(count: int = FINDINGS, seed: int = SEED, words: frozenset[
             name = rng.choice([name, name.upper(), name.title()])
             sep, quote = rng.choice([" = ", "=", ": ", " := ", " => "]), rng.choice(["\"", "'", ""])
             before = rng.choice([f"{text(3)} {name}{sep}{quote}", f"{name}{sep}{quote}", f"{text(2)}\n{name}{sep}{quote}"])
-            if rng.random() < 0.05:
-                before, quote = f"Authorization: {rng.choice(['Bearer', 'token'])} ", ""
+            if rng.random() < 0.12:
+                before, quote = rng.choice([("Authorization: Bearer ", ""), ("Authorization: token ", ""), (f"--{name} ", ""), (f"<{name}>", f"</{name}>"),
+                                            (f"{rng.choice(['https', 'postgres', 'amqp'])}://{text(1)}:", f"@{text(1)}.example.com")])
             out.append((secret(), before, quote + " " + text(3), path, 1))
         else:
             c, before = decoy()

@@ -32,6 +32,30 @@ def test_planted_passages(spark):
     assert len(want & got) >= 0.99 * len(want)
 
 
+def test_items_of_few_words(spark, tmp_path):
+    rng = random.Random(9)
+    items = [(1, "Alpha, beta"), (2, "gamma"), (3, "alpha beta gamma delta"), (4, "beta alpha beta"), (5, "gamma delta alpha beta alpha gamma"), (6, "?"), (7, "alpha beta")]
+    docs = [(d, " ".join(rng.choice(["alpha", "beta", "GAMMA.", "delta"] + ["x", "y"] * (d % 9)) for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 9, 40])))) for d in range(900)]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+
+    def contained(item, doc, least=2):
+        a, b = op.words(item), op.words(doc)
+        k = min(5, len(a))
+        if k < least and len(b) != k:
+            return False
+        want = {tuple(a[i:i + k]) for i in range(len(a) - k + 1)}
+        return k > 0 and len(want & {tuple(b[i:i + k]) for i in range(len(b) - k + 1)}) >= 0.8 * len(want)
+
+    for some in (items, items[:4]):
+        got = [(r.doc_id, r.item_id) for r in op.containment_pairs(df, it.where(it.item_id <= some[-1][0])).collect()]
+        assert len(got) > 100 and sorted(got) == sorted((d, i) for d, t in docs for i, a in some if contained(a, t))
+    got = [(r.doc_id, r.item_id) for r in op.containment_pairs(df, it, min_words=1).collect()]
+    assert sorted(got) == sorted((d, i) for d, t in docs for i, a in items if contained(a, t, 1))
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    it.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert same_rows(op.op7_decontaminate(spark, str(tmp_path)), str(tmp_path), op.SQL)
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "two three four five six", 1), (1, "two three four five six", 1), (None, "Three four FIVE six seven!", 1), (3, None, 1), (4, "", 1),
                                    (5, "x", 1)], "item_id long, text string, containment int")

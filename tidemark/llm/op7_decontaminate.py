@@ -2,7 +2,9 @@
 
 Which short test items are contained in which long documents: an item is contained if at least
 ``containment`` (0.8) of its distinct five-word shingles occur in the document.  Words are runs
-of word characters of the lower-cased text; a text of fewer than five words has its whole word sequence as its one shingle.
+of word characters of the lower-cased text; an item of fewer than five words has its whole word sequence as its one shingle,
+and is contained in the documents in which these words stand in a row.  One word alone is no passage: an item of fewer than
+``min_words`` (2; 1 looks for single words too) is contained only in documents that are these words and nothing else.
 
 A MinHash of a long document says nothing about a short item, so the search is partitioned by size.
 Items fall into classes by their number of shingles (class u holds sizes in (u/2, u], u a power of two).
@@ -11,6 +13,7 @@ that any passage as long as an item of the class lies whole in one window and is
 of it.  Items and windows get one-permutation MinHash sketches of ``BINS`` bins; the sketch of a larger class is
 the bin-wise minimum of two smaller ones.  A window and an item of its class that share any sketch value are a
 candidate pair, which is then verified exactly on the words of the item and the whole document.
+The items of each word count under five are a class of their own, for which the documents' shingles of that many words are looked up.
 At a containment of 0.8 a passage shares no value in about 1 of 1,000 cases in the worst size, 1 of 5,000 if verbatim.
 
 A fixed-size bit table of the items' sketch values goes to every task; only documents in which one occurs
@@ -36,9 +39,12 @@ from tidemark.llm.common import materialize, packed, table
 
 SHINGLE = 5
 CONTAINMENT = 0.8
+MIN_WORDS = 2
 BINS = 128
 #: Slots of the bit table: 16 MB at most in a task, whatever the number of items.
 TABLE_BITS = 24
+#: An item of k < SHINGLE words is of class SHORT + k; other classes are sizes.
+SHORT = 1 << 40
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _WORD = re.compile(r"\w+")
 
@@ -95,10 +101,11 @@ def class_key(values: np.ndarray, unit: int) -> np.ndarray:
 
 def item_keys(text: str | None) -> tuple[int, np.ndarray]:
     """(class, keys) of an item."""
-    s = shingle_hashes(WordHash()(words(text)))
+    ws = words(text)
+    s = shingle_hashes(WordHash()(ws))
     if not len(s):
         return 0, s
-    unit = size_class(len(np.unique(s)))
+    unit = size_class(len(np.unique(s))) if len(ws) >= SHINGLE else SHORT + len(ws)
     sketch = sketches(s, max(len(s), 1))[0]
     return unit, class_key(sketch[sketch != NONE], unit)
 
@@ -117,11 +124,16 @@ def window_keys(shingles: np.ndarray, classes: list[int]) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
+def looked_for(k: int, words_: int, min_words: int) -> bool:
+    """Whether an item of ``k`` words is looked for in a document of ``words_`` words."""
+    return words_ >= k if k >= min_words else words_ == k
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("~")), F.hex(F.xxhash64(text_col)))
 
 
-def containment_pairs(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
+def containment_pairs(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT, min_words: int = MIN_WORDS) -> DataFrame:
     """(row_key, doc_id, item_id, shared, item_shingles, containment) of every verified pair.
 
     ``docs`` has doc_id and text, ``items`` has item_id and text."""
@@ -144,9 +156,10 @@ def containment_pairs(docs: DataFrame, items: DataFrame, containment: float = CO
                         .withColumn("item_no", F.monotonically_increasing_id()), "decon-items")
     keys = materialize(items.select("item_id", "item_no", "text").mapInArrow(keyed, "item_id long, item_no long, unit long, key long"), "decon-keys")
     # Sizes are powers of two, so there are a few dozen classes at most.
-    classes = sorted(r["unit"] for r in keys.select("unit").distinct().collect())
+    units = sorted(r["unit"] for r in keys.select("unit").distinct().collect())
+    classes, short = [u for u in units if u < SHORT], [u - SHORT for u in units if u > SHORT]
     pair_schema = "row_key string, doc_id long, item_id long, shared long, item_shingles long, containment double"
-    if not classes:
+    if not units:
         return spark.createDataFrame([], pair_schema)
     bits = 1 << TABLE_BITS
     slots = np.zeros(bits, bool)
@@ -163,10 +176,20 @@ def containment_pairs(docs: DataFrame, items: DataFrame, containment: float = CO
                 t = t.as_py()
                 if not t:
                     continue
-                s = shingle_hashes(hashed(words(t)))
-                if len(s) and _marked(known, s):
+                h = hashed(words(t))
+                got = []
+                if classes and len(h) >= SHINGLE:
+                    s = shingle_hashes(h)
+                    if _marked(known, s).any():
+                        got.append(window_keys(s, classes))
+                for k in short:
+                    if looked_for(k, len(h), min_words):
+                        s = np.unique(shingle_hashes(h, k))
+                        got.append(class_key(s[_marked(known, s)], SHORT + k))
+                got = np.concatenate(got) if got else ()
+                if len(got):
                     hit.append(n)
-                    found.append(window_keys(s, classes).view(np.int64))
+                    found.append(got.view(np.int64))
             if hit:
                 rows = b.take(pa.array(hit))
                 lengths = np.r_[0, np.cumsum([len(f) for f in found])]
@@ -192,7 +215,7 @@ def containment_pairs(docs: DataFrame, items: DataFrame, containment: float = CO
                     k = min(SHINGLE, len(iw))
                     want = {tuple(iw[i:i + k]) for i in range(len(iw) - k + 1)}
                     if k not in cache:
-                        cache[k] = set(zip(*[ws[i:] for i in range(k)])) if k == SHINGLE else {tuple(ws)} if len(ws) < SHINGLE else set()
+                        cache[k] = set(zip(*[ws[i:] for i in range(k)])) if looked_for(k, len(ws), min_words) else set()
                     shared = len(want & cache[k])
                     if want and shared >= containment * len(want):
                         out.append((r["row_key"], r["doc_id"], it["item_id"], shared, len(want), shared / len(want)))
@@ -210,10 +233,12 @@ def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h >> np.uint64(64 - TABLE_BITS), (h >> np.uint64(64 - 2 * TABLE_BITS)) & np.uint64((1 << TABLE_BITS) - 1)
 
 
-def _marked(known: np.ndarray, h: np.ndarray) -> bool:
+def _marked(known: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of the shingle hashes may be an item's."""
     first, second = _places(h)
     hit = known[first]
-    return bool(hit.any() and known[second[hit]].any())
+    hit[hit] = known[second[hit]]
+    return hit
 
 
 def _slots(bits: int):
@@ -229,9 +254,9 @@ def _slots(bits: int):
     return run
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the documents that contain an item; clean documents stay as they are."""
-    bad = containment_pairs(docs, items, containment).select("row_key").distinct()
+    bad = containment_pairs(docs, items, containment, min_words).select("row_key").distinct()
     return packed(docs, row_key=row_key("doc_id", "text")).join(bad, "row_key", "left_anti").select("row.*")
 
 
@@ -242,10 +267,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}\p{M}_]+') AS w FROM benchmark),
-isn AS (SELECT DISTINCT item_id, w[k:k+4] AS s FROM i, unnest(range(1, len(w) - 3)) u(k)),
+n AS (SELECT DISTINCT least(len(w), 5) AS n FROM i WHERE len(w) > 0),
+isn AS (SELECT DISTINCT item_id, w[k:k + least(len(w), 5) - 1] AS s FROM i, unnest(range(1, len(w) - least(len(w), 5) + 2)) u(k) WHERE len(w) > 0),
 sizes AS (SELECT item_id, count(*) AS item_shingles FROM isn GROUP BY item_id),
 d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}\p{M}_]+') AS w FROM documents),
-ds AS (SELECT DISTINCT doc_id, w[k:k+4] AS s FROM d, unnest(range(1, len(w) - 3)) u(k)),
+ds AS (SELECT DISTINCT doc_id, w[k:k + n - 1] AS s FROM d, n, unnest(range(1, len(w) - n + 2)) u(k) WHERE n > 1 OR len(w) = 1),
 hit AS (SELECT doc_id, item_id, count(*) AS shared FROM isn JOIN ds USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles AS containment
 FROM hit JOIN sizes USING (item_id) WHERE shared >= 0.8 * item_shingles

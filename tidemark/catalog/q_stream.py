@@ -36,6 +36,41 @@ def _bars_stream(spark, sf):
     return spark.readStream.schema(b.schema).parquet(src)
 
 
+DELAY_MS = 3 * 86_400_000
+FILE_BARS = 500_000
+
+
+def _shuffled_stream(spark, sf):
+    """The bars as files that come out of order: a bar is up to DELAY_MS late, by a hash; one file a micro-batch."""
+    b = bars_all(spark, sf).withColumn("_at", F.expr(f"open_time + pmod(xxhash64(exchange, symbol, interval, open_time), {DELAY_MS}L)"))
+    whole = ST.scratch(spark, "bars-late")
+    b.write.parquet(whole)
+    late, src = spark.read.parquet(whole), ST.scratch(spark, "bars-shuffled")
+    files = max(5, -(-late.count() // FILE_BARS))
+    cuts = [None, *sorted(set(late.approxQuantile("_at", [i / files for i in range(1, files)], 0.01))), None]
+    for lo, hi in zip(cuts, cuts[1:]):  # one file after another, as a file source goes by the files' times
+        some = late if lo is None else late.where(F.col("_at") >= lo)
+        some = some if hi is None else some.where(F.col("_at") < hi)
+        some.drop("_at").coalesce(1).write.mode("append").parquet(src)
+    return spark.readStream.schema(late.drop("_at").schema).option("maxFilesPerTrigger", 1).parquet(src)
+
+
+def st3_shuffled_range_events(spark, sf):
+    """The range events of bars that come out of order, up to the last watermark."""
+    prep(spark)
+    out, ck = ST.scratch(spark, "ranges-out"), ST.scratch(spark, "ranges-ckpt")
+    ST.run_available(ST.stream_range_events(_shuffled_stream(spark, sf), watermark=f"{DELAY_MS} milliseconds"), out, ck)
+    return spark.read.parquet(out)
+
+
+def st4_shuffled_regime_alerts(spark, sf):
+    """The regime alerts of bars that come out of order, up to the last watermark."""
+    prep(spark)
+    out, ck = ST.scratch(spark, "regime-out"), ST.scratch(spark, "regime-ckpt")
+    ST.run_available(ST.stream_regime_alerts(_shuffled_stream(spark, sf), watermark=f"{DELAY_MS} milliseconds"), out, ck)
+    return spark.read.parquet(out)
+
+
 def st3_stream_range_events(spark, sf):
     prep(spark)
     out, ck = ST.scratch(spark, "ranges-out"), ST.scratch(spark, "ranges-ckpt")
@@ -87,6 +122,9 @@ def _st4_sql():
 
 
 SQL["st4_stream_regime_alerts"] = _st4_sql()
+# Alerts of bars at or before the final watermark (newest bar - DELAY_MS).
+SQL["st4_shuffled_regime_alerts"] = f"""SELECT * FROM ({_st4_sql()}) a
+WHERE open_time <= (SELECT max(open_time) - {DELAY_MS} FROM ({sqlsrc.bars_all()}) b)"""
 
 
 # First alerts of the hours that end at or before the final watermark (max event time - 2 hours).

@@ -13,6 +13,8 @@ here the same per-bar logic runs as stateful streaming queries:
   give the same events.
 * ST4 ``stream_regime_alerts``: regime-change and entry alerts from
   incremental SMA-seeded EMAs and Wilder ATR.
+  Both take bars as they come or, with a watermark, in the order of their
+  times through a reorder buffer in the keyed state.
 * ST5 ``ingest_new_files``: exactly-once file ingest (``availableNow``
   trigger + checkpoint).
 
@@ -21,9 +23,11 @@ Sinks and checkpoints live under the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import heapq
 import json
 import math
 import uuid
+from collections import namedtuple
 from collections.abc import Iterator
 
 import pandas as pd
@@ -126,39 +130,90 @@ class IncrementalInputs:
         return (s["atr"] if s["atr"] is not None else math.nan), avgv
 
 
-def _range_state_fn(machine: RangeTracker):
+def _range_machine(machine: RangeTracker):
+    """(first state, step): a step takes a key's state and a bar and returns the events."""
     inputs = IncrementalInputs()
 
+    def step(st: dict, r) -> list[dict]:
+        t = int(r.open_time)
+        if st["i"]["last_t"] is not None and t <= st["i"]["last_t"]:
+            return [{"event": "late_bar", "close": float(r.close), "open_time": t}]  # a repeated or late bar changes no state
+        st["i"]["last_t"] = t
+        atr, avgv = inputs.update(st["i"], float(r.high), float(r.low), float(r.close), float(r.volume))
+        row = {"bar_idx": st["i"]["idx"], "open_time": t, "high": float(r.high), "low": float(r.low),
+               "close": float(r.close), "volume": float(r.volume), "atr": atr, "avg_volume": avgv}
+        return [{"bar_idx": row["bar_idx"], **e} for e in machine.step(st["m"], row)]
+
+    return lambda: {"m": machine.initial(), "i": inputs.initial()}, step
+
+
+def _frame(key, rows: list[dict], schema: T.StructType) -> pd.DataFrame:
+    names = [f.name for f in schema.fields]
+    if not rows:
+        return pd.DataFrame({n: pd.Series([], dtype=object) for n in names})
+    return pd.DataFrame([{"exchange": key[0], "symbol": key[1], "interval": key[2], **r} for r in rows], columns=names)
+
+
+def _on_arrival(initial, step, schema: T.StructType):
+    """State function that takes the bars of a micro-batch in time order, as soon as they come."""
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        st = json.loads(state.get[0]) if state.exists else {"m": machine.initial(), "i": inputs.initial()}
-        rows = []
+        st = json.loads(state.get[0]) if state.exists else initial()
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values("open_time", kind="stable")
-        for r in batch.itertuples(index=False):
-            t = int(r.open_time)
-            if st["i"]["last_t"] is not None and t <= st["i"]["last_t"]:
-                rows.append({"exchange": key[0], "symbol": key[1], "interval": key[2], "event": "late_bar", "close": float(r.close), "open_time": t})
-                continue  # a repeated or late bar changes no state and is reported
-            st["i"]["last_t"] = t
-            atr, avgv = inputs.update(st["i"], float(r.high), float(r.low), float(r.close), float(r.volume))
-            row = {"bar_idx": st["i"]["idx"], "open_time": t, "high": float(r.high), "low": float(r.low),
-                   "close": float(r.close), "volume": float(r.volume), "atr": atr, "avg_volume": avgv}
-            for e in machine.step(st["m"], row):
-                rows.append({"exchange": key[0], "symbol": key[1], "interval": key[2], "bar_idx": row["bar_idx"], **e})
+        rows = [e for r in batch.itertuples(index=False) for e in step(st, r)]
         state.update((json.dumps(st, allow_nan=True),))
-        names = [f.name for f in RANGE_EVENT_SCHEMA.fields]
-        yield pd.DataFrame(rows, columns=names) if rows else pd.DataFrame({n: pd.Series([], dtype=object)
-                                                                          for n in names})
+        yield _frame(key, rows, schema)
 
     return fn
 
 
-def stream_range_events(bars: DataFrame, machine: RangeTracker | None = None) -> DataFrame:
+BAR = namedtuple("BAR", "open_time open high low close volume")
+EMIT_ROWS = 10_000
+
+
+def _in_order(initial, step, schema: T.StructType):
+    """State function that holds bars back until the watermark reaches them and takes them in time order.
+
+    The frames of a micro-batch go into a heap one by one; the state holds the machine and the waiting bars: those of the
+    watermark's delay and of one micro-batch, which the source's trigger limit bounds, whatever the backlog.  A timer at the first
+    waiting bar wakes keys that get no more bars.  Equal times go by their values, so any order of arrival gives the same events; a
+    bar behind the watermark (or not after 1970-01-01, where Spark's first watermark stands) is dropped by Spark before it comes here, and one without a time or price is skipped."""
+    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        st = json.loads(state.get[0]) if state.exists else {"machine": initial(), "waiting": []}
+        waiting, mark = st["waiting"], state.getCurrentWatermarkMs()
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                bars = pdf[list(BAR._fields)].dropna(subset=list(BAR._fields[:5])).fillna({"volume": 0.0})
+                for t, *values in bars.itertuples(index=False):
+                    heapq.heappush(waiting, [int(t), json.dumps([float(v) for v in values])])
+        rows = []
+        while waiting and waiting[0][0] <= mark:
+            t, values = heapq.heappop(waiting)
+            rows += step(st["machine"], BAR(t, *json.loads(values)))
+            if len(rows) >= EMIT_ROWS:
+                yield _frame(key, rows, schema)
+                rows = []
+        state.update((json.dumps(st, allow_nan=True),))
+        if waiting:  # a timer rings when the watermark is past it and has to be ahead of the watermark
+            state.setTimeoutTimestamp(max(waiting[0][0] - 1, mark + 1))
+        yield _frame(key, rows, schema)
+
+    return fn
+
+
+def _per_key(bars: DataFrame, machine: tuple, schema: T.StructType, watermark: str | None) -> DataFrame:
+    if watermark is None:
+        return (bars.groupBy("exchange", "symbol", "interval")
+                .applyInPandasWithState(_on_arrival(*machine, schema), schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
+    return (bars.withColumn("event_time", F.timestamp_millis("open_time")).withWatermark("event_time", watermark)
+            .groupBy("exchange", "symbol", "interval")
+            .applyInPandasWithState(_in_order(*machine, schema), schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout))
+
+
+def stream_range_events(bars: DataFrame, machine: RangeTracker | None = None, watermark: str | None = None) -> DataFrame:
     """ST3: live locked-range events from a bars stream (per key state): activated, breakout_up / _down,
-    cancelled, and late_bar for a bar that is not newer than the last one seen."""
-    machine = machine or RangeTracker(cancellations=True)
-    return (bars.groupBy("exchange", "symbol", "interval")
-            .applyInPandasWithState(_range_state_fn(machine), RANGE_EVENT_SCHEMA, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.NoTimeout))
+    cancelled, and late_bar for a bar that is not newer than the last one seen.  With a ``watermark`` bars may come in any order
+    within its delay: each waits until the watermark reaches its time, and the events are those of the ordered bars."""
+    return _per_key(bars, _range_machine(machine or RangeTracker(cancellations=True)), RANGE_EVENT_SCHEMA, watermark)
 
 
 # ------------------------------------------------------------------- ST4
@@ -215,31 +270,24 @@ class RegimeInputs:
         return raised
 
 
-def _regime_fn():
+def _regime_machine():
     inputs = RegimeInputs()
 
-    def fn(key, pdfs, state):
-        st = json.loads(state.get[0]) if state.exists else inputs.initial()
-        rows = []
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values("open_time", kind="stable")
-        for r in batch.itertuples(index=False):
-            t = int(r.open_time)
-            late = st["last_t"] is not None and t <= st["last_t"]
-            raised = ["late_bar"] if late else inputs.update(st, r)
-            st["last_t"] = st["last_t"] if late else t
-            rows += [{"exchange": key[0], "symbol": key[1], "interval": key[2], "open_time": t, "alert": a} for a in raised]
-        state.update((json.dumps(st),))
-        names = [f.name for f in REGIME_SCHEMA.fields]
-        yield pd.DataFrame(rows, columns=names) if rows else pd.DataFrame({n: pd.Series([], dtype=object)
-                                                                          for n in names})
+    def step(st: dict, r) -> list[dict]:
+        t = int(r.open_time)
+        if st["last_t"] is not None and t <= st["last_t"]:
+            return [{"open_time": t, "alert": "late_bar"}]
+        raised = inputs.update(st, r)
+        st["last_t"] = t
+        return [{"open_time": t, "alert": a} for a in raised]
 
-    return fn
+    return inputs.initial, step
 
 
-def stream_regime_alerts(bars: DataFrame) -> DataFrame:
-    """ST4: regime changes and entry alerts (G5) from a bars stream, and late_bar for a bar not newer than the last."""
-    return (bars.groupBy("exchange", "symbol", "interval")
-            .applyInPandasWithState(_regime_fn(), REGIME_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
+def stream_regime_alerts(bars: DataFrame, watermark: str | None = None) -> DataFrame:
+    """ST4: regime changes and entry alerts (G5) from a bars stream, and late_bar for a bar not newer than the last; ``watermark``
+    as in ST3."""
+    return _per_key(bars, _regime_machine(), REGIME_SCHEMA, watermark)
 
 
 # ------------------------------------------------------------------- ST5

@@ -10,6 +10,7 @@ from tidemark.operators import joins as J
 from tidemark.operators import outcomes as B
 from tidemark.operators import quality as Q
 from tidemark.operators import ranges as L
+from tidemark.operators import series
 from tidemark.operators import snapshots as N
 
 H = 3_600_000
@@ -87,6 +88,27 @@ def test_plan_fill_on_bar_2(spark):
     assert t.event == "TP1" and t.bars_to_resolve == 1.0 and abs(t.r_multiple - 1.0) < 1e-12
 
 
+@pytest.mark.parametrize("rows_per_block", [4, 1000])
+def test_backward_scans_run_in_falling_order(spark, rows_per_block):
+    """Spark evaluates a frame up to the end of its partition anew for every row, so a dense block took forever."""
+    ticks = [("a", (7 * i) % 50, float(i) if i % 3 == 0 else None) for i in range(40)] + [(None, 3, None), (None, 9, 1.0)]
+    d = spark.createDataFrame(ticks, "k string, t long, v double")
+    blk = F.floor(F.col("t") / F.lit(rows_per_block)).cast("long")
+    scanned = J.scan_carry(d, ["v"], ["k"], ["t", "v"], blk, forward=False)
+    carried = series.carry_last(d, ["v"], key=["k"], order=["t"], idx="t", forward=False)
+    for out in (scanned, carried):
+        assert "unboundedfollowing" not in out._jdf.queryExecution().toString().lower()
+        for r in out.where("k IS NULL OR v IS NOT NULL OR t % 3 = 0").collect():
+            later = sorted((t, v) for k, t, v in ticks if k == r.k and t >= r.t and v is not None)
+            assert r.v_carried == (later[0][1] if later else None)
+    left = spark.createDataFrame([("a", t) for t in range(55)] + [(None, 4), (None, 10)], "k string, t long")
+    got = J.asof_forward(left, d.where("v IS NOT NULL"), "t", ["k"], ["v"], grain=rows_per_block)
+    assert "unboundedfollowing" not in got._jdf.queryExecution().toString().lower()
+    for r in got.collect():
+        later = sorted((t, v) for k, t, v in ticks if k == r.k and t >= r.t and v is not None)
+        assert (r.r_t, r.r_v) == (later[0] if later else (None, None))
+
+
 def test_asof_backward_tolerance(spark):
     left = spark.createDataFrame([("k", 10)], "g string, t long")
     right = spark.createDataFrame([("k", 5, 5.0), ("k", 9, 9.0), ("k", 11, 11.0)], "g string, t long, v double")

@@ -75,3 +75,14 @@ def test_odd_rows(odd_docs, no_docs):
     out = op.training_order(odd_docs)
     assert out.columns == [c for c in odd_docs.columns if c != "mix_epoch"] + ["mix_epoch", "mix_words", "mix_position"] and out.count() > 0
     assert op.curriculum(no_docs).count() == 0 and op.training_order(no_docs).count() == 0
+
+
+def test_query_gives_the_times_of_the_schedules(spark):
+    from tests.conftest import SF
+
+    got = op.op8_mixing(spark, SF).collect()
+    assert all((r.first_position is None) == (r.taken == 0) == (r.last_position is None) for r in got)
+    assert all(0 <= r.first_position <= r.last_position <= 1 for r in got if r.taken)
+    order = op.training_order(spark.read.parquet(f"{SF}/documents.parquet"))
+    want = order.groupBy("doc_id").agg(F.round(F.min("mix_position"), 6).alias("a"), F.round(F.max("mix_position"), 6).alias("b"))
+    assert {(r.doc_id, r.first_position, r.last_position) for r in got if r.taken} == {tuple(r) for r in want.collect()}

@@ -157,9 +157,29 @@ def training_order(docs: DataFrame, **params) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, size, source_size, target and taken of every document."""
+    """doc_id, size, source_size, target and taken of every document, and the training times of its first and last pass (null: in none)."""
     plan = curriculum(table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken")
+    at = F.transform("passes", lambda p: F.round(p["position"], 6))
+    return plan.select("doc_id", "size", "source_size", "target", "taken",
+                       F.array_min(at).alias("first_position"), F.array_max(at).alias("last_position"))
+
+
+def _position_sql(start: str) -> str:
+    """``demand_time`` of the source's schedule in SQL, for the demand ``start``."""
+    num = lambda x: f"'{float(x)!r}'::DOUBLE"
+    share = f"coalesce(({start})::DOUBLE / nullif(target, 0), {num(0)})"
+    times = []
+    for knots in SCHEDULES:
+        pieces = _pieces(knots)
+        whens = []
+        for i, (t0, t1, level, slope, before) in enumerate(pieces):
+            need = f"greatest({share} - {num(before)}, {num(0)})"
+            root = f"sqrt(greatest({num(level * level)} + {num(2 * slope)} * {need}, {num(0)}))"
+            t = f"least({num(t0)} + coalesce({num(2)} * {need} / nullif({num(level)} + {root}, 0), {num(0)}), {num(t1)})"
+            whens.append(f"WHEN {share} < {num(pieces[i + 1][4])} THEN {t}" if i + 1 < len(pieces) else f"ELSE {t}")
+        times.append(f"CASE {' '.join(whens)} END" if len(pieces) > 1 else whens[0][5:])
+    schedules = " ".join(f"WHEN {i} THEN {t}" for i, t in enumerate(times))
+    return f"round(least(CASE place % {len(SCHEDULES)} {schedules} END, {num(1)}), 6)"
 
 
 SQL = r"""
@@ -176,16 +196,20 @@ levels AS (
          row_number() OVER (ORDER BY cap / weight, place) AS nth
   FROM weighed),
 final AS (SELECT level FROM levels WHERE level * weight <= cap ORDER BY nth LIMIT 1),
-targets AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM final) * weight, cap)) AS target FROM levels),
+targets AS (SELECT source, place, source_size, least(cap, coalesce((SELECT level FROM final) * weight, cap)) AS target FROM levels),
 cum AS (
-  SELECT b.doc_id, b.size, t.source_size, t.target,
+  SELECT b.doc_id, b.size, t.source_size, t.target, t.place,
          coalesce(sum(b.size) OVER (PARTITION BY b.source ORDER BY ord, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
   FROM base b JOIN targets t ON b.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
        (least(size, greatest(floor(target)::BIGINT - before, 0))
-        + least(size, greatest(floor(target)::BIGINT - source_size - before, 0)))::BIGINT AS taken
-FROM cum
-"""
+        + least(size, greatest(floor(target)::BIGINT - source_size - before, 0)))::BIGINT AS taken,
+       CASE WHEN first > 0 THEN p0 WHEN again > 0 THEN p1 END AS first_position,
+       CASE WHEN again > 0 THEN p1 WHEN first > 0 THEN p0 END AS last_position
+FROM (SELECT *, least(size, greatest(floor(target)::BIGINT - before, 0)) AS first,
+             least(size, greatest(floor(target)::BIGINT - source_size - before, 0)) AS again,
+             @FIRST@ AS p0, @AGAIN@ AS p1 FROM cum)
+""".replace("@FIRST@", _position_sql("before")).replace("@AGAIN@", _position_sql("source_size + before"))
 
 QUERIES = {"op8_mixing": op8_mixing}
 ORACLES = {"op8_mixing": SQL}

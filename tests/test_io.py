@@ -97,3 +97,11 @@ def test_split_csv_reads_the_same_rows(spark, tmp_path, size):
                 assert spark.read.text(path).rdd.getNumPartitions() > 20
         finally:
             spark.conf.set(name, usual)
+
+
+def test_split_size_grows_with_the_files(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"x" * 100_000)
+    assert IO.split_bytes(spark, str(tmp_path), 8192) == 8192
+    (tmp_path / "b").write_bytes(b"x" * 8_092_001)
+    assert IO.split_bytes(spark, str(tmp_path), 8192) == 16_001
+    assert IO.split_bytes(spark, str(tmp_path), 8192, tasks=2, most=1_000_000) == 1_000_000

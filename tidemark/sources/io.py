@@ -110,10 +110,18 @@ _ESCAPED = r"\\."
 
 def _open_quotes(line):
     """Whether a line holds an odd number of quotes that no backslash escapes."""
-    bare = F.regexp_replace(line, _ESCAPED, "")
+    bare = F.when(F.contains(line, F.lit("\\")), F.regexp_replace(line, _ESCAPED, "")).otherwise(line)
     return F.pmod(F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit(""))), F.lit(2)) == 1
 
 
+def split_bytes(spark: SparkSession, path: str, least: int, tasks: int = 512, most: int = 128 << 20) -> int:
+    """A split size that reads what lies under ``path`` by about ``tasks`` tasks: fixed small splits would cost a task each, and
+    ``load_csv_split`` an entry each on the driver, however large the files are."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return min(max(least, -(-size // tasks)), most)
+
+
 def load_csv_split(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t", header: bool = False) -> DataFrame:
     """S7 for large files: as ``bulk_load_csv``, but a file is read by as many tasks as it has splits.
 
@@ -122,7 +130,7 @@ def load_csv_split(spark: SparkSession, path: str, schema: T.StructType, sep: st
     its splits; what crosses a border (at most two pieces per split) is joined from the pieces.  Both scans have to see the same splits, so the
     result must be read under the same ``spark.sql.files.maxPartitionBytes``; a split that the first did not see is an error."""
     lines = spark.read.option("lineSep", "\n").text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+        "value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
     odd = lines.groupBy("file", "start").agg(F.sum(_open_quotes(F.col("value")).cast("int")).alias("q"))
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     inside = odd.withColumn("inside", F.pmod(F.coalesce(F.sum("q").over(before), F.lit(0)), F.lit(2)) == 1)
@@ -130,7 +138,7 @@ def load_csv_split(spark: SparkSession, path: str, schema: T.StructType, sep: st
     sent = spark.sparkContext.broadcast({(r["file"], r["start"]): r["inside"] for r in inside.collect()})
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(file, start, piece, text): whole records (piece 0), or the end (1) and the beginning (2) of one that crosses the split's borders, or a
+        """(hash of the file's path, start, piece, text): whole records (piece 0), or the end (1) and the beginning (2) of one that crosses the split's borders, or a
         split that is all inside a record (3)."""
         escaped, names = re.compile(_ESCAPED, re.S), ["file", "start", "piece", "text"]
         split, held, opened, started = None, [], False, True
@@ -142,7 +150,7 @@ def load_csv_split(spark: SparkSession, path: str, schema: T.StructType, sep: st
 
         def flush() -> pa.RecordBatch:
             cols = list(zip(*out)) or [(), (), (), ()]
-            rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int32(), pa.string()))], names)
+            rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.string()))], names)
             out.clear()
             return rows
 
@@ -165,7 +173,7 @@ def load_csv_split(spark: SparkSession, path: str, schema: T.StructType, sep: st
         if out:
             yield flush()
 
-    got = lines.mapInArrow(records, "file string, start long, piece int, text string")
+    got = lines.mapInArrow(records, "file long, start long, piece int, text string")
     whole = got.where("piece = 0").select("file", "start", "text")
     # In file order an end comes before the beginning in the same split; a beginning opens the next record.
     order = Window.partitionBy("file").orderBy("start", "piece")

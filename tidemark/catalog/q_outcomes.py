@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog import sqlsrc
-from tidemark.catalog.common import bars_all, prep, shared
+from tidemark.catalog.common import bars_1h, bars_all, bars_every, prep, shared
 from tidemark.functions import clean as C
 from tidemark.operators import indicators as I
 from tidemark.operators import joins as J
@@ -24,14 +24,8 @@ def rnd(df, cols, n=6):
     return df.withColumns({c: F.round(F.col(c).cast("double"), n) for c in cols})
 
 
-def bars_1h(spark, sf):
-    prep(spark)
-    return A.bars_events(spark, sf, "1h")
-
-
 def bars_plan(spark, sf):
-    prep(spark)
-    return A.bars_events(spark, sf, "15m").unionByName(A.bars_events(spark, sf, "1h"))
+    return bars_every(spark, sf, "15m").unionByName(bars_1h(spark, sf))
 
 
 SQL_BARS_1H = sqlsrc.bars_events("1h")

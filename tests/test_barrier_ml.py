@@ -3,6 +3,7 @@
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.plans import barrier_ml as ML
 
@@ -39,3 +40,21 @@ def test_train_rows_without_any_feature_value(spark):
     model, metrics = ML.train(ds, replace(CFG, max_iter=1))
     assert metrics.first().n_train == 8
     assert ML.score(model, ds, CFG).where("p_win IS NOT NULL").count() == 8
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_fewer_train_rows_than_weekdays(spark, n):
+    """The weekday has a value for each day and one for unseen days: more than there are training rows."""
+    days = ["Mon", "Tue", "Wed"]
+    ds = dataset(spark, [(h, "train", 1, float(h)) for h in range(n)] + [(101, "valid", 1, 3.0), (102, "valid", 0, 4.0), (201, "test", 1, 5.0)])
+    day = F.when(F.col("split") == "test", "Sun").otherwise(F.element_at(F.array(*map(F.lit, days)), (F.col("open_time") / H).cast("int") % 3 + 1))
+    ds = ds.withColumn("dow_syd", day)
+    model, metrics = ML.train(ds, CFG)
+    m = metrics.first()
+    assert (m.n_train, m.n_valid, m.auc_train) == (n, 2, None) and m.auc_valid == 0.5
+    assert {r.feature for r in ML.importances(model, spark).collect()} == {*ML.FEATURES, "dow_syd_idx"}
+    assert ML.permutation_importance(model, ds, ["atrp"], frac=1.0).count() == 1
+    preds = ML.score(model, ds, CFG)
+    assert preds.where("p_win > 0.5 AND take_trade = 1").count() == n + 3  # only wins were seen
+    trades = spark.createDataFrame([("X", "S", "1h", 101 * H)], "exchange string, symbol string, interval string, entry_time_utc long")
+    assert ML.ml_filter(trades, preds).count() == 1

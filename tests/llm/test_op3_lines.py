@@ -1,6 +1,9 @@
 import random
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
+from tidemark.llm import common
 from tidemark.llm import op3_lines as op
 from tidemark.llm.common import UnionFind
 
@@ -108,3 +111,39 @@ def test_odd_rows(odd_docs, no_docs):
     assert sum(g[1] == "one two three four five six seven" for g in got) == 2  # repeated rows agree
     assert (2, "", 0) in got and (8, "idiot\nx\n", 8) in got and (0, None, None) in got and (6, " \n\t ", 4) in got
     assert op.dedup_lines(no_docs).count() == 0
+
+
+def test_bands_meet_in_blocks_wherever_their_rows_are(spark):
+    rng, bands, block = random.Random(5), 3, 4
+    rows, bucket = [], defaultdict(set)
+    for i in range(400):
+        keys = [7 if b == 0 and i % 2 else rng.randrange(150) * 2**56 + b for b in range(bands)]  # key 7: a hot bucket
+        sketch = 2**40 - 1 if i % 50 == 3 and keys[0] != 7 else rng.randrange(4)
+        rows.append((i, b"".join((x & 2**64 - 1).to_bytes(8, "little") for x in [*keys, sketch])))
+        for x in keys:
+            bucket[x - 2**64 if x >= 2**63 else x].add((i, sketch))
+    want = {frozenset((a, b)) for m in bucket.values() for a, s in m for b, t in m if a < b and (s ^ t).bit_count() <= 18}
+    for parts in (1, 13):
+        df = spark.createDataFrame(rows, "id long, keys binary").repartition(5)
+        blocks = common.materialize(common.band_blocks(df, bands, parts, block, 18, run_keys=64), "test-blocks")
+        assert all(len(r.members) <= block and r.members and len(r.members) == len(r.orders) for r in blocks.collect())
+        met = {frozenset((a, b)) for u in common.block_units(blocks).collect() for a in u.a for b in (u.b or u.a) if a != b}
+        assert want <= met
+        hot = blocks.where("k = 7").groupBy(F.spark_partition_id()).count().count()
+        assert parts == 1 or hot > 1
+
+
+def test_bins_bound_what_two_sets_share():
+    rng = random.Random(12)
+    lines = ["".join(rng.choice("abcé漢😀 ") if rng.random() < 0.05 else rng.choice("abcd") for _ in range(rng.randint(1, 60))) for _ in range(200)]
+    sets, size, counts = op._sets(lines)
+    for x, s, n in zip(lines, sets, size):
+        assert op._as_set(s) == op._as_set(op.shingles(x)) and len(s) == n
+    for _ in range(2000):
+        i, j = rng.randrange(200), rng.randrange(200)
+        assert len(op._as_set(sets[i]) & op._as_set(sets[j])) <= min(counts[i].sum(), counts[j].sum(), sum(map(min, counts[i].tolist(), counts[j].tolist())))
+
+
+def test_lines_of_a_text_in_normal_form():
+    for t in ["a b\nC d", " a\nb", "a \nb", "a\n b", "a  b\n\nc", "a\tb\r\nc", "x y\nz", "ΑΣ\nΣ", "a\x1cb", "é\n", "\n", "a\x85b\x0bc "]:
+        assert op.normal_lines(t) == [op.normal(x) for x in t.split("\n")]

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,17 +76,14 @@ def salted(n_salts: int, *cols: str):
 LAGS = 32
 
 
-def bucket_blocks(rows: DataFrame, key: str, member: str, order: str, block: int, differing: int | None = None) -> DataFrame:
+def bucket_blocks(rows: DataFrame, key: str, member: str, order: str, block: int) -> DataFrame:
     """Cut the members of every bucket into blocks of at most ``block``.
 
     ``rows`` has a long ``key``, a long ``member`` and a long ``order``.  The
     rows are range-partitioned by (key, order, member), so a bucket that holds
     a third of all rows spreads over many tasks.  Returns (k, block_id,
     members array<long>, orders array<long>).  Block ids are unique.  Buckets of one member
-    are left out, but for those at a partition's border, which may go on in the next.
-
-    ``differing``: ``order`` is a 64-bit sketch, and a member of a bucket of up to ``LAGS`` that differs from
-    all others in more bits than this is left out as well (larger buckets and those at a border keep all members)."""
+    are left out, but for those at a partition's border, which may go on in the next."""
     n = partitions(rows)
     parts = (rows.select(F.col(key).alias("k"), F.col(order).alias("o"), F.col(member).alias("m"))
              .repartitionByRange(n, "k", "o", "m").sortWithinPartitions("k", "o", "m"))
@@ -94,17 +92,6 @@ def bucket_blocks(rows: DataFrame, key: str, member: str, order: str, block: int
         held_k, held_m, held_o = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         first = open_key = None  # the partition's first key; the key of which a block has gone out already
 
-        def partnered(k: np.ndarray, o: np.ndarray, size: np.ndarray) -> np.ndarray:
-            """Members that have a near sketch in their bucket, or whose bucket is too large to say."""
-            near = size > LAGS
-            for lag in range(1, min(LAGS, len(k))):
-                same = np.flatnonzero(k[lag:] == k[:-lag])
-                if not len(same):
-                    break
-                hit = same[np.bitwise_count((o[same] ^ o[same + lag]).view(np.uint64)) <= differing]
-                near[hit] = near[hit + lag] = True
-            return near
-
         def emit(k: np.ndarray, m: np.ndarray, o: np.ndarray, last: bool):
             """The complete blocks and what is carried on.  A bucket of one member goes out only at
             the partition's borders, where its neighbour may hold more of it."""
@@ -124,7 +111,7 @@ def bucket_blocks(rows: DataFrame, key: str, member: str, order: str, block: int
             k, m, o = k[:keep], m[:keep], o[:keep]
             border = (k == first) | (k == open_key) | (last & (k == k[-1]))
             open_key = k[-1]
-            stays = border | (size > 1 if differing is None else partnered(k, o, size))
+            stays = border | (size > 1)
             k, m, o, own = k[stays], m[stays], o[stays], own[stays]
             if not len(k):
                 return None, *rest
@@ -159,6 +146,105 @@ def bucket_blocks(rows: DataFrame, key: str, member: str, order: str, block: int
             .withColumn("block_id", F.monotonically_increasing_id()))
 
 
+def _partnered(k: np.ndarray, o: np.ndarray, size: np.ndarray, differing: int) -> np.ndarray:
+    """Members of sorted buckets that have a near sketch in their bucket, or whose bucket is too large to say."""
+    near = size > LAGS
+    for lag in range(1, min(LAGS, len(k))):
+        same = np.flatnonzero(k[lag:] == k[:-lag])
+        if not len(same):
+            break
+        hit = same[np.bitwise_count((o[same] ^ o[same + lag]).view(np.uint64)) <= differing]
+        near[hit] = near[hit + lag] = True
+    return near
+
+
+def band_blocks(rows: DataFrame, bands: int, parts: int, block: int, differing: int, run_keys: int = 1 << 20) -> DataFrame:
+    """(k, block_id, members array<long>, orders array<long>, several boolean: whether the bucket may have more blocks), blocks as those of ``bucket_blocks``, for rows (id long from 0 on,
+    keys binary: ``bands`` band keys and a sketch, 64 bits each).  A member of a bucket of up to ``LAGS`` whose sketch differs from all
+    others in more than ``differing`` bits is left out, as is a bucket of one member.
+
+    Band keys are evenly spread hashes: ``parts`` equal ranges of them are the groups in which members meet.  The keys travel packed,
+    a run of rows and a part at a time.  A bucket with more than a block of members in one run sends its full blocks straight on, each
+    to a task of its own choice, and only the rest and a mark to its part: a hot bucket spreads over all tasks, and
+    its part gets at most a block of it per run."""
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        held, n = [], 0
+        for b in batches:
+            if b.num_rows:
+                keys = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64).reshape(-1, bands + 1)
+                held.append((b.column(0).to_numpy(), keys))
+                n += keys.size
+            if n >= run_keys:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, n = [], 0
+        if held:
+            yield tuple(map(np.concatenate, zip(*held)))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, keys in runs(batches):
+            k = keys[:, :bands].ravel().view(np.uint64)
+            order = np.argsort(k)
+            k, o, m = k[order], keys[order // bands, bands], ids[order // bands]
+            start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+            size = np.diff(np.r_[start, len(k)])
+            full: list[tuple[int, bytes, bytes, bytes]] = []
+            stays = np.ones(len(k), bool)
+            marks = []
+            for s, n in zip(start[size > block].tolist(), size[size > block].tolist()):
+                own = s + np.lexsort((m[s:s + n], o[s:s + n]))
+                for at in range(0, n - n % block, block):
+                    x = own[at:at + block]
+                    spread = parts + (int(m[x[0]]) * 0x9E3779B1 + int(k[s]) & 0xFFFFFFFF) % parts
+                    full.append((spread, *(v[x].tobytes() for v in (k, o, m))))
+                stays[own[:n - n % block]] = False
+                marks.append(k[s])
+            if marks:
+                mark = np.array(marks, np.uint64)
+                k, o, m = np.r_[k[stays], mark], np.r_[o[stays], np.zeros(len(mark), np.int64)], np.r_[m[stays], np.full(len(mark), -1)]
+                order = np.argsort(k)
+                k, o, m = k[order], o[order], m[order]
+            p = ((k >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            cuts = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
+            ends = [*cuts[1:].tolist(), len(k)]
+            some = [(int(p[a]), *(v[a:z].tobytes() for v in (k, o, m))) for a, z in zip(cuts.tolist(), ends)] + full
+            for lo in range(0, len(some), 1000):
+                part, *packs = zip(*some[lo:lo + 1000])
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), *(pa.array(x, pa.binary()) for x in packs)], ["p", "k", "o", "m"])
+
+    def meet(group: pa.Table) -> pa.Table:
+        k, o, m = (np.frombuffer(b"".join(group.column(c).to_pylist()), np.int64) for c in "kom")
+        if group.column("p")[0].as_py() >= parts:  # full blocks
+            several = np.ones(len(k), bool)
+            cuts = np.arange(0, len(k), block)
+        else:
+            order = np.argsort(k)
+            twice = k[order[1:]] == k[order[:-1]]
+            order = order[np.r_[False, twice] | np.r_[twice, False]]
+            k, o, m = k[order], o[order], m[order]
+            marked = np.unique(k[m < 0])
+            k, o, m = k[m >= 0], o[m >= 0], m[m >= 0]
+            order = np.lexsort((m, o, k))
+            k, o, m = k[order], o[order], m[order]
+
+            def sizes():
+                start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.empty(0, np.int64)
+                size = np.diff(np.r_[start, len(k)])
+                return np.arange(len(k)) - np.repeat(start, size), np.repeat(size, size)
+
+            hot = np.isin(k, marked)
+            stays = _partnered(k, o, sizes()[1], differing) | hot
+            k, o, m, hot = k[stays], o[stays], m[stays], hot[stays]
+            several = hot | (sizes()[1] > block)
+            cuts = np.flatnonzero(sizes()[0] % block == 0)
+        ends = pa.array(np.r_[cuts, len(k)].astype(np.int32), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in (m, o)]
+        return pa.Table.from_arrays([pa.array(k[cuts], pa.int64()), *lists, pa.array(several[cuts])], ["k", "members", "orders", "several"])
+
+    dealt = rows.select("id", "keys").mapInArrow(deal, "p long, k binary, o binary, m binary")
+    return (dealt.groupBy("p").applyInArrow(meet, "k long, members array<long>, orders array<long>, several boolean")
+            .withColumn("block_id", F.monotonically_increasing_id()))
+
+
 def block_units(blocks: DataFrame) -> DataFrame:
     """Work units of a materialized block table: every block with itself if it has
     two members, and every two blocks of one bucket.  (a, a_orders, b, b_orders), members and orders;
@@ -167,8 +253,11 @@ def block_units(blocks: DataFrame) -> DataFrame:
     none = F.lit(None).cast("array<long>")
     a = blocks.select("k", F.col("block_id").alias("ia"), F.col("members").alias("a"), F.col("orders").alias("a_orders"))
     solo = a.where(F.size("a") > 1).select("a", "a_orders", none.alias("b"), none.alias("b_orders"))
-    split = blocks.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
-    several = a.join(split, "k", "left_semi")
+    if "several" in blocks.columns:
+        several = blocks.where("several").select("k", F.col("block_id").alias("ia"), F.col("members").alias("a"), F.col("orders").alias("a_orders"))
+    else:
+        split = blocks.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
+        several = a.join(split, "k", "left_semi")
     b = several.select("k", F.col("ia").alias("ib"), F.col("a").alias("b"), F.col("a_orders").alias("b_orders"))
     return solo.unionByName(several.join(b, "k").where("ia < ib").select("a", "a_orders", "b", "b_orders"))
 
@@ -178,8 +267,15 @@ def near_members(units: DataFrame, differing: int) -> DataFrame:
     differ from some member they are to be compared with in at most ``differing`` bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unit, side, ids, sketches = [], [], [], []
+            # members of one small bucket have been compared already
+            length = pc.list_value_length(batch.column(1)).to_numpy()
+            plain = batch.column(3).is_null().to_numpy(zero_copy_only=False) & (length <= LAGS)
+            whole = batch.filter(pa.array(plain))
+            unit, side = [np.repeat(whole.column(0).to_numpy(), length[plain])], [np.zeros(length[plain].sum(), np.int32)]
+            ids, sketches = ([whole.column(i).flatten().to_numpy()] for i in (1, 2))
             for r in range(batch.num_rows):
+                if plain[r]:
+                    continue
                 no, a, oa, b, ob = (batch.column(i)[r] for i in range(5))
                 a, oa = a.values.to_numpy(), oa.values.to_numpy().view(np.uint64)
                 if b.is_valid:

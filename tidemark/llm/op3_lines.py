@@ -25,17 +25,19 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import UnionFind, block_units, bucket_blocks, components, drop_table, materialize, near_members, packed, table
+from tidemark.llm.common import UnionFind, band_blocks, block_units, components, drop_table, materialize, near_members, packed, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -44,8 +46,13 @@ DIFFERING = 18
 #: Hashes that spread a line's shingles over the bins before bins that stay empty get hashes of their own.
 ROUNDS = 6
 MISSED = 0.0035
-HELD_SHINGLES = 1_000_000
+#: Bytes of packed lines that are verified together, but for a longer unit.
+HELD_BYTES = 1 << 20
 BLOCK = 256
+#: Bins of a shingle set's counts, which bound what two sets can share.
+COUNT_BINS = 256
+#: Band keys that are sorted together.
+PART_KEYS = 1 << 17
 #: Bits of the table of lines whose text is wanted: 16 MB in a task, whatever their number.
 TABLE_BITS = 27
 _NONE = np.uint32(0xFFFFFFFF)
@@ -55,6 +62,18 @@ def normal(line: str) -> str:
     return " ".join(line.lower().split())
 
 
+#: What a text may hold that leaves its lines other than their normal form.
+_ODD = re.compile(r"[^\S\n ]")
+
+
+def normal_lines(text: str) -> list[str]:
+    """``normal`` of every line of a text."""
+    text = text.lower()
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _ODD.search(text):
+        return [" ".join(x.split()) for x in text.split("\n")]
+    return text.split("\n")
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -128,8 +147,8 @@ def band_keys(lines: list[str], bands: int, rows: int) -> np.ndarray:
     lengths = np.fromiter(map(len, padded), np.int64, len(padded))
     out = np.empty((len(lines), bands + 1), np.uint64)
     lo = 0
-    while lo < len(lines):  # runs of about a million code points, or one longer line
-        hi = max(lo + 1, int(np.searchsorted(np.cumsum(lengths[lo:]), 1 << 20, side="right")) + lo)
+    while lo < len(lines):  # runs that stay in the cache, or one longer line
+        hi = max(lo + 1, int(np.searchsorted(np.cumsum(lengths[lo:]), 1 << 18, side="right")) + lo)
         n = hi - lo
         codes = np.frombuffer("".join(padded[lo:hi]).encode("utf-32-le", "surrogatepass"), np.uint32)
         own = lengths[lo:hi]
@@ -171,11 +190,7 @@ def shingles(line: str):
     codes = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), np.uint32)
     if codes.max() >= 4096:
         return {padded[i:i + SHINGLE] for i in range(len(padded) - SHINGLE + 1)}
-    codes = codes.astype(np.uint64)
-    packed = np.zeros(len(codes) - SHINGLE + 1, np.uint64)
-    for i in range(SHINGLE):
-        packed = packed << np.uint64(12) | codes[i:i + len(packed)]
-    return np.unique(packed)
+    return np.unique(_packed_codes([codes[i:len(codes) - SHINGLE + 1 + i] for i in range(SHINGLE)]))
 
 
 def _as_set(x) -> set:
@@ -188,25 +203,38 @@ def _row_columns(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of lines (of line feeds and one for each text) of the batches."""
+    n = 0
+    for b in batches:
+        n += (pc.sum(pc.count_substring(b.column(0), "\n")).as_py() or 0) + b.num_rows - b.column(0).null_count
+    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+
+def _binaries(rows: np.ndarray) -> pa.Array:
+    """One binary value for each row of a matrix."""
+    data = np.ascontiguousarray(rows)
+    width = data.itemsize * (data.shape[1] if data.ndim > 1 else 1)
+    ends = np.arange(len(data) + 1, dtype=np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
 def _lines(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per non-blank line: its document, number, digest, band keys and sketch."""
+        """One row per non-blank line: its document, number, digest and, packed, its band keys and sketch."""
         for b in batches:
             row, pos, lines = [], [], []
             size = 0
 
             def out():
                 digests = [hashlib.md5(x.encode("utf-8", "surrogatepass")).digest() for x in lines]
-                keys = band_keys(lines, bands, rows)
                 at = pa.array(row, pa.int64())
-                own = pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1) * bands, pa.int32()), pa.array(keys[:, :bands].ravel()))
                 return pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(pos, pa.int32()), pa.array(digests, pa.binary()),
-                                                   own, pa.array(np.ascontiguousarray(keys[:, bands]))], ["doc_id", "text_hash", "pos", "line", "bands", "sketch"])
+                                                   _binaries(band_keys(lines, bands, rows))], ["doc_id", "text_hash", "pos", "line", "keys"])
 
             for i, t in enumerate(b.column(2)):
                 t = t.as_py()
-                for n, x in enumerate(t.split("\n") if t else ()):
-                    x = normal(x)
+                for n, x in enumerate(normal_lines(t) if t else ()):
                     if x:
                         row.append(i)
                         pos.append(n)
@@ -220,46 +248,108 @@ def _lines(bands: int, rows: int):
     return run
 
 
+def _packed_codes(codes: list[np.ndarray]) -> np.ndarray:
+    """Numbers of shingles from their code points (twelve bits each): one to one below 4096, elsewhere a function of the shingle still."""
+    out = codes[0].astype(np.uint64)
+    for c in codes[1:]:
+        out = out << np.uint64(12) | c
+    return out
+
+
+def _sets(lines: list[str]) -> tuple[list, np.ndarray, np.ndarray]:
+    """The sets of ``shingles`` for many lines, their sizes, and how many members of each fall into each bin (a function of the shingle)."""
+    padded = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
+    length = np.fromiter(map(len, padded), np.int64, len(padded))
+    first = np.cumsum(length) - length
+    codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32)
+    high = np.maximum.reduceat(codes, first) >= 4096
+    number = _packed_codes([codes[i:len(codes) - SHINGLE + 1 + i] for i in range(SHINGLE)])
+    keep = np.ones(len(number), bool)
+    for i in range(1, SHINGLE):  # shingles that run over the end of a line
+        keep[first[1:] - i] = False
+    for lo, n in zip(first.tolist(), length.tolist()):
+        number[lo:lo + n - SHINGLE + 1].sort()
+    new = np.r_[True, number[1:] != number[:-1]]
+    new[first] = True
+    keep &= new & ~np.repeat(high, length)[:len(keep)]
+    size = np.add.reduceat(keep, first, dtype=np.int64)
+    number = number[keep]
+    ends = np.cumsum(size)
+    sets: list = [number[z - n:z] for z, n in zip(ends.tolist(), size.tolist())]
+    bins = (_mix(number) >> np.uint64(40)).astype(np.int64) % COUNT_BINS
+    counts = np.bincount(np.repeat(np.arange(len(sets)) * COUNT_BINS, size) + bins, minlength=len(sets) * COUNT_BINS).reshape(-1, COUNT_BINS)
+    for i in np.flatnonzero(high).tolist():
+        sets[i] = shingles(lines[i])
+        size[i] = len(sets[i])
+        own = np.frombuffer("".join(sets[i]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, SHINGLE)
+        bins = (_mix(_packed_codes(list(own.T))) >> np.uint64(40)).astype(np.int64) % COUNT_BINS
+        counts[i] = np.bincount(bins, minlength=COUNT_BINS)
+    return sets, size, counts.astype(np.uint16 if size.max() < 1 << 16 else np.int64)
+
+
 def _verify(least: float):
-    """Links that connect the members of a unit: exact similarity of the pairs whose sketches are near."""
+    """Links that connect the members of a unit, of rows (unit, side, id, sketch, text) whose units are not torn: exact similarity of the
+    pairs whose sketches are near.
+
+    Two sets share at most the smaller count of each bin (``_sets``), so a pair whose bins cannot hold enough shared
+    shingles is not similar, whatever the shingles are; all other pairs are compared shingle by shingle."""
+    def links(rows: pa.Table) -> list[pa.Array]:
+        unit, side, ids, sketch = (rows.column(i).to_numpy() for i in range(4))
+        order = np.lexsort((ids, side, unit))
+        unit, side, ids, sketch = unit[order], side[order], ids[order], sketch[order].view(np.uint64)
+        distinct, place, at = np.unique(ids, return_index=True, return_inverse=True)
+        texts = rows.column(4).take(pa.array(order[place])).to_pylist()
+        sets, sizes, counts = _sets([zlib.decompress(t).decode("utf-8", "surrogatepass") for t in texts])
+
+        start = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+        size = np.diff(np.r_[start, len(unit)])
+        pairs = start[size == 2]
+        firsts, seconds = [pairs], [pairs + 1]
+        for lo, n in zip(start[size > 2].tolist(), size[size > 2].tolist()):
+            x, y = sketch[lo:lo + n], side[lo:lo + n]
+            cut = int((y == 0).sum())
+            near = np.bitwise_count(x[:cut, None] ^ x[None, :]) <= DIFFERING
+            i, j = np.nonzero(np.triu(near, 1) if cut == n else near & (y == 1))
+            firsts.append(i + lo)
+            seconds.append(j + lo)
+        i, j = np.concatenate(firsts), np.concatenate(seconds)
+        known, judged, found = UnionFind(len(ids)), {}, []  # rows of different units are never joined
+        for lo in range(0, len(i), 4096):
+            x, y = at[i[lo:lo + 4096]], at[j[lo:lo + 4096]]
+            both, total = np.minimum(counts[x], counts[y]).sum(axis=1, dtype=np.int64), sizes[x] + sizes[y]
+            may = np.flatnonzero((both >= least * (total - both)) & (x != y))
+            for k, n, *pair in zip(i[lo + may].tolist(), j[lo + may].tolist(), x[may].tolist(), y[may].tolist()):
+                if known.find(k) == known.find(n):
+                    continue
+                pair = tuple(pair)
+                if pair not in judged:
+                    judged[pair] = similar(sets[pair[0]], sets[pair[1]], least)
+                if judged[pair]:
+                    known.union(k, n)
+                    found.append(pair)
+        found = np.array(found, np.int64).reshape(-1, 2)
+        return [pa.array(distinct[found[:, i]], pa.int64()) for i in (0, 1)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for b in batches:
-            left, right, sets, judged, held = [], [], {}, {}, 0
-            for r in range(b.num_rows):
-                members = b.column(0)[r].as_py()
-                if held > HELD_SHINGLES:  # what is remembered for the next units of the batch stays bounded
-                    sets, judged, held = {}, {}, 0
-                members.sort(key=lambda m: (m["side"], m["id"]))
-                cut = sum(m["side"] == 0 for m in members)
-                sketch = np.array([m["sketch"] for m in members], np.int64).view(np.uint64)
-                near = np.bitwise_count(sketch[:cut, None] ^ sketch[None, :]) <= DIFFERING
-                if cut < len(members):
-                    near[:, :cut] = False
-                known = UnionFind(len(members))
-                for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
-                    if i >= j or known.find(i) == known.find(j):
-                        continue
-                    pair = members[i]["id"], members[j]["id"]
-                    if pair not in judged:
-                        for m in (members[i], members[j]):
-                            if m["id"] not in sets:
-                                text = zlib.decompress(m["text"]).decode("utf-8", "surrogatepass")
-                                sets[m["id"]] = shingles(text)
-                                held += len(text)
-                        judged[pair] = similar(sets[pair[0]], sets[pair[1]], least)
-                    if judged[pair]:
-                        known.union(i, j)
-                        left.append(pair[0])
-                        right.append(pair[1])
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+            held = pa.concat_tables([held, pa.Table.from_batches([b])]).combine_chunks() if held else pa.Table.from_batches([b])
+            if held.nbytes > HELD_BYTES:  # the units that are looked at together stay bounded; the last may go on
+                unit = held.column(0).to_numpy()
+                cut = int(np.searchsorted(unit, unit[-1])) if len(unit) else 0
+                if cut:
+                    yield pa.RecordBatch.from_arrays(links(held.slice(0, cut)), ["a", "b"])
+                    held = held.slice(cut)
+        if held:
+            yield pa.RecordBatch.from_arrays(links(held), ["a", "b"])
     return run
 
 
-def _slot(row: int, pos: int) -> int:
-    """Slot of a line (``pos`` -1: of its document) in the bit table."""
-    h = (row + (pos + 1) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
-    h = (h ^ (h >> 31)) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
-    return (h ^ (h >> 29)) & ((1 << TABLE_BITS) - 1)
+def _slots(row: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Slots of lines (``pos`` -1: of their documents) in the bit table."""
+    h = row.view(np.uint64) + (pos.astype(np.int64) + 1).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((h ^ (h >> np.uint64(29))) & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
 
 
 def _texts(three: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -268,9 +358,9 @@ def _texts(three: DataFrame, wanted: DataFrame) -> DataFrame:
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
         for b in batches:
-            for r, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for s in (_slot(r, -1), _slot(r, p)):
-                    got[s >> 3] |= 1 << (s & 7)
+            r, p = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for s in (_slots(r, np.full(len(r), -1)), _slots(r, p)):
+                np.bitwise_or.at(got, s >> 3, np.uint8(1) << (s & 7).astype(np.uint8))
         used = np.flatnonzero(got)
         if len(used):
             yield pa.RecordBatch.from_arrays([pa.array([used.astype(np.int32).tobytes()], pa.binary()),
@@ -283,23 +373,25 @@ def _texts(three: DataFrame, wanted: DataFrame) -> DataFrame:
     sent = three.sparkSession.sparkContext.broadcast(marks.tobytes())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
+        known = np.frombuffer(sent.value, np.uint8)
 
-        def marked(r: int, p: int) -> bool:
-            s = _slot(r, p)
-            return bool(known[s >> 3] >> (s & 7) & 1)
+        def marked(r: np.ndarray, p: np.ndarray) -> np.ndarray:
+            s = _slots(r, p)
+            return np.flatnonzero(known[s >> 3] >> (s & 7).astype(np.uint8) & 1)
 
         for b in batches:
+            rows = b.column(3).to_numpy()
+            own = marked(rows, np.full(len(rows), -1))
+            lines = [(t.split("\n") if (t := b.column(2)[i].as_py()) else []) for i in own.tolist()]
+            count = np.fromiter(map(len, lines), np.int64, len(lines))
+            doc = np.repeat(np.arange(len(lines)), count)
+            place = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
             at, pos, found = [], [], []
-            for i, (r, t) in enumerate(zip(b.column(3).to_pylist(), b.column(2))):
-                if not marked(r, -1):
-                    continue
-                t = t.as_py()
-                for p, x in enumerate(t.split("\n") if t else ()):
-                    if marked(r, p) and (x := normal(x)):
-                        at.append(i)
-                        pos.append(p)
-                        found.append(zlib.compress(x.encode("utf-8", "surrogatepass"), 1))
+            for i in marked(rows[own][doc], place).tolist():
+                if x := normal(lines[doc[i]][place[i]]):
+                    at.append(own[doc[i]])
+                    pos.append(place[i])
+                    found.append(zlib.compress(x.encode("utf-8", "surrogatepass"), 1))
             take = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(pos, pa.int32()), pa.array(found, pa.binary())],
                                              ["_id", "_hash", "_pos", "text"])
@@ -319,23 +411,21 @@ def _slim(df: DataFrame, name: str, *columns) -> DataFrame:
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, text_hash, removed array<int>): the line numbers that go, for documents that lose any."""
     three = _row_columns(docs)
-    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
-    count = docs.agg(F.sum(breaks.cast("long") + 1)).first()[0] or 0
-    lines = materialize(three.mapInArrow(_lines(*banding(count, similarity)), "doc_id long, text_hash long, pos int, line binary, bands array<long>, sketch long"), "lines")
-    place = F.struct(F.col("doc_id").isNull().alias("anon"), "doc_id", "text_hash", "pos", "sketch", "bands")
+    count = docs.select("text").mapInArrow(_counted, "n long").agg(F.sum("n")).first()[0] or 0
+    bands, rows = banding(count, similarity)
+    lines = materialize(three.mapInArrow(_lines(bands, rows), "doc_id long, text_hash long, pos int, line binary, keys binary"), "lines")
+    place = F.struct(F.col("doc_id").isNull().alias("anon"), "doc_id", "text_hash", "pos", "keys")
     full = materialize(lines.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                        .withColumn("id", F.monotonically_increasing_id()), "line-nodes-full")
     lines = _slim(lines, "lines-slim", "doc_id", "text_hash", "pos", "line")
-    keyed = full.select("id", "first.sketch", F.explode("first.bands").alias("key"))
-    blocks = materialize(bucket_blocks(keyed, "key", "id", "sketch", BLOCK, DIFFERING), "line-blocks")
+    blocks = materialize(band_blocks(full.select("id", "first.keys"), bands, max(1, count * bands // PART_KEYS), BLOCK, DIFFERING), "line-blocks")
     spot = F.struct("first.anon", "first.doc_id", "first.text_hash", "first.pos")
     nodes = _slim(full, "line-nodes", "id", "line", "n", spot.alias("spot"))
     units = block_units(blocks).dropDuplicates(["a", "b"]).withColumn("unit", F.monotonically_increasing_id())
     members = materialize(near_members(materialize(units, "line-units"), DIFFERING), "line-members")
     wanted = materialize(members.select("id").distinct().join(nodes.select("id", "spot"), "id").select("id", "spot.*").drop("anon"), "line-wanted")
-    sets = (members.join(_texts(three, wanted), "id").groupBy("unit")
-            .agg(F.collect_list(F.struct("side", "id", "sketch", "text")).alias("members")))
-    cc = components(sets.select("members").mapInArrow(_verify(similarity), "a long, b long"), "line-cc")
+    sets = members.join(_texts(three, wanted), "id").select("unit", "side", "id", "sketch", "text").repartition("unit").sortWithinPartitions("unit")
+    cc = components(sets.mapInArrow(_verify(similarity), "a long, b long"), "line-cc")
 
     named = nodes.join(cc, F.col("id") == F.col("node"), "left")
     fuzzy = named.where("root IS NOT NULL")

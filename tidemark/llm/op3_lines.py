@@ -11,7 +11,8 @@ probability 0.996 (0.9996 at 0.85).  With a key goes a sketch of one bit from ea
 whose sketch differs from all others in over ``DIFFERING`` bits is no candidate (at 0.8 the sketches differ in 6 bits on
 average, in over 18 about once in 100,000 pairs).
 Band buckets are cut into blocks (a hot bucket spreads over many tasks), each block and each two blocks of a
-bucket are verified in a task on the lines' exact shingle sets; pairs that are already connected are skipped,
+bucket are verified in a task on the lines' exact shingle sets; pairs that are already connected are skipped, as are pairs
+whose bin counts show that they share too little,
 and only a spanning forest of the links leaves the task.  Distributed union-find gives the
 components; the line that comes first (doc_id, text hash, line number; null ids last) is kept, all other lines of the
 component are removed from their documents.
@@ -316,8 +317,9 @@ def _verify(least: float):
         known, judged, found = UnionFind(len(ids)), {}, []  # rows of different units are never joined
         for lo in range(0, len(i), 4096):
             x, y = at[i[lo:lo + 4096]], at[j[lo:lo + 4096]]
-            both, total = np.minimum(counts[x], counts[y]).sum(axis=1, dtype=np.int64), sizes[x] + sizes[y]
-            may = np.flatnonzero((both >= least * (total - both)) & (x != y))
+            may = np.flatnonzero((np.minimum(sizes[x], sizes[y]) >= least * np.maximum(sizes[x], sizes[y])) & (x != y))
+            both, total = np.minimum(counts[x[may]], counts[y[may]]).sum(axis=1, dtype=np.int64), (sizes[x] + sizes[y])[may]
+            may = may[both >= least * (total - both)]
             for k, n, *pair in zip(i[lo + may].tolist(), j[lo + may].tolist(), x[may].tolist(), y[may].tolist()):
                 if known.find(k) == known.find(n):
                     continue
@@ -427,11 +429,10 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     sets = members.join(_texts(three, wanted), "id").select("unit", "side", "id", "sketch", "text").repartition("unit").sortWithinPartitions("unit")
     cc = components(sets.mapInArrow(_verify(similarity), "a long, b long"), "line-cc")
 
-    named = nodes.join(cc, F.col("id") == F.col("node"), "left")
-    fuzzy = named.where("root IS NOT NULL")
+    fuzzy = materialize(nodes.join(cc, F.col("id") == F.col("node")).select("line", "spot", "root"), "line-fuzzy")
     kept = fuzzy.groupBy("root").agg(F.min("spot").alias("kept"))
     again = (fuzzy.join(kept, "root").select("line", "kept")
-             .unionByName(named.where("root IS NULL AND n > 1").select("line", F.col("spot").alias("kept"))))
+             .unionByName(nodes.where("n > 1").join(fuzzy, "line", "left_anti").select("line", F.col("spot").alias("kept"))))
     gone = (lines.select("doc_id", "text_hash", "pos", "line").join(again, "line")
             .where(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("text_hash") == F.col("kept.text_hash"))
                      & (F.col("pos") == F.col("kept.pos")))))

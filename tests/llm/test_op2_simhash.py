@@ -91,3 +91,38 @@ def test_odd_rows(spark, odd_docs, no_docs):
     kept = op.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns and kept.count() == len({(x[1] if x[2] is None else x[2]) for x in brute(rows)})
     assert op.simhash_components(no_docs).count() == 0 and op.keep_one(no_docs).count() == 0
+
+
+def test_search_is_bounded_in_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    flips = np.uint64(1) << rng.integers(0, 64, (2, 2000)).astype(np.uint64)
+    codes = np.unique(np.uint64(0x123456789ABCDEF) ^ flips[0] ^ flips[1])  # any two differ in at most four bits
+    gray = codes.copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        gray ^= gray >> np.uint64(shift)
+    codes = codes[np.argsort(gray)]
+    units = 25
+    index = op.build_index(np.tile(codes, units), np.repeat(np.arange(units), len(codes)))
+    tracemalloc.start()
+    pairs = sum(len(i) for i, _ in op.search_index(index, None, 4))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs == units * len(codes) * (len(codes) - 1) // 2
+    assert peak < 150 << 20, f"{peak >> 20} MB"
+
+
+def test_links_go_out_in_bounded_runs(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(op, "HELD_LINKS", 100)
+    monkeypatch.setattr(op, "INDEXED", 500)
+    blocks = [np.unique(c ^ (np.uint64(1) << np.arange(30, dtype=np.uint64))) for c in rng.integers(0, 2**63, 60, dtype=np.uint64)]
+    lists = pa.array([b.view(np.int64).tolist() for b in blocks] + [blocks[0][:15].view(np.int64).tolist()], pa.list_(pa.int64()))
+    other = pa.array([None] * len(blocks) + [blocks[0][15:].view(np.int64).tolist()], pa.list_(pa.int64()))
+    got = list(op._search(4)(iter([pa.RecordBatch.from_arrays([lists, other], ["a", "b"])])))
+    a, b = (np.concatenate([x.column(i).to_numpy() for x in got]) for i in (0, 1))
+    child, root = op.local_forest(a, b)
+    assert len(got) > 1 and len(child) == 60 * 29 and len(np.unique(root)) == 60

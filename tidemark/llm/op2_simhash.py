@@ -39,7 +39,11 @@ MAX_DISTANCE = 4
 SEED = 42
 BLOCK = 2048
 FANOUT = 8
+#: Pairs of nodes that a step of the search makes at most, codes that are indexed together (but for a longer bucket block), and
+#: links that are held before they are contracted: they bound a task's memory whatever its batches hold.
 FRONTIER = 400_000
+INDEXED = 200_000
+HELD_LINKS = 500_000
 ROWS_PER_BUCKET = 256
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -140,11 +144,6 @@ def search_index(levels_a: list[dict], levels_b: list[dict] | None, distance: in
     stack = [(top, i[near], j[near], shared[near], acc[near])]
     while stack:
         level, i, j, shared, acc = stack.pop()
-        if len(i) > FRONTIER:
-            for s in range(0, len(i), FRONTIER // 4):
-                e = slice(s, s + FRONTIER // 4)
-                stack.append((level, i[e], j[e], shared[e], acc[e]))
-            continue
         if level == 0:
             if same:
                 i, j = i[i != j], j[i != j]
@@ -154,6 +153,11 @@ def search_index(levels_a: list[dict], levels_b: list[dict] | None, distance: in
         A, B = levels_a[level], levels_b[level]
         na, nb = A["hi"][i] - A["lo"][i], B["hi"][j] - B["lo"][j]
         n = na * nb
+        if len(i) > 1 and n.sum() > FRONTIER:
+            half = len(i) // 2
+            for e in (slice(half, None), slice(half)):
+                stack.append((level, i[e], j[e], shared[e], acc[e]))
+            continue
         pair = np.repeat(np.arange(len(i)), n)
         k = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
         ci, cj = A["lo"][i][pair] + k // nb[pair], B["lo"][j][pair] + k % nb[pair]
@@ -168,32 +172,45 @@ def search_index(levels_a: list[dict], levels_b: list[dict] | None, distance: in
 
 
 def _search(distance: int):
+    def found(a: pa.ListArray, b: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        solo = a.filter(b.is_null())
+        size = pa.compute.list_value_length(solo).to_numpy()
+        ends = np.cumsum(size)
+        lo = 0
+        while lo < len(solo):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + INDEXED, side="right")))
+            codes = solo[lo:hi].flatten().to_numpy().view(np.uint64)
+            for i, j in search_index(build_index(codes, np.repeat(np.arange(hi - lo), size[lo:hi])), None, distance):
+                yield codes[i].view(np.int64), codes[j].view(np.int64)
+            lo = hi
+        for x, y in zip(a.filter(b.is_valid()), b.filter(b.is_valid())):
+            ca, cb = x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64)
+            for i, j in search_index(build_index(ca, np.zeros(len(ca), np.int64)), build_index(cb, np.zeros(len(cb), np.int64)), distance):
+                yield ca[i].view(np.int64), cb[j].view(np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column(0), batch.column(1)
             links: list[tuple[np.ndarray, np.ndarray]] = []
+            held = 0
 
             def forest():
-                x, y = np.concatenate([p for p, _ in links]), np.concatenate([q for _, q in links])
-                links[:] = [local_forest(x, y)]
-
-            def take(codes_a, codes_b, found):
-                for i, j in found:
-                    links.append((codes_a[i].view(np.int64), codes_b[j].view(np.int64)))
-                    if sum(len(x) for x, _ in links) > 2_000_000:
-                        forest()
-
-            solo = a.filter(b.is_null())
-            if len(solo):
-                codes = solo.flatten().to_numpy().view(np.uint64)
-                unit = np.repeat(np.arange(len(solo)), pa.compute.list_value_length(solo).to_numpy())
-                take(codes, codes, search_index(build_index(codes, unit), None, distance))
-            for x, y in zip(a.filter(b.is_valid()), b.filter(b.is_valid())):
-                ca, cb = x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64)
-                take(ca, cb, search_index(build_index(ca, np.zeros(len(ca), np.int64)), build_index(cb, np.zeros(len(cb), np.int64)), distance))
+                links[:] = [local_forest(*(np.concatenate(x) for x in zip(*links)))]
+                return len(links[0][0])
+
+            def out():
+                return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in links.pop()], ["a", "b"])
+
+            for pair in found(batch.column(0), batch.column(1)):
+                links.append(pair)
+                held += len(pair[0])
+                if held > HELD_LINKS:
+                    held = forest()
+                    if 2 * held > HELD_LINKS:  # a forest of as many codes goes out
+                        yield out()
+                        held = 0
             if links:
                 forest()
-                yield pa.RecordBatch.from_arrays([pa.array(links[0][0], pa.int64()), pa.array(links[0][1], pa.int64())], ["a", "b"])
+                yield out()
     return run
 
 

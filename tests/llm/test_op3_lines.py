@@ -143,3 +143,24 @@ def test_bins_bound_what_two_sets_share():
 def test_lines_of_a_text_in_normal_form():
     for t in ["a b\nC d", " a\nb", "a \nb", "a\n b", "a  b\n\nc", "a\tb\r\nc", "x y\nz", "ΑΣ\nΣ", "a\x1cb", "é\n", "\n", "a\x85b\x0bc "]:
         assert op.normal_lines(t) == [op.normal(x) for x in t.split("\n")]
+
+
+def test_equal_lines_of_a_run_are_one_row_with_their_first_place():
+    import pyarrow as pa
+
+    texts = ["Same line here\nown line", "own line too\n\nsame  line HERE\nsame line here", None, "same line here", "same line here"]
+    ids = [7, 3, 1, None, 3]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([5, 6, 0, -9, 2], pa.int64()), pa.array(texts)], ["doc_id", "text_hash", "text"])
+    got = pa.Table.from_batches(list(op._lines(11, 4)(iter([batch])))).to_pylist()
+    assert [(r["doc_id"], r["pos"]) for r in got] == [(7, 0), (7, 1), (3, 0), (3, 2), (3, 3), (None, 0), (3, 0)]
+    assert len({r["line"] for r in got}) == 3
+    carried = [(r["doc_id"], r["text_hash"], r["pos"], r["n"]) for r in got if r["n"]]
+    assert sorted(carried, key=repr) == sorted([(3, 2, 0, 5), (7, 5, 1, 1), (3, 6, 0, 1)], key=repr)
+    assert all((r["n"] > 0) == (r["keys"] is not None) for r in got)
+    keys = {r["line"]: r["keys"] for r in got if r["n"]}
+    assert keys[got[0]["line"]] == op.band_keys(["same line here"], 11, 4).tobytes()
+
+
+def test_line_count(spark, odd_docs, no_docs):
+    want = sum(r.text.count("\n") + 1 for r in odd_docs.collect() if r.text is not None)
+    assert op.line_count(odd_docs) == want and op.line_count(no_docs) == 0

@@ -33,12 +33,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import UnionFind, band_blocks, block_units, components, drop_table, materialize, near_members, packed, table
+from tidemark.llm.common import band_blocks, block_units, components, drop_table, materialize, near_members, packed, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -65,12 +64,17 @@ def normal(line: str) -> str:
 
 #: What a text may hold that leaves its lines other than their normal form.
 _ODD = re.compile(r"[^\S\n ]")
+_ODD_ASCII = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+
+
+def _odd(text: str) -> bool:
+    return any(c in text for c in _ODD_ASCII) if text.isascii() else _ODD.search(text) is not None
 
 
 def normal_lines(text: str) -> list[str]:
     """``normal`` of every line of a text."""
     text = text.lower()
-    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _ODD.search(text):
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _odd(text):
         return [" ".join(x.split()) for x in text.split("\n")]
     return text.split("\n")
 
@@ -178,7 +182,7 @@ def similar(a, b, least: float = SIMILARITY) -> bool:
         return False
     if isinstance(a, np.ndarray) and isinstance(b, np.ndarray):
         merged = np.sort(np.concatenate([a, b]))
-        both = int((merged[1:] == merged[:-1]).sum())
+        both = int(np.count_nonzero(merged[1:] == merged[:-1]))
     else:
         both = len(_as_set(a) & _as_set(b))
     return both >= least * (len(a) + len(b) - both)
@@ -204,12 +208,10 @@ def _row_columns(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The number of lines (of line feeds and one for each text) of the batches."""
-    n = 0
-    for b in batches:
-        n += (pc.sum(pc.count_substring(b.column(0), "\n")).as_py() or 0) + b.num_rows - b.column(0).null_count
-    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+def line_count(docs: DataFrame) -> int:
+    """The number of lines: of line feeds and one for each text."""
+    feeds = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    return docs.agg(F.sum(feeds.cast("long") + 1)).first()[0] or 0
 
 
 def _binaries(rows: np.ndarray) -> pa.Array:
@@ -222,29 +224,48 @@ def _binaries(rows: np.ndarray) -> pa.Array:
 
 def _lines(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per non-blank line: its document, number, digest and, packed, its band keys and sketch."""
+        """One row per non-blank line: its document, number and digest.  Of equal lines of a run that which comes first has their
+        number and, packed, their band keys and sketch; the others have 0 and null."""
         for b in batches:
-            row, pos, lines = [], [], []
-            size = 0
+            ids, hashes = b.column(0).to_pylist(), b.column(1).to_pylist()
+            row, pos, number, size = [], [], [], 0
+            lines: dict[str, int] = {}  # to their numbers
+            first: list[int] = []  # places in ``row`` and ``pos`` by number
+
+            def place(at: int) -> tuple:
+                i = row[at]
+                return ids[i] is None, ids[i] or 0, hashes[i], pos[at]
 
             def out():
-                digests = [hashlib.md5(x.encode("utf-8", "surrogatepass")).digest() for x in lines]
-                at = pa.array(row, pa.int64())
-                return pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(pos, pa.int32()), pa.array(digests, pa.binary()),
-                                                   _binaries(band_keys(lines, bands, rows))], ["doc_id", "text_hash", "pos", "line", "keys"])
+                own, which = pa.array(row, pa.int64()), np.array(number, np.int64)
+                digests = pa.array([hashlib.md5(x.encode("utf-8", "surrogatepass")).digest() for x in lines], pa.binary())
+                carrier = np.full(len(row), -1)
+                carrier[first] = np.arange(len(first))
+                carries = carrier >= 0
+                n = np.zeros(len(row), np.int64)
+                n[first] = np.bincount(which)
+                return pa.RecordBatch.from_arrays(
+                    [b.column(0).take(own), b.column(1).take(own), pa.array(pos, pa.int32()), digests.take(pa.array(which)), pa.array(n),
+                     _binaries(band_keys(list(lines), bands, rows)).take(pa.array(carrier, mask=~carries))], ["doc_id", "text_hash", "pos", "line", "n", "keys"])
 
             for i, t in enumerate(b.column(2)):
                 t = t.as_py()
                 for n, x in enumerate(normal_lines(t) if t else ()):
                     if x:
+                        at = len(row)
                         row.append(i)
                         pos.append(n)
-                        lines.append(x)
-                        size += len(x)
-                if size > 4 << 20:
+                        known = lines.setdefault(x, len(first))
+                        number.append(known)
+                        if known == len(first):
+                            first.append(at)
+                            size += len(x)
+                        elif place(at) < place(first[known]):
+                            first[known] = at
+                if size > 4 << 20 or len(row) > 1 << 17:
                     yield out()
-                    row, pos, lines, size = [], [], [], 0
-            if lines:
+                    row, pos, number, size, lines, first = [], [], [], 0, {}, []
+            if row:
                 yield out()
     return run
 
@@ -304,6 +325,7 @@ def _verify(least: float):
 
         start = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
         size = np.diff(np.r_[start, len(unit)])
+        begins, ends = np.repeat(start, size), np.repeat(start + size, size)
         pairs = start[size == 2]
         firsts, seconds = [pairs], [pairs + 1]
         for lo, n in zip(start[size > 2].tolist(), size[size > 2].tolist()):
@@ -314,20 +336,22 @@ def _verify(least: float):
             firsts.append(i + lo)
             seconds.append(j + lo)
         i, j = np.concatenate(firsts), np.concatenate(seconds)
-        known, judged, found = UnionFind(len(ids)), {}, []  # rows of different units are never joined
-        for lo in range(0, len(i), 4096):
-            x, y = at[i[lo:lo + 4096]], at[j[lo:lo + 4096]]
-            may = np.flatnonzero((np.minimum(sizes[x], sizes[y]) >= least * np.maximum(sizes[x], sizes[y])) & (x != y))
+        known, judged, found = np.arange(len(ids)), {}, []  # the class of each row; rows of different units are never joined
+        for lo in range(0, len(i), 1024):
+            i_, j_ = i[lo:lo + 1024], j[lo:lo + 1024]
+            x, y = at[i_], at[j_]
+            may = np.flatnonzero((known[i_] != known[j_]) & (np.minimum(sizes[x], sizes[y]) >= least * np.maximum(sizes[x], sizes[y])) & (x != y))
             both, total = np.minimum(counts[x[may]], counts[y[may]]).sum(axis=1, dtype=np.int64), (sizes[x] + sizes[y])[may]
             may = may[both >= least * (total - both)]
-            for k, n, *pair in zip(i[lo + may].tolist(), j[lo + may].tolist(), x[may].tolist(), y[may].tolist()):
-                if known.find(k) == known.find(n):
+            for k, n, *pair in zip(i_[may].tolist(), j_[may].tolist(), x[may].tolist(), y[may].tolist()):
+                if known[k] == known[n]:
                     continue
                 pair = tuple(pair)
                 if pair not in judged:
                     judged[pair] = similar(sets[pair[0]], sets[pair[1]], least)
                 if judged[pair]:
-                    known.union(k, n)
+                    own = known[begins[k]:ends[k]]
+                    own[own == known[n]] = known[k]
                     found.append(pair)
         found = np.array(found, np.int64).reshape(-1, 2)
         return [pa.array(distinct[found[:, i]], pa.int64()) for i in (0, 1)]
@@ -413,16 +437,17 @@ def _slim(df: DataFrame, name: str, *columns) -> DataFrame:
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, text_hash, removed array<int>): the line numbers that go, for documents that lose any."""
     three = _row_columns(docs)
-    count = docs.select("text").mapInArrow(_counted, "n long").agg(F.sum("n")).first()[0] or 0
+    count = line_count(docs)
     bands, rows = banding(count, similarity)
-    lines = materialize(three.mapInArrow(_lines(bands, rows), "doc_id long, text_hash long, pos int, line binary, keys binary"), "lines")
+    lines = materialize(three.mapInArrow(_lines(bands, rows), "doc_id long, text_hash long, pos int, line binary, n long, keys binary"), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("anon"), "doc_id", "text_hash", "pos", "keys")
-    full = materialize(lines.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-                       .withColumn("id", F.monotonically_increasing_id()), "line-nodes-full")
+    # equal lines of a run are one row already: dealt out first, the rows are sorted once and not before their exchange as well
+    full = materialize(lines.where("n > 0").select("line", "n", place.alias("place")).repartition("line")
+                       .groupBy("line").agg(F.min("place").alias("first"), F.sum("n").alias("n"))
+                       .select(F.monotonically_increasing_id().alias("id"), "line", "n", "first.*"), "line-nodes")
     lines = _slim(lines, "lines-slim", "doc_id", "text_hash", "pos", "line")
-    blocks = materialize(band_blocks(full.select("id", "first.keys"), bands, max(1, count * bands // PART_KEYS), BLOCK, DIFFERING), "line-blocks")
-    spot = F.struct("first.anon", "first.doc_id", "first.text_hash", "first.pos")
-    nodes = _slim(full, "line-nodes", "id", "line", "n", spot.alias("spot"))
+    blocks = materialize(band_blocks(full.select("id", "keys"), bands, max(1, count * bands // PART_KEYS), BLOCK, DIFFERING), "line-blocks")
+    nodes = full.select("id", "line", "n", F.struct("anon", "doc_id", "text_hash", "pos").alias("spot"))
     units = block_units(blocks).dropDuplicates(["a", "b"]).withColumn("unit", F.monotonically_increasing_id())
     members = materialize(near_members(materialize(units, "line-units"), DIFFERING), "line-members")
     wanted = materialize(members.select("id").distinct().join(nodes.select("id", "spot"), "id").select("id", "spot.*").drop("anon"), "line-wanted")
